@@ -71,6 +71,18 @@ def cohort_schedule(cohorts: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
+def _with_opens(df: DataFrame, quotes: DataFrame, within: int, entry: str, exit_: str) -> DataFrame:
+    """Opens at entry_date and exit_date; both days are looked up in one pass over the quotes."""
+    points = df.select("symbol", F.col("entry_date").alias("_d")).union(df.select("symbol", "exit_date"))
+    opens = asof.forward_lookup(points, quotes, ["symbol"], "_d", "date", ["open"], within)
+
+    def at(day: str, out: str) -> DataFrame:
+        return opens.select("symbol", F.col("_d").alias(day), F.col("open").alias(out))
+
+    joined = df.join(at("entry_date", entry), ["symbol", "entry_date"], "left")
+    return joined.join(at("exit_date", exit_), ["symbol", "exit_date"], "left")
+
+
 def rotation_trades(
     scores: DataFrame, quotes: DataFrame, top_ns: Sequence[int], amount: float = POSITION_AMOUNT
 ) -> DataFrame:
@@ -86,11 +98,7 @@ def rotation_trades(
     order = [F.desc("ml_score"), F.col("symbol")]
     picks = ranks.top_n(scores.select("playbook_date", "symbol", "ml_score"), ["playbook_date"], order, max(top_ns), "pick")
     picks = picks.join(schedule.where("opens"), "playbook_date")
-    opens = quotes.select("symbol", "date", "open")
-    entered = asof.asof_forward(picks, opens, ["symbol"], "entry_date", "date", ["open"], 5)
-    entered = entered.withColumnRenamed("open", "entry_price")
-    held = asof.asof_forward(entered.where("entry_price IS NOT NULL"), opens, ["symbol"], "exit_date", "date", ["open"], 5)
-    held = held.withColumnRenamed("open", "exit_price")
+    held = _with_opens(picks, quotes, 5, "entry_price", "exit_price").where("entry_price IS NOT NULL")
     shares = F.greatest(F.floor(F.lit(amount) / F.col("entry_price")), F.lit(1))
     df = held.withColumn("shares", shares.cast("bigint"))
     entry_value, exit_value = F.col("entry_price") * F.col("shares"), F.col("exit_price") * F.col("shares")
@@ -297,10 +305,7 @@ def forward_returns(cohort: DataFrame, quotes: DataFrame) -> DataFrame:
     w = Window.partitionBy(F.lit(0)).orderBy("playbook_date")
     close = asof.previous_trading_day(days, asof.trading_days(quotes), "entry_date", "_close")
     span = close.withColumn("exit_date", F.lead("_close").over(w)).where("exit_date IS NOT NULL").select("playbook_date", "exit_date")
-    valid = quotes.where("open > 0").select("symbol", "date", "open")
-    df = cohort.join(span, "playbook_date")
-    df = asof.asof_forward(df, valid, ["symbol"], "entry_date", "date", ["open"], 7).withColumnRenamed("open", "_in")
-    df = asof.asof_forward(df, valid, ["symbol"], "exit_date", "date", ["open"], 7).withColumnRenamed("open", "_out")
+    df = _with_opens(cohort.join(span, "playbook_date"), quotes.where("open > 0"), 7, "_in", "_out")
     ret = (F.col("_out") - F.col("_in")) / F.col("_in") * 100
     return (
         df.where("_in IS NOT NULL AND _out IS NOT NULL")

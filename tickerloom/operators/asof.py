@@ -60,46 +60,35 @@ def asof_backward(
     return out.select(*left.columns, *picked)
 
 
-def asof_forward(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    left_on: str,
-    right_on: str,
-    cols: Sequence[str],
-    within_days: int,
-    matched_as: str | None = None,
+def forward_lookup(
+    points: DataFrame, right: DataFrame, keys: Sequence[str], on: str, right_on: str, cols: Sequence[str], within_days: int
 ) -> DataFrame:
-    """Left rows with `cols` of the first right row from their day up to `within_days` later.
+    """First right row from each (key, day) point up to `within_days` later: keys, `on`, cols, `_at`.
 
-    Each distinct (key, day) asks for within_days + 1 exact days, an equi-join on
+    Each distinct point asks for within_days + 1 exact days, an equi-join on
     (key, day); the earliest hit wins. Right rows must be unique per (key, day).
     """
     keys = list(keys)
-    points = left.select(*keys, left_on).distinct()
-    asked = points.withColumn(
-        "_day",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(within_days)),
-                lambda i: F.date_format(
-                    F.date_add(F.to_date(F.col(left_on)), i), "yyyy-MM-dd"
-                ),
-            )
-        ),
-    )
-    states = right.select(
-        *keys, F.col(right_on).alias("_day"), F.struct(*[F.col(c) for c in cols]).alias("_p")
-    )
+    days = F.sequence(F.lit(0), F.lit(within_days))
+    later = F.transform(days, lambda i: F.date_format(F.date_add(F.to_date(F.col(on)), i), "yyyy-MM-dd"))
+    asked = points.select(*keys, on).where(F.col(on).isNotNull()).distinct().withColumn("_day", F.explode(later))
+    states = right.select(*keys, F.col(right_on).alias("_day"), F.struct(*[F.col(c) for c in cols]).alias("_p"))
     first = (
         asked.join(states, [*keys, "_day"])
-        .groupBy(*keys, left_on)
+        .groupBy(*keys, on)
         .agg(F.min_by("_p", "_day").alias("_hit"), F.min("_day").alias("_at"))
     )
-    picked = [F.col(f"_hit.{c}").alias(c) for c in cols]
-    if matched_as:
-        picked.append(F.col("_at").alias(matched_as))
-    return left.join(first, [*keys, left_on], "left").select(*left.columns, *picked)
+    return first.select(*keys, on, *[F.col(f"_hit.{c}").alias(c) for c in cols], "_at")
+
+
+def asof_forward(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], left_on: str, right_on: str, cols: Sequence[str],
+    within_days: int, matched_as: str | None = None,
+) -> DataFrame:
+    """Left rows with `cols` of the first right row from their day up to `within_days` later."""
+    found = forward_lookup(left, right, keys, left_on, right_on, cols, within_days)
+    picked = [*cols, F.col("_at").alias(matched_as)] if matched_as else list(cols)
+    return left.join(found, [*keys, left_on], "left").select(*left.columns, *picked)
 
 
 def latest_as_of(

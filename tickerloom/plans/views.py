@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tickerloom.functions import numbers as N
 from tickerloom.functions import periods as P
 from tickerloom.operators import asof, ranks
+from tickerloom.session import stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -207,10 +208,9 @@ def entries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Scored candidates per cohort with entry date and rank."""
+    """Scored candidates per cohort with entry date and rank; staged, like the stored table it stands for."""
     joined = scored_base(spark, sf).join(
         entries(spark, sf).where("entry_date IS NOT NULL"), "playbook_date"
     )
-    order = [-F.col("ml_score"), F.col("symbol")]
-    ranked = ranks.with_ordinal_rank(joined, ["playbook_date"], order, "ml_rank")
-    return ranked.select("playbook_date", "symbol", "entry_date", "ml_score", "disc", "tax", "qty", "line_count", "ml_rank")
+    ranked = ranks.with_ordinal_rank(joined, ["playbook_date"], -F.col("ml_score"), "symbol", "ml_rank")
+    return stage(ranked.select("playbook_date", "symbol", "entry_date", "ml_score", "disc", "tax", "qty", "line_count", "ml_rank"))

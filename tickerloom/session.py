@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,20 +27,24 @@ def get_session(app: str = "tickerloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of `df` in the folder the cluster names.
+def stage(df: DataFrame) -> DataFrame:
+    """Write `df` once to the shared checkpoint folder and go on from there.
 
-    The directory comes from spark.checkpoint.dir; without one (unit tests) the
-    caller must have set a directory on the context. Never a local checkpoint:
+    For tables that several branches of a job read (scored cohorts, trades,
+    return panels): without it every branch computes them again. The folder is
+    the one the cluster names in spark.checkpoint.dir; only a local session may
+    fall back to a temporary folder of its own. Never a local checkpoint, since
     executors may be lost.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if folder and context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
     if context.getCheckpointDir() is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="tickerloom-")
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
