@@ -79,6 +79,27 @@ VIEWS: dict[str, str] = {
                'quarter' AS period_type, l_returnflag || l_linestatus AS account_code,
                sum(CAST(round(l_extendedprice * 100) AS BIGINT)) / 1e5 AS value_num
         FROM lineitem GROUP BY 1, 2, 3, 4""",
+    "statements": f"""
+        SELECT year(l_shipdate) || 'Q' || quarter(l_shipdate) AS date, {SYMBOL} AS symbol,
+               CASE WHEN l_partkey % 16 < 7 THEN 'quarter' WHEN l_partkey % 16 < 14 THEN 'as_of' ELSE 'accumulated' END AS period_type,
+               (['4000', '5900', '6300', '6900', '7900', '7950', '8200', '1100', '11XX', '21XX', '1XXX', '2XXX', '3XXX', '3300', 'AAAA', 'B02700'])[l_partkey % 16 + 1] AS account_code,
+               sum(CAST(round(l_extendedprice * 100) AS BIGINT)) / 1e5 AS value_num
+        FROM lineitem GROUP BY 1, 2, 3, 4""",
+    "quarterly": """
+        SELECT year(o_orderdate) || 'Q' || quarter(o_orderdate) AS date, printf('%04d', o_custkey % 100) AS symbol,
+               CASE WHEN o_custkey % 2 = 0 THEN 'sii' ELSE 'otc' END AS market,
+               sum(CAST(round(o_totalprice * 100) AS BIGINT)) / 1e5 AS revenue_q,
+               sum(CASE WHEN o_orderstatus = 'P' THEN -CAST(round(o_totalprice * 100) AS BIGINT) ELSE CAST(round(o_totalprice * 100) AS BIGINT) END) / 1e6 AS net_income_q,
+               count(*) * 3.0::DOUBLE - 12 AS non_op_income_q, count(*) * 4.0::DOUBLE - 20 AS pretax_income_q, count(*) * 100.0::DOUBLE AS capital,
+               sum(CAST(round(o_totalprice * 100) AS BIGINT)) / 1e8 AS eps_q, count(*) * 10.0::DOUBLE - 30 AS nav_per_share
+        FROM orders GROUP BY 1, 2, 3""",
+    "cohort_calendar": """
+        SELECT playbook_date, month, strftime(CAST(playbook_date AS DATE) - 1, '%Y-%m-%d') AS cutoff_date, ti,
+               (ti // 4) || 'Q' || (ti % 4 + 1) AS target_q, ((ti - 1) // 4) || 'Q' || ((ti - 1) % 4 + 1) AS anchor_q,
+               ((ti - 2) // 4) || 'Q' || ((ti - 2) % 4 + 1) AS pre_anchor_q, ((ti - 4) // 4) || 'Q' || (ti % 4 + 1) AS ly_target_q,
+               ((ti - 5) // 4) || 'Q' || ((ti - 5) % 4 + 1) AS ly_anchor_q, (month + 1) % 3 + 1 AS feature_months, year * 12 + month - 1 AS mi
+        FROM (SELECT *, (CASE WHEN month = 1 THEN year - 1 ELSE year END) * 4 + (CASE WHEN month BETWEEN 2 AND 4 THEN 0 WHEN month BETWEEN 5 AND 7 THEN 1 WHEN month BETWEEN 8 AND 10 THEN 2 ELSE 3 END) AS ti
+              FROM playbook)""",
     "index_daily": """
         SELECT date, 'IDX' || CAST(symbol AS INT) % 4 AS index_name, avg(close) AS index_close
         FROM quotes GROUP BY 1, 2""",

@@ -214,3 +214,34 @@ def scores(spark: SparkSession, sf: str) -> DataFrame:
     )
     ranked = ranks.with_ordinal_rank(joined, ["playbook_date"], -F.col("ml_score"), "symbol", "ml_rank")
     return stage(ranked.select("playbook_date", "symbol", "entry_date", "ml_score", "disc", "tax", "qty", "line_count", "ml_rank"))
+
+
+# fixed values: account codes assigned to line parts by remainder
+STATEMENT_CODES = ["4000", "5900", "6300", "6900", "7900", "7950", "8200", "1100", "11XX", "21XX", "1XXX", "2XXX", "3XXX", "3300", "AAAA", "B02700"]
+
+
+def statements(spark: SparkSession, sf: str) -> DataFrame:
+    """Long facts with income, balance and cash period types; some codes are missing per quarter."""
+    li = table(spark, sf, "lineitem")
+    pick = F.element_at(F.array(*[F.lit(c) for c in STATEMENT_CODES]), (F.col("l_partkey") % 16 + 1).cast("int"))
+    slot = F.col("l_partkey") % 16
+    kind = F.when(slot < 7, "quarter").when(slot < 14, "as_of").otherwise("accumulated")
+    return li.groupBy(
+        P.quarter_token(F.year("l_shipdate"), F.quarter("l_shipdate")).alias("date"),
+        symbol_of("l_suppkey").alias("symbol"), kind.alias("period_type"), pick.alias("account_code"),
+    ).agg((F.sum(cents("l_extendedprice")) / 1e5).alias("value_num"))
+
+
+def quarterly(spark: SparkSession, sf: str) -> DataFrame:
+    """Wide quarterly report rows."""
+    o = table(spark, sf, "orders")
+    sign = F.when(F.col("o_orderstatus") == "P", -cents("o_totalprice")).otherwise(cents("o_totalprice"))
+    n = F.count(F.lit(1))
+    return o.groupBy(
+        P.quarter_token(F.year("o_orderdate"), F.quarter("o_orderdate")).alias("date"),
+        symbol_of(F.col("o_custkey") % 100).alias("symbol"), market_of("o_custkey").alias("market"),
+    ).agg(
+        (F.sum(cents("o_totalprice")) / 1e5).alias("revenue_q"), (F.sum(sign) / 1e6).alias("net_income_q"),
+        (n * 3.0 - 12).alias("non_op_income_q"), (n * 4.0 - 20).alias("pretax_income_q"), (n * 100.0).alias("capital"),
+        (F.sum(cents("o_totalprice")) / 1e8).alias("eps_q"), (n * 10.0 - 30).alias("nav_per_share"),
+    )
