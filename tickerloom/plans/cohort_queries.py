@@ -333,11 +333,11 @@ def ensemble_rank_score(spark, sf):
 
 
 @query("model_for_target", "J19 T7", with_views("""
-WITH v AS (SELECT playbook_date AS version FROM cohort_calendar WHERE month % 3 = 1)
+WITH v AS (SELECT playbook_date AS version FROM cohort_calendar WHERE month IN (5, 8, 11))
 SELECT c.playbook_date, max(v.version) AS train_through, strftime(CAST(max(v.version) AS DATE) - 1, '%Y-%m-%d') AS train_through_cutoff FROM cohort_calendar c LEFT JOIN v ON v.version < c.playbook_date GROUP BY 1"""))
 def model_for_target(spark, sf):
     cal = V.playbook(spark, sf)
-    models = cal.where("month % 3 = 1").select(F.col("playbook_date").alias("version"))
+    models = cal.where("month IN (5, 8, 11)").select(F.col("playbook_date").alias("version"))
     return cohort.model_for_target(models, cal.select("playbook_date"))
 
 
