@@ -112,7 +112,7 @@ def same_value(stored: Column | str, raw: Column | str, tolerance: float = 1e-4)
     part of the stored one, other numbers within a tolerance, text when one
     holds the other (a raw `="0050"` matches 0050).
     """
-    left, right = empty_to_null(stored), F.replace(empty_to_null(raw), F.lit(","), F.lit(""))
+    left, right = (F.replace(empty_to_null(c), F.lit(","), F.lit("")) for c in (stored, raw))
     num_l, num_r = to_number(left), to_number(right)
     both_numbers = num_l.isNotNull() & num_r.isNotNull()
     whole = right.rlike("^-?[0-9]+$")
