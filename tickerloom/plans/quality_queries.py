@@ -317,3 +317,18 @@ def summary_json(spark, sf):
     q = V.quotes(spark, sf)
     agg = q.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("symbol").alias("symbols"), F.min("date").alias("first"), F.max("date").alias("last"))
     return publish.json_row(agg, "summary")
+
+
+@query("first_seen_stream", "M1 K10", with_views("SELECT user_id, strftime(min(ts), '%Y%m%d%H%M%S') AS first_seen FROM events GROUP BY 1"))
+def first_seen_stream(spark, sf):
+    """The events file read as a stream; the result table stands in the shared checkpoint folder."""
+    import uuid
+
+    from tickerloom.session import shared_folder
+    from tickerloom.streaming.first_seen import run_first_seen
+
+    folder = f"{shared_folder(spark)}/first-seen-{uuid.uuid4().hex}"
+    schema = V.table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet").select("user_id", "ts")
+    run_first_seen(stream, f"{folder}/table", f"{folder}/progress", ["user_id"], "ts")
+    return spark.read.parquet(f"{folder}/table").select("user_id", F.date_format("ts", "yyyyMMddHHmmss").alias("first_seen"))

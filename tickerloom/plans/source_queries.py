@@ -29,7 +29,7 @@ _QUOTE_ROWS = "qr AS (SELECT *, 3 + row_number() OVER (PARTITION BY date, market
 
 
 @query("daily_quote_report", "S1 S5 S16 P1 P2 P4 P5 P6 F1 C32", with_views(f"""WITH {_QUOTE_ROWS} SELECT date, market, symbol, volume, CASE WHEN volume >= 5 THEN rnd(value, 2) END AS value, CAST(NULL AS DOUBLE) AS late_column,
- '/raw/daily_quotes/' || substr(date, 1, 4) || '/' || replace(date, '-', '') || '/' || market || '.csv' AS src_file, src_row, '1#2#3#4' AS src_col FROM qr WHERE volume <= 60"""))
+ '/raw/daily_quotes/' || substr(date, 1, 4) || '/' || replace(date, '-', '') || '/' || market || '.csv' AS src_file, src_row, '1#3#4' AS src_col FROM qr WHERE volume <= 60"""))
 def daily_quote_report(spark, sf):
     df = S.daily_report(RV.quote_lines(spark, sf), QUOTE_MAP, QUOTE_SCHEMA)
     return df.withColumn("value", R("value", 2))
@@ -141,8 +141,7 @@ def lineage_audit(spark, sf):
     rows = S.daily_report(lines, QUOTE_MAP, QUOTE_SCHEMA)
     rows = rows.withColumn("volume", F.when(F.col("volume") > 55, F.col("volume") + 1).otherwise(F.col("volume")))
     raw = lines.withColumn("fields", S.split_fields("value"))
-    rows = rows.withColumn("name", F.concat(F.lit("S, "), "symbol"))
-    bad = Q.lineage_audit(rows, raw, ["symbol", "name", "volume", "value"])
+    bad = Q.lineage_audit(rows, raw, ["symbol", "volume", "value"])
     return bad.select("src_file", "src_row", "column_name", C.to_number("stored").cast("bigint").alias("stored"), C.to_number("raw").cast("bigint").alias("raw"))
 
 

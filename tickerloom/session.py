@@ -27,16 +27,8 @@ def get_session(app: str = "tickerloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared checkpoint folder and go on from there.
-
-    For tables that several branches of a job read (scored cohorts, trades,
-    return panels): without it every branch computes them again. The folder is
-    the one the cluster names in spark.checkpoint.dir; only a local session may
-    fall back to a temporary folder of its own. Never a local checkpoint, since
-    executors may be lost.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: spark.checkpoint.dir, else (local sessions only) an own one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -45,6 +37,17 @@ def stage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tickerloom-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write `df` once to the shared checkpoint folder and go on from there.
+
+    For tables that several branches of a job read (scored cohorts, trades,
+    return panels): without it every branch computes them again. Never a local
+    checkpoint, since executors may be lost.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

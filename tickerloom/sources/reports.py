@@ -169,41 +169,48 @@ def report_rows(lines: DataFrame, words: Sequence[str] = HEADER_WORDS, index_rep
     return body.select("src_file", "src_row", "header", F.slice(padded, 1, width).alias("fields"))
 
 
-def _places(head: DataFrame, mapping: dict[str, str], ignore: Sequence[str], contains: bool) -> DataFrame:
+def _places(head: DataFrame, mapping: dict[str, str], wanted: Sequence[str], ignore: Sequence[str], contains: bool) -> DataFrame:
     """Per file the field number of each wanted column. Runs on the header rows only, one per file."""
 
     def normal(h: Column) -> Column:
         return F.regexp_replace(h, "[\\s　]+", "")
 
     def target(h: Column) -> Column:
-        known = F.lit(None).cast("string")
-        for raw, name in reversed(list(mapping.items())):
-            hit = normal(h).contains(raw) if contains else normal(h) == raw
-            known = F.when(hit, F.lit(name)).otherwise(known)
-        skip = normal(h).isin(list(ignore) or [""])
+        if contains:
+            known = F.lit(None).cast("string")
+            for raw, name in reversed(list(mapping.items())):
+                known = F.when(normal(h).contains(raw), F.lit(name)).otherwise(known)
+        else:
+            known = C.map_literal(mapping, normal(h))
+            known = F.coalesce(known, F.when(h.contains("代號"), F.lit("symbol")).when(h.contains("名稱"), F.lit("name")))
+        skip = normal(h).isin(["", *ignore])
         return F.when(known.isNotNull(), known).when(skip, F.lit("")).otherwise(
             F.raise_error(F.concat(F.lit("unknown report column: "), h)).cast("string")
         )
 
-    wanted = list(dict.fromkeys(mapping.values()))
     named = head.withColumn("_names", F.transform("header", target))
     at = [F.nullif(F.array_position("_names", n).cast("int"), F.lit(0)).alias(f"_at_{n}") for n in wanted]
-    df = named.select("src_file", "header_row", *at)
+    df = named.select("src_file", "header_row", F.size("header").alias("_width"), "_names", *at)
     numbers = [F.coalesce(F.col(f"_at_{n}").cast("string"), F.lit("x")) for n in wanted]
-    return df.withColumn("src_col", F.concat_ws("#", *numbers))
+    # an unknown name must fail even when no wanted column needs it
+    checked = F.array_max("_names").isNotNull()
+    return df.withColumn("src_col", F.concat_ws("#", *numbers)).where(checked).drop("_names")
 
 
 def report_table(
     lines: DataFrame, mapping: dict[str, str], words: Sequence[str] = HEADER_WORDS, ignore: Sequence[str] = (), contains: bool = False,
+    wanted: Sequence[str] | None = None, index_report: bool = False,
 ) -> DataFrame:
     """Fields under their table names, with `src_col` holding their 1-based field numbers.
 
     `mapping` is raw name to column; an unmapped header fails the job. With
     `contains`, a raw name matches inside a header. Names are resolved once per
-    file; a row then only picks its wanted fields.
+    file; a row then only picks its wanted fields. Of a repeated column the first
+    counts; fields beyond a short row are NULL.
     """
-    wanted = list(dict.fromkeys(mapping.values()))
-    body = report_lines(lines, _places(header_rows(lines, words), mapping, ignore, contains))
+    wanted = list(dict.fromkeys(mapping.values() if wanted is None else wanted))
+    head = header_rows(lines, words, index_report)
+    body = report_lines(lines, _places(head, mapping, wanted, ignore, contains))
     picked = [clean_field(F.try_element_at("_raw", F.col(f"_at_{n}"))).alias(n) for n in wanted]
     return body.select("src_file", "src_row", *picked, "src_col")
 
@@ -223,7 +230,8 @@ def enforce_schema(df: DataFrame, schema: dict[str, str], keep: Sequence[str] =
 
 def daily_report(lines: DataFrame, mapping: dict[str, str], schema: dict[str, str], ignore: Sequence[str] = ()) -> DataFrame:
     """One market-day report to its table: date and market from the path, four-digit symbols only."""
-    df = with_path_columns(report_table(lines, mapping, ignore=ignore))
+    wanted = [c for c in schema if c in set(mapping.values()) and c not in ("date", "market")]
+    df = with_path_columns(report_table(lines, mapping, ignore=ignore, wanted=wanted))
     df = df.withColumn("symbol", C.clean_symbol("symbol")).where(F.col("symbol").rlike("^[0-9]{4}$"))
     return enforce_schema(df, schema)
 
