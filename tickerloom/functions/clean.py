@@ -45,18 +45,23 @@ def empty_to_null(c: Column | str) -> Column:
     return F.when(~blank, text)
 
 
+NUMBER = "^[-+]?[0-9]*[.]?[0-9]+[.]?(?:[eE][-+]?[0-9]+)?$"
+
+
 def to_number(c: Column | str) -> Column:
-    """Tolerant number: drops thousands separators, NULL when it is not a number."""
-    text = F.regexp_replace(col(c), "[,\\s]|--", "")
-    return finite(text.try_cast("double"))
+    """Tolerant number: drops thousands separators, NULL when it is not a finite number.
+
+    One chain of replacements, so that each is evaluated once per value.
+    """
+    text = F.regexp_replace(col(c), f"[,\\s　{BYTE_ORDER_MARK}]|--", "")
+    return F.regexp_extract(text, NUMBER, 0).try_cast("double")
 
 
 def to_signed_number(c: Column | str) -> Column:
     """As to_number, and `(1,234)` reads as -1234."""
-    text = strip_text(c)
-    negative = text.rlike("^\\(.*\\)$")
-    inner = F.regexp_replace(text, "^\\(|\\)$", "")
-    return F.when(negative, -to_number(inner)).otherwise(to_number(text))
+    text = F.regexp_replace(col(c), f"[,\\s　{BYTE_ORDER_MARK}]|--", "")
+    negated = F.regexp_replace(text, "^\\((.*)\\)$", "-$1")
+    return F.regexp_extract(negated, NUMBER, 0).try_cast("double")
 
 
 def finite(c: Column | str) -> Column:
