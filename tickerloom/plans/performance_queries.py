@@ -135,7 +135,7 @@ def cross_section_zscore(spark, sf):
     return ranks.with_zscore(df, ["playbook_date", "industry"], "ml_score", "z").select("playbook_date", "symbol", R("z", 4).alias("z"))
 
 
-@query("walk_forward_percentile", "W17", with_views("""
+@query("walk_forward_percentile", "W17 X18", with_views("""
 WITH p AS (SELECT playbook_date, quantile_cont(ml_score, 0.9) AS p90 FROM scores GROUP BY 1)
 SELECT a.playbook_date, rnd(a.p90, 6) AS p90, rnd((SELECT avg(CASE WHEN b.p90 <= a.p90 THEN 1.0 ELSE 0 END) FROM p b WHERE b.playbook_date < a.playbook_date), 6) AS wf_pct FROM p a"""))
 def walk_forward_percentile(spark, sf):
@@ -359,3 +359,19 @@ def regime_diagnostic(spark, sf):
 @query("regime_label_returns", "A32 C18", with_views(_DIAG + """ SELECT regime_label, count(*) AS count, rnd(avg(realized_ret_pct), 4) AS mean, rnd(stddev_samp(realized_ret_pct), 4) AS std, rnd(min(realized_ret_pct), 4) AS min, rnd(max(realized_ret_pct), 4) AS max FROM diag GROUP BY 1"""))
 def regime_label_returns(spark, sf):
     return _round_all(perf.stats_by_label(_diag(spark, sf), "regime_label", "realized_ret_pct"), 4)
+
+
+@query("csv_outputs", "K15 C13", with_views(f"""
+WITH {_rotation((10,))} SELECT symbol, entry_date, exit_date, shares, net_pnl, exit_reason FROM trades"""))
+def csv_outputs(spark, sf):
+    """Trades written as CSV to the shared folder and read back."""
+    import uuid
+
+    from tickerloom.session import shared_folder
+    from tickerloom.sinks import load
+
+    path = f"{shared_folder(spark)}/trades-{uuid.uuid4().hex}"
+    columns = ["symbol", "entry_date", "exit_date", "shares", "net_pnl", "exit_reason"]
+    load.write_csv(_trades(spark, sf, (10,))[2].select(*columns), path)
+    schema = "symbol string, entry_date string, exit_date string, shares bigint, net_pnl double, exit_reason string"
+    return spark.read.schema(schema).option("header", "true").csv(path)
