@@ -34,12 +34,13 @@ def signed_yoy(current: Column | str, last_year: Column | str, digits: int = 2)
 
 
 def rnd(c: Column | str, digits: int) -> Column:
-    """Half-up rounding of the decimal value: float noise below 1e-9 is snapped away first.
+    """Half-up rounding that takes a value within 5e-10 below a decimal tie as the tie.
 
-    A value that is a tie in decimal then rounds up whatever order its sum took,
-    and a negative zero never results.
+    A tie then rounds up whatever float noise its sum took, and a negative zero
+    never results.
     """
-    return F.round(F.round(col(c).cast("double"), 9), digits) + F.lit(0.0)
+    value = col(c).cast("double")
+    return F.round(value + F.signum(value) * F.lit(5e-10), digits) + F.lit(0.0)
 
 
 def ratio_to_average(x: Column | str, average: Column | str) -> Column:

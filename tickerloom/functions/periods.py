@@ -17,12 +17,17 @@ LATE_MONTHS = (5, 8, 11)
 
 
 # ---- days -------------------------------------------------------------
+def iso_date(iso: Column | str) -> Column:
+    """Date of an ISO day string; NULL when it is none."""
+    return col(iso).try_cast("date")
+
+
 def add_days(iso: Column | str, days: int) -> Column:
-    return F.date_format(F.date_add(F.to_date(col(iso)), days), "yyyy-MM-dd")
+    return F.date_add(iso_date(iso), days).cast("string")
 
 
 def day_gap(start: Column | str, end: Column | str) -> Column:
-    return F.datediff(F.to_date(col(end)), F.to_date(col(start)))
+    return F.datediff(iso_date(end), iso_date(start))
 
 
 def roc_to_iso(text: Column | str) -> Column:
@@ -75,12 +80,12 @@ def shift_quarter(token: Column | str, delta: int) -> Column:
 
 
 def quarter_of_day(iso: Column | str) -> Column:
-    d = F.to_date(col(iso))
+    d = iso_date(iso)
     return quarter_token(F.year(d), F.quarter(d))
 
 
 def month_of_day(iso: Column | str) -> Column:
-    d = F.to_date(col(iso))
+    d = iso_date(iso)
     return month_token(F.year(d), F.month(d))
 
 
@@ -125,14 +130,14 @@ def period_bounds(token: Column | str) -> tuple[Column, Column]:
     first = (
         F.when(is_month, F.make_date(year, month, F.lit(1)))
         .when(is_quarter, F.make_date(year, (q - 1) * 3 + 1, F.lit(1)))
-        .otherwise(F.to_date(t.try_cast("date")))
+        .otherwise(t.try_cast("date"))
     )
     last = (
         F.when(is_month, F.last_day(F.make_date(year, month, F.lit(1))))
         .when(is_quarter, F.last_day(F.make_date(year, q * 3, F.lit(1))))
-        .otherwise(F.to_date(t.try_cast("date")))
+        .otherwise(t.try_cast("date"))
     )
-    return F.date_format(first, "yyyy-MM-dd"), F.date_format(last, "yyyy-MM-dd")
+    return first.cast("string"), last.cast("string")
 
 
 def in_day_range(token: Column | str, start: str | None, end: str | None) -> Column:
@@ -150,7 +155,7 @@ def in_day_range(token: Column | str, start: str | None, end: str | None) -> Col
 def playbook_day(year: Column, month: Column) -> Column:
     """Run date of a playbook month: the 16th in May, August, November, else the 11th."""
     day = F.when(month.isin(*LATE_MONTHS), 16).otherwise(11)
-    return F.date_format(F.make_date(year, month, day), "yyyy-MM-dd")
+    return F.make_date(year, month, day).cast("string")
 
 
 def is_playbook_day(iso: Column | str) -> Column:
@@ -160,10 +165,10 @@ def is_playbook_day(iso: Column | str) -> Column:
 
 def latest_playbook_day(today: Column | str) -> Column:
     """Latest run date not after `today`."""
-    d = F.to_date(col(today))
+    d = iso_date(today)
     this = playbook_day(F.year(d), F.month(d))
     before = F.add_months(d, -1)
-    return F.when(this <= F.date_format(d, "yyyy-MM-dd"), this).otherwise(
+    return F.when(this <= d.cast("string"), this).otherwise(
         playbook_day(F.year(before), F.month(before))
     )
 

@@ -38,13 +38,10 @@ def technical_indicators(
         flows.select("date", "symbol", *net), ["date", "symbol"], "left"
     )
     w = W.series("symbol", "date")
-    for n in MA_LENGTHS:
-        df = df.withColumn(f"ma{n}", W.rolling_mean("close", w, n))
-        df = df.withColumn(f"vma{n}", W.rolling_mean("volume", w, n))
+    df = W.with_rolling_means(df, "symbol", "date", {"close": MA_LENGTHS, "volume": MA_LENGTHS}, {"close": "ma", "volume": "vma"})
     df = df.withColumn("rsv", W.stochastic(df, w)).withColumn("_sd20", W.rolling_std("close", w, 20))
-    for c in net:
-        df = W.with_streak(df, "symbol", "date", c, c.replace("_net", "_streak_days"))
-    df = W.with_ewm_indicators(df, "symbol", "date")
+    df = W.with_streaks(df, "symbol", "date", {c: c.replace("_net", "_streak_days") for c in net})
+    df = W.with_ewm_indicators(df.drop("high", "low", "volume", *net), "symbol", "date")
     df = (
         df.withColumn("bb_upper", F.col("ma20") + 2 * F.col("_sd20"))
         .withColumn("bb_middle", F.col("ma20"))

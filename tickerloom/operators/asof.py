@@ -70,7 +70,7 @@ def forward_lookup(
     """
     keys = list(keys)
     days = F.sequence(F.lit(0), F.lit(within_days))
-    later = F.transform(days, lambda i: F.date_format(F.date_add(F.to_date(F.col(on)), i), "yyyy-MM-dd"))
+    later = F.transform(days, lambda i: F.date_add(F.col(on).cast("date"), i).cast("string"))
     asked = points.select(*keys, on).where(F.col(on).isNotNull()).distinct().withColumn("_day", F.explode(later))
     states = right.select(*keys, F.col(right_on).alias("_day"), F.struct(*[F.col(c) for c in cols]).alias("_p"))
     first = (

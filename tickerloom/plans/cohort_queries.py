@@ -238,10 +238,9 @@ def revenue_features(spark, sf):
 
 def _indicators(spark, sf):
     """The part of technical_indicators that the features read: averages and bands."""
-    w = W.series("symbol", "date")
-    q = V.quotes(spark, sf)
-    df = q.select("symbol", "date", "close", "volume", *[W.rolling_mean("close", w, n).alias(f"ma{n}") for n in (5, 10, 20, 60, 240)],
-                  *[W.rolling_mean("volume", w, n).alias(f"vma{n}") for n in (5, 10, 20)], W.rolling_std("close", w, 20).alias("_sd"))
+    q = V.quotes(spark, sf).select("symbol", "date", "close", "volume")
+    df = W.with_rolling_means(q, "symbol", "date", {"close": (5, 10, 20, 60, 240), "volume": (5, 10, 20)}, {"close": "ma", "volume": "vma"})
+    df = df.withColumn("_sd", W.rolling_std("close", W.series("symbol", "date"), 20))
     return df.withColumn("bb_upper", F.col("ma20") + 2 * F.col("_sd")).withColumn("bb_lower", F.col("ma20") - 2 * F.col("_sd"))
 
 

@@ -12,8 +12,7 @@ DAY = "strftime(l_shipdate, '%Y-%m-%d')"
 VIEWS: dict[str, str] = {
     "quotes": f"""
         SELECT {DAY} AS date, {MARKET} AS market, {SYMBOL} AS symbol,
-               CASE WHEN sum(l_quantity) >= 5 THEN
-                 arg_min({PRICE}, (l_orderkey, l_linenumber, l_partkey, l_extendedprice)) END AS open,
+               CASE WHEN sum(l_quantity) >= 5 THEN sum(l_extendedprice) / sum(l_quantity) END AS open,
                max({PRICE}) AS high, min({PRICE}) AS low, avg({PRICE}) AS close,
                sum(l_quantity) AS volume, sum(l_extendedprice) AS value
         FROM lineitem GROUP BY 1, 2, 3""",

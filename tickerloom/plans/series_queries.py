@@ -64,10 +64,10 @@ _ROLL = ", ".join(
 
 @query("moving_averages", "W1 F4", with_views(f"SELECT date, symbol, {_ROLL} FROM quotes"))
 def moving_averages(spark, sf):
-    w = W.series("symbol", "date")
-    q = V.quotes(spark, sf)
-    cols = [R(W.rolling_mean(c, w, n), 4).alias(f"{p}{n}") for p, c in (("ma", "close"), ("vma", "volume")) for n in derive.MA_LENGTHS]
-    return q.select("date", "symbol", *cols)
+    q = V.quotes(spark, sf).select("date", "symbol", "close", "volume")
+    lengths = derive.MA_LENGTHS
+    df = W.with_rolling_means(q, "symbol", "date", {"close": lengths, "volume": lengths}, {"close": "ma", "volume": "vma"})
+    return _round_all(df.drop("close", "volume"), 4)
 
 
 @query("stochastic_rsv", "W2", with_views("""
@@ -108,8 +108,7 @@ _JOINED = "joined AS (SELECT q.date, q.symbol, q.high, q.low, q.close, q.volume,
     "SELECT date, symbol, foreign_streak_days, trust_streak_days, dealer_streak_days FROM t_foreign JOIN t_trust USING (date, symbol) JOIN t_dealer USING (date, symbol)"))
 def net_buy_streaks(spark, sf):
     df = V.quotes(spark, sf).select("date", "symbol").join(V.flows(spark, sf).drop("market"), ["date", "symbol"], "left")
-    for c in ("foreign", "trust", "dealer"):
-        df = W.with_streak(df, "symbol", "date", f"{c}_net", f"{c}_streak_days")
+    df = W.with_streaks(df, "symbol", "date", {f"{c}_net": f"{c}_streak_days" for c in ("foreign", "trust", "dealer")})
     return df.drop("foreign_net", "trust_net", "dealer_net")
 
 
@@ -239,13 +238,13 @@ def price_report_asof(spark, sf):
 
 def _pe_ratio(spark, sf):
     """Official PE per line: several rows share a key, the order of lines decides."""
-    li = V._keyed(V.table(spark, sf, "lineitem").where("l_linenumber <= 4"))
+    li = V._keyed(V.table(spark, sf, "lineitem"))
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     return li.select("date", "symbol", F.round("l_quantity", 2).alias("pe_ratio"), order.alias("row_order"))
 
 
 _PE = """pe AS (SELECT date, symbol, arg_max(round(l_quantity, 2), (l_orderkey, l_linenumber, l_partkey, l_extendedprice)) AS pe_official
- FROM (SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, printf('%04d', l_suppkey) AS symbol, * FROM lineitem WHERE l_linenumber <= 4) GROUP BY 1, 2)"""
+ FROM (SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, printf('%04d', l_suppkey) AS symbol, * FROM lineitem) GROUP BY 1, 2)"""
 _VAL = f"""{_ASOF}, {_PE}, val AS (
  SELECT q.date, q.symbol, q.close, k.ttm, k.nav_per_share, CASE WHEN k.ttm > 0 THEN rnd(q.close / k.ttm, 2) END AS pe
  FROM quotes q ASOF JOIN known k ON q.symbol = k.symbol AND q.date >= k.publish_date),

@@ -57,7 +57,7 @@ def update_column(stored: DataFrame, fresh: DataFrame, keys: Sequence[str], colu
         F.max(column).alias("_new"), F.min(column).alias("_low")
     )
     guarded = F.when(F.col("_new").eqNullSafe(F.col("_low")), F.col("_new")).otherwise(
-        F.raise_error(F.lit(f"divergent values of {column} for one key")).cast("double")
+        F.raise_error(F.lit(f"divergent values of {column} for one key")).cast(fresh.schema[column].dataType)
     )
     one = one.select(*keys, guarded.alias("_new"))
     joined = stored.join(one, list(keys), "left")
