@@ -1,5 +1,4 @@
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from tickerloom.functions import clean as C
 from tickerloom.functions import numbers as N

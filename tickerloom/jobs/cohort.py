@@ -153,8 +153,9 @@ def eps_dataset(
     """Training and evaluation rows of the EPS model for every cohort.
 
     A symbol needs income, balance and cash rows of the anchor quarter. Labels
-    published after `label_cutoff` are NULL; `labeled` and `live` mark what may
-    train and what may be predicted.
+    whose quarter is public only after `label_cutoff` (default: the newest
+    cohort's cutoff) are NULL, so a rerun of an old run sees what that run saw.
+    `labeled` and `live` mark what may train and what may be predicted.
     """
     anchor = _anchored(quarterly, calendar, "anchor_q", {
         "market": "market", "revenue_q": "anchor_rev", "net_income_q": "anchor_ni", "non_op_income_q": "non_op_income_q",
@@ -175,9 +176,9 @@ def eps_dataset(
         .join(info.select("symbol", "industry"), "symbol", "left")
         .join(calendar.select("playbook_date", "anchor_q", "target_q"), "playbook_date")
     )
-    if label_cutoff:
-        public = P.statutory_publish_date("target_q") <= label_cutoff
-        df = df.withColumn("target_eps", F.when(public, F.col("target_eps")))
+    known_until = F.lit(label_cutoff) if label_cutoff else calendar.agg(F.max("cutoff_date")).scalar()
+    public = P.statutory_publish_date("target_q") <= known_until
+    df = df.withColumn("target_eps", F.when(public, F.col("target_eps")))
     df = _growth_features(df).withColumn("industry", F.coalesce(F.col("industry").cast("string"), F.lit("unknown")))
     df = df.where(F.coalesce(pseudo_ttm() >= min_ttm, F.lit(False)))
     df = with_industry_quantiles(stage(df), MONTH_COLUMNS, ["playbook_date", "industry"])

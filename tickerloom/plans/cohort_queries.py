@@ -158,13 +158,16 @@ def _eps_dataset(spark, sf):
 _EPS_OUT = ["anchor_margin", "margin_momentum", "anchor_ocf_ratio", "anchor_re_ratio", "anchor_non_op_ratio", "anchor_roe", "anchor_debt_ratio", "ly_seasonality", "anchor_yoy_eps", "delta_eps", *_XB]
 
 
+_PUBLIC = "(CASE substr(target_q, 6, 1) WHEN '1' THEN substr(target_q, 1, 4) || '-05-15' WHEN '2' THEN substr(target_q, 1, 4) || '-08-14' WHEN '3' THEN substr(target_q, 1, 4) || '-11-14' ELSE (CAST(substr(target_q, 1, 4) AS INT) + 1) || '-03-31' END) <= (SELECT max(cutoff_date) FROM cohort_calendar)"
+
+
 @query("eps_dataset", "C6 J9 J10 J11 J15 F3 F5 F6 P12 P13 P14 P18 W13 W14", with_views(_EPSDATA + f"""
 SELECT playbook_date, symbol, market, industry, anchor_q, target_q, rnd(anchor_margin, 6) AS anchor_margin, rnd(anchor_margin - pre_anchor_margin, 6) AS margin_momentum,
  rnd({_clip(_div('ocf', 'anchor_ni'), -5, 5)}, 6) AS anchor_ocf_ratio, rnd({_div('re', 'capital')}, 6) AS anchor_re_ratio, rnd(non_op_income_q / nullif(pretax_income_q, 0), 6) AS anchor_non_op_ratio,
  rnd(anchor_ni / nullif(te, 0), 6) AS anchor_roe, rnd(tl / nullif(ta, 0), 6) AS anchor_debt_ratio, rnd({_clip(_div('ly_target_eps', 'ly_anchor_eps'), -5, 5)}, 6) AS ly_seasonality,
- rnd({_clip(_div('anchor_eps', 'ly_anchor_eps') + ' - 1', -5, 5)}, 6) AS anchor_yoy_eps, rnd(target_eps - anchor_eps, 6) AS delta_eps, {', '.join(f'rnd({c}, 6) AS {c}' for c in _XB)},
- {', '.join(f'{c}_quantile' for c in _QCOLS)}, target_eps IS NOT NULL AND anchor_eps IS NOT NULL AS labeled,
- (target_eps IS NOT NULL AND anchor_eps IS NOT NULL) OR playbook_date = (SELECT max(playbook_date) FROM cohort_calendar) AS live FROM dec"""))
+ rnd({_clip(_div('anchor_eps', 'ly_anchor_eps') + ' - 1', -5, 5)}, 6) AS anchor_yoy_eps, rnd(CASE WHEN {_PUBLIC} THEN target_eps END - anchor_eps, 6) AS delta_eps, {', '.join(f'rnd({c}, 6) AS {c}' for c in _XB)},
+ {', '.join(f'{c}_quantile' for c in _QCOLS)}, (target_eps IS NOT NULL AND anchor_eps IS NOT NULL AND {_PUBLIC}) AS labeled,
+ (target_eps IS NOT NULL AND anchor_eps IS NOT NULL AND {_PUBLIC}) OR playbook_date = (SELECT max(playbook_date) FROM cohort_calendar) AS live FROM dec"""))
 def eps_dataset(spark, sf):
     df = _eps_dataset(spark, sf)
     keep = ["playbook_date", "symbol", "market", "industry", "anchor_q", "target_q", *_EPS_OUT, *[f"{c}_quantile" for c in _QCOLS], "labeled", "live"]
