@@ -84,7 +84,7 @@ def _with_opens(df: DataFrame, quotes: DataFrame, within: int, entry: str, exit_
 
 
 def rotation_trades(
-    scores: DataFrame, quotes: DataFrame, top_ns: Sequence[int], amount: float = POSITION_AMOUNT
+    scores: DataFrame, quotes: DataFrame, top_ns: Sequence[int], amount: float = POSITION_AMOUNT, calendar: DataFrame | None = None
 ) -> DataFrame:
     """All trades of a monthly full rotation, for every N of a sweep in one job.
 
@@ -123,9 +123,12 @@ def rotation_trades(
     )
 
 
-def rotation_months(scores: DataFrame, quotes: DataFrame, trades: DataFrame, top_ns: Sequence[int], indices: DataFrame | None = None) -> DataFrame:
+def rotation_months(
+    scores: DataFrame, quotes: DataFrame, trades: DataFrame, top_ns: Sequence[int], indices: DataFrame | None = None,
+    calendar: DataFrame | None = None,
+) -> DataFrame:
     """One row per cohort and N: exits of the cohort before, entries, realized P&L, capital."""
-    calendar = asof.trading_days(quotes)
+    calendar = asof.trading_days(quotes) if calendar is None else calendar
     cohorts = scores.groupBy("playbook_date").agg(
         F.min("entry_date").alias("entry_date"), F.count(F.lit(1)).alias("_size")
     )
@@ -296,14 +299,15 @@ def gate_scenarios(
 
 
 # ---- forward returns --------------------------------------------------
-def forward_returns(cohort: DataFrame, quotes: DataFrame) -> DataFrame:
+def forward_returns(cohort: DataFrame, quotes: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """Entry to exit return per candidate: exit is the trading day before the next cohort's entry.
 
     Opens must be positive, found within a week. Cohorts without a successor drop out.
     """
     days = cohort.groupBy("playbook_date").agg(F.min("entry_date").alias("entry_date"))
     w = Window.partitionBy(F.lit(0)).orderBy("playbook_date")
-    close = asof.previous_trading_day(days, asof.trading_days(quotes), "entry_date", "_close")
+    calendar = asof.trading_days(quotes) if calendar is None else calendar
+    close = asof.previous_trading_day(days, calendar, "entry_date", "_close")
     span = close.withColumn("exit_date", F.lead("_close").over(w)).where("exit_date IS NOT NULL").select("playbook_date", "exit_date")
     df = _with_opens(cohort.join(span, "playbook_date"), quotes.where("open > 0"), 7, "_in", "_out")
     ret = (F.col("_out") - F.col("_in")) / F.col("_in") * 100

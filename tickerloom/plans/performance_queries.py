@@ -61,7 +61,7 @@ _REGIME = """ix AS (SELECT date, avg(index_close) AS c FROM index_daily GROUP BY
 
 def _trades(spark, sf, tops):
     scores, quotes = V.scores(spark, sf), V.quotes(spark, sf)
-    return scores, quotes, stage(perf.rotation_trades(scores, quotes, tops))
+    return scores, quotes, stage(perf.rotation_trades(scores, quotes, tops, calendar=V.calendar(spark, sf)))
 
 
 # ---- lookups ----------------------------------------------------------
@@ -182,7 +182,7 @@ WITH {_rotation((10,))}, {_MONTHS.format(tops=10)}, {_REGIME}
 SELECT m.*, coalesce(r.regime, 'Sideways') AS regime FROM months m ASOF LEFT JOIN reg r ON m.entry_date >= r.date"""))
 def rotation_months(spark, sf):
     scores, quotes, trades = _trades(spark, sf, (10,))
-    return perf.rotation_months(scores, quotes, trades, (10,), V.index_daily(spark, sf))
+    return perf.rotation_months(scores, quotes, trades, (10,), V.index_daily(spark, sf), V.calendar(spark, sf))
 
 
 _STATS = """stats AS (SELECT top_n, sum((exit_reason = 'monthly_rotation')::INT) AS total_closed_trades, sum((exit_reason = 'monthly_rotation' AND net_pnl > 0)::INT) AS win_count,
@@ -213,7 +213,7 @@ SELECT top_n, n AS cohort_count, rnd(m * 100, 4) AS mean_monthly_return_pct, rnd
  rnd(m / sd * sqrt(n / years), 4) AS monthly_sharpe_annualized FROM a CROSS JOIN y"""))
 def monthly_performance(spark, sf):
     scores, quotes, trades = _trades(spark, sf, (10, 20))
-    months = perf.rotation_months(scores, quotes, trades, (10, 20))
+    months = perf.rotation_months(scores, quotes, trades, (10, 20), calendar=V.calendar(spark, sf))
     return perf.monthly_stats(months, "1995-01-11", "2001-11-16")
 
 
@@ -225,7 +225,7 @@ WITH {_rotation(TOPS)}, {_MONTHS.format(tops=', '.join(map(str, TOPS)))}, {_STAT
 SELECT s.*, total_closed_trades AS trades, rnd(win_count / total_closed_trades, 4) AS win_rate, total_net_pnl AS closed_pnl, still_open_count AS still_open FROM s JOIN stats USING (top_n)"""))
 def top_n_sweep(spark, sf):
     scores, quotes, trades = _trades(spark, sf, TOPS)
-    months = perf.rotation_months(scores, quotes, trades, TOPS)
+    months = perf.rotation_months(scores, quotes, trades, TOPS, calendar=V.calendar(spark, sf))
     return perf.top_n_sweep(months, trades)
 
 
@@ -258,7 +258,7 @@ _LONG = "long AS (SELECT playbook_date, feature, x, y FROM (UNPIVOT (SELECT play
 
 
 def _panel(spark, sf):
-    return stage(perf.forward_returns(V.scores(spark, sf), V.quotes(spark, sf)))
+    return stage(perf.forward_returns(V.scores(spark, sf), V.quotes(spark, sf), V.calendar(spark, sf)))
 
 
 @query("forward_return_panel", "C10 J18 J6", with_views(f"WITH {_PANEL} SELECT playbook_date, symbol, entry_date, exit_date, entry_open, exit_open, fwd_return_pct, ml_rank FROM panel"))
@@ -344,7 +344,7 @@ _DIAG = f"""WITH {_rotation((10,))}, {_MONTHS.format(tops=10)}, {_REGIME},
 
 def _diag(spark, sf):
     scores, quotes, trades = _trades(spark, sf, (10,))
-    months = perf.rotation_months(scores, quotes, trades, (10,), V.index_daily(spark, sf))
+    months = perf.rotation_months(scores, quotes, trades, (10,), V.index_daily(spark, sf), V.calendar(spark, sf))
     index = perf.market_mean(V.index_daily(spark, sf), "IDX0")
     return perf.regime_panel(months, index, perf.score_distribution(scores), 10)
 
