@@ -36,7 +36,8 @@ def test_quotes_aggregate_by_hash_with_a_partial_step(spark, sf):
 
 def test_streak_windows_share_one_sort(spark, sf):
     text = plan(QUERIES["net_buy_streaks"](spark, sf))
-    assert text.count("Window [") >= 3 and text.count("Sort [symbol#") == 1
+    assert text.count("Window [") == 2 and text.count("Sort [symbol#") == 1
+    assert text.count("Exchange hashpartitioning(symbol#") == 1
 
 
 def test_registry_is_consistent():
