@@ -4,8 +4,7 @@ A text is the set of its hashed terms: lower-cased words and the first 4 and 5 l
 words (so that inflected forms share a term). The machine scores a text by a bias, a weight per
 term and a low-rank weight per pair of terms, so that a pair (an insult next to a group's name)
 can weigh more than its parts. It is trained in numpy on the driver on a bounded sample of
-labelled rows (`positives`, `negatives`: documented parameters, at most some 12,000 term sets of
-4 bytes a term); the terms that enter it are those whose counts in the sample differ most between
+labelled rows (`positives`, `negatives`: documented parameters, 7,500 term sets of 4 bytes a term); the terms that enter it are those whose counts in the sample differ most between
 the classes, so the model has a fixed size and neutral words of a long text add nothing.
 Scoring is one pass over whole texts without a shuffle.
 
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 from tickerloom.llm.common import store, text_or_empty
 
 WORD = re.compile(r"[^\W_]+")
-BITS = 22
+BITS = 20
 PREFIXES = (4, 5)
 
 
@@ -67,8 +66,8 @@ class FactorizationMachine:
             z += 0.5 * (np.bincount(rows, v, len(sets)) ** 2 - np.bincount(rows, v * v, len(sets)))
         return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
-    def positions(self, found: set[int]) -> np.ndarray:
-        x = np.fromiter(found, np.int64, len(found))
+    def positions(self, found: set[int] | np.ndarray) -> np.ndarray:
+        x = found if isinstance(found, np.ndarray) else np.fromiter(found, np.int64, len(found))
         at = np.minimum(np.searchsorted(self.ids, x), max(len(self.ids) - 1, 0))
         return np.sort(at[self.ids[at] == x]) if len(self.ids) else np.zeros(0, np.int64)
 
@@ -76,8 +75,9 @@ class FactorizationMachine:
 def select_terms(sets: list[np.ndarray], y: np.ndarray, most: int, least: int = 3) -> np.ndarray:
     """The `most` terms whose document counts differ most between the classes (log-likelihood ratio)."""
     n1, n0 = float(y.sum()), float(len(y) - y.sum())
-    in_pos = np.bincount(np.concatenate([s for s, t in zip(sets, y) if t] or [np.zeros(0, np.int64)]), minlength=1 << BITS)
-    in_neg = np.bincount(np.concatenate([s for s, t in zip(sets, y) if not t] or [np.zeros(0, np.int64)]), minlength=1 << BITS)
+    in_pos, in_neg = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS, np.int32)
+    for found, positive in zip(sets, y):
+        (in_pos if positive else in_neg)[found] += 1
     seen = np.flatnonzero(in_pos + in_neg >= least)
     a, b = in_pos[seen].astype(float), in_neg[seen].astype(float)
     share = (a + b) / (n1 + n0)
@@ -99,7 +99,7 @@ def train(
     rng = np.random.default_rng(seed)
     ids = select_terms(sets, y, most)
     model = FactorizationMachine(ids, prior, np.zeros(len(ids)), rng.normal(0, 0.01, (len(ids), rank)))
-    at = [model.positions(set(s.tolist())) for s in sets]
+    at = [model.positions(s) for s in sets]
     g_w, g_v, g_b = np.full(len(ids), 1e-2), np.full((len(ids), rank), 1e-2), 1e-2
     for _ in range(epochs):
         order = rng.permutation(len(y))
@@ -134,7 +134,7 @@ def calibrated(sets: list[np.ndarray], y: np.ndarray, cut: float = 0.7, most_shi
     held = np.arange(len(y)) % 5 == 0
     if min(y[held].sum(), (1 - y[held]).sum()) >= 40:
         part = train([s for s, h in zip(sets, held) if not h], y[~held])
-        p = part.score([part.positions(set(s.tolist())) for s, h in zip(sets, held) if h])
+        p = part.score([part.positions(s) for s, h in zip(sets, held) if h])
         z = np.log(p / (1 - p))
         high, low = np.quantile(z[y[held] == 0], 0.999), np.quantile(z[y[held] == 1], 0.01)
         if low > high:
@@ -143,7 +143,7 @@ def calibrated(sets: list[np.ndarray], y: np.ndarray, cut: float = 0.7, most_shi
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int = 4000, negatives: int = 8000,
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int = 2500, negatives: int = 5000,
 ) -> FactorizationMachine:
     """Train on at most `positives` + `negatives` labelled documents, taken in the order of a hash of their ids.
 
@@ -166,8 +166,9 @@ def fit(
             found = [np.fromiter(s, np.int32, len(s)) for s in (terms(t, cache) for t in batch["text"])]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "terms": found})
 
-    sample = chosen.mapInPandas(as_terms, "doc_id long, y int, terms array<int>").toPandas().sort_values("doc_id")
-    return calibrated([np.asarray(s, np.int64) for s in sample["terms"]], sample["y"].to_numpy(float))
+    sample = chosen.mapInPandas(as_terms, "doc_id long, y int, terms array<int>").toArrow().sort_by("doc_id").combine_chunks()
+    flat, ends = sample["terms"].combine_chunks().flatten().to_numpy(), np.cumsum([0, *(sample["terms"].combine_chunks().value_lengths().to_pylist())])
+    return calibrated([flat[a:b] for a, b in zip(ends[:-1], ends[1:])], sample["y"].to_numpy().astype(float))
 
 
 def score(docs: DataFrame, model: FactorizationMachine, threshold: float = 0.7, column: str = "score") -> DataFrame:
