@@ -107,6 +107,7 @@ class Rolling:
 
     def runs(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Fingerprints of the runs [start, end)."""
+        self._grow(len(prefix))
         return mix((prefix[end] - prefix[start]) * self.inverses[start])
 
     def windows(self, prefix: np.ndarray, width: int) -> np.ndarray:
@@ -114,6 +115,7 @@ class Rolling:
         n = len(prefix) - width
         if n <= 0:
             return np.zeros(0, np.uint64)
+        self._grow(len(prefix))
         return mix((prefix[width:] - prefix[:n]) * self.inverses[:n])
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import ngram_join, toxicity
+from tickerloom.llm import ngram_join, suffix_dedup, toxicity
 from tickerloom.llm.common import id_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = ngram_join.near_duplicates(docs, k=4, percent=85)
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_digest(table(spark, sf_dir, "documents").select("doc_id", "text"), width=400)
