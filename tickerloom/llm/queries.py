@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import ngram_join, suffix_dedup, toxicity
+from tickerloom.llm import mixing, ngram_join, packing, quality, sharding, suffix_dedup, toxicity
 from tickerloom.llm.common import id_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,41 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_suffix_dedup")
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_digest(table(spark, sf_dir, "documents").select("doc_id", "text"), width=400)
+
+
+@query("op2_mixing")
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all documents; the labelled table gives the languages of its documents as domains."""
+    docs = table(spark, sf_dir, "documents")
+    rated, domains, _ = mixing.mix_members(
+        docs.select("doc_id", "text"), language_domains(docs, table(spark, sf_dir, "labels")), keep=["doc_id"]
+    )
+    return rated.select(
+        "doc_id", "n_tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(domains)], "rate", "copies"
+    )
+
+
+def language_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain): the language of the documents that the label table covers."""
+    return docs.select("doc_id", F.col("lang").alias("domain")).join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+@query("op3_sharding")
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judged(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *[m for m, _, _ in quality.MEASURES]
+    )
