@@ -29,7 +29,7 @@ ROLL = Rolling(5)
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 # measure, least spread, fences that apply
-MEASURES = (("word_length", 0.5, "both"), ("symbol_ratio", 0.02, "upper"), ("line_ratio", 0.05, "upper"), ("repeat_ratio", 0.05, "upper"))
+MEASURES = (("word_length", 0.5, "both"), ("symbol_ratio", 0.02, "upper"), ("line_ratio", 0.1, "upper"), ("repeat_ratio", 0.1, "upper"))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 

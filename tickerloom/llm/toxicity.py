@@ -171,7 +171,7 @@ def fit(
     return calibrated([flat[a:b] for a, b in zip(ends[:-1], ends[1:])], sample["y"].to_numpy().astype(float))
 
 
-def score(docs: DataFrame, model: FactorizationMachine, threshold: float = 0.7, column: str = "score") -> DataFrame:
+def score(docs: DataFrame, model: FactorizationMachine, column: str = "score") -> DataFrame:
     """Every row of `docs` with `column` (double, 0 to 1): one map over whole texts, no shuffle.
 
     Columns of the input keep their names; `column` must not be one of them.
