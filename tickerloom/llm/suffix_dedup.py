@@ -238,17 +238,18 @@ def text_id() -> Column:
 
 
 def removals(docs: DataFrame, width: int = 400, with_text: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(rows of texts that lose bytes, by tid; tids of texts that occur more than once)."""
+    """(rows of texts that lose bytes, by tid; tids of texts of `width` bytes or more that occur more than once)."""
     texts = docs.select(text_id().alias("tid"), text_or_empty().alias("text"))
     sparse = store(sparse_samples(texts.where(F.octet_length("text") >= width), width))
     grams = sparse.select("tid", F.explode(F.arrays_zip("at", "gram")).alias("s")).select("tid", "s.at", "s.gram")
     place = F.xxhash64("tid", "at")
     twice = store(grams.groupBy("gram").agg(F.min(place).alias("p"), F.max(place).alias("q")).where("p <> q").select("gram"))
     known = store(grams.join(twice, "gram").groupBy("tid").agg(F.collect_set("at").alias("known")))
-    # Broadcast only below a counted number of samples; each text with some is read once more.
-    size = known.agg(F.sum(F.size("known"))).first()[0] or 0
-    chosen = F.broadcast(known) if size <= 2_000_000 else known
-    once = texts.join(chosen, "tid").groupBy("tid").agg(F.first("text").alias("text"), F.first("known").alias("known"))
+    # Texts with a repeated sample are picked before any of them is shuffled, as long as their counted ids are few.
+    once = (
+        texts.join(small_side(known.select("tid")), "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text"))
+        .join(known, "tid")
+    )
     blocks = store(cover_blocks(once, width))
 
     made = blocks.select(
@@ -270,7 +271,7 @@ def removals(docs: DataFrame, width: int = 400, with_text: bool = False) -> tupl
         .where("size(`from`) > 0 or size(tied) > 0").join(blocks.select("tid", "text"), "tid")
     )
     gone = store(cut_out(found, width, with_text))
-    copies = store(texts.groupBy("tid").agg(F.count("*").alias("copies")).where("copies > 1").select("tid"))
+    copies = store(texts.where(F.octet_length("text") >= width).groupBy("tid").agg(F.count("*").alias("n")).where("n > 1").select("tid"))
     return gone, copies
 
 
@@ -278,7 +279,7 @@ def dedup_digest(docs: DataFrame, width: int = 400) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: a row for every row of `docs`."""
     gone, copies = removals(docs, width)
     base = docs.select("doc_id", text_id().alias("tid"), F.octet_length(text_or_empty()).cast("long").alias("n_bytes"), F.sha2(text_or_empty(), 256).alias("sha"))
-    whole = F.col("copied").isNotNull() & (F.col("n_bytes") >= width)
+    whole = F.col("copied").isNotNull()
     return (
         base.join(gone.drop("kept"), "tid", "left").join(copies.withColumn("copied", F.lit(1)), "tid", "left")
         .select(
@@ -293,9 +294,8 @@ def dedup_digest(docs: DataFrame, width: int = 400) -> DataFrame:
 def dedup_texts(docs: DataFrame, width: int = 400) -> DataFrame:
     """`docs` with repeated strings cut out of `text` (and n_chars set anew, if there); a text with nothing left goes."""
     gone, copies = removals(docs, width, with_text=True)
-    long = F.octet_length(text_or_empty()) >= width
-    plain = docs.withColumn("__tid", text_id()).join(small_side(copies.withColumnRenamed("tid", "__tid")), "__tid", "left_anti")
-    plain = plain.unionByName(docs.where(~long).withColumn("__tid", text_id()).join(small_side(copies.withColumnRenamed("tid", "__tid")), "__tid", "left_semi"))
+    twice = small_side(copies.withColumnRenamed("tid", "__tid"))
+    plain = docs.withColumn("__tid", text_id()).join(twice, "__tid", "left_anti")
     changed = small_side(gone.select(F.col("tid").alias("__tid")))
     kept = plain.join(changed, "__tid", "left_anti")
     cut = (
