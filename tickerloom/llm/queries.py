@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import mixing, ngram_join, packing, quality, sharding, suffix_dedup, toxicity
+from tickerloom.llm import ann, html, language, mixing, ngram_join, packing, quality, sharding, suffix_dedup, toxicity
 from tickerloom.llm.common import id_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,24 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *[m for m, _, _ in quality.MEASURES]
     )
+
+
+@query("op10_language")
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit_languages(docs.where(id_bucket("doc_id", 4) != 2))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", (id_bucket("doc_id", 4) == 2).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"),
+        F.col("language.accepted").alias("accepted"),
+    )
+
+
+@query("op8_ann")
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op1_html")
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
