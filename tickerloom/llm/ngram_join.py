@@ -10,9 +10,11 @@ A document is the set of its distinct k-word shingles. Two link when 100 * |A an
    both sides. (band, part, fingerprint of the part) is a tile. Beyond `tiles` parts only the first
    `tiles` are filed: a pair at the threshold then shares none with a chance under
    (1 - 1/e)^(0.9 tiles), 3e-9 for 48; below that the search is exact, empty parts included.
-3. **Star round.** Every member of a tile is held against the tile's smallest node (a minimum with
-   partial aggregation, so a tile with a third of all rows is no hot task). Large groups of near
-   copies become one component here, in a number of pairs linear in the group.
+3. **Star rounds.** Every member of a tile is held against the tile's lead: the member that meets most
+   others over all its tiles, which of a group of near copies is the least changed one (a maximum with
+   partial aggregation, so a tile with a third of all rows is no hot task). Tiles that still hold
+   members of different components get another lead. Large groups of near copies become one
+   component here, in a number of pairs linear in the group.
 4. **Block round.** Tiles that still hold members of different components are cut into blocks of
    about `block` rows, block meets block, and only pairs of different components that the bitmaps
    allow go on: |A and B| <= |A| - bits(A & ~B), and the same for B.
@@ -206,37 +208,50 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def node_links(docs: DataFrame, rows: DataFrame, k: int, percent: int, block: int) -> DataFrame:
+def node_links(docs: DataFrame, rows: DataFrame, k: int, percent: int, block: int, star_rounds: int) -> DataFrame:
     """(node, label) of all nodes that link with another node."""
     filed = rows.select("node", F.explode("tiles").alias("tile"))
     shared = store(
-        filed.groupBy("tile").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last").select("tile", "lead")
+        filed.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("size")).where("lo < hi")
     )
-    members = store(filed.join(shared, "tile").select("tile", "lead", "node").distinct())
+    met = filed.join(shared.select("tile", "size"), "tile").distinct()
+    members = store(met.join(met.groupBy("node").agg(F.sum("size").alias("degree")), "node").select("tile", "node", "degree"))
     sets = sets_of(docs, rows, members.select("node").distinct(), k, percent)
-    stars = members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    linked = store(verified(stars, sets, percent))
-    labels = components(linked)
 
-    marked = (
-        members.join(labels, "node", "left").select("tile", "lead", "node", F.coalesce("label", "node").alias("label"))
-    )
+    linked = labels = led = None
+    for _ in range(star_rounds):
+        marked = members.withColumn("label", F.col("node")) if labels is None else (
+            members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        )
+        mixed = marked.groupBy("tile").agg(F.min("label").alias("p"), F.max("label").alias("q")).where("p <> q").select("tile")
+        live = store(marked.join(mixed, "tile"))
+        free = live if led is None else live.join(led, ["tile", "node"], "left_anti")
+        leads = store(free.groupBy("tile").agg(F.max_by("node", "degree").alias("lead"), F.max_by("label", "degree").alias("lead_label")))
+        star = live.join(leads, "tile").where("label <> lead_label").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
+        found = store(verified(star, sets, percent))
+        led = leads.select("tile", F.col("lead").alias("node")) if led is None else led.union(leads.select("tile", F.col("lead").alias("node")))
+        if found.limit(1).count() == 0 and labels is not None:
+            break
+        linked = found if linked is None else linked.union(found)
+        labels = components(linked)
+
+    marked = members.join(labels, "node", "left").select("tile", "node", F.coalesce("label", "node").alias("label"))
     mixed = (
         marked.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
         .where("lo < hi").select("tile", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    # A tile whose only open pairs are those that the star round has tried (its lead with each other member) has no rest.
+    # What has led its tile was held against all others there.
     laid = (
-        marked.join(mixed, "tile").join(sets.select("node", "n", "bits"), "node").withColumn("own", own)
+        marked.join(mixed, "tile").join(led, ["tile", "node"], "left_anti").join(sets.select("node", "n", "bits"), "node").withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("tile", "lead", "node", "label", "n", "bits", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        .select("tile", "node", "label", "n", "bits", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
-    left = laid.select("tile", "i", "j", *[F.col(c).alias(f"{c}_a") for c in ("node", "label", "n", "bits", "own", "lead")])
-    right = laid.select("tile", "i", "j", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "n", "bits", "own")])
+    columns = ("node", "label", "n", "bits", "own")
+    left, right = (laid.select("tile", "i", "j", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
     pairs = (
         left.join(right, ["tile", "i", "j"])
-        .where("node_a < node_b and label_a <> label_b and lead_a <> node_a and (i = j or own_a <> own_b)")
+        .where("node_a < node_b and label_a <> label_b and (i = j or own_a <> own_b)")
         .where(bitmaps_allow("bits_a", "bits_b", "n_a", "n_b", percent))
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     )
@@ -246,10 +261,10 @@ def node_links(docs: DataFrame, rows: DataFrame, k: int, percent: int, block: in
     return components(linked.union(rest))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, tiles: int = 48, block: int = 256) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, tiles: int = 48, block: int = 256, star_rounds: int = 4) -> DataFrame:
     """doc_id, tkey, n (set size), component (a key; null for an empty set), component_id: one row per row of `docs`."""
     rows = nodes_and_tiles(docs, k, percent, tiles)
-    labels = node_links(docs, rows, k, percent, block)
+    labels = node_links(docs, rows, k, percent, block, star_rounds)
     placed = store(
         rows.select("doc_id", "tkey", "n", "node").join(labels, "node", "left")
         .select("doc_id", "tkey", "n", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("component"))
