@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,15 +19,9 @@ EMPTY_MARKERS = [
 # fixed values: punctuation that table rendering leaves at the edges of account titles
 EDGE_NOISE = "[\\s,.;:，。；：、·‧•]+"
 
-# fixed values: HTML entities that occur in filings
-HTML_ENTITIES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&amp;": "&",
-}
+# named character references, from the standard library's table; a no-break space reads as a blank
+NAMED_REFERENCES = {name: " " if name == "nbsp" else chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
 
 
 def col(c: Column | str) -> Column:
@@ -98,12 +94,30 @@ def clean_account_name(c: Column | str) -> Column:
 
 def strip_tags(c: Column | str) -> Column:
     """Markup removed, entities resolved, blanks folded to one."""
-    text = F.regexp_replace(col(c), "<[^>]+>", "")
-    for entity, char in HTML_ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    text = resolve_references(F.regexp_replace(col(c), "<[^>]+>", ""))
     return F.trim(F.regexp_replace(text, "[\\s　]+", " "))
 
 
+def resolve_references(c: Column | str) -> Column:
+    """Named and numeric character references resolved once each; unknown ones stay as they are."""
+    text = col(c)
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)))
+
+    def character(ref: Column) -> Column:
+        digits = F.when(F.lower(F.substring(ref, 1, 2)) == "#x", F.substring(ref, 3, 8)).otherwise(
+            F.when(ref.startswith("#"), F.conv(F.substring(ref, 2, 8), 10, 16))
+        )
+        scalar = F.conv(digits, 16, 10).cast("bigint")
+        valid = scalar.between(1, 0x10FFFF) & ~scalar.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")).otherwise(map_literal(NAMED_REFERENCES, ref))
+
+    # The ampersand's own references come last, so that what they make is not read again.
+    makes_amp = lambda ref: ref.isin("amp", "#38", "#x26", "#X26")
+    ordered = F.concat(F.filter(found, lambda r: ~makes_amp(r)), F.filter(found, makes_amp))
+    step = lambda acc, ref: F.replace(acc, F.concat(F.lit("&"), ref, F.lit(";")), F.coalesce(character(ref), F.concat(F.lit("&"), ref, F.lit(";"))))
+    return F.when(text.contains("&"), F.aggregate(ordered, text, step)).otherwise(text)
+
+
 def map_literal(mapping: dict[str, str], key: Column | str) -> Column:
     """Lookup in a small constant map, NULL when the key is absent."""
     pairs = [F.lit(x) for item in mapping.items() for x in item]

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickerloom.functions import clean
 from tickerloom.functions import numbers as N
 from tickerloom.functions import periods as P
 from tickerloom.operators import asof, ranks, windows as W
@@ -317,32 +318,41 @@ def technical_features(cohort: DataFrame, indicators: DataFrame) -> DataFrame:
 
 
 def revenue_features(cohort: DataFrame, monthly: DataFrame) -> DataFrame:
-    """Growth of the latest published months per (cohort, symbol).
+    """Growth of the latest months public by the cutoff, per (cohort, symbol).
 
-    Latest month, mean of three (two needed) and acceleration against the third
-    are windows of the revenue series by publish time. A symbol whose latest
-    public month is older than expected gets NULLs.
+    Months are filed out of order, so what is public is a state of the revenue series by publish time:
+    the six latest months among those published so far. A cohort reads the state of its cutoff, so no
+    month filed later enters the mean of three (two needed), the acceleration against the third or the
+    audit time. A symbol whose latest public month is older than expected gets NULLs.
     """
-    published = monthly.where("publish_time IS NOT NULL")
-    w = W.series("symbol", "date")
-    last3 = w.rowsBetween(-2, 0)
-    extra = [c for c in ("cumulative_yoy_pct",) if c in monthly.columns]
-    series = published.select(
-        "symbol", "publish_time", F.col("date").alias("revenue_month"), F.col("yoy_pct").alias("revenue_yoy_1m"),
-        F.col("mom_pct").alias("revenue_mom_1m"), *[F.col(c).alias("revenue_cum_yoy") for c in extra],
-        F.when(F.count("yoy_pct").over(last3) >= 2, F.avg("yoy_pct").over(last3)).alias("revenue_yoy_3m_avg"),
-        (F.col("yoy_pct") - F.lag("yoy_pct", 2).over(w)).alias("revenue_yoy_accel"),
-        F.max("publish_time").over(w.rowsBetween(-5, 0)).alias("rev_max_publish_time"),
+    optional = "cumulative_yoy_pct" if "cumulative_yoy_pct" in monthly.columns else None
+    row = F.struct(
+        F.col("date").alias("month"), clean.finite("yoy_pct").alias("yoy"), clean.finite("mom_pct").alias("mom"),
+        (clean.finite(optional) if optional else F.lit(None).cast("double")).alias("cum"), F.col("publish_time").alias("at"),
     )
-    features = [c for c in series.columns if c.startswith("revenue_") and c != "revenue_month"]
-    df = cohort.withColumn("_cut", F.date_format(F.to_date("cutoff_date"), "yyyyMMdd"))
-    df = asof.asof_backward(
-        df, series, ["symbol"], "_cut", "publish_time", ["revenue_month", "rev_max_publish_time", *features], tie_order=["revenue_month"]
+    so_far = W.series("symbol", "publish_time").rangeBetween(Window.unboundedPreceding, 0)
+    states = (
+        monthly.where("publish_time IS NOT NULL").withColumn("_top", F.collect_list(row).over(so_far))
+        .select("symbol", "publish_time", F.slice(F.sort_array("_top", asc=False), 1, 6).alias("_top"))
+        .dropDuplicates(["symbol", "publish_time"])
     )
+    df = cohort.withColumn("_cut", F.date_format(F.to_date("cutoff_date"), "yyyyMMdd"))
+    df = asof.asof_backward(df, states, ["symbol"], "_cut", "publish_time", ["_top"])
     cut = F.to_date("cutoff_date")
     expected = P.shift_month(P.month_token(F.year(cut), F.month(cut)), -1)
+    first, third = F.get("_top", F.lit(0)), F.get("_top", F.lit(2))
+    known = F.array_compact(F.transform(F.slice("_top", 1, 3), lambda r: r["yoy"]))
+    mean = F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / F.size(known)
+    features = {
+        "revenue_yoy_1m": first["yoy"], "revenue_mom_1m": first["mom"],
+        **({"revenue_cum_yoy": first["cum"]} if optional else {}),
+        "revenue_yoy_3m_avg": F.when(F.size(known) >= 2, mean), "revenue_yoy_accel": first["yoy"] - third["yoy"],
+    }
+    df = df.withColumns({
+        "revenue_month": first["month"], "rev_max_publish_time": F.array_max(F.transform("_top", lambda r: r["at"])),
+    })
     fresh = F.col("revenue_month") >= expected
-    return df.withColumns({c: F.when(fresh, F.col(c)) for c in features}).drop("_cut")
+    return df.withColumns({c: F.when(fresh, v) for c, v in features.items()}).drop("_cut", "_top")
 
 
 def trade_candidates(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,7 +129,7 @@ def cumulative_holding(
     """
     if after:
         flows = flows.where(F.col("date") > after)
-    daily = flows.groupBy(*KEYS).agg(F.sum(_zero(net)).alias("_net"), *_name(flows))
+    daily = _summed(flows, [net], "_name").withColumnRenamed(net, "_net")
     held = f"{prefix}_held_shares"
     total = W.cumulative("_net", W.series(["market", "symbol"], "date"))
     if state is not None:
@@ -143,9 +145,15 @@ def cumulative_holding(
     )
 
 
-def _name(df: DataFrame) -> list[Column]:
-    c = F.max("name") if "name" in df.columns else F.max(F.lit(None).cast("string"))
-    return [c.alias("_name")]
+def _summed(df: DataFrame, sums: Sequence[str], name: str) -> DataFrame:
+    """Sums per (date, market, symbol), with the last of its names.
+
+    Raw rows are added up by hash with the name as a key; only these few rows per
+    key meet the maximum of a string, which sorts.
+    """
+    label = F.col("name") if "name" in df.columns else F.lit(None).cast("string")
+    per_name = df.groupBy(*KEYS, label.alias(name)).agg(*[F.sum(_zero(c)).alias(c) for c in sums])
+    return per_name.groupBy(*KEYS).agg(F.max(name).alias(name), *[F.sum(c).alias(c) for c in sums])
 
 
 # ---- margin and short interest ---------------------------------------
@@ -155,7 +163,7 @@ def margin_pressure(margin: DataFrame) -> DataFrame:
         "margin_long_prev_balance", "margin_long_balance", "margin_long_limit", "margin_short_prev_balance",
         "margin_short_balance", "margin_short_limit", "margin_short_buy", "margin_short_cash_repay",
     ]
-    base = margin.groupBy(*KEYS).agg(F.max("name").alias("name"), *[F.sum(_zero(c)).alias(c) for c in sums])
+    base = _summed(margin, sums, "name")
     c = F.col
     long_use = _pct(c("margin_long_balance"), "margin_long_limit")
     short_use = _pct(c("margin_short_balance"), "margin_short_limit")
@@ -181,7 +189,7 @@ def margin_pressure(margin: DataFrame) -> DataFrame:
 def short_interest(sbl: DataFrame) -> DataFrame:
     """Lending balance changes, sell/repay ratio and the short pressure score."""
     sums = ["sbl_balance", "sbl_prev_balance", "sbl_sell", "sbl_repay", "margin_short_balance", "margin_short_prev_balance"]
-    base = sbl.groupBy(*KEYS).agg(F.max("name").alias("name"), *[F.sum(_zero(c)).alias(c) for c in sums])
+    base = _summed(sbl, sums, "name")
     c = F.col
     lent = c("sbl_balance") - c("sbl_prev_balance")
     short = c("margin_short_balance") - c("margin_short_prev_balance")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickerloom import schemas
 from tickerloom.jobs import quality
 from tickerloom.sinks import load
+from tickerloom.session import stage
 from tickerloom.sources import reports
 
 # the order of a daily run; it stops at the first failed audit
@@ -45,24 +46,28 @@ def convert(category: str, lines: DataFrame) -> DataFrame:
 
 
 def audit(category: str, table: DataFrame) -> DataFrame:
-    """Failed checks of a table as (market, check, detail); empty when it passes."""
+    """Failed checks of a table as (date, market, check, detail), day by day and market by market; empty when it passes."""
+    key = [F.col("date").cast("string").alias("date"), "market"]
     columns, threshold = schemas.AUDITS.get(category, ([], 100))
     found = []
     if columns:
-        nulls = quality.null_shares(table, ["market"], columns, threshold).where("NOT passed")
-        found.append(nulls.select("market", F.lit("null_share").alias("check"), F.col("column_name").alias("detail")))
+        nulls = quality.null_shares(table, ["date", "market"], columns, threshold).where("NOT passed")
+        found.append(nulls.select(*key, F.lit("null_share").alias("check"), F.col("column_name").alias("detail")))
     if category == "daily_quotes":
-        ohlc = quality.ohlc_violations(table, ["market"]).where("violations > 0")
-        found.append(ohlc.select("market", F.lit("ohlc"), F.col("violations").cast("string")))
+        ohlc = quality.ohlc_violations(table, ["date", "market"]).where("violations > 0")
+        found.append(ohlc.select(*key, F.lit("ohlc"), F.col("violations").cast("string")))
     if category == "pe_ratio":
-        bad = quality.rule_counts(table, ["market"], {"n": F.col("pe_ratio") < 0}).where("n > 0")
-        found.append(bad.select("market", F.lit("negative_pe"), F.col("n").cast("string")))
+        bad = quality.rule_counts(table, ["date", "market"], {"n": F.col("pe_ratio") < 0}).where("n > 0")
+        found.append(bad.select(*key, F.lit("negative_pe"), F.col("n").cast("string")))
     if category == "institutional_summary":
-        gone = quality.missing_required(table, ["market"], "institution", ["dealer_self", "investment_trust", "foreign_investors", "total"])
-        found.append(gone.select("market", F.lit("institution"), F.col("missing")))
+        gone = quality.missing_required(table, ["date", "market"], "institution", ["dealer_self", "investment_trust", "foreign_investors", "total"])
+        found.append(gone.select(*key, F.lit("institution"), F.col("missing")))
     if not found:
-        found.append(table.limit(0).select("market", F.lit("").alias("check"), F.lit("").alias("detail")))
-    out = found[0].toDF("market", "check", "detail")
+        found.append(table.limit(0).select(*key, F.lit("").alias("check"), F.lit("").alias("detail")))
+    lost = quality.rule_counts(table, ["date", "market"], {"n": F.col("src_file").isNull() | F.col("src_row").isNull()}).where("n > 0") if "src_row" in table.columns else None
+    if lost is not None:
+        found.append(lost.select(*key, F.lit("lineage"), F.col("n").cast("string")))
+    out = found[0].toDF("date", "market", "check", "detail")
     for f in found[1:]:
         out = out.union(f)
     return out
@@ -71,21 +76,26 @@ def audit(category: str, table: DataFrame) -> DataFrame:
 def convert_daily(spark: SparkSession, raw_root: str, table_root: str, days: Sequence[str], categories: Sequence[str] = tuple(DAILY)) -> None:
     """Convert, audit and store the given days (ISO) of each category; stop on the first failed audit.
 
-    Only the folders of those days are read. A table is written before it is
-    audited as stored, so nothing is computed twice; a rerun replaces the slices.
+    Only the folders of those days are read. The converted rows are staged and audited, and
+    stored only when they pass, so a broken report leaves the stored slices as they were. A day
+    without a folder and a report without a row fail the run as well.
     """
     for category in categories:
         sources = {"market_indices": ["market_indices", "daily_quotes"], "margin_summary": ["margin_trading"]}.get(category, [category])
-        paths = [p for s in sources for p in _day_folders(spark, raw_root, s, days)]
-        if not paths:
-            continue
-        lines = reports.to_lines(_read_all(spark, paths))
-        target = f"{table_root}/{category}"
-        load.write_slices(convert(category, lines), target, schemas.PARTITIONS["daily"])
-        stored = spark.read.parquet(target).where(F.col("date").cast("string").isin(list(days)))
-        failed = audit(category, stored).limit(1).collect()
+        paths = {day: [p for s in sources for p in _day_folders(spark, raw_root, s, [day])] for day in days}
+        missing = [day for day in days if not paths[day]]
+        if missing:
+            raise AuditError(f"{category}: no report of {', '.join(missing)}")
+        lines = reports.to_lines(_read_all(spark, [p for day in days for p in paths[day]]))
+        table = stage(convert(category, lines).where(F.col("date").cast("string").isin(list(days))))
+        there = {r["date"] for r in table.select(F.col("date").cast("string").alias("date")).distinct().collect()}
+        empty = [day for day in days if day not in there]
+        if empty:
+            raise AuditError(f"{category}: empty report of {', '.join(empty)}")
+        failed = audit(category, table).limit(1).collect()
         if failed:
-            raise AuditError(f"{category} {failed[0]['market']}: {failed[0]['check']} {failed[0]['detail']}")
+            raise AuditError(f"{category} {failed[0]['date']} {failed[0]['market']}: {failed[0]['check']} {failed[0]['detail']}")
+        load.write_slices(table, f"{table_root}/{category}", schemas.PARTITIONS["daily"])
 
 
 def _day_folders(spark: SparkSession, root: str, category: str, days: Sequence[str]) -> list[str]:

@@ -7,7 +7,8 @@ imputed value and a missing flag.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from tickerloom.functions import numbers as N
 from tickerloom.jobs import cohort
 from tickerloom.operators import ranks
+from tickerloom.session import stage
 
 MIN_HALF_WIDTH = 1e-6
 
@@ -93,7 +95,9 @@ def regime_scales(
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumn("regime", F.concat_ws("__", F.coalesce(F.col(industry).cast("string"), F.lit("unknown")), uncertainty_bucket(spread, a, b)))
 
-    per = interval_scales(keyed(train), ["regime"], y, mid, low, high, coverage, min_samples)
+    per = stage(interval_scales(keyed(train), ["regime"], y, mid, low, high, coverage, min_samples))
+    if per.limit(1).count() == 0:
+        raise ValueError(f"no regime has {min_samples} training rows")
     everywhere = interval_scales(train, [], y, mid, low, high, coverage, min_samples).select("scale").scalar()
     joined = keyed(test).join(per.select("regime", F.col("scale").alias("_s")), "regime", "left")
     return joined.withColumn("scale", F.coalesce("_s", everywhere, F.lit(1.0))).drop("_s")
@@ -147,21 +151,41 @@ def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], out: s
     return scored.select(*df.columns, F.col("prediction").alias(out))
 
 
+def each_fit(fits: Sequence[Callable[[], DataFrame]], at_once: int = 4) -> DataFrame:
+    """The union of the results of independent fits, a few of which run at a time."""
+    with ThreadPoolExecutor(at_once) as pool:
+        parts = list(pool.map(lambda f: f(), fits))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def walk_forward(
-    df: DataFrame, features: Sequence[str], label: str, fold: str, folds: Sequence, seed: int = 42, **settings: int
+    df: DataFrame, features: Sequence[str], label: str, fold: str, folds: Sequence, seed: int = 42, public: str | None = None,
+    winsor: float | None = None, **settings: int,
 ) -> DataFrame:
-    """Each fold predicted by a model fitted on all earlier folds only, next to the training median."""
-    parts = []
-    for value in folds:
+    """Each fold predicted by a model fitted on all earlier folds only, next to the training median.
+
+    `public` names the day a label became public: a fold trains on labels public before its first
+    cohort (`playbook_date`) only. With `winsor`, features are clipped at that share and its
+    complement of the training rows.
+    """
+    starts = {r[fold]: r["d"] for r in df.where(F.col(fold).isin(list(folds))).groupBy(fold).agg(F.min("playbook_date").alias("d")).collect()} if public else {}
+
+    def one(value) -> DataFrame:
         train = df.where((F.col(fold) < value) & F.col(label).isNotNull())
+        if public:
+            train = train.where(F.col(public) < starts[value])
         test = df.where(F.col(fold) == value)
-        model = fit(train, features, label, seed, **settings)
         median = ranks.exact_percentiles(train.withColumn("_k", F.lit(0)), ["_k"], label, {"m": 0.5}).select("m").scalar()
-        parts.append(predict(model, test, features).withColumn("train_median", median))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        if winsor is not None:
+            bounds = winsor_bounds(train, list(features), winsor)
+            train, test = winsorize(train, bounds, list(features)), winsorize(test, bounds, list(features))
+        model = fit(train, features, label, seed, **settings)
+        return predict(model, test, features).withColumn("train_median", median)
+
+    return each_fit([lambda v=v: one(v) for v in folds])
 
 
 # ---- ranking ensemble -------------------------------------------------
@@ -175,20 +199,27 @@ def rank_labels(panel: DataFrame, ret: str = "fwd_return_pct", bins: int = 5) ->
 
 
 def ensemble_scores(
-    panel: DataFrame, candidates: DataFrame, features: Sequence[str], targets: Sequence[str], seeds: Sequence[int],
+    panel: DataFrame, candidates: DataFrame, features: Sequence[str], targets: Sequence[str | tuple[str, str]], seeds: Sequence[int],
     agg: str = "score", **settings: int,
 ) -> DataFrame:
-    """Candidates of each target cohort scored by a K-seed ensemble fitted on strictly earlier cohorts."""
-    parts = []
-    for target in targets:
-        train = panel.where((F.col("playbook_date") < target) & F.col("label").isNotNull())
-        rows = candidates.where(F.col("playbook_date") == target)
-        for seed in seeds:
-            model = fit(train, features, "label", seed, **settings)
-            parts.append(predict(model, rows, features, "score").select("playbook_date", "symbol", F.lit(seed).alias("model"), "score"))
-    members = parts[0]
-    for p in parts[1:]:
-        members = members.unionByName(p)
+    """Candidates of each target cohort scored by a K-seed ensemble fitted on strictly earlier cohorts.
+
+    Targets that follow one another in a list of `targets` given as (fit date, target) pairs share a model.
+    """
+    pairs = [t if isinstance(t, tuple) else (t, t) for t in targets]
+    served: dict[str, list[str]] = {}
+    for fitted, target in pairs:
+        if fitted > target:
+            raise ValueError(f"cohort {target} would be scored by a later model")
+        served.setdefault(fitted, []).append(target)
+
+    def one(fitted: str, seed: int) -> DataFrame:
+        train = panel.where((F.col("playbook_date") < fitted) & F.col("label").isNotNull())
+        model = fit(train, features, "label", seed, **settings)
+        rows = candidates.where(F.col("playbook_date").isin(served[fitted]))
+        return predict(model, rows, features, "score").select("playbook_date", "symbol", F.lit(seed).alias("model"), "score")
+
+    members = each_fit([lambda f=f, s=s: one(f, s) for f in served for s in seeds])
     combined = cohort.combine_scores(members, agg)
     return combined.withColumn("scored_by_ensemble_seeds", F.lit(",".join(str(s) for s in seeds)))
 

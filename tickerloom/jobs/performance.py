@@ -59,7 +59,8 @@ def cohort_schedule(cohorts: DataFrame, calendar: DataFrame) -> DataFrame:
     """(playbook_date, entry_date) rows with the day positions are closed.
 
     Every processed cohort closes the one before it on the trading day before
-    its own entry; February and March open nothing.
+    its own entry; February and March open nothing. A cohort without such a day
+    fails the job: a calendar that begins too late would leave positions open.
     """
     w = Window.partitionBy(F.lit(0)).orderBy("playbook_date")
     prev = asof.previous_trading_day(cohorts, calendar, "entry_date", "close_date")
@@ -67,6 +68,9 @@ def cohort_schedule(cohorts: DataFrame, calendar: DataFrame) -> DataFrame:
     return (
         prev.withColumn("next_cohort", F.lead("playbook_date").over(w))
         .withColumn("exit_date", F.lead("close_date").over(w))
+        .withColumn("exit_date", F.when(
+            F.col("next_cohort").isNull() | F.col("exit_date").isNotNull(), F.col("exit_date")
+        ).otherwise(F.raise_error(F.concat(F.lit("no trading day before the entry of cohort "), "next_cohort")).cast("string")))
         .withColumn("opens", ~month.isin(*SKIP_MONTHS))
     )
 
@@ -92,7 +96,7 @@ def rotation_trades(
     only, so months are joined, not looped. Opens are the first row within five
     days; a missing entry open opens nothing, a missing exit open books no P&L.
     """
-    calendar = asof.trading_days(quotes)
+    calendar = asof.trading_days(quotes) if calendar is None else calendar
     cohorts = scores.groupBy("playbook_date").agg(F.min("entry_date").alias("entry_date"))
     schedule = cohort_schedule(cohorts, calendar)
     order = [F.desc("ml_score"), F.col("symbol")]

@@ -60,15 +60,21 @@ def _grouped(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str]]
     return df.withColumn("_all", F.lit(0)), ["_all"]
 
 
+def _ranked(df: DataFrame, value: str) -> Column:
+    """Whether a row has a value to rank: neither NULL nor NaN."""
+    there = F.col(value).isNotNull()
+    return there & ~F.isnan(value) if df.schema[value].dataType.typeName() in ("double", "float") else there
+
+
 def value_distribution(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Exact cumulative distribution: (group, value, n, below, total) per distinct value.
 
-    `below` counts rows with a smaller value. NULLs are left out. Rows are
+    `below` counts rows with a smaller value. NULL and NaN are left out. Rows are
     counted per value first, so ties never travel; both branches below read the
     same exchange of those counts.
     """
     df, g = _grouped(df, group)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(_ranked(df, value)).groupBy(*g, value).agg(F.count(F.lit(1)).alias("n"))
     sliced = counts.withColumn("_slice", slice_of(F.col(value)))
     offsets = _offsets(sliced, g, ["_slice"], F.col("n"))
     within = Window.partitionBy(*g, "_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
@@ -82,14 +88,18 @@ def value_distribution(df: DataFrame, group: Sequence[str], value: str) -> DataF
 def with_average_rank(
     df: DataFrame, group: Sequence[str], value: str, out: str, descending: bool = False, pct: bool = False
 ) -> DataFrame:
-    """Rank with ties averaged (1 = smallest, or largest if descending); NULL for NULL."""
+    """Rank with ties averaged (1 = smallest, or largest if descending); NULL for NULL and NaN.
+
+    Rows without a value are spread over the join by a hash instead of meeting in one task.
+    """
     dist = value_distribution(df, group, value)
     first = F.col("total") - F.col("below") - F.col("n") if descending else F.col("below")
     rank = first + (F.col("n") + 1) / 2.0
     if pct:
         rank = rank / F.col("total")
-    dist = dist.select(*group, value, rank.alias(out))
-    return join_on_keys(df, dist, [*group, value])
+    dist = dist.select(*group, value, rank.alias(out), F.lit(0).cast("bigint").alias("_spread"))
+    spread = F.when(_ranked(df, value), F.lit(0)).otherwise(F.xxhash64(*df.columns))
+    return join_on_keys(df.withColumn("_spread", spread), dist, [*group, value, "_spread"]).drop("_spread")
 
 
 def with_ordinal_rank(

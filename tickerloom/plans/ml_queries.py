@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickerloom.functions import numbers as N
+from tickerloom.functions import periods as P
 from tickerloom.jobs import cohort, ml, performance as perf
 from tickerloom.plans import views as V
 from tickerloom.plans.cohort_queries import _EPS, _members
@@ -90,12 +91,18 @@ def ensemble_verdict(spark, sf):
 EPS_FEATURES = ["ly_target_eps", "anchor_eps", "pre_anchor_eps", "ly_anchor_eps"]
 
 
-@query("eps_walk_forward", "C28 A27")
+def _years(df):
+    """The years of a table's cohorts, of which there are a few, without the first (nothing to learn from)."""
+    return sorted(r[0] for r in df.select(F.substring("playbook_date", 1, 4)).distinct().collect())[1:]
+
+
+@query("eps_walk_forward", "C28 A27 A29")
 def eps_walk_forward(spark, sf):
-    """EPS change regressed on earlier years, year by year, against two baselines."""
-    e = cohort.eps_history(V.quarterly(spark, sf), V.playbook(spark, sf))
-    df = stage(e.withColumn("year", F.substring("playbook_date", 1, 4).cast("int")).withColumn("delta_eps", F.col("target_eps") - F.col("anchor_eps")).where("delta_eps IS NOT NULL"))
-    out = stage(ml.walk_forward(df, EPS_FEATURES, "delta_eps", "year", [1999, 2000, 2001], rounds=5, depth=3).withColumn("zero", F.lit(0.0)))
+    """EPS change regressed on earlier years, every year, on labels public by then, against two baselines."""
+    cal = V.playbook(spark, sf)
+    e = cohort.eps_history(V.quarterly(spark, sf), cal).join(cal.select("playbook_date", P.statutory_publish_date("target_q").alias("public")), "playbook_date")
+    df = stage(e.withColumn("year", F.substring("playbook_date", 1, 4)).withColumn("delta_eps", F.col("target_eps") - F.col("anchor_eps")).where("delta_eps IS NOT NULL"))
+    out = stage(ml.walk_forward(df, EPS_FEATURES, "delta_eps", "year", _years(df), public="public", winsor=0.01, rounds=20, depth=4).withColumn("zero", F.lit(0.0)))
     parts = [ml.error_metrics(out, ["year"], "delta_eps", c).withColumn("model", F.lit(n)) for n, c in (("gbt", "prediction"), ("anchor_eps", "zero"), ("train_median", "train_median"))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -104,29 +111,37 @@ def _rank_panel(spark, sf):
     return stage(ml.rank_labels(stage(perf.forward_returns(V.scores(spark, sf), V.quotes(spark, sf)))))
 
 
+def _targets(panel):
+    """(fit date, target) of all cohorts but those of the first year: a model serves the cohorts of its year."""
+    dates = sorted(r[0] for r in panel.select("playbook_date").distinct().collect())
+    first = {d[:4]: d for d in reversed(dates)}
+    return [(first[d[:4]], d) for d in dates if d[:4] != dates[0][:4]]
+
+
 @query("ranking_ensemble", "C29 C11 C12 J19")
 def ranking_ensemble(spark, sf):
-    """Two target cohorts scored by a three-seed ensemble fitted on earlier cohorts."""
+    """All cohorts from the second year on, scored by a three-seed ensemble fitted on the years before."""
     panel = _rank_panel(spark, sf)
-    return ml.ensemble_scores(panel, panel.select("playbook_date", "symbol", *FEATURES), FEATURES, ["2000-05-16", "2001-05-16"], [1, 2, 3], "rank", rounds=3, depth=3)
+    return ml.ensemble_scores(panel, panel.select("playbook_date", "symbol", *FEATURES), FEATURES, _targets(panel), [1, 2, 3], "rank", rounds=5, depth=3)
 
 
 @query("importance_drift", "C30")
 def importance_drift(spark, sf):
     panel = _rank_panel(spark, sf)
-    models = {d: ml.fit(panel.where(F.col("playbook_date") < d), FEATURES, "label", 42, rounds=3, depth=3) for d in ("1998-01-11", "2000-01-11")}
+    models = {d: ml.fit(panel.where((F.col("playbook_date") < d) & F.col("label").isNotNull()), FEATURES, "label", 42, rounds=5, depth=3) for d in dict.fromkeys(f for f, _ in _targets(panel))}
     return ml.importance_drift(ml.importance_table(spark, models, FEATURES), list(models))
 
 
 @query("ensemble_validation", "C31 A33 C29")
 def ensemble_validation(spark, sf):
-    """Disjoint seed groups, each run to a rank correlation with returns, judged on spread and centre."""
-    panel = _rank_panel(spark, sf)
+    """Three disjoint seed groups, each run through the rotation of all cohorts and judged on its monthly Sharpe."""
+    panel, quotes, days = _rank_panel(spark, sf), V.quotes(spark, sf), V.calendar(spark, sf)
     rows = panel.select("playbook_date", "symbol", *FEATURES)
-    parts = []
-    for name, seeds in (("g1", [1, 2]), ("g2", [3, 4])):
-        scored = ml.ensemble_scores(panel, rows, FEATURES, ["2001-05-16"], seeds, rounds=3, depth=3)
-        both = scored.join(panel.select("playbook_date", "symbol", "fwd_return_pct"), ["playbook_date", "symbol"])
-        ic = both.agg(F.corr("ml_score", "fwd_return_pct").alias("ic"))
-        parts.append(ic.withColumn("group", F.lit(name)).withColumn("k", F.lit(len(seeds))))
-    return ml.ensemble_verdict(parts[0].unionByName(parts[1]), ["k"], "ic", 0.0)
+    entries = panel.select("playbook_date", "entry_date").distinct()
+    cells = []
+    for name, seeds in (("g1", [1, 2]), ("g2", [3, 4]), ("g3", [5, 6])):
+        scored = stage(ml.ensemble_scores(panel, rows, FEATURES, _targets(panel), seeds, rounds=5, depth=3).select("playbook_date", "symbol", "ml_score").join(entries, "playbook_date"))
+        trades = stage(perf.rotation_trades(scored, quotes, [25], calendar=days))
+        stats = perf.monthly_stats(perf.rotation_months(scored, quotes, trades, [25], calendar=days), "1996-01-11", "2001-11-16")
+        cells.append(stats.select("monthly_sharpe", F.lit(name).alias("group"), F.lit(len(seeds)).alias("k")))
+    return ml.ensemble_verdict(cells[0].unionByName(cells[1]).unionByName(cells[2]), ["k"], "monthly_sharpe", 0.0)

@@ -21,7 +21,7 @@ VIEWS: dict[str, str] = {
                sum(CASE l_returnflag WHEN 'R' THEN -l_quantity WHEN 'A' THEN l_quantity ELSE 0 END) AS foreign_net,
                sum(CASE l_linestatus WHEN 'O' THEN l_quantity ELSE -l_quantity END) AS trust_net,
                sum(CASE WHEN l_discount > 0.05 THEN l_quantity WHEN l_discount < 0.05 THEN -l_quantity ELSE 0 END) AS dealer_net
-        FROM lineitem WHERE l_tax < 0.07 GROUP BY 1, 2, 3""",
+        FROM lineitem GROUP BY 1, 2, 3""",
     "margin": f"""
         SELECT {DAY} AS date, {MARKET} AS market, {SYMBOL} AS symbol, 'S' || l_suppkey AS name,
                CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS margin_long_prev_balance,
@@ -43,8 +43,8 @@ VIEWS: dict[str, str] = {
         FROM supplier""",
     "foreign_holding": """
         SELECT f.date, f.market, f.symbol, i.name,
-               CASE WHEN f.foreign_net <> 0 THEN i.issued_shares END AS issued_shares
-        FROM flows f JOIN issued i ON f.symbol = i.symbol WHERE f.trust_net > -40""",
+               CASE WHEN f.foreign_net <> 0 AND f.trust_net > -40 THEN i.issued_shares END AS issued_shares
+        FROM flows f JOIN issued i ON f.symbol = i.symbol""",
     "levels": """
         SELECT year(o_orderdate) || '-12-31' AS date, printf('%04d', c_nationkey) AS symbol,
                1 + o_custkey % 15 AS level, count(*) AS holders,
@@ -71,7 +71,9 @@ VIEWS: dict[str, str] = {
         SELECT date, symbol, revenue_current,
                (revenue_current / lag(revenue_current) OVER w - 1) * 100 AS mom_pct,
                (revenue_current / lag(revenue_current, 12) OVER w - 1) * 100 AS yoy_pct,
-               strftime(make_date(CAST(substr(date, 1, 4) AS INT), CAST(substr(date, 6, 2) AS INT), 10) + INTERVAL 1 MONTH, '%Y%m%d') AS publish_time
+               CASE WHEN (CAST(symbol AS INT) + CAST(substr(date, 6, 2) AS INT)) % 6 = 0
+                    THEN strftime(make_date(CAST(substr(date, 1, 4) AS INT), CAST(substr(date, 6, 2) AS INT), 13) + INTERVAL 2 MONTH, '%Y%m%d')
+                    ELSE strftime(make_date(CAST(substr(date, 1, 4) AS INT), CAST(substr(date, 6, 2) AS INT), 10) + INTERVAL 1 MONTH, '%Y%m%d') END AS publish_time
         FROM month_base WINDOW w AS (PARTITION BY symbol ORDER BY date)""",
     "facts": f"""
         SELECT year(l_shipdate) || 'Q' || quarter(l_shipdate) AS date, {SYMBOL} AS symbol,

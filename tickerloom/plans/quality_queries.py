@@ -119,12 +119,12 @@ def presence_grid(spark, sf):
 
 
 @query("coverage_verdict", "A35", with_views("""
-WITH u AS (SELECT DISTINCT symbol FROM quotes), r AS (SELECT symbol, CASE WHEN max(orders_n) >= 13 THEN 'ok' WHEN max(orders_n) >= 11 THEN 'report_not_published' ELSE 'too_small' END AS status FROM reports WHERE date < '1996Q1' GROUP BY 1),
+WITH u AS (SELECT DISTINCT symbol FROM quotes), r AS (SELECT symbol, CASE WHEN max(orders_n) >= 13 THEN 'ok' WHEN max(orders_n) >= 11 THEN 'report_not_published' ELSE 'too_small' END AS status FROM reports GROUP BY 1),
  a AS (SELECT count(*) AS universe, sum((status LIKE 'ok%')::INT) AS saved, sum((status IS NOT NULL AND status NOT LIKE 'ok%')::INT) AS failed, sum((status = 'too_small')::INT) AS hard_failed FROM u LEFT JOIN r ON u.symbol = r.symbol)
 SELECT *, rnd(saved / universe, 6) AS coverage, saved / universe >= 0.8 AS fallback, CASE WHEN saved = 0 AND failed > 0 AND hard_failed = failed THEN 'fail' ELSE 'pass' END AS verdict FROM a"""))
 def coverage_verdict(spark, sf):
     universe = V.quotes(spark, sf).select("symbol").distinct()
-    most = V.reports(spark, sf).where("date < '1996Q1'").groupBy("symbol").agg(F.max("orders_n").alias("m"))
+    most = V.reports(spark, sf).groupBy("symbol").agg(F.max("orders_n").alias("m"))
     status = F.when(F.col("m") >= 13, "ok").when(F.col("m") >= 11, "report_not_published").otherwise("too_small")
     return _round_all(Q.coverage_verdict(universe, most.select("symbol", status.alias("status"))), 6)
 
@@ -176,13 +176,13 @@ def snapshot_freshness(spark, sf):
 
 
 # ---- load contracts ---------------------------------------------------
-_OLD = "old AS (SELECT date, market, symbol, volume FROM quotes WHERE volume > 60 AND date < '2000-01-01')"
+_OLD = "old AS (SELECT date, market, symbol, volume FROM quotes WHERE date < '2000-01-01')"
 _NEW = "new AS (SELECT date, market, symbol, volume * 2 AS volume FROM quotes WHERE date >= '1999-06-01')"
 
 
 def _slices(spark, sf):
     q = V.quotes(spark, sf).select("date", "market", "symbol", "volume")
-    old = q.where("volume > 60 AND date < '2000-01-01'")
+    old = q.where("date < '2000-01-01'")
     new = q.where("date >= '1999-06-01'").withColumn("volume", F.col("volume") * 2)
     return old, new
 
@@ -245,13 +245,13 @@ def stacked_period_types(spark, sf):
 
 
 @query("code_book_merge", "K19", with_views("""
-WITH o AS (SELECT p_brand AS statement, p_type AS code, min(p_name) AS name FROM part WHERE p_size < 20 GROUP BY 1, 2),
- n AS (SELECT statement, code, name FROM (SELECT p_brand AS statement, p_type AS code, p_name AS name, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY p_partkey DESC) AS rn FROM part WHERE p_size > 45) WHERE rn = 1)
+WITH o AS (SELECT p_brand AS statement, p_type AS code, min(p_name) AS name FROM part WHERE p_size <= 25 GROUP BY 1, 2),
+ n AS (SELECT statement, code, name FROM (SELECT p_brand AS statement, p_type AS code, p_name AS name, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY p_partkey DESC) AS rn FROM part WHERE p_size > 25) WHERE rn = 1)
 SELECT coalesce(o.statement, n.statement) AS statement, coalesce(o.code, n.code) AS code, coalesce(n.name, o.name) AS name FROM o FULL JOIN n ON o.statement = n.statement AND o.code = n.code"""))
 def code_book_merge(spark, sf):
     part = V.table(spark, sf, "part").select(F.col("p_brand").alias("statement"), F.col("p_type").alias("code"), F.col("p_name").alias("name"), "p_partkey", "p_size")
-    old = part.where("p_size < 20").groupBy("statement", "code").agg(F.min("name").alias("name"))
-    return load.merge_code_book(old, part.where("p_size > 45"), ["statement", "code"], "name", "p_partkey")
+    old = part.where("p_size <= 25").groupBy("statement", "code").agg(F.min("name").alias("name"))
+    return load.merge_code_book(old, part.where("p_size > 25"), ["statement", "code"], "name", "p_partkey")
 
 
 @query("wide_pairs", "K14 A3", with_views("SELECT date, symbol, string_agg(account_code || '=' || CAST(CAST(round(value_num * 1e5) AS BIGINT) AS VARCHAR), ',' ORDER BY account_code) AS pairs FROM facts GROUP BY 1, 2"))
@@ -267,7 +267,7 @@ def long_pairs(spark, sf):
     return load.long_pairs(load.wide_pairs(facts, ["date", "symbol"], "account_code", "v"), ["date", "symbol"])
 
 
-@query("publish_time_backfill", "K18", with_views("SELECT date, symbol, CASE WHEN revenue_current > 500 THEN '19990101' ELSE publish_time END AS publish_time FROM monthly"))
+@query("publish_time_backfill", "K18", with_views("SELECT date, symbol, CASE WHEN revenue_current > 500 THEN '19990101' ELSE strftime(make_date(CAST(substr(date, 1, 4) AS INT), CAST(substr(date, 6, 2) AS INT), 10) + INTERVAL 1 MONTH, '%Y%m%d') END AS publish_time FROM monthly"))
 def publish_time_backfill(spark, sf):
     known = F.when(F.col("revenue_current") > 500, F.lit("19990101"))
     return load.backfill_publish_time(V.monthly(spark, sf).select("date", "symbol", known.alias("publish_time")))
@@ -294,9 +294,9 @@ def load_row_filters(spark, sf):
 
 @query("keep_last_quote", "F11 U5", with_views("""
 SELECT symbol, date, l_orderkey, l_linenumber, price FROM (SELECT printf('%04d', l_suppkey) AS symbol, strftime(l_shipdate, '%Y-%m-%d') AS date, l_orderkey, l_linenumber, l_extendedprice AS price,
- row_number() OVER (PARTITION BY l_suppkey, l_shipdate ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_extendedprice DESC) AS rn FROM lineitem WHERE l_quantity > 1) WHERE rn = 1"""))
+ row_number() OVER (PARTITION BY l_suppkey, l_shipdate ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_extendedprice DESC) AS rn FROM lineitem) WHERE rn = 1"""))
 def keep_last_quote(spark, sf):
-    li = V._keyed(V.table(spark, sf, "lineitem").where("l_quantity > 1"))
+    li = V._keyed(V.table(spark, sf, "lineitem"))
     order = [F.desc(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")]
     return W.keep_last(li, ["symbol", "date"], order).select("symbol", "date", "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"))
 

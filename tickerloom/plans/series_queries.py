@@ -10,6 +10,7 @@ from tickerloom.operators import asof, windows as W
 from tickerloom.plans import views as V
 from tickerloom.plans.oracle_views import with_views
 from tickerloom.plans.registry import query
+from tickerloom.session import stage
 
 R = N.rnd
 
@@ -244,7 +245,7 @@ def _pe_ratio(spark, sf):
 
 _PE = """pe AS (SELECT date, symbol, arg_max(round(l_quantity, 2), (l_orderkey, l_linenumber, l_partkey, l_extendedprice)) AS pe_official
  FROM (SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, printf('%04d', l_suppkey) AS symbol, * FROM lineitem) GROUP BY 1, 2)"""
-_VAL = f"""{_ASOF}, {_PE}, val AS (
+_VAL = f"""{_ASOF}, {_PE}, val AS MATERIALIZED (
  SELECT q.date, q.symbol, q.close, k.ttm, k.nav_per_share, CASE WHEN k.ttm > 0 THEN rnd(q.close / k.ttm, 2) END AS pe
  FROM quotes q ASOF JOIN known k ON q.symbol = k.symbol AND q.date >= k.publish_date),
  pct AS (SELECT a.symbol, a.date, rnd((sum(CASE WHEN b.pe < a.pe THEN 1 ELSE 0 END) + (sum(CASE WHEN b.pe = a.pe THEN 1 ELSE 0 END) + 1) / 2.0::DOUBLE) / count(*) * 100, 4) AS p
@@ -311,9 +312,7 @@ def pe_percentile_backfill(spark, sf):
     from tickerloom.sinks import load
 
     stored = derive.valuation(V.quotes(spark, sf), V.reports(spark, sf), _pe_ratio(spark, sf))
-    pe = derive._pe("close", "ttm_eps_official").alias("pe")
-    base = stored.select("symbol", "date", pe)
-    fresh = W.with_expanding_percentile(base.where("pe IS NOT NULL"), "symbol", "date", "pe", "rank")
-    fresh = fresh.select("symbol", "date", R(F.col("rank") * 100, 4).alias("pe_percentile"))
-    old = base.select("symbol", "date", F.lit(-1.0).alias("pe_percentile"))
+    stored = stage(stored.select("symbol", "date", "pe_percentile_official"))
+    fresh = stored.where("pe_percentile_official IS NOT NULL").select("symbol", "date", F.col("pe_percentile_official").alias("pe_percentile"))
+    old = stored.select("symbol", "date", F.lit(-1.0).alias("pe_percentile"))
     return load.update_column(old, fresh, ["symbol", "date"], "pe_percentile")

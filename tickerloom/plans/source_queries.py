@@ -300,9 +300,9 @@ def stock_dimension(spark, sf):
 
 
 @query("stock_tags", "S20 U5", with_views("""
-SELECT DISTINCT symbol, tag FROM (SELECT printf('%04d', l_suppkey) AS symbol, l_returnflag AS tag FROM lineitem WHERE l_quantity > 49 UNION ALL SELECT symbol, CAST(industry AS VARCHAR) FROM issued)"""))
+SELECT DISTINCT symbol, tag FROM (SELECT printf('%04d', l_suppkey) AS symbol, l_returnflag AS tag FROM lineitem UNION ALL SELECT symbol, CAST(industry AS VARCHAR) FROM issued)"""))
 def stock_tags(spark, sf):
-    scraped = V.table(spark, sf, "lineitem").where("l_quantity > 49").select(V.symbol_of("l_suppkey").alias("symbol"), F.col("l_returnflag").alias("tag"))
+    scraped = V.table(spark, sf, "lineitem").select(V.symbol_of("l_suppkey").alias("symbol"), F.col("l_returnflag").alias("tag"))
     return T.stock_tags(scraped, V.issued(spark, sf))
 
 

@@ -70,8 +70,8 @@ def quotes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flows(spark: SparkSession, sf: str) -> DataFrame:
-    """Net institutional buying per day; some quote days have no flow row."""
-    li = _keyed(table(spark, sf, "lineitem").where("l_tax < 0.07"))
+    """Net institutional buying per day and symbol."""
+    li = _keyed(table(spark, sf, "lineitem"))
     q = F.col("l_quantity")
     return li.groupBy("date", "market", "symbol").agg(
         F.sum(F.when(F.col("l_returnflag") == "R", -q).when(F.col("l_returnflag") == "A", q).otherwise(0.0)).alias("foreign_net"),
@@ -110,10 +110,10 @@ def issued(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def foreign_holding(spark: SparkSession, sf: str) -> DataFrame:
-    f = flows(spark, sf).where("trust_net > -40")
+    f = flows(spark, sf)
     return f.join(issued(spark, sf), "symbol").select(
         "date", "market", "symbol", "name",
-        F.when(F.col("foreign_net") != 0, F.col("issued_shares")).alias("issued_shares"),
+        F.when((F.col("foreign_net") != 0) & (F.col("trust_net") > -40), F.col("issued_shares")).alias("issued_shares"),
     )
 
 
@@ -147,7 +147,7 @@ def reports(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def monthly(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly revenue with growth rates; publish time is the 10th of the next month."""
+    """Monthly revenue with growth rates, public on the 10th of the next month; every sixth is filed late, after the month that follows."""
     o = table(spark, sf, "orders")
     base = o.groupBy(
         P.month_token(F.year("o_orderdate"), F.month("o_orderdate")).alias("date"),
@@ -155,11 +155,13 @@ def monthly(spark: SparkSession, sf: str) -> DataFrame:
     ).agg((F.sum(cents("o_totalprice")) / 1e5).alias("revenue_current"))
     w = Window.partitionBy("symbol").orderBy("date")
     rev = F.col("revenue_current")
+    late = (F.col("symbol").cast("int") + F.substring("date", 6, 2).cast("int")) % 6 == 0
+    late_day = F.concat(F.substring(P.revenue_publish_day(P.shift_month(F.col("date"), 1)), 1, 6), F.lit("13"))
     return base.select(
         "date", "symbol", "revenue_current",
         ((rev / F.lag(rev).over(w) - 1) * 100).alias("mom_pct"),
         ((rev / F.lag(rev, 12).over(w) - 1) * 100).alias("yoy_pct"),
-        P.revenue_publish_day("date").alias("publish_time"),
+        F.when(late, late_day).otherwise(P.revenue_publish_day("date")).alias("publish_time"),
     )
 
 
