@@ -92,8 +92,8 @@ EPS_FEATURES = ["ly_target_eps", "anchor_eps", "pre_anchor_eps", "ly_anchor_eps"
 
 
 def _years(df):
-    """The years of a table's cohorts, of which there are a few, without the first (nothing to learn from)."""
-    return sorted(r[0] for r in df.select(F.substring("playbook_date", 1, 4)).distinct().collect())[1:]
+    """The years of a table's cohorts, of which there are a few, without the first two (features look back a year, models one more)."""
+    return sorted(r[0] for r in df.select(F.substring("playbook_date", 1, 4)).distinct().collect())[2:]
 
 
 @query("eps_walk_forward", "C28 A27 A29")
