@@ -101,7 +101,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-def train(texts: list[str], names: list[str], size: int = 16, epochs: int = 8, rate: float = 2.0, batch: int = 32, seed: int = 3) -> LanguageModel:
+def train(texts: list[str], names: list[str], size: int = 16, epochs: int = 8, least_steps: int = 1000, rate: float = 2.0, batch: int = 32, seed: int = 3) -> LanguageModel:
     """Stochastic gradient descent on cross-entropy, falling rate; every fifth text is held back for calibration."""
     languages = sorted(set(names))
     found = [subwords(t) for t in texts]
@@ -114,7 +114,9 @@ def train(texts: list[str], names: list[str], size: int = 16, epochs: int = 8, r
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.3, (BUCKETS, size)).astype(np.float64)
     soft, bias = rng.normal(0, 0.3, (size, len(languages))), np.zeros(len(languages))
-    steps, step = epochs * max(1, -(-len(fit) // batch)), 0
+    per_epoch = max(1, -(-len(fit) // batch))
+    epochs = max(epochs, -(-least_steps // per_epoch))
+    steps, step = epochs * per_epoch, 0
     for _ in range(epochs):
         order = rng.permutation(fit)
         for first in range(0, len(order), batch):
@@ -160,7 +162,7 @@ def fit_languages(docs: DataFrame, labelled_rows: int = 4000, sample_letters: in
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """`docs` with language (struct: lang, score, accepted) of every whole text; `language` must not be a column of it."""
+    """`docs` with language (struct: lang, score, accepted) of every whole text; a column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double, accepted boolean")

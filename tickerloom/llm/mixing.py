@@ -13,8 +13,9 @@
    none is lost. Rate 2.3 means two copies, and a third for three documents in ten, chosen by a hash.
 
 Defined results: a null or empty text has no tokens, posteriors of the trained prior and rate as fitted;
-null ids and repeated rows are documents like others; without labelled rows there is one domain ''; an
-empty table gives an empty result. Added columns must not be columns of the input.
+null ids and repeated rows are documents like others; without labelled rows there is one domain '' (with
+labels of one domain only, that one); an empty table gives an empty result. `mix_members` wants no columns
+of its own added names in `keep`; `mixed` takes any.
 """
 
 from __future__ import annotations
@@ -46,11 +47,14 @@ def train_domains(docs: DataFrame, labelled: DataFrame, labelled_rows: int, buck
     known = labelled.where("doc_id is not null and domain is not null").groupBy("doc_id").agg(F.min("domain").alias("domain"))
     picked = store(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows))
     domains = sorted(r[0] for r in picked.select("domain").distinct().collect())
-    if not domains:
-        return None, [""]
+    if len(domains) < 2:  # nothing to tell apart
+        return None, domains or [""]
     coded = picked.select("doc_id", (F.array_position(F.array(*map(F.lit, domains)), F.col("domain")) - 1).cast("double").alias("label"))
     rows = docs.select("doc_id", "text").join(F.broadcast(coded), "doc_id")
     vectors = store(word_vectors(rows, buckets).select("label", "__words"))
+    present = [domains[int(r[0])] for r in vectors.select("label").distinct().collect()]
+    if len(present) < 2:
+        return None, present or [""]
     model = LogisticRegression(featuresCol="__words", labelCol="label", maxIter=25, regParam=1e-3, family="multinomial", maxBlockSizeInMB=8.0)
     return model.fit(vectors), domains
 
@@ -137,6 +141,8 @@ def mix_members(
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, **options) -> DataFrame:
-    """`docs`, every row as often as its copies say."""
-    rated, _, _ = mix_members(docs, labelled, **options)
-    return rated.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """`docs`, every row as often as its copies say. Columns of any name are carried through."""
+    whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("__row"))
+    rated, _, _ = mix_members(whole, labelled, keep=["__row"], **options)
+    copies = rated.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return copies.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])

@@ -292,15 +292,15 @@ def dedup_digest(docs: DataFrame, width: int = 400) -> DataFrame:
 
 
 def dedup_texts(docs: DataFrame, width: int = 400) -> DataFrame:
-    """`docs` with repeated strings cut out of `text` (and n_chars set anew, if there); a text with nothing left goes."""
+    """`docs` with repeated strings cut out of `text` (and n_chars set anew, if there); a text with nothing left goes. Other columns stay."""
     gone, copies = removals(docs, width, with_text=True)
     twice = small_side(copies.withColumnRenamed("tid", "__tid"))
     plain = docs.withColumn("__tid", text_id()).join(twice, "__tid", "left_anti")
     changed = small_side(gone.select(F.col("tid").alias("__tid")))
     kept = plain.join(changed, "__tid", "left_anti")
     cut = (
-        plain.join(changed, "__tid", "left_semi").join(gone.select(F.col("tid").alias("__tid"), "kept"), "__tid")
-        .where("kept <> ''").withColumn("text", F.col("kept"))
+        plain.join(changed, "__tid", "left_semi").join(gone.select(F.col("tid").alias("__tid"), F.col("kept").alias("__kept")), "__tid")
+        .where("__kept <> ''").withColumn("text", F.col("__kept"))
     )
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

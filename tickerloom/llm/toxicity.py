@@ -174,7 +174,7 @@ def fit(
 def score(docs: DataFrame, model: FactorizationMachine, column: str = "score") -> DataFrame:
     """Every row of `docs` with `column` (double, 0 to 1): one map over whole texts, no shuffle.
 
-    Columns of the input keep their names; `column` must not be one of them.
+    Other columns of the input are kept; one that is called `column` is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
