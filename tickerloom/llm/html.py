@@ -11,7 +11,7 @@
 3. **Slots.** A slot of the expression is known by the path of tags (with class, id and role) around it. Slots
    in menus, headers, footers, sidebars, notices, adverts, forms and comments are left out; if the host's
    expression has a main region (article, main or a like class), only slots within it stay, else all others.
-   Blocks that most of a host's different pages repeat word for word are template text, not article.
+   Blocks that four in five of a host's different pages (ten or more) repeat word for word are template text.
 4. **Extraction.** Each page's blocks at the host's content slots, in page order.
 
 Defined results: null or empty html gives an empty text; a page without url (or host) is of host ''; pages
@@ -165,23 +165,29 @@ def _shape(terms: tuple) -> tuple:
 
 def fold(terms: list[Term], longest: int = 12) -> list[Term]:
     """Equal neighbouring groups, shortest first, become one repeated group."""
+    keys = [t[0] if isinstance(t[0], str) else _shape(t[0]) for t in terms]
     for size in range(1, longest + 1):
-        i, out = 0, []
+        if 2 * size > len(terms):
+            break
+        i, out, out_keys = 0, [], []
         while i < len(terms):
-            group = terms[i : i + size]
-            shape = _shape(tuple(group))
             n = 1
-            while len(group) == size and _shape(tuple(terms[i + n * size : i + (n + 1) * size])) == shape:
-                merged = tuple(_join(a, b) for a, b in zip(group, terms[i + n * size : i + (n + 1) * size]))
-                group, n = list(merged), n + 1
-            if n > 1 and shape != ("#",) * size:
+            if keys[i] != "#":
+                while keys[i : i + size] == keys[i + n * size : i + (n + 1) * size]:
+                    n += 1
+            if n > 1:
+                group = terms[i : i + size]
+                for j in range(1, n):
+                    group = [_join(x, y) for x, y in zip(group, terms[i + j * size : i + (j + 1) * size])]
                 inner = group[0] if size == 1 else (tuple(group), "")
                 out.append((inner[0], _loose(inner[1], "+")))
+                out_keys.append(keys[i] if size == 1 else tuple(keys[i : i + size]))
                 i += n * size
             else:
                 out.append(terms[i])
+                out_keys.append(keys[i])
                 i += 1
-        terms = out
+        terms, keys = out, out_keys
     return terms
 
 
@@ -195,18 +201,27 @@ def nested(stream: list[str]) -> list[Term]:
     """A stream as terms: every element with its content is one group, so folding works on whole elements."""
     level: list[list[Term]] = [[]]
     names: list[str] = []
+
+    def close() -> None:
+        inner = level.pop()
+        term = ((("<" + names.pop(), ""), *(inner if len(inner) < 2 else fold(inner))), "")
+        before = level[-1][-1] if level[-1] else None
+        if before and (before[0] == term[0] or not isinstance(before[0], str) and _shape(before[0]) == _shape(term[0])):
+            content = before[0] if before[0] == term[0] else _join(before, term)[0]
+            level[-1][-1] = (content, _loose(before[1], "+"))  # a run of like elements is folded as it grows
+        else:
+            level[-1].append(term)
+
     for token in stream:
         if token == "#":
             level[-1].append(("#", ""))
         elif token.startswith("/"):
-            inner = fold(level.pop())
-            level[-1].append(((("<" + names.pop(), ""), *inner), ""))
+            close()
         else:
             names.append(token)
             level.append([])
     while names:
-        inner = fold(level.pop())
-        level[-1].append(((("<" + names.pop(), ""), *inner), ""))
+        close()
     return fold(level[0])
 
 
@@ -333,7 +348,7 @@ def wrappers(pages: DataFrame, chunk: int = 64) -> DataFrame:
         now = store(salted.groupBy("host", "salt").applyInPandas(merged, "host string, expression string, n long"))
 
 
-def extract(pages: DataFrame, template_share: float = 0.5, least_pages: int = 4) -> DataFrame:
+def extract(pages: DataFrame, template_share: float = 0.8, least_pages: int = 10) -> DataFrame:
     """page_id, url, text, n_chars: the article of every page, whole."""
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("same"))
 
