@@ -34,6 +34,23 @@ def test_quotes_aggregate_by_hash_with_a_partial_step(spark, sf):
     assert "HashAggregate" in text and "partial_" in text and "SortAggregate" not in text
 
 
+@pytest.mark.parametrize("name", ["day_range_scan", "symbol_scan", "technical_window_override"])
+def test_day_ranges_reach_the_scan(spark, sf, name):
+    text = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert any("LessThan(l_shipdate" in line for line in text.split("\n") if "PushedFilters" in line)
+
+
+@pytest.mark.parametrize("name", ["margin_pressure", "short_interest", "trust_holding"])
+def test_raw_rows_are_never_sorted_to_be_summed(spark, sf, name):
+    lines = plan(QUERIES[name](spark, sf)).split("\n")
+    below = [i for i, line in enumerate(lines) if "SortAggregate" in line]
+    assert all(any("HashAggregate" in line for line in lines[i + 1 :]) for i in below)
+    scans = [i for i, line in enumerate(lines) if "FileScan parquet" in line and "l_suppkey" in line]
+    for i in scans:  # the first aggregate above each scan of raw rows
+        first = next(line for line in reversed(lines[:i]) if "Aggregate(" in line)
+        assert "HashAggregate" in first
+
+
 def test_streak_windows_share_one_sort(spark, sf):
     text = plan(QUERIES["net_buy_streaks"](spark, sf))
     assert text.count("Window [") == 2 and text.count("Sort [symbol#") == 1

@@ -6,6 +6,8 @@ Dates are ISO strings, months `YYYYMnn`, quarters `YYYYQn`, publish times
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -227,3 +229,8 @@ def playbook_calendar(span: DataFrame) -> DataFrame:
     )
     inside = days.where(F.col("playbook_date").between(F.col("first"), F.col("last")))
     return with_playbook_columns(inside.select("playbook_date"))
+
+
+def next_iso_day(day: str) -> str:
+    """The ISO day after an ISO day given as plain text."""
+    return (date.fromisoformat(day) + timedelta(days=1)).isoformat()

@@ -24,26 +24,25 @@ def _pct(n: Column, d: str) -> Column:
 
 
 # ---- technical_indicators ---------------------------------------------
-def technical_indicators(
-    quotes: DataFrame, flows: DataFrame, start: str | None = None, end: str | None = None, lookback_days: int | None = None
-) -> DataFrame:
+def technical_indicators(quotes: DataFrame, flows: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Averages, oscillators, bands and net-buying streaks per symbol and day.
 
-    One exchange on symbol serves all windows and the recursive averages. With
-    `start`, only that span is returned; `lookback_days` limits the history read
-    before it (recursive averages and long streaks then start at the cut).
+    With `start` or `end` only that span is returned; it equals the same days of a full run, since
+    recursive averages and streaks see the whole history of a symbol. The recursion runs first, so
+    that few columns cross to Python; one more exchange on symbol serves all windows after it.
     """
-    if start and lookback_days:
-        quotes = quotes.where(F.col("date") >= P.add_days(F.lit(start), -lookback_days))
+    if end:
+        quotes = quotes.where(F.col("date") <= end)
     net = ["foreign_net", "trust_net", "dealer_net"]
     df = quotes.select("date", "symbol", "high", "low", "close", "volume").join(
         flows.select("date", "symbol", *net), ["date", "symbol"], "left"
     )
     w = W.series("symbol", "date")
+    df = df.withColumn("rsv", W.stochastic(df, w)).drop("high", "low")
+    df = W.with_ewm_indicators(df, "symbol", "date")
     df = W.with_rolling_means(df, "symbol", "date", {"close": MA_LENGTHS, "volume": MA_LENGTHS}, {"close": "ma", "volume": "vma"})
-    df = df.withColumn("rsv", W.stochastic(df, w)).withColumn("_sd20", W.rolling_std("close", w, 20))
+    df = df.withColumn("_sd20", W.rolling_std("close", w, 20))
     df = W.with_streaks(df, "symbol", "date", {c: c.replace("_net", "_streak_days") for c in net})
-    df = W.with_ewm_indicators(df.drop("high", "low", "volume", *net), "symbol", "date")
     df = (
         df.withColumn("bb_upper", F.col("ma20") + 2 * F.col("_sd20"))
         .withColumn("bb_middle", F.col("ma20"))
@@ -51,8 +50,6 @@ def technical_indicators(
     )
     if start:
         df = df.where(F.col("date") >= start)
-    if end:
-        df = df.where(F.col("date") <= end)
     return df.select(
         "date", "symbol", *[f"ma{n}" for n in MA_LENGTHS], *[f"vma{n}" for n in MA_LENGTHS],
         *W.EWM_FIELDS, "bb_upper", "bb_middle", "bb_lower",

@@ -122,9 +122,8 @@ def with_ewm_indicators(
     """Recursive averages per series: K, D, RSI 6/12 and MACD.
 
     The recursion has no built-in form, so each series goes to Arrow as one
-    group; with one row per day a group is some thousand rows of three columns.
-    Only the needed columns cross to Python; the caller joins nothing back, all
-    other columns ride along.
+    group; with one row per day a group is some thousand rows. All columns of
+    `df` cross to Python and back, so call it while they are few.
     """
     schema = StructType(df.schema.fields + [StructField(n, DoubleType()) for n in EWM_FIELDS])
 

@@ -141,23 +141,26 @@ def ewm_oscillators(spark, sf):
     return _round_all(W.with_ewm_indicators(q, "symbol", "date").drop("close", "rsv"), 4)
 
 
-@query("technical_indicators", "C1 J1 K9", with_views(
+_TECHNICAL = (
     f"WITH RECURSIVE {_JOINED}, {_EWM}, {', '.join(_STREAK.format(c=c) for c in ('foreign', 'trust', 'dealer'))}, "
     f"roll AS (SELECT date, symbol, {_ROLL}, CASE WHEN count(*) OVER b = 20 THEN avg(close) OVER b END AS m, CASE WHEN count(*) OVER b = 20 THEN stddev_samp(close) OVER b END AS s "
     "FROM joined WINDOW b AS (PARTITION BY symbol ORDER BY date ROWS 19 PRECEDING)) "
     f"SELECT date, symbol, roll.* EXCLUDE (date, symbol, m, s), {_EWM_COLS}, rnd(m + 2 * s, 4) AS bb_upper, rnd(m, 4) AS bb_middle, rnd(m - 2 * s, 4) AS bb_lower, "
     "foreign_streak_days, trust_streak_days, dealer_streak_days "
-    "FROM roll JOIN rec USING (date, symbol) JOIN t_foreign USING (date, symbol) JOIN t_trust USING (date, symbol) JOIN t_dealer USING (date, symbol)"))
+    "FROM roll JOIN rec USING (date, symbol) JOIN t_foreign USING (date, symbol) JOIN t_trust USING (date, symbol) JOIN t_dealer USING (date, symbol)"
+)
+
+
+@query("technical_indicators", "C1 J1 K9", with_views(_TECHNICAL))
 def technical_indicators(spark, sf):
     return _round_all(derive.technical_indicators(V.quotes(spark, sf), V.flows(spark, sf)), 4)
 
 
-@query("technical_window_override", "K9 C1", with_views(f"""
-WITH {_JOINED}, roll AS (SELECT date, symbol, {_ROLL} FROM joined)
-SELECT date, symbol, ma5, ma20, ma60, vma5 FROM roll WHERE date BETWEEN '1998-01-01' AND '1998-12-31'"""))
+@query("technical_window_override", "K9 C1", with_views(_TECHNICAL + " WHERE date BETWEEN '1998-01-01' AND '1998-12-31'"))
 def technical_window_override(spark, sf):
-    df = derive.technical_indicators(V.quotes(spark, sf), V.flows(spark, sf), start="1998-01-01", end="1998-12-31", lookback_days=500)
-    return _round_all(df.select("date", "symbol", "ma5", "ma20", "ma60", "vma5"), 4)
+    """All columns of one year, the same as in a full run."""
+    df = derive.technical_indicators(V.quotes(spark, sf, end="1998-12-31"), V.flows(spark, sf), start="1998-01-01", end="1998-12-31")
+    return _round_all(df, 4)
 
 
 def _holding_sql(prefix):

@@ -43,7 +43,7 @@ def renumbered_lineage(spark, sf):
 
 @query("day_range_scan", "S16 S18", with_views("SELECT date, market, symbol, volume FROM quotes WHERE date BETWEEN '1997-03-01' AND '1997-05-31'"))
 def day_range_scan(spark, sf):
-    return S.scan_days(V.quotes(spark, sf), "1997-03-01", "1997-05-31").select("date", "market", "symbol", "volume")
+    return S.scan_days(V.quotes(spark, sf, "1997-03-01", "1997-05-31"), "1997-03-01", "1997-05-31").select("date", "market", "symbol", "volume")
 
 
 @query("two_row_header", "S2 X4", with_views("SELECT DISTINCT date, market, 3 AS header_row, '股票-代號#股票-名稱#融資-買進#融資-賣出#融券-買進#融券-賣出' AS header FROM quotes"))
@@ -281,7 +281,7 @@ def response_rows(spark, sf):
 @query("symbol_scan", "S18 J12", with_views("SELECT date, symbol, volume FROM quotes WHERE date BETWEEN '1996-01-01' AND '1997-06-30' AND symbol IN (SELECT symbol FROM issued WHERE issued_shares > 1500000)"))
 def symbol_scan(spark, sf):
     rich = V.issued(spark, sf).where("issued_shares > 1500000")
-    return T.scan_symbols(V.quotes(spark, sf), rich, "1996-01-01", "1997-06-30").select("date", "symbol", "volume")
+    return T.scan_symbols(V.quotes(spark, sf, "1996-01-01", "1997-06-30"), rich, "1996-01-01", "1997-06-30").select("date", "symbol", "volume")
 
 
 @query("period_range_scan", "S17", with_views("""

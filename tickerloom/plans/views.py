@@ -46,15 +46,32 @@ def _keyed(df: DataFrame) -> DataFrame:
     )
 
 
-def quotes(spark: SparkSession, sf: str) -> DataFrame:
-    """date, market, symbol, open, high, low, close, volume, value.
+def _between(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """Rows of a span of days (ISO), on the typed column of the file, so that the scan is pruned."""
+    if start:
+        df = df.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz" if df.schema["l_shipdate"].dataType.typeName() == "timestamp_ntz" else "timestamp"))
+    if end:
+        after = F.lit(P.next_iso_day(end))
+        df = df.where(F.col("l_shipdate") < after.cast("timestamp_ntz" if df.schema["l_shipdate"].dataType.typeName() == "timestamp_ntz" else "timestamp"))
+    return df
+
+
+def _named(df: DataFrame) -> DataFrame:
+    """date, market and symbol as text, made from the day and number that rows were grouped by."""
+    named = df.withColumns({"date": F.col("_day").cast("string"), "market": market_of("l_suppkey"), "symbol": symbol_of("l_suppkey")})
+    return named.drop("_day", "l_suppkey")
+
+
+def quotes(spark: SparkSession, sf: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """date, market, symbol, open, high, low, close, volume, value, of a span of days if given.
 
     The open is the volume-weighted price: like the other columns it is a sum or
-    an extreme, so the rows aggregate by hash, partially on every task.
+    an extreme, so the rows aggregate by hash, partially on every task. Rows are
+    grouped by number and day; the text keys are made once per group.
     """
-    li = _keyed(table(spark, sf, "lineitem")).withColumn("price", F.col("l_extendedprice") / F.col("l_quantity"))
-    return (
-        li.groupBy("date", "market", "symbol")
+    li = _between(table(spark, sf, "lineitem"), start, end).withColumn("price", F.col("l_extendedprice") / F.col("l_quantity"))
+    return _named(
+        li.groupBy(F.col("l_shipdate").cast("date").alias("_day"), "l_suppkey")
         .agg(
             F.max("price").alias("high"),
             F.min("price").alias("low"),
@@ -62,22 +79,20 @@ def quotes(spark: SparkSession, sf: str) -> DataFrame:
             F.sum("l_quantity").alias("volume"),
             F.sum("l_extendedprice").alias("value"),
         )
-        .select(
-            "date", "market", "symbol", F.when(F.col("volume") >= 5, F.col("value") / F.col("volume")).alias("open"),
-            "high", "low", "close", "volume", "value",
-        )
+    ).select(
+        "date", "market", "symbol", F.when(F.col("volume") >= 5, F.col("value") / F.col("volume")).alias("open"),
+        "high", "low", "close", "volume", "value",
     )
 
 
 def flows(spark: SparkSession, sf: str) -> DataFrame:
     """Net institutional buying per day and symbol."""
-    li = _keyed(table(spark, sf, "lineitem"))
     q = F.col("l_quantity")
-    return li.groupBy("date", "market", "symbol").agg(
+    return _named(table(spark, sf, "lineitem").groupBy(F.col("l_shipdate").cast("date").alias("_day"), "l_suppkey").agg(
         F.sum(F.when(F.col("l_returnflag") == "R", -q).when(F.col("l_returnflag") == "A", q).otherwise(0.0)).alias("foreign_net"),
         F.sum(F.when(F.col("l_linestatus") == "O", q).otherwise(-q)).alias("trust_net"),
         F.sum(F.when(F.col("l_discount") > 0.05, q).when(F.col("l_discount") < 0.05, -q).otherwise(0.0)).alias("dealer_net"),
-    )
+    )).select("date", "market", "symbol", "foreign_net", "trust_net", "dealer_net")
 
 
 def margin(spark: SparkSession, sf: str) -> DataFrame:
