@@ -240,20 +240,24 @@ def node_links(docs: DataFrame, rows: DataFrame, k: int, percent: int, block: in
         marked.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
         .where("lo < hi").select("tile", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
     )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # What has led its tile was held against all others there.
+    live = store(marked.join(mixed, "tile").join(led, ["tile", "node"], "left_anti"))
+    # A node has a bounded number of tiles; a pair is taken in the first tile that both have.
+    mine = live.groupBy("node").agg(F.sort_array(F.collect_list("tile")).alias("mine"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     laid = (
-        marked.join(mixed, "tile").join(led, ["tile", "node"], "left_anti").join(sets.select("node", "n", "bits"), "node").withColumn("own", own)
+        live.join(mine.join(sets.select("node", "n", "bits"), "node"), "node").withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("tile", "node", "label", "n", "bits", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        .select("tile", "node", "label", "n", "bits", "mine", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
-    columns = ("node", "label", "n", "bits", "own")
+    columns = ("node", "label", "n", "bits", "mine", "own")
     left, right = (laid.select("tile", "i", "j", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
     pairs = (
         left.join(right, ["tile", "i", "j"])
         .where("node_a < node_b and label_a <> label_b and (i = j or own_a <> own_b)")
+        .where(F.get(F.array_intersect("mine_a", "mine_b"), F.lit(0)) == F.col("tile"))
         .where(bitmaps_allow("bits_a", "bits_b", "n_a", "n_b", percent))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     )
     rest = store(verified(store(pairs), sets, percent))
     if rest.limit(1).count() == 0:
