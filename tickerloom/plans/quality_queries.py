@@ -187,13 +187,13 @@ def _slices(spark, sf):
     return old, new
 
 
-@query("load_if_absent", "K1 K4 K5 J13 U1", with_views(f"WITH {_OLD}, {_NEW} SELECT * FROM old UNION ALL SELECT * FROM new WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.date = new.date AND o.market = new.market)"))
+@query("load_if_absent", "K1 K4 J13 U1", with_views(f"WITH {_OLD}, {_NEW} SELECT * FROM old UNION ALL SELECT * FROM new WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.date = new.date AND o.market = new.market)"))
 def load_if_absent(spark, sf):
     old, new = _slices(spark, sf)
     return load.append_if_absent(old, new, ["date", "market"])
 
 
-@query("reload_slices", "K2 K3 K4 K6", with_views(f"WITH {_OLD}, {_NEW} SELECT * FROM new UNION ALL SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.date = old.date AND n.market = old.market)"))
+@query("reload_slices", "K2 K4", with_views(f"WITH {_OLD}, {_NEW} SELECT * FROM new UNION ALL SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.date = old.date AND n.market = old.market)"))
 def reload_slices(spark, sf):
     old, new = _slices(spark, sf)
     return load.replace_slices(old, new, ["date", "market"])
