@@ -124,6 +124,27 @@ def monotone_scales(
     )
 
 
+def scale_by_bins(test: DataFrame, bins: DataFrame, spread: str, everywhere: float | Column = 1.0) -> DataFrame:
+    """Test rows with the scale of their uncertainty bin.
+
+    Bins are closed below and open above, the last one closed on both sides. Below the first and above
+    the last the nearest bin holds; in a gap between bins, and without a spread, the global scale does.
+    Fewer than two bins cannot be monotone: the job fails.
+    """
+    listed = stage(bins.groupBy().agg(F.sort_array(F.collect_list(F.struct("low_edge", "high_edge", "scale"))).alias("b")))
+    if listed.where("size(b) >= 2").count() == 0:
+        raise ValueError("fewer than two bins have enough rows")
+    df = test.withColumn("_b", listed.select("b").scalar())
+    x, first, last = F.col(spread), F.get("_b", F.lit(0)), F.element_at("_b", -1)
+    inside = F.filter("_b", lambda b: (x >= b["low_edge"]) & ((x < b["high_edge"]) | ((b["high_edge"] == last["high_edge"]) & (x == last["high_edge"]))))
+    glob = everywhere if isinstance(everywhere, Column) else F.lit(everywhere)
+    scale = (
+        F.when(x.isNull() | F.isnan(x), glob).when(F.size(inside) > 0, F.get(inside, F.lit(0))["scale"])
+        .when(x < first["low_edge"], first["scale"]).when(x > last["high_edge"], last["scale"]).otherwise(glob)
+    )
+    return df.withColumn("scale", scale).drop("_b")
+
+
 # ---- regression -------------------------------------------------------
 def model_pipeline(features: Sequence[str], label: str, seed: int, rounds: int = 30, depth: int = 4) -> Pipeline:
     """Median imputation, missing flags and gradient-boosted trees on the absolute error."""

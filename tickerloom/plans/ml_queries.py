@@ -70,6 +70,23 @@ def interval_scale_monotone(spark, sf):
     return _round_all(ml.monotone_scales(_predictions(spark, sf), "spread", "y", "mid", "low", "high", 0.8, 5, 20), 6)
 
 
+_BINS = _PRED + f""", {_TRAIN}, e AS (SELECT list_sort(list_distinct(quantile_cont(spread, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]))) AS ed FROM tr),
+ b AS (SELECT least(len(list_filter(ed, lambda x: spread >= x)), len(ed) - 1) AS bin, ne, ed FROM tr, e), g AS (SELECT bin, any_value(ed) AS ed, least(greatest(quantile_cont(ne, 0.8), 0.5), 3.0) AS s FROM b GROUP BY 1 HAVING count(*) >= 20),
+ m AS (SELECT ed[bin] AS lo, ed[bin + 1] AS hi, max(s) OVER (ORDER BY bin) AS s FROM g), o AS (SELECT min(lo) AS lo, max(hi) AS hi, min(s) AS s0, max(s) AS s1 FROM m), gl AS (SELECT least(greatest(quantile_cont(ne, 0.8), 0.5), 3.0) AS s FROM tr)"""
+
+
+@query("interval_scale_rows", "A28", with_views(_BINS + """
+SELECT te.playbook_date, te.symbol, rnd(CASE WHEN spread < o.lo THEN o.s0 WHEN spread > o.hi THEN o.s1 ELSE coalesce(m.s, gl.s) END, 6) AS scale
+FROM te CROSS JOIN o CROSS JOIN gl LEFT JOIN m ON te.spread >= m.lo AND (te.spread < m.hi OR (m.hi = o.hi AND te.spread = o.hi))"""))
+def interval_scale_rows(spark, sf):
+    """Scales fitted on earlier years, applied to each later row."""
+    p = _predictions(spark, sf)
+    train, test = p.where("year < '2000'"), p.where("year >= '2000'")
+    bins = ml.monotone_scales(train, "spread", "y", "mid", "low", "high", 0.8, 5, 20)
+    everywhere = ml.interval_scales(train, [], "y", "mid", "low", "high", 0.8, 1).select("scale").scalar()
+    return ml.scale_by_bins(test, bins, "spread", everywhere).select("playbook_date", "symbol", R("scale", 6).alias("scale"))
+
+
 @query("winsorized_features", "A29 P14", with_views("""
 WITH b AS (SELECT quantile_cont(ml_score, 0.05) AS sl, quantile_cont(ml_score, 0.95) AS sh, quantile_cont(qty, 0.05) AS ql, quantile_cont(qty, 0.95) AS qh FROM scored_base WHERE playbook_date < '2000-01-01')
 SELECT playbook_date, symbol, rnd(least(greatest(ml_score, sl), sh), 6) AS ml_score, rnd(least(greatest(qty, ql), qh), 6) AS qty FROM scored_base, b WHERE playbook_date >= '2000-01-01'"""))

@@ -356,6 +356,23 @@ def regime_diagnostic(spark, sf):
     return _round_all(_diag(spark, sf), 4)
 
 
+_SIGNALS = [*perf.SIGNALS, "score_topn_mean", "score_median", "score_p90", "score_max"]
+_SIGNAL_ROWS = _DIAG + ", long AS (" + " UNION ALL ".join(f"SELECT '{s}' AS feature, {s} AS x, realized_ret_pct AS y FROM diag WHERE {s} IS NOT NULL AND realized_ret_pct IS NOT NULL" for s in _SIGNALS) + ")"
+
+
+@query("signal_correlations", "C18 A12", with_views(_SIGNAL_ROWS + " " + _CORR.format(g="feature", extra="") + " AND count(*) >= 5"))
+def signal_correlations(spark, sf):
+    """Signals at entry against realised cohort returns."""
+    df = perf.feature_correlations(stage(_diag(spark, sf)), _SIGNALS, "realized_ret_pct")
+    return _round_all(df.where("n >= 5"), 4)
+
+
+@query("signal_quintiles", "C18 A11", with_views(_SIGNAL_ROWS + """, e AS (SELECT feature, list_sort(list_distinct(quantile_cont(x, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]))) AS edges FROM long GROUP BY 1 HAVING count(*) >= 10)
+SELECT feature, 'Q' || (1 + len(list_filter(e.edges[2:len(e.edges) - 1], lambda v: l.x > v))) AS quintile, rnd(avg(y), 4) AS mean, rnd(median(y), 4) AS median, count(*) AS count FROM long l JOIN e USING (feature) GROUP BY 1, 2"""))
+def signal_quintiles(spark, sf):
+    return _round_all(perf.feature_quintiles(stage(_diag(spark, sf)).where("realized_ret_pct IS NOT NULL"), _SIGNALS, "realized_ret_pct", min_rows=10), 4)
+
+
 @query("regime_label_returns", "A32 C18", with_views(_DIAG + """ SELECT regime_label, count(*) AS count, rnd(avg(realized_ret_pct), 4) AS mean, rnd(stddev_samp(realized_ret_pct), 4) AS std, rnd(min(realized_ret_pct), 4) AS min, rnd(max(realized_ret_pct), 4) AS max FROM diag GROUP BY 1"""))
 def regime_label_returns(spark, sf):
     return _round_all(perf.stats_by_label(_diag(spark, sf), "regime_label", "realized_ret_pct"), 4)
