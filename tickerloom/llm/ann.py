@@ -155,7 +155,9 @@ def search(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of the rows of `vectors` (vec_id, embedding) for which `is_query` holds."""
     table = usable(vectors)
-    sample = table.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toPandas()
+    # Ids are picked first, so that no task gathers vectors but those of the sample.
+    picked = store(table.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows))
+    sample = table.join(F.broadcast(picked), "vec_id").groupBy("vec_id").agg(F.min("v").alias("v")).toPandas().sort_values("vec_id")
     if not len(sample):
         return table.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
     x = np.stack(sample["v"].to_numpy())

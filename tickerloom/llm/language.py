@@ -154,10 +154,13 @@ def fit_languages(docs: DataFrame, labelled_rows: int = 4000, sample_letters: in
     order = F.xxhash64("doc_id", F.octet_length("text"), F.crc32("text"))
     # The stretch begins at a place that the hash sets, so beginnings count no more than the rest.
     start = F.pmod(order, F.greatest(F.length("text") - sample_letters, F.lit(1))).cast("int") + 1
-    picked = store(
-        known.select("lang", F.substring(F.col("text"), start, F.lit(sample_letters)).alias("text"), order.alias("o")).orderBy("o", "lang").limit(labelled_rows)
+    # The hashes are picked first, so that no task gathers texts but those of the sample; equal rows count once.
+    picked = store(known.select(order.alias("o")).distinct().orderBy("o").limit(labelled_rows))
+    sample = (
+        known.select(order.alias("o"), "lang", F.substring(F.col("text"), start, F.lit(sample_letters)).alias("text"))
+        .join(F.broadcast(picked), "o").groupBy("o").agg(F.min_by("text", "lang").alias("text"), F.min("lang").alias("lang"))
     )
-    rows = picked.toPandas().sort_values(["o", "lang"])
+    rows = sample.toPandas().sort_values("o")
     return train(rows["text"].tolist(), rows["lang"].tolist())
 
 
