@@ -15,7 +15,7 @@ from tickerloom.session import shared_folder
 # A side is broadcast only when it was counted and has no more rows than this (some 16 to 32 bytes each).
 BROADCAST_ROWS = 500_000
 # Bytes of text that one numpy step works on at a time: bounds a worker's memory whatever the batch holds.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,14 @@ def id_bucket(column: str, modulus: int) -> Column:
 # ---------------------------------------------------------------- bytes inside tasks
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in smaller ones, so that what a task holds besides its input stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n + 1 offsets of its values (null: no bytes), without a copy."""
     if isinstance(column, pa.ChunkedArray):

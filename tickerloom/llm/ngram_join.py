@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import LOWER, Rolling, chunks, mix, small_side, store, utf8, word_spans
+from tickerloom.llm.common import LOWER, Rolling, chunks, mix, small_batches, small_side, store, utf8, word_spans
 from tickerloom.llm.graph import components
 
 ROLL = Rolling(9)
@@ -125,7 +125,7 @@ def nodes_and_tiles(docs: DataFrame, k: int, percent: int, tiles: int) -> DataFr
     """doc_id, tkey (fingerprint of the text), n, node, tiles: a row per document, stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             sizes, nodes, keys = [], [], []
             for found in shingle_sets(batch.column("text"), k):
                 sizes.append(len(found))
@@ -157,7 +157,7 @@ def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, k: int, percent
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             found = list(shingle_sets(batch.column("text"), k))
             listed = lambda parts: pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)),

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import BLANK, Rolling, chunks, mix, store, utf8, word_spans
+from tickerloom.llm.common import BLANK, Rolling, chunks, mix, small_batches, store, utf8, word_spans
 
 ROLL = Rolling(5)
 SYMBOL = np.zeros(256, bool)
@@ -94,7 +94,7 @@ def counted(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source and the COUNTS of the whole text of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             data, bounds = utf8(batch.column("text"))
             parts = [
                 count_text(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]) for a, b in chunks(bounds)

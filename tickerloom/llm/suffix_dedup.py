@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import Rolling, chunks, mix, small_side, store, text_or_empty, utf8
+from tickerloom.llm.common import Rolling, chunks, mix, small_batches, small_side, store, text_or_empty, utf8
 
 ROLL = Rolling(4)
 SPREAD, GRAM = 47, 24
@@ -90,7 +90,7 @@ def sparse_samples(texts: DataFrame, width: int) -> DataFrame:
     """tid, at, gram: the sparse samples of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             data, bounds = utf8(batch.column("text"))
             parts = []
             for first, last in chunks(bounds):
@@ -117,7 +117,7 @@ def cover_blocks(texts: DataFrame, width: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             data, bounds = utf8(batch.column("text"))
             known = batch.column("known")
             known_at, known_row = known.flatten().to_numpy(), np.repeat(np.arange(len(known)), known.value_lengths().to_numpy())
@@ -158,7 +158,7 @@ def open_suffixes(blocks: DataFrame, width: int) -> DataFrame:
     """tid, from, to (byte runs that are known to be repeated), at, key (suffixes still to be compared)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             data, bounds = utf8(batch.column("text"))
             lo, hi = (batch.column(c).flatten().to_numpy() for c in ("lo", "hi"))
             of = np.repeat(np.arange(batch.num_rows), batch.column("lo").value_lengths().to_numpy())
@@ -207,7 +207,7 @@ def cut_out(found: DataFrame, width: int, with_text: bool) -> DataFrame:
     """tid, n_removed, n_spans, kept_sha256 and, on request, the kept text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             data, bounds = utf8(batch.column("text"))
             of = {c: batch.column(c) for c in ("from", "to", "tied")}
             ends = {c: np.concatenate([[0], np.cumsum(x.value_lengths().fill_null(0).to_numpy())]) for c, x in of.items()}

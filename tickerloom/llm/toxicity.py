@@ -38,7 +38,7 @@ def terms(text: str, cache: dict[str, tuple[int, ...]]) -> set[int]:
     for word in set(WORD.findall(text.lower())):
         ids = cache.get(word)
         if ids is None:
-            if len(cache) > 200_000:
+            if len(cache) > 50_000:
                 cache.clear()
             short = [word[:n] + "_" * (n - 2) for n in PREFIXES if len(word) >= n]
             ids = tuple(zlib.crc32(x.encode()) & ((1 << BITS) - 1) for x in [word, *short])
