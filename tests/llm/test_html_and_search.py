@@ -48,6 +48,17 @@ def test_boilerplate_goes_and_article_stays(spark):
         assert got[i].split("\n") == expected
 
 
+@pytest.mark.parametrize("pages", [9, 10, 12])
+def test_repeated_article_blocks_stay(spark, pages):
+    data = [(i, f"https://host.example.org/a/{i}", PAGE.format(i=i, extra="")) for i in range(pages)]
+    data += [(100 + i, f"https://copies.example.org/{i}", f"<main><h1>One</h1><p>The same.</p><p>Again.</p></main><footer>{i}</footer>") for i in range(pages)]
+    data += [(200 + i, f"https://plain.example.org/{i}", f"<div><p>The same.</p><p>{i}</p></div>") for i in range(pages)]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    for i in range(pages):
+        assert got[i].split("\n") == [f"Title & more {i}", f"One two{i} three four", f"Five{i} é six <b>", f"i1 {i}", "i2", f"if a < b then {i}", "Read our terms."]
+        assert got[100 + i] == "One\nThe same.\nAgain." and got[200 + i] == f"The same.\n{i}"
+
+
 def test_pages_odd_rows(spark):
     data = [
         (1, None, None), (2, "https://a.org/1", ""), (3, "no url", "just text"), (None, "https://a.org/2", "<p>x &amp; y"), (4, None, "<div a='b\" c=d"),

@@ -11,7 +11,7 @@
 3. **Slots.** A slot of the expression is known by the path of tags (with class, id and role) around it. Slots
    in menus, headers, footers, sidebars, notices, adverts, forms and comments are left out; if the host's
    expression has a main region (article, main or a like class), only slots within it stay, else all others.
-   Blocks that four in five of a host's different pages (ten or more) repeat word for word are template text.
+   Text that pages repeat is kept: how often a block occurs on a host decides nothing.
 4. **Extraction.** Each page's blocks at the host's content slots, in page order.
 
 Defined results: null or empty html gives an empty text; a page without url (or host) is of host ''; pages
@@ -348,34 +348,18 @@ def wrappers(pages: DataFrame, chunk: int = 64) -> DataFrame:
         now = store(salted.groupBy("host", "salt").applyInPandas(merged, "host string, expression string, n long"))
 
 
-def extract(pages: DataFrame, template_share: float = 0.8, least_pages: int = 10) -> DataFrame:
+def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: the article of every page, whole."""
-    keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("same"))
+    keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
 
     def streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hosts, seen, shown, hashes = [], [], [], []
-            for host, same, page in zip(batch["host"], batch["same"], batch["html"]):
-                stream, texts = blocks(page)
-                hosts.append(host)
-                seen.append(same)
-                shown.append(show(nested(safe(stream))))
-                hashes.append([f"{p}\n{t}" for p, t in texts])
-            yield pd.DataFrame({"host": hosts, "same": seen, "expression": shown, "blocks": hashes})
-
-    parsed = keyed.select("host", "same", "html").mapInPandas(streams, "host string, same long, expression string, blocks array<string>")
-    # Copies of a page count once; of a block only its fingerprint goes on.
-    parsed = store(
-        parsed.select("host", "same", "expression", F.array_distinct(F.transform("blocks", lambda b: F.xxhash64(b))).alias("blocks"))
-    )
+            shown = [show(nested(safe(blocks(page)[0]))) for page in batch["html"]]
+            yield pd.DataFrame({"host": batch["host"], "expression": shown})
+
+    parsed = keyed.select("host", "html").mapInPandas(streams, "host string, expression string")
     found = wrappers(parsed.groupBy("host", "expression").agg(F.count("*").alias("n")))
-    once = parsed.groupBy("host", "same").agg(F.min("blocks").alias("blocks"))
-    pages_of = once.groupBy("host").agg(F.count("*").alias("pages"))
-    repeated = (
-        once.select("host", F.explode("blocks").alias("block")).groupBy("host", "block").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
-        .join(pages_of, "host").where(F.col("n") >= template_share * F.col("pages")).groupBy("host").agg(F.collect_set("block").alias("template"))
-    )
-    rules = small_side(store(found.join(repeated, "host", "left")), 50_000)
+    rules = small_side(store(found), 50_000)
 
     def texts_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, frozenset[str]] = {}
@@ -389,14 +373,12 @@ def extract(pages: DataFrame, template_share: float = 0.8, least_pages: int = 10
                 stream, texts = blocks(page)
                 paths = known[expression]
                 cut = [(("/".join(safe(p.split("/")))), p, t) for p, t in texts]
-                kept = [(p, t) for s, p, t in cut if s in paths]
+                kept = [t for s, _, t in cut if s in paths]
                 if not kept:  # a page without the host's main region
-                    kept = [(p, t) for s, p, t in cut if not any(n[:1] == "b" for n in p.split("/"))]
-                out.append([f"{p}\n{t}" for p, t in kept])
-            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "blocks": out, "template": batch["template"]})
-
-    shaped = keyed.select("page_id", "url", "html", "host").join(rules, "host", "left").select("page_id", "url", "html", "expression", "template")
-    made = shaped.mapInPandas(texts_of, "page_id long, url string, blocks array<string>, template array<long>")
-    own = F.filter("blocks", lambda b: ~F.coalesce(F.array_contains("template", F.xxhash64(b)), F.lit(False)))
-    text = F.array_join(F.transform(own, lambda b: F.substring_index(b, "\n", -1)), "\n")
-    return made.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+                    kept = [t for _, p, t in cut if not any(n[:1] == "b" for n in p.split("/"))]
+                out.append("\n".join(kept))
+            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": out})
+
+    shaped = keyed.join(rules, "host", "left").select("page_id", "url", "html", "expression")
+    made = shaped.mapInPandas(texts_of, "page_id long, url string, text string")
+    return made.withColumn("n_chars", F.length("text").cast("long"))
