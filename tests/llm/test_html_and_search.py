@@ -86,6 +86,30 @@ def test_expressions_are_union_free():
     assert html.content_paths(html.show(merged)) == ["marticle/.h1", "marticle/.p", "marticle/.div.x"]
 
 
+MIXED = ["h1 p", "h1 p h2 p h2 p", "p ul p ul p", "p", "p h2 p h2 ul p h2 p h2 ul", "h2 p h2 p", "p ul", "h1 p ul h2 p ul h2", "p h2 h2 p h2 h2"]
+
+
+def test_groups_and_elements_keep_their_levels():
+    page = lambda tags: "<article>" + "".join(f"<{t}><li>x</li></{t}>" if t == "ul" else f"<{t}>x</{t}>" for t in tags.split()) + "</article>"
+    parsed = [html.blocks(page(tags)) for tags in MIXED]
+    terms = [html.nested(html.safe(stream)) for stream, _ in parsed]
+    merged = html.align(terms[1], terms[0])
+    assert set(html.slots(merged)) == {"marticle/.h1", "marticle/.p", "marticle/.h2"}
+    for i, a in enumerate(terms):
+        for j, b in enumerate(terms):
+            for k, c in enumerate(terms):
+                found = set(html.slots(html.parse(html.show(html.align(html.align(a, b), c)))))
+                assert found == {path for x in (i, j, k) for path, _ in parsed[x][1]}, (MIXED[i], MIXED[j], MIXED[k])
+
+
+def test_hosts_of_mixed_articles_lose_no_block(spark):
+    page = lambda i, tags: f"<article>{''.join(f'<{t}>{t} {n} of {i}</{t}>' for n, t in enumerate(tags.split()))}</article>"
+    data = [(i, f"https://h{host}.org/{i}", page(i, tags)) for host, shapes in enumerate((MIXED[:2], MIXED[:3], MIXED)) for i, tags in enumerate(shapes, 100 * host)]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    for i, _, source in data:
+        assert got[i].split("\n") == re.findall(r">([^<>]+)<", source)
+
+
 def test_wrappers_of_many_streams_meet_in_rounds(spark):
     data = [("h", html.show(html.nested(html.safe(html.blocks(f"<article><p>a</p>{'<div class=c' + str(i) + 'x><p>b</p></div>'}</article>")[0]))), 1) for i in range(9)]
     data += [("g", "(<.p #)", 5)]

@@ -225,14 +225,20 @@ def nested(stream: list[str]) -> list[Term]:
     return fold(level[0])
 
 
-def _head(t: Term) -> str:
-    while not isinstance(t[0], str):
-        t = t[0][0]
-    return t[0]
+def _head(t: Term) -> tuple[str, str]:
+    """What terms are aligned by: the kind (token, element or folded group of elements) and the first token within.
+
+    A group begins as its first element does, but aligning the two would mix their levels.
+    """
+    content = t[0]
+    kind = "token" if isinstance(content, str) else "element" if isinstance(content[0][0], str) else "group"
+    while not isinstance(content, str):
+        content = content[0][0]
+    return kind, content
 
 
 def align(a: list[Term], b: list[Term]) -> list[Term]:
-    """The expression that covers both: terms with the same head are aligned within, the rest becomes optional."""
+    """The expression that covers both: terms of one kind with the same head are aligned within, the rest becomes optional."""
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -243,11 +249,7 @@ def align(a: list[Term], b: list[Term]) -> list[Term]:
     while i < n or j < m:
         if i < n and j < m and _head(a[i]) == _head(b[j]) and best[i][j] == 1 + best[i + 1][j + 1]:
             x, y = a[i], b[j]
-            if isinstance(x[0], str) or isinstance(y[0], str):
-                content = x[0] if isinstance(x[0], str) else y[0] if isinstance(y[0], str) else x[0]
-                content = y[0] if isinstance(x[0], str) and not isinstance(y[0], str) else content
-            else:
-                content = tuple(align(list(x[0]), list(y[0])))
+            content = x[0] if isinstance(x[0], str) else tuple(align(list(x[0]), list(y[0])))
             out.append((content, _loose(x[1], y[1])))
             i, j = i + 1, j + 1
         elif j >= m or (i < n and best[i + 1][j] >= best[i][j + 1]):
@@ -263,7 +265,7 @@ def merge_like(terms: list[Term]) -> list[Term]:
     """Neighbours with one head become one repetition, aligned within."""
     out: list[Term] = []
     for t in terms:
-        if out and _head(out[-1]) == _head(t) and not isinstance(t[0], str) and not isinstance(out[-1][0], str):
+        if out and _head(out[-1]) == _head(t) and not isinstance(t[0], str):
             prev = out.pop()
             mark = _loose("+", "?" if ("?" in prev[1] or "*" in prev[1]) and ("?" in t[1] or "*" in t[1]) else "")
             out.append((tuple(align(list(prev[0]), list(t[0]))), mark))
