@@ -21,7 +21,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix_dedup.dedup_texts(docs, width=400)
+    return suffix_dedup.dedup_texts(docs, width=51, words=True)  # every repeat of over 50 words
 
 
 def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

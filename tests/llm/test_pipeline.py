@@ -40,6 +40,31 @@ def test_stages_act_on_planted_rows(spark, sf, tmp_path, docs_of):  # noqa: F811
     assert packed.groupBy("bin_id").agg(F.sum("n_tokens").alias("n")).where("n > 4096").count() == 0
 
 
+def test_every_repeat_of_over_50_words_is_cut(spark, docs_of):  # noqa: F811
+    rng = random.Random(12)
+    new = lambda n, size=9_000_000: [f"{rng.randrange(size)}" for _ in range(n)]
+    short = lambda n: [chr(97 + rng.randrange(26)) for _ in range(n)]
+    long = [[*new(51)], [*new(55)], [*new(60)], short(51), short(60), new(51, 10**12), new(120)]
+    less = [new(50), short(50), new(50, 10**12), new(30), new(30)]
+    pairs = {}
+    for i, passage in enumerate(long):  # in the middle, at the start, at the end, with other white space
+        for j, (a, b, gap) in enumerate([(20, 20, " "), (0, 30, " "), (30, 0, "\n"), (15, 15, "  ")]):
+            before, after = new(a), new(b)
+            pairs[10 * i + j] = (gap.join([*before, *passage, *after]), [*before, *after])
+    for i, passage in enumerate(less[:3]):
+        for j in range(3):
+            words = [*new(20), *passage, *new(20)]
+            pairs[100 + 10 * i + j] = (" ".join(words), words)
+    for i, words in enumerate([[*new(9), *less[3], *less[4], *new(9)], [*new(9), *less[3], *new(30)], [*new(30), *less[4], *new(9)]]):
+        pairs[200 + i] = (" ".join(words), words)  # two repeats of 30 words side by side are none of 60
+    whole = " ".join(new(51))
+    pairs |= {300: (whole, None), 301: (whole, None), 302: (whole.replace(" ", "\t"), None)}
+    got = {r["doc_id"]: r for r in STAGES["suffix_dedup"](spark, docs_of([(i, t) for i, (t, _) in pairs.items()]), "").collect()}
+    for i, (_, words) in pairs.items():
+        assert (got[i]["text"].split() if i in got else None) == words, i
+        assert i not in got or got[i]["n_chars"] == len(got[i]["text"])
+
+
 def test_stages_take_odd_rows_and_empty_tables(spark, sf, odd_docs):  # noqa: F811
     docs = odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
     for name, stage in corpus_pipeline.STAGES:

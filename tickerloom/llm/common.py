@@ -113,6 +113,13 @@ class Rolling:
         np.cumsum(self.bytes[buf] * self.powers[: len(buf)], out=out[1:])
         return out
 
+    def prefix_of(self, values: np.ndarray) -> np.ndarray:
+        """As `prefix`, of 64-bit values (such as fingerprints of words) instead of bytes."""
+        self._grow(len(values) + 1)
+        out = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * self.powers[: len(values)], out=out[1:])
+        return out
+
     def runs(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Fingerprints of the runs [start, end)."""
         self._grow(len(prefix))

@@ -21,6 +21,10 @@ does not shift them.
 A passage that a third of all texts share is a hot key in none of the shuffles: counts are combined
 before they are dealt out, and joins back have one row for each key on the other side.
 
+The unit is the byte, or with `words` the word (a run without white space, by its fingerprint): then `width`,
+samples and runs count words, a repeat is `width` equal words in a row whatever their lengths and the white
+space between them, and what is cut out are whole words.
+
 Defined results: null is an empty text; texts shorter than `width` lose nothing; of repeated rows each
 is another place of all its strings, so both go; an empty table gives none. Equality is that of 64-bit
 fingerprints. `dedup_texts` decodes what is kept and drops bytes of characters that were cut through.
@@ -30,20 +34,47 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import Rolling, chunks, mix, small_batches, small_side, store, text_or_empty, utf8
+from tickerloom.llm.common import Rolling, chunks, mix, small_batches, small_side, store, text_or_empty, utf8, word_spans
 
 ROLL = Rolling(4)
-SPREAD, GRAM = 47, 24
-SPARSE_GRAM = 64
 POSITION = np.uint64((1 << 24) - 1)
 
 
+class Rule(NamedTuple):
+    """Length of a repeat and of the samples' grams, in units (bytes or words)."""
+
+    width: int
+    spread: int
+    gram: int
+    sparse_gram: int
+    words: bool
+
+
+def rule_of(width: int, words: bool) -> Rule:
+    found = Rule(width, 11, 5, 16, True) if words else Rule(width, 47, 24, 64, False)
+    if width < max(found.sparse_gram, found.spread + found.gram):
+        raise ValueError(f"width {width} is shorter than the samples' grams")
+    return found
+
+
+def unit_prefix(data: np.ndarray, cut: np.ndarray, words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums over the units of the rows that `cut` cuts from `data`, and the rows' bounds in units."""
+    raw, base = data[cut[0] : cut[-1]], cut - cut[0]
+    prefix = ROLL.prefix(raw)
+    if not words:
+        return prefix, base
+    start, end, row = word_spans(raw, base)
+    counts = np.bincount(row, minlength=len(base) - 1)
+    return ROLL.prefix_of(ROLL.runs(prefix, start, end)), np.concatenate([[0], np.cumsum(counts)])
+
+
 def cover(prefix: np.ndarray, gram: int, span: int) -> np.ndarray:
     """For every i the position of the leftmost smallest gram fingerprint in [i, i + span)."""
     h = ROLL.windows(prefix, gram)
@@ -86,7 +117,7 @@ def _joined(parts: list[list[np.ndarray]], n: int) -> list[np.ndarray]:
     return [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(n)]
 
 
-def sparse_samples(texts: DataFrame, width: int) -> DataFrame:
+def sparse_samples(texts: DataFrame, rule: Rule) -> DataFrame:
     """tid, at, gram: the sparse samples of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,22 +126,22 @@ def sparse_samples(texts: DataFrame, width: int) -> DataFrame:
             parts = []
             for first, last in chunks(bounds):
                 cut = bounds[first : last + 1]
-                prefix = ROLL.prefix(data[cut[0] : cut[-1]])
-                start, row = valid_starts(cut - cut[0], width)
+                prefix, base = unit_prefix(data, cut, rule.words)
+                start, row = valid_starts(base, rule.width)
                 if not len(start):
                     continue
-                at = cover(prefix, SPARSE_GRAM, width - SPARSE_GRAM + 1)[start]
+                at = cover(prefix, rule.sparse_gram, rule.width - rule.sparse_gram + 1)[start]
                 new = np.ones(len(at), bool)
                 new[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
                 at, row = at[new], row[new]
-                parts.append([row + first, at - (cut - cut[0])[row], ROLL.runs(prefix, at, at + SPARSE_GRAM)])
+                parts.append([row + first, at - base[row], ROLL.runs(prefix, at, at + rule.sparse_gram)])
             row, at, gram = _joined(parts, 3)
             yield pa.RecordBatch.from_arrays([batch.column("tid"), *_lists(row, batch.num_rows, at.astype(np.int64), gram)], ["tid", "at", "gram"])
 
     return texts.mapInArrow(run, "tid long, at array<long>, gram array<long>")
 
 
-def cover_blocks(texts: DataFrame, width: int) -> DataFrame:
+def cover_blocks(texts: DataFrame, rule: Rule) -> DataFrame:
     """tid, text and, for every run of possible suffixes with one cover sample: lo, hi (first and last suffix), rank, block.
 
     `texts` has tid, text and `known`: the sparse samples whose gram is repeated.
@@ -124,26 +155,25 @@ def cover_blocks(texts: DataFrame, width: int) -> DataFrame:
             parts = []
             for first, last in chunks(bounds):
                 cut = bounds[first : last + 1]
-                base = cut - cut[0]
-                prefix = ROLL.prefix(data[cut[0] : cut[-1]])
-                start, row = valid_starts(base, width)
+                prefix, base = unit_prefix(data, cut, rule.words)
+                start, row = valid_starts(base, rule.width)
                 if not len(start):
                     continue
                 mine = (known_row >= first) & (known_row < last)
                 repeated = np.zeros(len(prefix), bool)
                 repeated[base[known_row[mine] - first] + known_at[mine]] = True
-                open_ = repeated[cover(prefix, SPARSE_GRAM, width - SPARSE_GRAM + 1)[start]]
+                open_ = repeated[cover(prefix, rule.sparse_gram, rule.width - rule.sparse_gram + 1)[start]]
                 start, row = start[open_], row[open_]
                 if not len(start):
                     continue
-                at = cover(prefix, GRAM, SPREAD + 1)[start]
+                at = cover(prefix, rule.gram, rule.spread + 1)[start]
                 new = np.ones(len(at), bool)
                 new[1:] = (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1) | (row[1:] != row[:-1])
                 lo, at, row = start[new], at[new], row[new]
                 hi = start[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(start) - 1]])]
-                rank = ROLL.runs(prefix, at, at + width - SPREAD)
+                rank = ROLL.runs(prefix, at, at + rule.width - rule.spread)
                 shape = ((at - lo) * 4096 + (hi - lo)).astype(np.uint64)
-                block = mix(ROLL.runs(prefix, lo, hi + width) ^ mix(shape + np.uint64(1)))
+                block = mix(ROLL.runs(prefix, lo, hi + rule.width) ^ mix(shape + np.uint64(1)))
                 parts.append([row + first, lo - base[row], hi - base[row], rank, block])
             row, lo, hi, rank, block = _joined(parts, 5)
             yield pa.RecordBatch.from_arrays(
@@ -154,8 +184,8 @@ def cover_blocks(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(run, "tid long, text string, lo array<long>, hi array<long>, rank array<long>, block array<long>")
 
 
-def open_suffixes(blocks: DataFrame, width: int) -> DataFrame:
-    """tid, from, to (byte runs that are known to be repeated), at, key (suffixes still to be compared)."""
+def open_suffixes(blocks: DataFrame, rule: Rule) -> DataFrame:
+    """tid, from, to (runs of units that are known to be repeated), at, key (suffixes still to be compared)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -178,16 +208,16 @@ def open_suffixes(blocks: DataFrame, width: int) -> DataFrame:
                 if not len(pick):
                     continue
                 cut = bounds[first : last + 1]
-                prefix = ROLL.prefix(data[cut[0] : cut[-1]])
+                prefix, base = unit_prefix(data, cut, rule.words)
                 sizes = hi[pick] - lo[pick] + 1
                 which = np.repeat(pick, sizes)
                 at = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + lo[which]
-                begin = at + (cut - cut[0])[of[which] - first]
-                parts.append([of[which], at, ROLL.runs(prefix, begin, begin + width)])
+                begin = at + base[of[which] - first]
+                parts.append([of[which], at, ROLL.runs(prefix, begin, begin + rule.width)])
             row, at, key = _joined(parts, 3)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column("tid"), *_lists(of[done], n, lo[done], hi[done] + width), *_lists(row, n, at.astype(np.int64), key)],
+                [batch.column("tid"), *_lists(of[done], n, lo[done], hi[done] + rule.width), *_lists(row, n, at.astype(np.int64), key)],
                 ["tid", "from", "to", "at", "key"],
             )
 
@@ -203,7 +233,7 @@ def _runs(n: int, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(~inside[1:] & inside[:-1])
 
 
-def cut_out(found: DataFrame, width: int, with_text: bool) -> DataFrame:
+def cut_out(found: DataFrame, rule: Rule, with_text: bool) -> DataFrame:
     """tid, n_removed, n_spans, kept_sha256 and, on request, the kept text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +246,13 @@ def cut_out(found: DataFrame, width: int, with_text: bool) -> DataFrame:
             for i in range(batch.num_rows):
                 raw = data[bounds[i] : bounds[i + 1]]
                 one = {c: flat[c][ends[c][i] : ends[c][i + 1]] for c in of}
-                a, b = _runs(len(raw), np.concatenate([one["from"], one["tied"]]), np.concatenate([one["to"], one["tied"] + width]))
+                start, end, _ = word_spans(raw, np.array([0, len(raw)])) if rule.words else (raw, raw, None)
+                a, b = _runs(len(start), np.concatenate([one["from"], one["tied"]]), np.concatenate([one["to"], one["tied"] + rule.width]))
+                if rule.words:
+                    # From a run's first word to the next word that stays; at an end of the text the white space goes as well.
+                    last = b == len(start)
+                    a = np.where(a == 0, 0, np.where(last, end[np.maximum(a - 1, 0)], start[a]))
+                    b = np.where(last, len(raw), start[np.where(last, 0, b)])
                 left, edges = [], np.concatenate([[0], np.column_stack([a, b]).ravel(), [len(raw)]])
                 for x, y in edges.reshape(-1, 2):
                     left.append(raw[x:y].tobytes())
@@ -237,10 +273,15 @@ def text_id() -> Column:
     return F.xxhash64(text_or_empty(), F.length(text_or_empty()), F.crc32(text_or_empty()))
 
 
-def removals(docs: DataFrame, width: int = 400, with_text: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(rows of texts that lose bytes, by tid; tids of texts of `width` bytes or more that occur more than once)."""
+def long_enough(rule: Rule) -> Column:
+    size = F.octet_length("text")
+    return (size >= 2 * rule.width - 1) & (F.regexp_count("text", F.lit(r"[^ \t\n\x0B\f\r]+")) >= rule.width) if rule.words else size >= rule.width
+
+
+def removals(docs: DataFrame, rule: Rule, with_text: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows of texts that lose units, by tid; tids of texts of `width` units or more that occur more than once)."""
     texts = docs.select(text_id().alias("tid"), text_or_empty().alias("text"))
-    sparse = store(sparse_samples(texts.where(F.octet_length("text") >= width), width))
+    sparse = store(sparse_samples(texts.where(long_enough(rule)), rule))
     grams = sparse.select("tid", F.explode(F.arrays_zip("at", "gram")).alias("s")).select("tid", "s.at", "s.gram")
     place = F.xxhash64("tid", "at")
     twice = store(grams.groupBy("gram").agg(F.min(place).alias("p"), F.max(place).alias("q")).where("p <> q").select("gram"))
@@ -250,7 +291,7 @@ def removals(docs: DataFrame, width: int = 400, with_text: bool = False) -> tupl
         texts.join(small_side(known.select("tid")), "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text"))
         .join(known, "tid")
     )
-    blocks = store(cover_blocks(once, width))
+    blocks = store(cover_blocks(once, rule))
 
     made = blocks.select(
         "tid", F.posexplode(F.arrays_zip("rank", "block")).alias("i", "s")
@@ -260,7 +301,7 @@ def removals(docs: DataFrame, width: int = 400, with_text: bool = False) -> tupl
     said = names.join(ranked, "name").groupBy("tid").agg(
         F.collect_list(F.struct(F.col("code").cast("long").alias("code"), "count", (F.col("place") == F.col("lead")).alias("lead"))).alias("said")
     )
-    suffixes = store(open_suffixes(blocks.select("tid", "text", "lo", "hi").join(said, "tid"), width))
+    suffixes = store(open_suffixes(blocks.select("tid", "text", "lo", "hi").join(said, "tid"), rule))
 
     keys = suffixes.select("tid", F.explode(F.arrays_zip("at", "key")).alias("s")).select("tid", "s.at", "s.key")
     tied = store(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
@@ -270,14 +311,14 @@ def removals(docs: DataFrame, width: int = 400, with_text: bool = False) -> tupl
         suffixes.select("tid", "from", "to").join(at, "tid", "left").withColumn("tied", F.coalesce("tied", none))
         .where("size(`from`) > 0 or size(tied) > 0").join(blocks.select("tid", "text"), "tid")
     )
-    gone = store(cut_out(found, width, with_text))
-    copies = store(texts.where(F.octet_length("text") >= width).groupBy("tid").agg(F.count("*").alias("n")).where("n > 1").select("tid"))
+    gone = store(cut_out(found, rule, with_text))
+    copies = store(texts.where(long_enough(rule)).groupBy("tid").agg(F.count("*").alias("n")).where("n > 1").select("tid"))
     return gone, copies
 
 
 def dedup_digest(docs: DataFrame, width: int = 400) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: a row for every row of `docs`."""
-    gone, copies = removals(docs, width)
+    gone, copies = removals(docs, rule_of(width, words=False))
     base = docs.select("doc_id", text_id().alias("tid"), F.octet_length(text_or_empty()).cast("long").alias("n_bytes"), F.sha2(text_or_empty(), 256).alias("sha"))
     whole = F.col("copied").isNotNull()
     return (
@@ -291,9 +332,9 @@ def dedup_digest(docs: DataFrame, width: int = 400) -> DataFrame:
     )
 
 
-def dedup_texts(docs: DataFrame, width: int = 400) -> DataFrame:
+def dedup_texts(docs: DataFrame, width: int = 400, words: bool = False) -> DataFrame:
     """`docs` with repeated strings cut out of `text` (and n_chars set anew, if there); a text with nothing left goes. Other columns stay."""
-    gone, copies = removals(docs, width, with_text=True)
+    gone, copies = removals(docs, rule_of(width, words), with_text=True)
     twice = small_side(copies.withColumnRenamed("tid", "__tid"))
     plain = docs.withColumn("__tid", text_id()).join(twice, "__tid", "left_anti")
     changed = small_side(gone.select(F.col("tid").alias("__tid")))
