@@ -216,6 +216,25 @@ def test_quality_fences_follow_the_group(spark):
     assert not got[1000] and all(got[i] for i in range(400))
 
 
+def test_quality_fences_come_from_the_sketch(spark):
+    rng = random.Random(5)
+    data = []
+    for i in range(300):
+        lines = [" ".join(text_of(rng, 8, 5000).split()) for _ in range(20)]
+        if i % 15 == 0:  # some repeat one line of twenty
+            lines[1] = lines[0]
+        if i == 7:  # one repeats six of them: far more than any other here, less than any fixed limit
+            lines[:6] = [lines[0]] * 6
+        data.append((i, "\n".join(lines), "en", "a", 0))
+    long = "\n".join(" ".join(f"word{rng.randrange(1000)}" for _ in range(8)) for _ in range(20))
+    data.append((1000, " ".join(w + "x" for w in long.split()), "en", "a", 0))
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["kept"] for r in quality.judged(docs).collect()}
+    assert not got[7] and not got[1000] and all(got[i] for i in range(300) if i != 7)
+    said = {(r["measure"], r["fence"]): r["n_rows"] for r in quality.decisions(docs).collect()}
+    assert said == {("word_length", "group"): 301, ("symbol_ratio", "floor"): 301, ("line_ratio", "group"): 301, ("repeat_ratio", "group"): 301}
+
+
 # ---- mixing ------------------------------------------------------------
 def test_rates_meet_the_targets(spark):
     rng = random.Random(6)

@@ -3,12 +3,14 @@
 One pass over whole texts counts words, symbols, repeated lines and repeated word windows. For every
 (language, source) group a KLL sketch of each measure is built from the rows that pass the base rules:
 partial sketches per salt first, merged per group, so a group with a third of all rows is no hot task.
-A group's upper fence is q75 + `reach` * max(q75 - q25, least spread), its lower fence likewise; the
-fences are joined back and decide. What is usual in a group passes there, whatever is usual elsewhere.
+The fences are joined back and decide. What is usual in a group passes there, whatever is usual elsewhere.
 
-Measures: mean word length (both fences), symbols per word, repeated lines per line and repeated words
-per word (upper fences). The least spread keeps a group whose rows are all alike from rejecting the
-first row that differs a little; groups with fewer than `least_rows` rows use the fences of all rows.
+Measures: mean word length (both fences) and symbols per word (upper fence) are fenced by quartiles: q75 +
+`reach` * (q75 - q25), the lower fence likewise. Repeated lines per line and repeated words per word are zero in
+most rows, so their quartiles say nothing: their upper fence is the group's q99. Only where a group has no spread
+at all (q75 = q25, or q99 = q50) a least spread stands in, so that the first row that differs a little is not
+rejected; groups with fewer than `least_rows` rows use the fences of all rows. `decisions` counts per measure
+whose fence decided.
 
 Defined results: a null, empty or blank text has no words and fails the base rule; null language or
 source form groups of their own; repeated rows count as often as they occur; an empty table gives none.
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm.common import BLANK, Rolling, chunks, mix, small_batches, store, utf8, word_spans
@@ -28,8 +30,8 @@ from tickerloom.llm.common import BLANK, Rolling, chunks, mix, small_batches, st
 ROLL = Rolling(5)
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
-# measure, least spread, fences that apply
-MEASURES = (("word_length", 0.5, "both"), ("symbol_ratio", 0.02, "upper"), ("line_ratio", 0.1, "upper"), ("repeat_ratio", 0.1, "upper"))
+# measure, least spread (where a group has none), fences that apply: by quartiles on both sides or above, or the upper tail
+MEASURES = (("word_length", 0.5, "both"), ("symbol_ratio", 0.02, "upper"), ("line_ratio", 0.1, "tail"), ("repeat_ratio", 0.1, "tail"))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
@@ -106,8 +108,8 @@ def counted(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(run, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
-def judged(docs: DataFrame, reach: float = 4.0, least_rows: int = 50, salts: int = 16) -> DataFrame:
-    """doc_id, the COUNTS, base_failed, kept and the measures: a row for every row of `docs`."""
+def _fenced(docs: DataFrame, reach: float, least_rows: int, salts: int) -> DataFrame:
+    """Rows of `counted` with the measures and for each m of them low_m, high_m, from_m (whose fence: group, all or floor)."""
     ratio = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
     rows = store(
         counted(docs).withColumns({
@@ -124,19 +126,42 @@ def judged(docs: DataFrame, reach: float = 4.0, least_rows: int = 50, salts: int
     parts = store(partial)
     merged = lambda keys: parts.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in names])
 
-    def fences(table: DataFrame) -> list:
+    def fences(of: str) -> list[Column]:
         out = []
-        for m, spread, _ in MEASURES:
-            q1, q3 = (F.kll_sketch_get_quantile_double(m, F.lit(q)) for q in (0.25, 0.75))
-            out += [(q1 - reach * F.greatest(q3 - q1, F.lit(spread))).alias(f"low_{m}"), (q3 + reach * F.greatest(q3 - q1, F.lit(spread))).alias(f"high_{m}")]
+        for m, least, sides in MEASURES:
+            at = lambda q: F.kll_sketch_get_quantile_double(m, F.lit(q))  # noqa: E731, B023
+            q1, q3 = (at(0.5), at(0.99)) if sides == "tail" else (at(0.25), at(0.75))
+            flat = q3 <= q1
+            spread = F.when(flat, F.lit(least)).otherwise(q3 - q1)
+            high = F.when(flat, q3 + reach * F.lit(least)).otherwise(q3) if sides == "tail" else q3 + reach * spread
+            low = q1 - reach * spread if sides == "both" else F.lit(float("-inf"))
+            out += [low.alias(f"low_{m}"), high.alias(f"high_{m}"), F.when(flat, F.lit("floor")).otherwise(F.lit(of)).alias(f"from_{m}")]
         return out
 
-    own = merged(["lang", "source"]).where(F.col("n") >= least_rows).select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), *fences(parts))
-    every = merged([]).where("n > 0").select(*[c.alias(f"all_{i}") for i, c in enumerate(fences(parts))])
-    fenced = rows.join(own, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")), "left")
-    shared = every.first()  # one row of eight numbers
+    own = merged(["lang", "source"]).where(F.col("n") >= least_rows).select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), *fences("group"))
+    shared = merged([]).where("n > 0").select(*fences("all")).first()  # one row
+    found = rows.join(own, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")), "left")
+    return found.withColumns({
+        c: F.coalesce(F.col(c), F.lit(shared[c] if shared else "all" if c.startswith("from_") else 0.0))
+        for m in names for c in (f"low_{m}", f"high_{m}", f"from_{m}")
+    })
+
+
+def _passes(m: str) -> Column:
+    return (F.col(m) <= F.col(f"high_{m}")) & (F.col(m) >= F.col(f"low_{m}"))
+
+
+def judged(docs: DataFrame, reach: float = 4.0, least_rows: int = 50, salts: int = 16) -> DataFrame:
+    """doc_id, the COUNTS, base_failed, kept and the measures: a row for every row of `docs`."""
+    names = [m for m, _, _ in MEASURES]
     kept = ~F.col("base_failed")
-    for i, (m, _, sides) in enumerate(MEASURES):
-        low, high = (F.coalesce(F.col(f"{side}_{m}"), F.lit(float(shared[2 * i + j]) if shared else 0.0)) for j, side in enumerate(("low", "high")))
-        kept = kept & (F.col(m) <= high) & ((F.col(m) >= low) if sides == "both" else F.lit(True))
-    return fenced.select("doc_id", *COUNTS, "base_failed", kept.alias("kept"), *names)
+    for m in names:
+        kept = kept & _passes(m)
+    return _fenced(docs, reach, least_rows, salts).select("doc_id", *COUNTS, "base_failed", kept.alias("kept"), *names)
+
+
+def decisions(docs: DataFrame, reach: float = 4.0, least_rows: int = 50, salts: int = 16) -> DataFrame:
+    """measure, fence (group, all or floor), n_rows, n_rejected: whose fence decided the rows that pass the base rules."""
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(f"from_{m}").alias("fence"), _passes(m).alias("ok")) for m, _, _ in MEASURES]))
+    rows = _fenced(docs, reach, least_rows, salts).where("not base_failed").select(each.alias("d"))
+    return rows.groupBy("d.measure", "d.fence").agg(F.count("*").alias("n_rows"), F.count_if(~F.col("d.ok")).alias("n_rejected"))
