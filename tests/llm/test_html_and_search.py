@@ -59,6 +59,27 @@ def test_repeated_article_blocks_stay(spark, pages):
         assert got[100 + i] == "One\nThe same.\nAgain." and got[200 + i] == f"The same.\n{i}"
 
 
+NAMED = [
+    ('<div class="content-with-sidebar"><p>a</p></div><p>b</p>', "a b"),
+    ('<div id="main" class="layout-sidebar-right sidebar"><p>a</p></div><div class="sidebar">no</div>', "a"),
+    ('<article><section class="discussion"><p>a</p></section><h2 class="section-header">b</h2><p>c</p><div class="share-buttons">no</div></article>', "a b c"),
+    ('<form action="/"><div><p>a long body of a page within a form</p></div><div class="footer">no</div></form><p>b</p>', "a long body of a page within a form b"),
+    ('<form><nav>no no no no no no no no</nav><article><p>a</p></article></form>', "a"),
+    ('<div class="page-banner"><article><p>a</p></article></div><nav>no no no no</nav>', "a"),
+    ('<article><h1>a</h1><form><p>all the text of it</p></form></article>', "a all the text of it"),
+    ('<div><p>a</p></div><section id="comments"><article><p>no, a long comment of a reader</p></article></section>', "a"),
+    ('<p>some text of the page</p><form>no</form><div class="site-footer">no</div><div class="ad-slot">no</div>', "some text of the page"),
+    ('<article><p>a</p></article><nav class="main">no no no no no</nav><div style="display:none">no no no no no</div>', "a"),
+]
+
+
+@pytest.mark.parametrize("page,text", NAMED)
+def test_names_cut_no_article(page, text):
+    stream, texts = html.blocks(page)
+    paths = html.content_paths(html.show(html.nested(html.safe(stream))))
+    assert " ".join(t for p, t in texts if p in paths) == text
+
+
 def test_pages_odd_rows(spark):
     data = [
         (1, None, None), (2, "https://a.org/1", ""), (3, "no url", "just text"), (None, "https://a.org/2", "<p>x &amp; y"), (4, None, "<div a='b\" c=d"),

@@ -9,7 +9,8 @@
    most `chunk` streams by salt; the chunks' expressions are aligned in further rounds until one is left
    per host, so no task holds all of a large host.
 3. **Slots.** A slot of the expression is known by the path of tags (with class, id and role) around it. Slots
-   in menus, headers, footers, sidebars, notices, adverts, forms and comments are left out; if the host's
+   in menus, headers, footers, sidebars, notices, adverts, forms and comments are left out (by tag, or by a
+   name's head word; not if the element holds most of the page's text or its only main region); if the host's
    expression has a main region (article, main or a like class), only slots within it stay, else all others.
    Text that pages repeat is kept: how often a block occurs on a host decides nothing.
 4. **Extraction.** Each page's blocks at the host's content slots, in page order.
@@ -64,39 +65,85 @@ MAIN_TAGS = frozenset(["article", "main"])
 MAIN_WORDS = frozenset(["article", "articlebody", "main", "maincontent", "postcontent", "entrycontent", "articlecontent", "storybody", "pagecontent"])
 NEVER_BY_WORD = frozenset(["html", "body", "main", "article"])
 STATES = ("has", "with", "no", "is", "without")
+# Words at the end of a name that only say how the element is laid out: the word before them is its head.
+FORMS = frozenset("area bar block box button buttons container content default group icon icons inner item items link links list outer panel posts section slot slots stories unit wrap wrapper".split())
+# Words that name parts of an article when they stand in its region (or on a heading).
+PART_WORDS = frozenset("header masthead banner discussion notice notices alert feedback form search".split())
+# What readers or other articles add is never the page's own text, however much it is.
+OTHERS_WORDS = frozenset("comment comments commentlist disqus reply replies respond related recommended".split())
+HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
+FREE_TAGS = frozenset(["form", "fieldset", "header"])
 
 
-def _node(tag: str, attrs: str) -> str:
-    """A tag with the marks that decide its role: b (left out), m (main region), . (neither); then tag, class and id."""
+def _head_words(name: str) -> set[str]:
+    """The head word of a name and the name as one word: site-footer, ad-slot; not layout-sidebar-right, content-with-sidebar."""
+    words = [w.lower() for w in PART.findall(name)]
+    state = next((i for i, w in enumerate(words) if w in STATES), len(words))
+    words = words[:state]
+    return {next((w for w in reversed(words) if w not in FORMS and not w.isdigit()), ""), "".join(words)}
+
+
+def _node(tag: str, attrs: str, inside: bool = False) -> tuple[str, bool]:
+    """A tag with the marks that decide its role: b (left out), m (main region), . (neither); then tag, class and id.
+
+    Also whether a `b` is taken back where the element holds the page's text. `inside`: it stands in a main region.
+    """
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attrs)} if attrs.strip() else {}
     names = [n for key in ("class", "id", "role", "itemprop") for n in found.get(key, "").split()]
-    boiler, main = tag in BOILER_TAGS, tag in MAIN_TAGS
-    for name in names:
-        words = [w.lower() for w in PART.findall(name)]
-        if not words or words[0] in STATES:
-            continue
-        main = main or "".join(words) in MAIN_WORDS
-        boiler = boiler or (tag not in NEVER_BY_WORD and bool(BOILER_WORDS.intersection(words)))
+    heads = set().union(*map(_head_words, names))
+    by_tag, main = tag in BOILER_TAGS, tag in MAIN_TAGS or any("".join(PART.findall(n)).lower() in MAIN_WORDS for n in names)
+    words = BOILER_WORDS - PART_WORDS if inside or tag in HEADINGS else BOILER_WORDS
+    by_word = not main and tag not in NEVER_BY_WORD and bool(words & heads)
     style = found.get("style", "").replace(" ", "").lower()
-    boiler = boiler or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
+    hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
+    boiler = by_tag or by_word or hidden
     label = ".".join([tag, *re.sub(r"\d+", "0", " ".join(names)).split()][:4])
-    return ("b" if boiler else "m" if main else ".") + label
+    free = not hidden and (tag in FREE_TAGS or not by_tag) and not OTHERS_WORDS & heads
+    return ("b" if boiler else "m" if main else ".") + label, free
 
 
 def blocks(page: str | None) -> tuple[list[str], list[tuple[str, str]]]:
-    """(token stream, [(path, text)]): block tags and slots in page order, and the text of every filled slot."""
+    """(token stream, [(path, text)]): block tags and slots in page order, and the text of every filled slot.
+
+    An element that its name or tag marks as boilerplate is none if it holds most of the page's text, or the
+    page's only main region.
+    """
+    stream, texts, free = _blocks(page, frozenset())
+    taken: frozenset[int] = frozenset()
+    while free:  # what is taken back may show others within it
+        taken |= free
+        stream, texts, free = _blocks(page, taken)
+    return stream, texts
+
+
+def _blocks(page: str | None, taken: frozenset[int]) -> tuple[list[str], list[tuple[str, str]], frozenset[int]]:
+    """The same with the elements `taken` (by number) unmarked, and the further elements to unmark."""
     stream: list[str] = []
     texts: list[tuple[str, str]] = []
     if not page:
-        return stream, texts
-    stack: list[tuple[str, str]] = []
+        return stream, texts, frozenset()
+    stack: list[tuple[str, str, int]] = []
     piece: list[str] = []
+    freeable: set[int] = set()
+    held: dict[int, int] = {}  # characters in each marked element
+    around: set[int] = set()  # marked elements with a main region within
+    total = opened = 0
+    clear = False  # a main region outside marked elements
 
     def flush() -> None:
+        nonlocal total, clear
         text = " ".join(entities.unescape("".join(piece)).split())
         piece.clear()
         if text:
-            path = "/".join(n for _, n in stack)
+            path = "/".join(n for _, n, _ in stack)
+            total += len(text)
+            marked = [i for i, (_, n, _) in enumerate(stack) if n[0] == "b"]
+            last_main = max((i for i, (_, n, _) in enumerate(stack) if n[0] == "m"), default=-1)
+            clear = clear or (last_main >= 0 and not marked)
+            for i in marked:
+                held[stack[i][2]] = held.get(stack[i][2], 0) + len(text)
+                if i < last_main:
+                    around.add(stack[i][2])
             if stream[-1:] != ["#"]:
                 stream.append("#")
             texts.append((path, text))
@@ -135,14 +182,20 @@ def blocks(page: str | None) -> tuple[list[str], list[tuple[str, str]]]:
                     pop(i)
                 elif stack[i][0] in SCOPES and not (tag in ("tr", "tbody", "tfoot") and stack[i][0] in ("td", "th")):
                     break
-            node = _node(tag, m["attrs"] or "")
-            if node[0] == "." and tag == "header" and not any(n[0] == "m" for _, n in stack):
+            inside = any(n[0] == "m" for _, n, _ in stack)
+            node, free = _node(tag, m["attrs"] or "", inside)
+            if node[0] == "." and tag == "header" and not inside:
                 node = "b" + node[1:]
-            stack.append((tag, node))
+            opened += 1
+            if opened in taken:
+                node = "." + node[1:]
+            elif free:
+                freeable.add(opened)
+            stack.append((tag, node, opened))
             stream.append(node)
     piece.append(CUT_TAG.sub("", page[last:]))
     pop(0)
-    return stream, texts
+    return stream, texts, frozenset(i for i, n in held.items() if i in freeable and (2 * n > total or (i in around and not clear)))
 
 
 # ---------------------------------------------------------------- union-free expressions
