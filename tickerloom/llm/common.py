@@ -142,9 +142,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def word_spans(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of the words of the rows that `bounds` cuts from `buf` (bounds[0] is 0)."""
-    inside = ~BLANK[buf]
+def word_spans(buf: np.ndarray, bounds: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of the words (runs without `blank` bytes) of the rows that `bounds` cuts from `buf` (bounds[0] is 0)."""
+    inside = ~blank[buf]
     before = np.zeros(len(buf), bool)
     before[1:] = inside[:-1]
     cuts = bounds[:-1][bounds[:-1] < len(buf)]

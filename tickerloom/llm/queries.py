@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import ann, html, language, mixing, ngram_join, packing, quality, sharding, suffix_dedup, toxicity
+from tickerloom.llm import (
+    ann, filter_audit, html, language, lexical_search, mixing, ngram_join, packing, quality, sharding, suffix_dedup, token_counts, toxicity,
+)
 from tickerloom.llm.common import id_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +106,20 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_html")
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query("op11_filter_audit", filter_audit.ORACLE)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_lexical_search", lexical_search.ORACLE)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, lexical_search.build(docs), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
