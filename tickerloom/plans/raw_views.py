@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickerloom.functions import numbers as N
 from tickerloom.functions import periods as P
 from tickerloom.plans import views as V
 
@@ -50,9 +51,9 @@ def two_row_header_lines(spark: SparkSession, sf: str) -> DataFrame:
 def index_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Quote reports that open with an index block, its header repeated by the exchange."""
     ix = V.index_daily(spark, sf)
-    close = F.format_number(F.round("index_close", 2), 2)
+    close = F.format_number(N.rnd("index_close", 2), 2)
     sign = F.when(F.col("index_name").isin("IDX0", "IDX2"), "<p>-</p>").otherwise("<p>+</p>")
-    line = F.concat_ws(",", "index_name", quoted(close), sign, quoted(F.format_number(F.round(F.col("index_close") / 10, 2), 2)))
+    line = F.concat_ws(",", "index_name", quoted(close), sign, quoted(F.format_number(N.rnd(F.col("index_close") / 10, 2), 2)))
     body = ix.select(path_of("daily_quotes", market=F.lit("sii")).alias("src_file"), F.col("index_name").alias("_order"), line.alias("value"))
     repeated = body.select("src_file").distinct().select("src_file", F.lit("IDX1z").alias("_order"), F.lit("指數,收盤指數,漲跌(+/-),漲跌點數").alias("value"))
     return _file(body.union(repeated), ["report", "指數,收盤指數,漲跌(+/-),漲跌點數"], ["", "證券代號,證券名稱,成交股數,成交金額", "0001,a,b,9"])

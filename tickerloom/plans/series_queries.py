@@ -251,8 +251,9 @@ _PE = """pe AS (SELECT date, symbol, arg_max(round(l_quantity, 2), (l_orderkey,
 _VAL = f"""{_ASOF}, {_PE}, val AS MATERIALIZED (
  SELECT q.date, q.symbol, q.close, k.ttm, k.nav_per_share, CASE WHEN k.ttm > 0 THEN rnd(q.close / k.ttm, 2) END AS pe
  FROM quotes q ASOF JOIN known k ON q.symbol = k.symbol AND q.date >= k.publish_date),
- pct AS (SELECT a.symbol, a.date, rnd((sum(CASE WHEN b.pe < a.pe THEN 1 ELSE 0 END) + (sum(CASE WHEN b.pe = a.pe THEN 1 ELSE 0 END) + 1) / 2.0::DOUBLE) / count(*) * 100, 4) AS p
-   FROM val a JOIN val b ON a.symbol = b.symbol AND b.date <= a.date AND b.pe IS NOT NULL WHERE a.pe IS NOT NULL GROUP BY 1, 2)"""
+ series AS MATERIALIZED (SELECT symbol, list(date ORDER BY date) AS dates, list(pe ORDER BY date) AS pes FROM val WHERE pe IS NOT NULL GROUP BY 1),
+ pct AS (SELECT symbol, dates[i] AS date, rnd((len(list_filter(pes[1:i], lambda x: x < pes[i])) + (len(list_filter(pes[1:i], lambda x: x = pes[i])) + 1) / 2.0::DOUBLE) / i * 100, 4) AS p
+   FROM (SELECT symbol, dates, pes, unnest(range(1, len(pes) + 1)) AS i FROM series))"""
 
 
 @query("valuation_daily", "C2 J4 W10 W11 U5 X10", with_views(f"""
