@@ -235,16 +235,18 @@ def latest_quotes(cohort: DataFrame, quotes: DataFrame, rows: int = 20) -> DataF
     cohort only has to find one row as of its cutoff. A short history averages
     what there is.
     """
-    w = W.series("symbol", "date")
-    frame = w.rowsBetween(-(rows - 1), 0)
-    series = quotes.select(
-        "symbol", "date", "close", F.col("volume").alias("quote_volume"), F.avg("volume").over(frame).alias("avg_volume_20d")
-    )
+    series = quote_series(quotes, rows)
     return asof.asof_backward(
         cohort, series, ["symbol"], "cutoff_date", "date", ["close", "quote_volume", "avg_volume_20d"], matched_as="quote_date"
     )
 
 
+def quote_series(quotes: DataFrame, rows: int = 20) -> DataFrame:
+    """Close, volume and mean volume of the last rows for every day of a symbol."""
+    frame = W.series("symbol", "date").rowsBetween(-(rows - 1), 0)
+    return quotes.select("symbol", "date", "close", F.col("volume").alias("quote_volume"), F.avg("volume").over(frame).alias("avg_volume_20d"))
+
+
 def two_period_flag(series: DataFrame, value: str, out: str) -> DataFrame:
     """1 where this and the previous row are both above zero (else 0, also for NULL)."""
     w = W.series("symbol", "date")
@@ -261,7 +263,11 @@ def strategy_cohort(
     calendar: DataFrame, quarterly: DataFrame, facts: DataFrame, monthly: DataFrame, info: DataFrame, quotes: DataFrame,
     as_of_tables: Sequence[tuple[DataFrame, Sequence[str]]] = (), min_ttm: float = 2.0, min_lots: float = 400.0,
 ) -> DataFrame:
-    """Candidate rows of every cohort: anchor facts, EPS history, price, volume and as-of features."""
+    """Candidate rows of every cohort: anchor facts, EPS history, price, volume and as-of features.
+
+    Price and the tables of `as_of_tables` (table with symbol and date, columns; see `feature_families`) are looked
+    up as of the cutoff in one merge.
+    """
     anchor = _anchored(quarterly, calendar, "anchor_q", {
         "revenue_q": "anchor_rev", "net_income_q": "anchor_ni", "capital": "capital", "nav_per_share": "nav_per_share",
     })
@@ -275,7 +281,10 @@ def strategy_cohort(
         .join(info.select("symbol", "name", "industry"), "symbol", "left")
         .join(calendar.select("playbook_date", "month", "cutoff_date"), "playbook_date")
     )
-    df = latest_quotes(df, quotes)
+    df = df.where(F.coalesce(pseudo_ttm() >= min_ttm, F.lit(False)))
+    families = [(table, "date", columns, None) for table, columns in as_of_tables]
+    quote = (quote_series(quotes), "date", ["close", "quote_volume", "avg_volume_20d"], "quote_date")
+    df = asof.asof_families(df, [quote, *families], ["symbol"], "cutoff_date")
     div = N.safe_div_positive
     df = (
         df.withColumn("ttm_eps", ttm_by_month(F.col("month")))
@@ -286,11 +295,22 @@ def strategy_cohort(
         .withColumn("anchor_ocf_ratio", N.clip(div("anchor_ocf", "anchor_ni"), -5, 5))
         .withColumn("pb_ratio", div("close", "nav_per_share"))
     )
-    ok = (pseudo_ttm() >= min_ttm) & (F.col("avg_volume_lots_20d") >= min_lots)
-    df = df.where(F.coalesce(ok, F.lit(False)))
-    for table, columns in as_of_tables:
-        df = with_as_of(df, table, columns)
-    return df.drop("_assets", "_debts")
+    return df.where(F.coalesce(F.col("avg_volume_lots_20d") >= min_lots, F.lit(False))).drop("_assets", "_debts")
+
+
+CONCENTRATION = ["large_holder_ratio", "mid_holder_ratio", "small_holder_ratio", "concentration_spread"]
+HOLDER_FEATURES = [*CONCENTRATION, *[f"{c}_wow" for c in CONCENTRATION], "large_holder_two_week_up"]
+
+
+def feature_families(
+    valuation: DataFrame, margin: DataFrame, short_interest: DataFrame, foreign: DataFrame, trust: DataFrame, dealer: DataFrame, concentration: DataFrame
+) -> list[tuple[DataFrame, Sequence[str]]]:
+    """The as-of features of a cohort by table: valuation, margin, lending, holdings of three institutions, concentration."""
+    return [
+        (valuation, ["roe_official", "pe_percentile_official"]), (margin, ["margin_usage_ratio", "short_cover_pressure"]),
+        (short_interest, ["sbl_sell_repay_ratio"]), (foreign, ["foreign_held_ratio"]), (trust, ["trust_held_ratio"]), (dealer, ["dealer_held_ratio"]),
+        (two_period_flag(concentration, "large_holder_ratio_wow", "large_holder_two_week_up"), HOLDER_FEATURES),
+    ]
 
 
 # ---- finalize ---------------------------------------------------------
@@ -390,6 +410,31 @@ def assert_point_in_time(cohort: DataFrame) -> None:
         raise ValueError(f"look-ahead guard: {first[0]['rule']} in cohort {first[0]['playbook_date']}")
 
 
+GROWTH = ["base_eps_growth_pct", "ml_eps_delta_pct", "eps_growth_total_pct"]
+AUDIT_DAYS = ["tech_snapshot_date", "rev_max_publish_time", "revenue_month"]
+
+
+def finalize(
+    cohort: DataFrame, predictions: DataFrame, trading_days: DataFrame, indicators: DataFrame, monthly: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """The finished rows of every cohort and its trade candidates: growth split, entry day, technical and revenue features.
+
+    `cohort` are the rows of `strategy_cohort`, `predictions` (playbook_date, symbol, pred_delta) at most one a row.
+    Features are read as of the cutoff, never of the entry day, and the job fails if any cohort breaks a rule of the
+    guard or has no trading day on or after its playbook day. Columns of an earlier run are made anew.
+    """
+    rest = [c for c in cohort.columns if c not in (*GROWTH, "pred_delta", "entry_date")]
+    deltas = predictions.groupBy(*KEY).agg(F.max("pred_delta").alias("pred_delta"))
+    df = eps_growth_split(cohort.select(*rest).join(deltas, KEY, "left"))
+    days = asof.next_trading_day(df.select("playbook_date").distinct(), trading_days, "playbook_date", "entry_date")
+    days = asof.require_found(days, "entry_date", "no trading day on or after a playbook day")
+    df = technical_features(df.join(days, "playbook_date"), indicators)
+    df = stage(revenue_features(df, monthly))
+    assert_point_in_time(df)
+    rows = df.drop(*AUDIT_DAYS)
+    return rows, trade_candidates(rows).select(*KEY, "close", "entry_date", *GROWTH)
+
+
 # ---- scoring ----------------------------------------------------------
 def combine_scores(scores: DataFrame, agg: str = "score", group: Sequence[str] = ("playbook_date",)) -> DataFrame:
     """Member scores (cohort, symbol, model, score) to one: the mean, or minus the mean rank."""

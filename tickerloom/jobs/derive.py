@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tickerloom.functions import numbers as N
 from tickerloom.functions import periods as P
-from tickerloom.operators import asof, windows as W
+from tickerloom.operators import asof, recursion, windows as W
+from tickerloom.session import stage
 
 MA_LENGTHS = (5, 10, 20, 60, 120, 240)
 KEYS = ["date", "market", "symbol"]
@@ -57,6 +58,24 @@ def technical_indicators(quotes: DataFrame, flows: DataFrame, start: str | None
     )
 
 
+def technical_run(quotes: DataFrame, flows: DataFrame, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(indicator rows of the given days, state after them): both inputs hold new days only.
+
+    `state` is what the last run returned; without one the given days are the whole history. Rows equal those of
+    `technical_indicators` over all days. A symbol without new days keeps its state.
+    """
+    nets = ["foreign_net", "trust_net", "dealer_net"]
+    df = quotes.select("date", "symbol", "high", "low", "close", "volume").join(
+        flows.select("date", "symbol", *nets), ["date", "symbol"], "left"
+    )
+    made = stage(recursion.with_continued_indicators(df, state, MA_LENGTHS, nets))
+    shown = [f.name for f in made.schema.fields if f.name not in ("high", "low", "close", "volume", *nets, *recursion.STATE_COLUMNS)]
+    clean = [F.when(~F.isnan(f.name), F.col(f.name)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in made.schema.fields if f.name in shown]
+    fresh = made.where("s_last IS NOT NULL").select("symbol", *recursion.STATE_COLUMNS)
+    after = fresh if state is None else fresh.unionByName(state.join(fresh.select("symbol"), "symbol", "left_anti"))
+    return made.select(*clean), stage(after)
+
+
 # ---- valuation_daily --------------------------------------------------
 def trailing_eps(reports: DataFrame) -> DataFrame:
     """Sum of the last four reported quarters with its statutory publish date."""

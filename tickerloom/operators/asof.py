@@ -60,25 +60,49 @@ def asof_backward(
     return out.select(*left.columns, *picked)
 
 
+def asof_families(
+    left: DataFrame, families: Sequence[tuple[DataFrame, str, Sequence[str], str | None]], keys: Sequence[str], left_on: str
+) -> DataFrame:
+    """Left rows with the last row of every family at or before them: (table, its time, columns, name of the matched time or None).
+
+    All tables and the left rows are united once and read in time order per key, holding the last state of each
+    family: one exchange for any number of families, and no join back. Left rows travel whole and may share a point.
+    """
+    keys = list(keys)
+    united = left.select(*keys, F.col(left_on).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_left"))
+    for i, (table, at, cols, _) in enumerate(families):
+        state = F.struct(F.col(at).alias("_at"), *[F.col(c) for c in cols])
+        states = table.select(*keys, F.col(at).alias("_t"), F.lit(0).alias("_side"), state.alias(f"_p{i}"))
+        united = united.unionByName(states, allowMissingColumns=True)
+    w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    held = united.select("_side", "_left", *[F.last(f"_p{i}", ignorenulls=True).over(w).alias(f"_p{i}") for i in range(len(families))])
+    picked = []
+    for i, (_, _, cols, matched_as) in enumerate(families):
+        picked += [F.col(f"_p{i}.{c}").alias(c) for c in cols]
+        picked += [F.col(f"_p{i}._at").alias(matched_as)] if matched_as else []
+    return held.where("_side = 1").select(*[F.col(f"_left.`{c}`").alias(c) for c in left.columns], *picked)
+
+
 def forward_lookup(
     points: DataFrame, right: DataFrame, keys: Sequence[str], on: str, right_on: str, cols: Sequence[str], within_days: int
 ) -> DataFrame:
     """First right row from each (key, day) point up to `within_days` later: keys, `on`, cols, `_at`.
 
-    Each distinct point asks for within_days + 1 exact days, an equi-join on
-    (key, day); the earliest hit wins. Right rows must be unique per (key, day).
+    Points and right rows are united and read backwards per key: the last right row seen is the next one in time,
+    and counts if it is near enough. One row a point and one exchange, however wide the span. Right rows must be
+    unique per (key, day).
     """
     keys = list(keys)
-    days = F.sequence(F.lit(0), F.lit(within_days))
-    later = F.transform(days, lambda i: F.date_add(F.col(on).cast("date"), i).cast("string"))
-    asked = points.select(*keys, on).where(F.col(on).isNotNull()).distinct().withColumn("_day", F.explode(later))
-    states = right.select(*keys, F.col(right_on).alias("_day"), F.struct(*[F.col(c) for c in cols]).alias("_p"))
-    first = (
-        asked.join(states, [*keys, "_day"])
-        .groupBy(*keys, on)
-        .agg(F.min_by("_p", "_day").alias("_hit"), F.min("_day").alias("_at"))
+    asked = points.select(*keys, on).where(F.col(on).isNotNull()).distinct()
+    asked = asked.select(*keys, F.col(on).cast("date").alias("_t"), F.lit(1).alias("_side"), F.col(on).alias("_on"))
+    state = F.struct(F.col(right_on).cast("string").alias("_at"), F.col(right_on).cast("date").alias("_day"), *[F.col(c) for c in cols])
+    states = right.select(*keys, F.col(right_on).cast("date").alias("_t"), F.lit(0).alias("_side"), state.alias("_p"))
+    w = Window.partitionBy(*keys).orderBy(F.desc("_t"), "_side").rowsBetween(Window.unboundedPreceding, 0)
+    found = (
+        asked.unionByName(states, allowMissingColumns=True).withColumn("_hit", F.last("_p", ignorenulls=True).over(w))
+        .where("_side = 1").where(F.datediff("_hit._day", "_t") <= within_days)
     )
-    return first.select(*keys, on, *[F.col(f"_hit.{c}").alias(c) for c in cols], "_at")
+    return found.select(*keys, F.col("_on").alias(on), *[F.col(f"_hit.{c}").alias(c) for c in cols], F.col("_hit._at").alias("_at"))
 
 
 def asof_forward(

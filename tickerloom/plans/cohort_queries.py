@@ -12,7 +12,7 @@ from tickerloom.operators import asof, ranks, windows as W
 from tickerloom.plans import views as V
 from tickerloom.plans.oracle_views import with_views
 from tickerloom.plans.registry import query
-from tickerloom.plans.series_queries import _round_all
+from tickerloom.plans.series_queries import _VAL, _round_all, pe_ratio
 from tickerloom.session import stage
 
 R = N.rnd
@@ -195,13 +195,46 @@ def _strategy(spark, sf, extra=()):
     )
 
 
-@query("strategy_cohort", "C7 J5 J9 J14 W12 P13 P17 F4 F5", with_views(_STRAT + f"""
-SELECT playbook_date, symbol, name, industry, rnd(anchor_eps, 6) AS anchor_eps, rnd(ttm_eps, 6) AS ttm_eps, rnd({_div('close', 'ttm_eps')}, 4) AS pe_current, rnd(quote_volume / 1000, 6) AS volume_lots,
- rnd(avg_volume_lots_20d, 6) AS avg_volume_lots_20d, quote_date, rnd(close, 4) AS close, rnd(anchor_debt_ratio, 6) AS anchor_debt_ratio, rnd(anchor_ocf_ratio, 6) AS anchor_ocf_ratio, rnd({_div('close', 'nav_per_share')}, 4) AS pb_ratio FROM strat"""))
+# The tables that a cohort reads as of its cutoff.
+_HELD = ", ".join(
+    f"rnd(CASE WHEN issued_shares > 0 THEN sum({c}_net) OVER (PARTITION BY market, symbol ORDER BY date) / issued_shares * 100 END, 4) AS {c}_held_ratio"
+    for c in ("foreign", "trust", "dealer")
+)
+_CONC = ", ".join(
+    f"rnd({v}, 4) AS {c}, rnd({v} - lag({v}) OVER (PARTITION BY symbol ORDER BY date), 4) AS {c}_wow"
+    for v, c in (("la", "large_holder_ratio"), ("mi", "mid_holder_ratio"), ("sm", "small_holder_ratio"), ("(la - sm)", "concentration_spread"))
+)
+_FAMILIES = f"""{_VAL},
+ fv AS (SELECT v.symbol, v.date, rnd(v.ttm / nullif(v.nav_per_share, 0) * 100, 2) AS roe_official, pct.p AS pe_percentile_official FROM val v LEFT JOIN pct ON v.date = pct.date AND v.symbol = pct.symbol),
+ fm AS (SELECT date, symbol, rnd(CASE WHEN ll > 0 THEN lb / ll * 100 END, 4) AS margin_usage_ratio, rnd(CASE WHEN sp > 0 THEN (buy + rep) / sp * 100 END, 4) AS short_cover_pressure, rnd(CASE WHEN r > 0 THEN s / r END, 4) AS sbl_sell_repay_ratio
+   FROM (SELECT date, symbol, sum(coalesce(margin_long_balance, 0)) AS lb, sum(coalesce(margin_long_limit, 0)) AS ll, sum(coalesce(margin_short_prev_balance, 0)) AS sp, sum(coalesce(margin_short_buy, 0)) AS buy,
+     sum(coalesce(margin_short_cash_repay, 0)) AS rep, sum(coalesce(sbl_sell, 0)) AS s, sum(coalesce(sbl_repay, 0)) AS r FROM margin GROUP BY 1, 2)),
+ fi AS (SELECT date, symbol, {_HELD} FROM flows LEFT JOIN foreign_holding USING (date, market, symbol)),
+ fb AS (SELECT date, symbol, {_CONC} FROM (SELECT date, symbol, sum(CASE WHEN level BETWEEN 12 AND 15 THEN percentage ELSE 0 END) AS la, sum(CASE WHEN level BETWEEN 9 AND 11 THEN percentage ELSE 0 END) AS mi,
+   sum(CASE WHEN level BETWEEN 1 AND 8 THEN percentage ELSE 0 END) AS sm FROM shareholding GROUP BY 1, 2)),
+ fc AS (SELECT *, CASE WHEN large_holder_ratio_wow > 0 AND lag(large_holder_ratio_wow) OVER (PARTITION BY symbol ORDER BY date) > 0 THEN 1 ELSE 0 END AS large_holder_two_week_up FROM fb)"""
+_FAMILY_COLUMNS = [
+    "roe_official", "pe_percentile_official", "margin_usage_ratio", "short_cover_pressure", "sbl_sell_repay_ratio", "foreign_held_ratio", "trust_held_ratio",
+    "dealer_held_ratio", *cohort.HOLDER_FEATURES,
+]
+_FAMILY_JOINS = " ".join(f"ASOF LEFT JOIN {f} ON {f}.symbol = strat.symbol AND strat.cutoff_date >= {f}.date" for f in ("fv", "fm", "fi", "fc"))
+
+
+def _families(spark, sf):
+    margin, flows, foreign = V.margin(spark, sf), V.flows(spark, sf), V.foreign_holding(spark, sf)
+    held = [derive.cumulative_holding(flows, foreign, f"{c}_net", c) for c in ("foreign", "trust", "dealer")]
+    valuation = derive.valuation(V.quotes(spark, sf), V.reports(spark, sf), pe_ratio(spark, sf))
+    return cohort.feature_families(valuation, derive.margin_pressure(margin), derive.short_interest(margin), *held, derive.concentration(V.shareholding(spark, sf)))
+
+
+@query("strategy_cohort", "C7 J5 J9 J14 W12 P13 P17 F4 F5", with_views(_STRAT + f""", {_FAMILIES}
+SELECT strat.playbook_date, strat.symbol, name, industry, rnd(anchor_eps, 6) AS anchor_eps, rnd(ttm_eps, 6) AS ttm_eps, rnd({_div('close', 'ttm_eps')}, 4) AS pe_current, rnd(quote_volume / 1000, 6) AS volume_lots,
+ rnd(avg_volume_lots_20d, 6) AS avg_volume_lots_20d, quote_date, rnd(close, 4) AS close, rnd(anchor_debt_ratio, 6) AS anchor_debt_ratio, rnd(anchor_ocf_ratio, 6) AS anchor_ocf_ratio, rnd({_div('close', 'nav_per_share')}, 4) AS pb_ratio,
+ {', '.join(_FAMILY_COLUMNS)} FROM strat {_FAMILY_JOINS}"""))
 def strategy_cohort(spark, sf):
-    df = _strategy(spark, sf)
+    df = _strategy(spark, sf, _families(spark, sf))
     digits = {"anchor_eps": 6, "ttm_eps": 6, "pe_current": 4, "volume_lots": 6, "avg_volume_lots_20d": 6, "close": 4, "anchor_debt_ratio": 6, "anchor_ocf_ratio": 6, "pb_ratio": 4}
-    return df.select("playbook_date", "symbol", "name", "industry", "quote_date", *[R(c, d).alias(c) for c, d in digits.items()])
+    return df.select("playbook_date", "symbol", "name", "industry", "quote_date", *[R(c, d).alias(c) for c, d in digits.items()], *_FAMILY_COLUMNS)
 
 
 @query("cohort_holder_features", "C7 A5 J5", with_views("""
@@ -291,6 +324,34 @@ def trade_candidates(spark, sf):
     return _round_all(df, 4).orderBy("playbook_date", F.desc("eps_growth_total_pct"), "symbol")
 
 
+_FINAL_FEATURES = [
+    *[f"close_vs_ma{n}" for n in (5, 10, 20, 60, 240)], *[f"vol_vs_vma{n}" for n in (5, 10, 20)], "ma5_vs_ma20", "ma20_vs_ma60", "bb_position",
+    "revenue_yoy_1m", "revenue_mom_1m", "revenue_yoy_3m_avg", "revenue_yoy_accel",
+]
+
+
+@query("finalized_cohort", "C8 C9 J8 P15 P16 W23", with_views(_GROWTH + f""", keys AS (SELECT playbook_date, symbol, cutoff_date, month FROM fin), {_REV}, {_IND}
+SELECT f.playbook_date, f.symbol, e.entry_date, f.quote_date, rnd(f.close, 4) AS close, rnd(base_pct, 4) AS base_eps_growth_pct, rnd(ml_pct, 4) AS ml_eps_delta_pct, rnd(base_pct + ml_pct, 4) AS eps_growth_total_pct,
+ {', '.join(f"{_vs('i.close', f'ma{n}')} AS close_vs_ma{n}" for n in (5, 10, 20, 60, 240))}, {', '.join(f"{_vs('i.volume', f'vma{n}')} AS vol_vs_vma{n}" for n in (5, 10, 20))}, {_vs('ma5', 'ma20')} AS ma5_vs_ma20, {_vs('ma20', 'ma60')} AS ma20_vs_ma60,
+ rnd(CASE WHEN 4 * sd > 0 THEN (i.close - (ma20 - 2 * sd)) / ((ma20 + 2 * sd) - (ma20 - 2 * sd)) END, 6) AS bb_position,
+ rnd(CASE WHEN fresh THEN y1 END, 6) AS revenue_yoy_1m, rnd(CASE WHEN fresh THEN m1 END, 6) AS revenue_mom_1m, rnd(CASE WHEN fresh THEN y3 END, 6) AS revenue_yoy_3m_avg, rnd(CASE WHEN fresh THEN y1 - y3ago END, 6) AS revenue_yoy_accel,
+ coalesce(base_pct IS NOT NULL AND ml_pct IS NOT NULL AND f.close > 0 AND base_pct + ml_pct > 0, false) AS candidate
+FROM fin f JOIN entries e ON e.playbook_date = f.playbook_date AND e.entry_date IS NOT NULL ASOF LEFT JOIN ind i ON i.symbol = f.symbol AND f.cutoff_date >= i.date
+LEFT JOIN rf ON rf.playbook_date = f.playbook_date AND rf.symbol = f.symbol"""))
+def finalized_cohort(spark, sf):
+    """All cohorts that can be entered: those up to the last trading day."""
+    days = V.calendar(spark, sf)
+    df = _strategy(spark, sf).withColumn("pred_delta", F.col("ly_target_eps") - F.col("pre_anchor_eps"))
+    df = stage(df.join(V.entries(spark, sf).where("entry_date IS NOT NULL").select("playbook_date"), "playbook_date", "left_semi"))
+    rows, candidates = cohort.finalize(df.drop("pred_delta"), df.select("playbook_date", "symbol", "pred_delta"), days, _indicators(spark, sf), V.monthly(spark, sf))
+    marked = rows.join(candidates.select("playbook_date", "symbol", F.lit(True).alias("candidate")), cohort.KEY, "left")
+    four, six = ["close", *cohort.GROWTH], _FINAL_FEATURES
+    return marked.select(
+        "playbook_date", "symbol", "entry_date", "quote_date", *[R(c, 4).alias(c) for c in four], *[R(c, 6).alias(c) for c in six],
+        F.coalesce("candidate", F.lit(False)).alias("candidate"),
+    )
+
+
 @query("look_ahead_guard", "C9", with_views(f"""
 WITH {_KEYS}, {_REV}, q AS (SELECT k.playbook_date, k.cutoff_date, max(x.date) AS quote, max(x.date) FILTER (x.date < k.cutoff_date) AS tech FROM keys k LEFT JOIN quotes x ON x.symbol = k.symbol AND x.date <= k.cutoff_date GROUP BY 1, 2),
  g AS (SELECT q.*, (SELECT max(rev_max_publish_time) FROM rf WHERE rf.playbook_date = q.playbook_date) AS rev FROM q),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import functions as F
 
 from tickerloom.functions import numbers as N
@@ -159,10 +161,25 @@ def technical_indicators(spark, sf):
 @query("technical_window_override", "K9 C1", with_views(_TECHNICAL + " WHERE date BETWEEN '1998-01-01' AND '1998-12-31'"))
 def technical_window_override(spark, sf):
     """All columns of one year, the same as in a full run."""
-    df = derive.technical_indicators(V.quotes(spark, sf, end="1998-12-31"), V.flows(spark, sf), start="1998-01-01", end="1998-12-31")
+    df = derive.technical_indicators(V.quotes(spark, sf, end="1998-12-31"), V.flows(spark, sf, end="1998-12-31"), start="1998-01-01", end="1998-12-31")
     return _round_all(df, 4)
 
 
+# First days of the runs that follow each other in `technical_incremental`.
+RUNS = (None, "1994-05-10", "1997-01-01", "1998-08-01")
+
+
+@query("technical_incremental", "K9 C1 W1 W3 W4 W5 W7", with_views(_TECHNICAL))
+def technical_incremental(spark, sf):
+    """Four runs, each over its own days only and the state the run before left."""
+    state = out = None
+    for start, following in zip(RUNS, (*RUNS[1:], None)):
+        end = following and str(date.fromisoformat(following) - timedelta(days=1))
+        rows, state = derive.technical_run(V.quotes(spark, sf, start, end), V.flows(spark, sf, start, end), state)
+        out = rows if out is None else out.unionByName(rows)
+    return _round_all(out, 4)
+
+
 def _holding_sql(prefix):
     return with_views(f"""
 WITH cum AS (SELECT date, market, symbol, sum({prefix}_net) OVER (PARTITION BY market, symbol ORDER BY date) AS h FROM flows)
@@ -239,7 +256,7 @@ def price_report_asof(spark, sf):
     return df.withColumn("ttm_eps_official", R("ttm_eps_official", 6))
 
 
-def _pe_ratio(spark, sf):
+def pe_ratio(spark, sf):
     """Official PE per line: several rows share a key, the order of lines decides."""
     li = V._keyed(V.table(spark, sf, "lineitem"))
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
@@ -262,7 +279,7 @@ SELECT v.date, v.symbol, rnd(v.close, 4) AS close, rnd(v.ttm, 6) AS ttm_eps_offi
   rnd(v.ttm / nullif(v.nav_per_share, 0) * 100, 2) AS roe_official
 FROM val v LEFT JOIN pe ON v.date = pe.date AND v.symbol = pe.symbol LEFT JOIN pct ON v.date = pct.date AND v.symbol = pct.symbol"""))
 def valuation_daily(spark, sf):
-    df = derive.valuation(V.quotes(spark, sf), V.reports(spark, sf), _pe_ratio(spark, sf))
+    df = derive.valuation(V.quotes(spark, sf), V.reports(spark, sf), pe_ratio(spark, sf))
     return df.withColumns({"close": R("close", 4), "ttm_eps_official": R("ttm_eps_official", 6)})
 
 
@@ -315,7 +332,7 @@ WITH {_VAL} SELECT v.symbol, v.date, coalesce(pct.p, -1) AS pe_percentile FROM v
 def pe_percentile_backfill(spark, sf):
     from tickerloom.sinks import load
 
-    stored = derive.valuation(V.quotes(spark, sf), V.reports(spark, sf), _pe_ratio(spark, sf))
+    stored = derive.valuation(V.quotes(spark, sf), V.reports(spark, sf), pe_ratio(spark, sf))
     stored = stage(stored.select("symbol", "date", "pe_percentile_official"))
     fresh = stored.where("pe_percentile_official IS NOT NULL").select("symbol", "date", F.col("pe_percentile_official").alias("pe_percentile"))
     old = stored.select("symbol", "date", F.lit(-1.0).alias("pe_percentile"))

@@ -85,10 +85,10 @@ def quotes(spark: SparkSession, sf: str, start: str | None = None, end: str | No
     )
 
 
-def flows(spark: SparkSession, sf: str) -> DataFrame:
-    """Net institutional buying per day and symbol."""
+def flows(spark: SparkSession, sf: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Net institutional buying per day and symbol, of a span of days if given."""
     q = F.col("l_quantity")
-    return _named(table(spark, sf, "lineitem").groupBy(F.col("l_shipdate").cast("date").alias("_day"), "l_suppkey").agg(
+    return _named(_between(table(spark, sf, "lineitem"), start, end).groupBy(F.col("l_shipdate").cast("date").alias("_day"), "l_suppkey").agg(
         F.sum(F.when(F.col("l_returnflag") == "R", -q).when(F.col("l_returnflag") == "A", q).otherwise(0.0)).alias("foreign_net"),
         F.sum(F.when(F.col("l_linestatus") == "O", q).otherwise(-q)).alias("trust_net"),
         F.sum(F.when(F.col("l_discount") > 0.05, q).when(F.col("l_discount") < 0.05, -q).otherwise(0.0)).alias("dealer_net"),
