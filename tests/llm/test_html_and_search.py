@@ -65,7 +65,25 @@ NAMED = [
     ('<form action="/"><div><p>a long body of a page within a form</p></div><div class="footer">no</div></form><p>b</p>', "a long body of a page within a form b"),
     ('<form><nav>no no no no no no no no</nav><article><p>a</p></article></form>', "a"),
     ('<div class="page-banner"><article><p>a</p></article></div><nav>no no no no</nav>', "a"),
-    ('<article><h1>a</h1><form><p>all the text of it</p></form></article>', "a all the text of it"),
+    ('<article><h1>a</h1><form><p>no: a form is left out however much it holds</p></form></article>', "a"),
+    ('<p>a</p><div class="cookie-banner">no no no no no no no no</div>', "a"),
+    ('<p>a</p><div class="sidebar"><p>no no no no no no no no</p></div>', "a"),
+    ('<h1>a</h1><p>b</p><div class="ad">no no no no no no no</div><div class="footer">no no no no no no</div>', "a b"),
+    ('<article><h1>a</h1><div class="notice">no</div><div class="alert">no</div><p>b</p><div class="feedback">no</div><div class="search-form">no</div></article>', "a b"),
+    ('<div class="post"><h1>a</h1><p>a long body</p></div><article class="teaser"><p>no</p></article>', "a a long body"),
+    ('<div class="post"><h1>a</h1><p>a long body</p></div><article><p>b</p></article>', "a a long body b"),
+    ('<p>no</p><div><h1>a</h1><article><p>b</p></article></div><p>no</p>', "a b"),
+    ('<h1>a</h1><article><p>b</p></article><div><p>no</p></div>', "a b"),
+    ('<article><p>a</p><article class="comment"><p>no</p></article></article>', "a"),
+    ('<form class="search"><p>no</p><button>no</button></form><p>a</p>', "a"),
+    *[
+        (f'<article><h1>a</h1><p>b</p><div class="{name}"><p>no</p></div></article>', "a b")
+        for name in (
+            "related-articles", "read-more", "author-bio", "adsbygoogle", "ads-top", "ad-banner-top", "disqus_thread", "comment-body", "sidebar-right",
+            "nav-bar-top", "cookie-consent-text", "related_articles right",
+        )
+    ],
+    ('<div class="header-top">no</div><div class="site-header-top">no</div><p>a</p>', "a"),
     ('<div><p>a</p></div><section id="comments"><article><p>no, a long comment of a reader</p></article></section>', "a"),
     ('<p>some text of the page</p><form>no</form><div class="site-footer">no</div><div class="ad-slot">no</div>', "some text of the page"),
     ('<article><p>a</p></article><nav class="main">no no no no no</nav><div style="display:none">no no no no no</div>', "a"),
@@ -75,8 +93,17 @@ NAMED = [
 @pytest.mark.parametrize("page,text", NAMED)
 def test_names_cut_no_article(page, text):
     stream, texts = html.blocks(page)
-    paths = html.content_paths(html.show(html.nested(html.safe(stream))))
-    assert " ".join(t for p, t in texts if p in paths) == text
+    paths = frozenset(html.content_paths(html.show(html.nested(html.safe(stream)))))
+    assert " ".join(html.article([("/".join(html.safe(p.split("/"))), t) for p, t in texts], paths)) == text
+
+
+def test_region_is_chosen_per_page(spark):
+    data = [
+        (1, "<article><h1>A</h1><p>one</p></article>"), (2, '<div class=post><h1>T</h1><p>long body</p></div><article class=teaser><p>x</p></article>'),
+        (3, "<h1>H</h1><article><p>three</p></article><div><p>aside</p></div>"), (4, "<div><p>no region</p></div>"),
+    ]
+    pages = spark.createDataFrame([(i, "https://h.org/" + str(i), h) for i, h in data], "page_id long, url string, html string")
+    assert rows(html.extract(pages), "page_id", "text") == [(1, "A\none"), (2, "T\nlong body"), (3, "H\nthree"), (4, "no region")]
 
 
 def test_pages_odd_rows(spark):

@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from llm_fixtures import docs_of, odd_docs, rows  # noqa: F401
 from pyspark.sql import functions as F
@@ -50,6 +51,21 @@ def test_repeated_strings_match_brute_force(docs_of, seed):
     assert [got[i] for i in range(len(texts))] == removed_by_force([t.encode() for t in texts], 400)
 
 
+def test_cover_of_a_long_text_in_parts():
+    raw = np.frombuffer(text_of(random.Random(7), 3000).encode(), np.uint8)
+    prefix = suffix_dedup.ROLL.prefix(raw)
+    # The low 24 bits of a fingerprint give way to the position, so ties within a part fall alike.
+    assert (suffix_dedup.cover(prefix, 24, 48, most=500) == suffix_dedup.cover(prefix, 24, 48)).all()
+
+
+def test_digest_carries_the_kept_text(docs_of):
+    passage = text_of(random.Random(3), 150, 9000)
+    got = suffix_dedup.dedup_digest(docs_of([(1, "one " + passage), (2, passage + " two"), (3, "three"), (4, passage * 2), (5, passage * 2), (6, None)]))
+    found = {r["doc_id"]: (r["text"], r["kept_sha256"]) for r in got.collect()}
+    assert {i: t for i, (t, _) in found.items()} == {1: "one ", 2: " two", 3: "three", 4: "", 5: "", 6: ""}
+    assert all(h == hashlib.sha256(t.encode()).hexdigest() for t, h in found.values())
+
+
 def test_repeated_strings_odd_rows(spark, odd_docs):
     got = suffix_dedup.dedup_digest(odd_docs)
     assert got.count() == odd_docs.count()
@@ -235,7 +251,53 @@ def test_quality_fences_come_from_the_sketch(spark):
     assert said == {("word_length", "group"): 301, ("symbol_ratio", "floor"): 301, ("line_ratio", "group"): 301, ("repeat_ratio", "group"): 301}
 
 
+def test_quality_fence_of_symbols_is_the_groups_own(spark):
+    rng = random.Random(6)
+    data = []
+    for i in range(400):  # every twentieth of source a holds some symbols, every second of source b
+        words = text_of(rng, 100, 5000).split()
+        for j in range(8 if (i % 20 == 0 if i < 200 else i % 2) else 0):
+            words[j] += "#"
+        data.append((i, " ".join(words), "en", "a" if i < 200 else "b", 0))
+    data.append((1000, " ".join([w + "#" for w in text_of(rng, 20, 5000).split()] + text_of(rng, 80, 5000).split()), "en", "a", 0))
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["kept"] for r in quality.judged(docs).collect()}
+    assert not got[1000] and all(got[i] for i in range(400))
+    said = {(r["measure"], r["fence"]): (r["n_rows"], r["n_rejected"]) for r in quality.decisions(docs).collect()}
+    assert said[("symbol_ratio", "group")] == (401, 1)
+
+
 # ---- mixing ------------------------------------------------------------
+def test_rates_are_the_least_squares_optimum(spark):
+    """Overlapping posteriors: the totals meet a target that can be met; else the deviation that is left is said."""
+    rng = random.Random(7)
+    data = [(i, rng.randrange(10, 90), *sorted([rng.random(), rng.random()])) for i in range(300)]
+    members = spark.createDataFrame([(n, [a, b - a, 1 - b]) for _, n, a, b in data], "n_tokens long, p array<double>").coalesce(1).cache()
+    p, tokens = np.array([[a, b - a, 1 - b] for _, _, a, b in data]), np.array([n for _, n, _, _ in data], float)
+    for target, most, reachable in (([0.45, 0.3, 0.25], 100, True), ([0.97, 0.02, 0.01], 6, False)):
+        steps, deviation = mixing.fit_rates(members, target, most_steps=most)
+        rate, goal = np.ones(len(p)), np.array(target) * tokens.sum()
+        for g in steps:
+            rate = np.maximum(0, rate - p @ np.array(g))
+        assert abs(np.abs((rate * tokens) @ p / goal - 1).max() - deviation) < 1e-9 and (deviation < 1e-4) == reachable
+
+
+def test_targets_that_cannot_be_met_are_refused(spark):
+    docs = spark.createDataFrame([(i, f"{'ab'[i % 2]}{i % 7} same words here") for i in range(60)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(60)], "doc_id long, domain string")
+    with pytest.raises(ValueError, match="no labelled row has the domains"):
+        mixing.mix_members(docs, known, {"a": 0.5, "c": 0.5})
+    with pytest.raises(ValueError, match="deviate by"):
+        mixing.mix_members(docs, known, {"a": 1.0})
+
+
+def test_rare_domain_has_a_column(spark):
+    docs = spark.createDataFrame([(i, ("rare" if i == 7 else "often") + f" w{i}") for i in range(400)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, "r" if i == 7 else "o") for i in range(400)], "doc_id long, domain string")
+    _, domains, _ = mixing.mix_members(docs, known, labelled_rows=20)
+    assert domains == ["o", "r"]
+
+
 def test_rates_meet_the_targets(spark):
     rng = random.Random(6)
     data, labels = [], []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
 
@@ -14,6 +15,8 @@ from tickerloom.session import shared_folder
 
 # A side is broadcast only when it was counted and has no more rows than this (some 16 to 32 bytes each).
 BROADCAST_ROWS = 500_000
+# The same for tables with a text column: the most bytes of all its values together.
+BROADCAST_BYTES = 16 << 20
 # Bytes of text that one numpy step works on at a time: bounds a worker's memory whatever the batch holds.
 CHUNK_BYTES = 1 << 18
 
@@ -22,10 +25,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def store(df: DataFrame) -> DataFrame:
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders that `store` writes within are removed at the end, but for those stored with `outlive`.
+
+    What is returned from such a block must not read the others any more: store it with `outlive` first.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for folder in _SCOPES.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def store(df: DataFrame, outlive: bool = False) -> DataFrame:
     """Write `df` as Parquet to the folder all executors share and read it again: cuts lineage, keeps columns prunable."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+    level = len(_SCOPES) - 1 - outlive
+    if level >= 0:
+        _SCOPES[level].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -35,6 +59,17 @@ def small_side(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= rows else stored
 
 
+def looked_up(big: DataFrame, stored: DataFrame, key: str, spread: str, salts: int = 32, wide: str | None = None) -> DataFrame:
+    """`big` left-joined with a stored table of unique keys. A key may hold any share of `big`: the table is broadcast
+    if it is counted to be small (in bytes of its text column `wide`, if given), else its rows are repeated over `salts`
+    and `big` is dealt by key and a hash of `spread`."""
+    size = stored.count() if wide is None else stored.agg(F.sum(F.octet_length(wide))).first()[0] or 0
+    if size <= (BROADCAST_ROWS if wide is None else BROADCAST_BYTES):
+        return big.join(F.broadcast(stored), key, "left")
+    dealt = stored.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return big.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).join(dealt, [key, "__salt"], "left").drop("__salt")
+
+
 def text_or_empty(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

@@ -9,14 +9,15 @@
    most `chunk` streams by salt; the chunks' expressions are aligned in further rounds until one is left
    per host, so no task holds all of a large host.
 3. **Slots.** A slot of the expression is known by the path of tags (with class, id and role) around it. Slots
-   in menus, headers, footers, sidebars, notices, adverts, forms and comments are left out (by tag, or by a
-   name's head word; not if the element holds most of the page's text or its only main region); if the host's
-   expression has a main region (article, main or a like class), only slots within it stay, else all others.
+   in menus, headers, footers, sidebars, notices, adverts, forms, comments and teasers of other articles are left
+   out, by tag or by name and never by size; an element that encloses the page's only main region is none of them.
    Text that pages repeat is kept: how often a block occurs on a host decides nothing.
-4. **Extraction.** Each page's blocks at the host's content slots, in page order.
+4. **Extraction.** Each page's blocks at the host's content slots, in page order: those in the page's own main
+   regions (article, main or a like class) and its headline, else all. A headline outside them brings the
+   blocks around it along if no main region stands among these.
 
 Defined results: null or empty html gives an empty text; a page without url (or host) is of host ''; pages
-that lack the host's main region give all their blocks outside boilerplate; repeated rows give equal rows.
+without a main region give all their blocks outside boilerplate; repeated rows give equal rows.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import small_side, store
+from tickerloom.llm.common import looked_up, store
 
 ATTRS = r"""(?:(?>"[^"]*"|'[^']*'|[^>"']|["'])*+)"""
 TOKEN = re.compile(
@@ -59,7 +60,8 @@ BOILER_WORDS = frozenset(
     "nav navbar navigation menu menubar header masthead footer sidebar aside ad ads advert adverts advertisement advertising adsense sponsor "
     "sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription "
     "signup login form search breadcrumb breadcrumbs pagination pager share sharing social related recommended comment comments commentlist "
-    "disqus reply replies respond widget toolbar skip copyright disclaimer toast contentinfo complementary feedback discussion".split()
+    "disqus reply replies respond widget toolbar skip copyright disclaimer toast contentinfo complementary feedback discussion "
+    "teaser teasers readmore bio adsbygoogle".split()
 )
 MAIN_TAGS = frozenset(["article", "main"])
 MAIN_WORDS = frozenset(["article", "articlebody", "main", "maincontent", "postcontent", "entrycontent", "articlecontent", "storybody", "pagecontent"])
@@ -67,46 +69,61 @@ NEVER_BY_WORD = frozenset(["html", "body", "main", "article"])
 STATES = ("has", "with", "no", "is", "without")
 # Words at the end of a name that only say how the element is laid out: the word before them is its head.
 FORMS = frozenset("area bar block box button buttons container content default group icon icons inner item items link links list outer panel posts section slot slots stories unit wrap wrapper".split())
+# Words that say where an element stands or what it holds; after a leading boilerplate word they change nothing.
+PLACES = frozenset("top bottom left right center middle text body thread articles message wide small large mobile desktop fixed sticky".split())
+# Words before a name that only say whose it is.
+OWNERS = frozenset("site page global".split())
 # Words that name parts of an article when they stand in its region (or on a heading).
-PART_WORDS = frozenset("header masthead banner discussion notice notices alert feedback form search".split())
-# What readers or other articles add is never the page's own text, however much it is.
-OTHERS_WORDS = frozenset("comment comments commentlist disqus reply replies respond related recommended".split())
+PART_WORDS = frozenset("header masthead discussion".split())
+# What readers or other articles add is no main region, whatever its tag.
+OTHERS_WORDS = frozenset("comment comments commentlist disqus reply replies respond related recommended teaser teasers".split())
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
-FREE_TAGS = frozenset(["form", "fieldset", "header"])
+# A form with page parts in it (such as a footer) frames the page and is not what readers fill in.
+FRAMES = frozenset(["form", "fieldset"])
+# Boilerplate tags that stand in forms that readers fill in.
+CONTROLS = frozenset("form fieldset button dialog input canvas audio video".split())
 
 
 def _head_words(name: str) -> set[str]:
-    """The head word of a name and the name as one word: site-footer, ad-slot; not layout-sidebar-right, content-with-sidebar."""
+    """The words of a name that decide: its head, the name as one word, and the leading word if only FORMS and PLACES follow.
+
+    site-footer, ad-slot, sidebar-right, cookie-consent-text; not layout-sidebar-right, content-with-sidebar.
+    """
     words = [w.lower() for w in PART.findall(name)]
     state = next((i for i, w in enumerate(words) if w in STATES), len(words))
     words = words[:state]
-    return {next((w for w in reversed(words) if w not in FORMS and not w.isdigit()), ""), "".join(words)}
+    head = next((w for w in reversed(words) if w not in FORMS and not w.isdigit()), "")
+    own = words[1:] if words and words[0] in OWNERS else words
+    plain = own and all(w in FORMS or w in PLACES or w in BOILER_WORDS or w.isdigit() for w in own[1:])
+    return {head, "".join(words), *(own[:1] if plain else [])}
 
 
 def _node(tag: str, attrs: str, inside: bool = False) -> tuple[str, bool]:
     """A tag with the marks that decide its role: b (left out), m (main region), . (neither); then tag, class and id.
 
-    Also whether a `b` is taken back where the element holds the page's text. `inside`: it stands in a main region.
+    Also whether a `b` is taken back where the element frames the page. `inside`: it stands in a main region.
     """
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attrs)} if attrs.strip() else {}
     names = [n for key in ("class", "id", "role", "itemprop") for n in found.get(key, "").split()]
     heads = set().union(*map(_head_words, names))
-    by_tag, main = tag in BOILER_TAGS, tag in MAIN_TAGS or any("".join(PART.findall(n)).lower() in MAIN_WORDS for n in names)
+    others = bool(OTHERS_WORDS & heads)
+    by_tag = tag in BOILER_TAGS
+    main = not others and (tag in MAIN_TAGS or any("".join(PART.findall(n)).lower() in MAIN_WORDS for n in names))
     words = BOILER_WORDS - PART_WORDS if inside or tag in HEADINGS else BOILER_WORDS
-    by_word = not main and tag not in NEVER_BY_WORD and bool(words & heads)
+    by_word = not main and (tag not in NEVER_BY_WORD or (others and tag == "article")) and bool(words & heads)
     style = found.get("style", "").replace(" ", "").lower()
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
     boiler = by_tag or by_word or hidden
     label = ".".join([tag, *re.sub(r"\d+", "0", " ".join(names)).split()][:4])
-    free = not hidden and (tag in FREE_TAGS or not by_tag) and not OTHERS_WORDS & heads
+    free = not hidden and not others and (not by_tag or tag in FRAMES or tag == "header")
     return ("b" if boiler else "m" if main else ".") + label, free
 
 
 def blocks(page: str | None) -> tuple[list[str], list[tuple[str, str]]]:
     """(token stream, [(path, text)]): block tags and slots in page order, and the text of every filled slot.
 
-    An element that its name or tag marks as boilerplate is none if it holds most of the page's text, or the
-    page's only main region.
+    An element that its name or tag marks as boilerplate is none if it encloses the page's only main region, nor is
+    a form outside main regions that encloses marked parts of the page.
     """
     stream, texts, free = _blocks(page, frozenset())
     taken: frozenset[int] = frozenset()
@@ -125,25 +142,21 @@ def _blocks(page: str | None, taken: frozenset[int]) -> tuple[list[str], list[tu
     stack: list[tuple[str, str, int]] = []
     piece: list[str] = []
     freeable: set[int] = set()
-    held: dict[int, int] = {}  # characters in each marked element
     around: set[int] = set()  # marked elements with a main region within
-    total = opened = 0
+    frames: set[int] = set()  # forms with parts of the page within
+    opened = 0
     clear = False  # a main region outside marked elements
 
     def flush() -> None:
-        nonlocal total, clear
+        nonlocal clear
         text = " ".join(entities.unescape("".join(piece)).split())
         piece.clear()
         if text:
             path = "/".join(n for _, n, _ in stack)
-            total += len(text)
             marked = [i for i, (_, n, _) in enumerate(stack) if n[0] == "b"]
             last_main = max((i for i, (_, n, _) in enumerate(stack) if n[0] == "m"), default=-1)
             clear = clear or (last_main >= 0 and not marked)
-            for i in marked:
-                held[stack[i][2]] = held.get(stack[i][2], 0) + len(text)
-                if i < last_main:
-                    around.add(stack[i][2])
+            around.update(stack[i][2] for i in marked if i < last_main)
             if stream[-1:] != ["#"]:
                 stream.append("#")
             texts.append((path, text))
@@ -191,11 +204,13 @@ def _blocks(page: str | None, taken: frozenset[int]) -> tuple[list[str], list[tu
                 node = "." + node[1:]
             elif free:
                 freeable.add(opened)
+            if node[0] == "b" and not inside and tag not in CONTROLS:
+                frames.update(n for t, m, n in stack if t in FRAMES and m[0] == "b")
             stack.append((tag, node, opened))
             stream.append(node)
     piece.append(CUT_TAG.sub("", page[last:]))
     pop(0)
-    return stream, texts, frozenset(i for i, n in held.items() if i in freeable and (2 * n > total or (i in around and not clear)))
+    return stream, texts, frozenset(i for i in freeable if i in frames or (i in around and not clear))
 
 
 # ---------------------------------------------------------------- union-free expressions
@@ -360,11 +375,29 @@ def slots(terms: list[Term] | tuple, path: tuple[str, ...] = ()) -> Iterator[str
 
 
 def content_paths(expression: str) -> list[str]:
-    """The paths of the slots that hold article text."""
-    paths = list(dict.fromkeys(slots(parse(expression))))
-    clean = [p for p in paths if not any(n[:1] == "b" for n in p.split("/"))]
-    main = [p for p in clean if any(n[:1] == "m" for n in p.split("/"))]
-    return main or clean
+    """The paths of the slots that are no boilerplate."""
+    return [p for p in dict.fromkeys(slots(parse(expression))) if not any(n[:1] == "b" for n in p.split("/"))]
+
+
+def article(texts: list[tuple[str, str]], paths: frozenset[str]) -> list[str]:
+    """The blocks of a page's article, of its (path, text) blocks at the content slots `paths`."""
+    clean = [(p, p.split("/"), t) for p, t in texts if p in paths]
+    main = [any(n[:1] == "m" for n in nodes) for _, nodes, _ in clean]
+    if not any(main):
+        return [t for _, _, t in clean]
+    is_heading = [any(n[1:].split(".")[0] in HEADINGS for n in nodes) for _, nodes, _ in clean]
+    keep = list(main)
+    top = next((i for i, (_, nodes, _) in enumerate(clean) if any(n[1:].split(".")[0] == "h1" for n in nodes)), None)
+    if top is not None and not main[top]:
+        keep[top] = True
+        nodes = clean[top][1]
+        for depth in range(len(nodes) - 1, 0, -1):  # the smallest element around the headline that holds more than headings
+            around = [i for i, (_, other, _) in enumerate(clean) if other[:depth] == nodes[:depth]]
+            if not all(is_heading[i] for i in around):
+                if not any(main[i] for i in around):
+                    keep = [k or i in around for i, k in enumerate(keep)]
+                break
+    return [t for (_, _, t), k in zip(clean, keep) if k]
 
 
 def safe(stream: list[str]) -> list[str]:
@@ -414,7 +447,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     parsed = keyed.select("host", "html").mapInPandas(streams, "host string, expression string")
     found = wrappers(parsed.groupBy("host", "expression").agg(F.count("*").alias("n")))
-    rules = small_side(store(found), 50_000)
+    rules = store(found)
 
     def texts_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, frozenset[str]] = {}
@@ -425,15 +458,11 @@ def extract(pages: DataFrame) -> DataFrame:
                     if len(known) > 5000:
                         known.clear()
                     known[expression] = frozenset(content_paths(expression or ""))
-                stream, texts = blocks(page)
-                paths = known[expression]
-                cut = [(("/".join(safe(p.split("/")))), p, t) for p, t in texts]
-                kept = [t for s, _, t in cut if s in paths]
-                if not kept:  # a page without the host's main region
-                    kept = [t for _, p, t in cut if not any(n[:1] == "b" for n in p.split("/"))]
+                found = [("/".join(safe(p.split("/"))), t) for p, t in blocks(page)[1]]
+                kept = article(found, known[expression])
                 out.append("\n".join(kept))
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": out})
 
-    shaped = keyed.join(rules, "host", "left").select("page_id", "url", "html", "expression")
+    shaped = looked_up(keyed, rules, "host", "html", wide="expression").select("page_id", "url", "html", "expression")
     made = shaped.mapInPandas(texts_of, "page_id long, url string, text string")
     return made.withColumn("n_chars", F.length("text").cast("long"))

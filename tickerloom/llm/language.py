@@ -3,9 +3,9 @@
 A text is the mean of the embeddings of its subwords: the runs of 1 to 4 letters within its words, words
 marked at both ends, lower-cased, hashed to 2^15 buckets. A softmax over the mean gives the languages.
 Embeddings and softmax are trained together by stochastic gradient descent on the driver on a bounded
-sample of labelled rows (`labelled_rows`, of each at most `sample_letters` letters of one random stretch:
-documented parameters); a held-back part of the sample sets the temperature (calibration) and the score
-below which a prediction is rejected. For scoring, embedding times softmax is folded into one number per
+sample of labelled rows (`labelled_rows`, a documented parameter). The sampled texts are read whole, in the executors:
+what comes to the driver of each is its distinct buckets (2^15 at most) and how often each occurs. A held-back part
+of the sample sets the temperature (calibration) and the score below which a prediction is rejected. For scoring, embedding times softmax is folded into one number per
 bucket and language, so a whole text of any length costs a lookup per subword, in one map without a shuffle.
 
 Defined results: `und` with score 0 for a null text or one without a letter; repeated rows get equal
@@ -19,10 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import mix, store
+from tickerloom.llm.common import mix, small_batches, store
 
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
@@ -67,6 +68,17 @@ def subwords(text: str) -> np.ndarray:
     return np.concatenate(out)
 
 
+def bucket_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of a whole text and how often each occurs, taken in stretches so that memory stays bounded."""
+    if len(text) <= STRETCH:
+        return np.unique(subwords(text), return_counts=True)
+    total = np.zeros(BUCKETS, np.int64)
+    for first in range(0, len(text), STRETCH):
+        total += np.bincount(subwords(text[first : first + STRETCH]), minlength=BUCKETS)
+    used = np.flatnonzero(total)
+    return used, total[used]
+
+
 @dataclass
 class LanguageModel:
     """Languages, logits per bucket (BUCKETS x languages), bias, temperature and the least score of an accepted prediction."""
@@ -101,13 +113,16 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-def train(texts: list[str], names: list[str], size: int = 16, epochs: int = 8, least_steps: int = 1000, rate: float = 2.0, batch: int = 32, seed: int = 3) -> LanguageModel:
-    """Stochastic gradient descent on cross-entropy, falling rate; every fifth text is held back for calibration."""
+def train(
+    found: list[tuple[np.ndarray, np.ndarray]], names: list[str], size: int = 16, epochs: int = 8, least_steps: int = 1000, rate: float = 2.0,
+    batch: int = 32, seed: int = 3,
+) -> LanguageModel:
+    """Stochastic gradient descent on cross-entropy, falling rate, on `bucket_counts` of texts; every fifth text is held back for calibration."""
     languages = sorted(set(names))
-    found = [subwords(t) for t in texts]
-    known = [i for i in range(len(texts)) if len(found[i])]
+    known = [i for i in range(len(found)) if len(found[i][0])]
     if len(languages) < 2 or not known:
         return LanguageModel(languages, np.zeros((BUCKETS, len(languages))), np.zeros(len(languages)))
+    shares = [n / max(1, n.sum()) for _, n in found]
     y = np.array([languages.index(n) for n in names])
     held = np.array([i for k, i in enumerate(known) if k % 5 == 4], np.int64)
     fit = np.array([i for k, i in enumerate(known) if k % 5 != 4], np.int64)
@@ -121,11 +136,11 @@ def train(texts: list[str], names: list[str], size: int = 16, epochs: int = 8, l
         order = rng.permutation(fit)
         for first in range(0, len(order), batch):
             pick = order[first : first + batch]
-            counts = np.array([len(found[i]) for i in pick])
-            cols = np.concatenate([found[i] for i in pick])
+            counts = np.array([len(found[i][0]) for i in pick])
+            cols = np.concatenate([found[i][0] for i in pick])
             used, where = np.unique(cols, return_inverse=True)
             share = np.zeros((len(pick), len(used)))
-            np.add.at(share, (np.repeat(np.arange(len(pick)), counts), where), np.repeat(1.0 / counts, counts))
+            share[np.repeat(np.arange(len(pick)), counts), where] = np.concatenate([shares[i] for i in pick])
             mean = share @ embed[used]
             error = _softmax(mean @ soft + bias)
             error[np.arange(len(pick)), y[pick]] -= 1.0
@@ -137,7 +152,7 @@ def train(texts: list[str], names: list[str], size: int = 16, epochs: int = 8, l
             step += 1
     model = LanguageModel(languages, embed @ soft, bias)
     if len(held):
-        z = np.stack([model.logits[found[i]].mean(0) + bias for i in held])
+        z = np.stack([shares[i] @ model.logits[found[i][0]] + bias for i in held])
         loss = lambda t: -np.log(_softmax(z / t)[np.arange(len(held)), y[held]] + 1e-12).mean()
         model.temperature = float(min(np.geomspace(0.2, 5, 33), key=loss))
         p = _softmax(z / model.temperature)
@@ -148,20 +163,27 @@ def train(texts: list[str], names: list[str], size: int = 16, epochs: int = 8, l
     return model
 
 
-def fit_languages(docs: DataFrame, labelled_rows: int = 4000, sample_letters: int = 3000) -> LanguageModel:
-    """Train on the `labelled_rows` rows of `docs` (doc_id, text, lang) with the smallest hash of id and text."""
+def fit_languages(docs: DataFrame, labelled_rows: int = 4000) -> LanguageModel:
+    """Train on the `labelled_rows` rows of `docs` (doc_id, text, lang) with the smallest hash of id and text, whole."""
     known = docs.where("lang is not null and text is not null and text <> ''")
     order = F.xxhash64("doc_id", F.octet_length("text"), F.crc32("text"))
-    # The stretch begins at a place that the hash sets, so beginnings count no more than the rest.
-    start = F.pmod(order, F.greatest(F.length("text") - sample_letters, F.lit(1))).cast("int") + 1
     # The hashes are picked first, so that no task gathers texts but those of the sample; equal rows count once.
     picked = store(known.select(order.alias("o")).distinct().orderBy("o").limit(labelled_rows))
-    sample = (
-        known.select(order.alias("o"), "lang", F.substring(F.col("text"), start, F.lit(sample_letters)).alias("text"))
-        .join(F.broadcast(picked), "o").groupBy("o").agg(F.min_by("text", "lang").alias("text"), F.min("lang").alias("lang"))
-    )
-    rows = sample.toPandas().sort_values("o")
-    return train(rows["text"].tolist(), rows["lang"].tolist())
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            found = [bucket_counts(t) for t in batch.column("text").to_pylist()]
+            lists = [pa.array([f[i].astype(np.int32) for f in found], pa.list_(pa.int32())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("lang"), *lists], ["o", "lang", "buckets", "counts"])
+
+    sample = known.select(order.alias("o"), "lang", "text").join(F.broadcast(picked), "o")
+    made = sample.mapInArrow(counted, "o long, lang string, buckets array<int>, counts array<int>").toArrow().combine_chunks()
+    ids, names = made["o"].to_pylist(), made["lang"].to_pylist()
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in made["buckets"]])]).astype(np.int64)
+    flat = [np.concatenate([c.flatten().to_numpy() for c in made[k].chunks] or [np.zeros(0, np.int32)]) for k in ("buckets", "counts")]
+    first = {ids[i]: i for i in sorted(range(len(ids)), key=lambda i: (ids[i], names[i]), reverse=True)}
+    picks = [first[o] for o in sorted(first)]
+    return train([tuple(x[ends[i] : ends[i + 1]] for x in flat) for i in picks], [names[i] for i in picks])
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import LOWER, Rolling, chunks, mix, small_batches, small_side, store, utf8, word_spans
+from tickerloom.llm.common import LOWER, Rolling, chunks, looked_up, mix, scratch, small_batches, small_side, store, utf8, word_spans
 from tickerloom.llm.graph import components
 
 ROLL = Rolling(9)
@@ -191,91 +191,121 @@ def bitmaps_allow(a: str, b: str, na: str, nb: str, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: sizes and bitmaps first, then the intersection of the sorted arrays."""
+    """The rows of the stored `pairs` (a, b and more) that link: sizes and bitmaps first, then the intersection of the sorted arrays.
+
+    Only sets that a pair asks for are dealt out, and arrays only for pairs that the bitmaps leave.
+    """
 
     @F.pandas_udf("long")
     def common(left: pd.Series, right: pd.Series) -> pd.Series:
         return pd.Series([len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(left, right)], dtype="int64")
 
-    side = lambda s: sets.select(*[F.col(c).alias(f"{c}_{s}") for c in sets.columns])
-    near = (
-        pairs.join(side("a"), F.col("a") == F.col("node_a")).join(side("b"), F.col("b") == F.col("node_b"))
-        .where(bitmaps_allow("bits_a", "bits_b", "n_a", "n_b", percent))
+    def side(s: str, asked: DataFrame, *columns: str) -> DataFrame:
+        ids = small_side(store(asked.select(F.col(s).alias("node")).distinct()))
+        return sets.join(ids, "node", "left_semi").select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns])
+
+    near = store(
+        pairs.join(side("a", pairs, "n", "bits"), "a").join(side("b", pairs, "n", "bits"), "b")
+        .where(bitmaps_allow("bits_a", "bits_b", "n_a", "n_b", percent)).select(*pairs.columns, "n_a", "n_b")
     )
     return (
-        near.select("a", "b", "n_a", "n_b", common("grams_a", "grams_b").alias("both"))
-        .where((100 + percent) * F.col("both") >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+        near.join(side("a", near, "grams"), "a").join(side("b", near, "grams"), "b")
+        .select(*pairs.columns, "n_a", "n_b", common("grams_a", "grams_b").alias("both"))
+        .where((100 + percent) * F.col("both") >= percent * (F.col("n_a") + F.col("n_b"))).select(*pairs.columns)
     )
 
 
 def node_links(docs: DataFrame, rows: DataFrame, k: int, percent: int, block: int, star_rounds: int) -> DataFrame:
-    """(node, label) of all nodes that link with another node."""
+    """(node, label) of all nodes that share a tile with another node.
+
+    `live` holds the members of tiles that still hold different labels, and only these go into the next round; what a
+    round links are labels, so its components are those of the round's own few links.
+    """
     filed = rows.select("node", F.explode("tiles").alias("tile"))
     shared = store(
         filed.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("size")).where("lo < hi")
     )
-    met = filed.join(shared.select("tile", "size"), "tile").distinct()
-    members = store(met.join(met.groupBy("node").agg(F.sum("size").alias("degree")), "node").select("tile", "node", "degree"))
-    sets = sets_of(docs, rows, members.select("node").distinct(), k, percent)
-
-    linked = labels = led = None
+    met = store(filed.join(shared.select("tile", "size"), "tile").distinct())
+    degrees = met.groupBy("node").agg(F.sum("size").alias("degree"))
+    members = store(met.join(degrees, "node").select("tile", "node", "degree"))
+    nodes = members.select("node").distinct()
+    sets = sets_of(docs, rows, nodes, k, percent)
+    label_pair = lambda x, y: (F.least(x, y).alias("p"), F.greatest(x, y).alias("q"))
+
+    def joined(found: DataFrame) -> DataFrame:
+        """(label, now): the labels that the links of `found` change."""
+        links = found.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct()
+        return components(links).where("node <> label").select(F.col("node").alias("label"), F.col("label").alias("now"))
+
+    live = members.select("tile", "node", "degree", F.col("node").alias("label"), F.lit(False).alias("led"))
+    moves = []
     for _ in range(star_rounds):
-        marked = members.withColumn("label", F.col("node")) if labels is None else (
-            members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        best = F.max_by(F.struct("node", "label"), F.struct("degree", "node")).alias("l")
+        leads = store(live.where("not led").groupBy("tile").agg(best).select("tile", F.col("l.node").alias("lead"), F.col("l.label").alias("lead_label")))
+        star = live.join(leads, "tile").where("label <> lead_label").select(
+            F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"), *label_pair("label", "lead_label")
         )
-        mixed = marked.groupBy("tile").agg(F.min("label").alias("p"), F.max("label").alias("q")).where("p <> q").select("tile")
-        live = store(marked.join(mixed, "tile"))
-        free = live if led is None else live.join(led, ["tile", "node"], "left_anti")
-        leads = store(free.groupBy("tile").agg(F.max_by("node", "degree").alias("lead"), F.max_by("label", "degree").alias("lead_label")))
-        star = live.join(leads, "tile").where("label <> lead_label").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
-        found = store(verified(star, sets, percent))
-        led = leads.select("tile", F.col("lead").alias("node")) if led is None else led.union(leads.select("tile", F.col("lead").alias("node")))
-        if found.limit(1).count() == 0 and labels is not None:
+        found = store(verified(store(star.distinct()), sets, percent))
+        progress = found.limit(1).count() > 0
+        if progress:
+            moves.append(store(joined(found)))
+            live = looked_up(live, moves[-1], "label", "node").withColumn("label", F.coalesce("now", "label")).drop("now")
+        held = live.join(leads.select("tile", "lead"), "tile", "left").withColumn("led", F.col("led") | F.coalesce(F.col("node") == F.col("lead"), F.lit(False)))
+        held = store(held.select("tile", "node", "degree", "label", "led"))
+        mixed = held.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo < hi")
+        mixed = store(mixed.select("tile", F.ceil(F.col("size") / block).cast("int").alias("blocks")))
+        mixed_rows = store(held.join(mixed, "tile"))
+        live = mixed_rows.drop("blocks")
+        if not progress or not live.limit(1).count():
             break
-        linked = found if linked is None else linked.union(found)
-        labels = components(linked)
 
-    marked = members.join(labels, "node", "left").select("tile", "node", F.coalesce("label", "node").alias("label"))
-    mixed = (
-        marked.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
-        .where("lo < hi").select("tile", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    )
-    # What has led its tile was held against all others there.
-    live = store(marked.join(mixed, "tile").join(led, ["tile", "node"], "left_anti"))
-    # A node has a bounded number of tiles; a pair is taken in the first tile that both have.
-    mine = live.groupBy("node").agg(F.sort_array(F.collect_list("tile")).alias("mine"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    laid = (
-        live.join(mine.join(sets.select("node", "n", "bits"), "node"), "node").withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("tile", "node", "label", "n", "bits", "mine", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    )
-    columns = ("node", "label", "n", "bits", "mine", "own")
-    left, right = (laid.select("tile", "i", "j", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
-    pairs = (
-        left.join(right, ["tile", "i", "j"])
-        .where("node_a < node_b and label_a <> label_b and (i = j or own_a <> own_b)")
-        .where(F.get(F.array_intersect("mine_a", "mine_b"), F.lit(0)) == F.col("tile"))
-        .where(bitmaps_allow("bits_a", "bits_b", "n_a", "n_b", percent))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    )
-    rest = store(verified(store(pairs), sets, percent))
-    if rest.limit(1).count() == 0:
-        return labels
-    return components(linked.union(rest))
+    if live.limit(1).count():
+        # What has led its tile was held against all others there.
+        open_ = mixed_rows.where("not led")
+        # A node has a bounded number of tiles; a pair is taken in the first tile that both have.
+        mine = open_.groupBy("node").agg(F.sort_array(F.collect_list("tile")).alias("mine"))
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        laid = (
+            open_.join(mine.join(sets.select("node", "n", "bits"), "node"), "node").withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("tile", "node", "label", "n", "bits", "mine", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        )
+        columns = ("node", "label", "n", "bits", "mine", "own")
+        left, right = (laid.select("tile", "i", "j", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
+        pairs = (
+            left.join(right, ["tile", "i", "j"])
+            .where("node_a < node_b and label_a <> label_b and (i = j or own_a <> own_b)")
+            .where(F.get(F.array_intersect("mine_a", "mine_b"), F.lit(0)) == F.col("tile"))
+            .where(bitmaps_allow("bits_a", "bits_b", "n_a", "n_b", percent))
+            .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), *label_pair("label_a", "label_b"))
+        )
+        found = store(verified(store(pairs), sets, percent))
+        if found.limit(1).count():
+            moves.append(store(joined(found)))
+
+    labels = nodes.withColumn("label", F.col("node"))
+    for move in moves:
+        labels = looked_up(labels, move, "label", "node").select("node", F.coalesce("now", "label").alias("label"))
+    return store(labels, outlive=True)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, tiles: int = 48, block: int = 256, star_rounds: int = 4) -> DataFrame:
     """doc_id, tkey, n (set size), component (a key; null for an empty set), component_id: one row per row of `docs`."""
-    rows = nodes_and_tiles(docs, k, percent, tiles)
-    labels = node_links(docs, rows, k, percent, block, star_rounds)
-    placed = store(
-        rows.select("doc_id", "tkey", "n", "node").join(labels, "node", "left")
-        .select("doc_id", "tkey", "n", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("component"))
-    )
-    heads = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("head"))
-    return placed.join(heads, "component", "left").select(
-        "doc_id", "tkey", "n", "component", F.when(F.col("n") > 0, F.col("head")).otherwise(F.col("doc_id")).alias("component_id")
+    with scratch(docs.sparkSession):
+        rows = nodes_and_tiles(docs, k, percent, tiles)
+        with scratch(docs.sparkSession):
+            labels = node_links(docs, rows, k, percent, block, star_rounds)
+        placed = store(
+            rows.select("doc_id", "tkey", "n", "node").join(labels, "node", "left")
+            .select("doc_id", "tkey", "n", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("component")),
+            outlive=True,
+        )
+        # Components of one row need no look-up.
+        heads = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("head"), F.count("*").alias("rows"))
+        heads = store(heads.where("rows > 1"), outlive=True)
+    grouped = F.col("rows").isNotNull()
+    return looked_up(placed, heads, "component", "tkey").select(
+        "doc_id", "tkey", "n", "component", F.when(grouped, F.col("head")).otherwise(F.col("doc_id")).alias("component_id"), "rows"
     )
 
 
@@ -284,18 +314,25 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     Rows with an empty set all stay. All columns are kept as they are.
     """
-    found = store(near_duplicates(docs, k, percent))
-    order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("tkey").alias("t"))
-    kept = found.where("component is not null").groupBy("component").agg(F.min(order).alias("keep"), F.count("*").alias("rows")).where("rows > 1")
-    judged = found.join(kept, "component").select(
-        "doc_id", "tkey", (F.col("doc_id").eqNullSafe(F.col("keep.d")) & (F.col("tkey") == F.col("keep.t"))).alias("kept")
-    )
-    # Rows are known by (doc_id, fingerprint of the text); rows that share both are repeats, of which one stays.
-    verdict = store(judged.groupBy("doc_id", "tkey").agg(F.max("kept").alias("kept"), F.count("*").alias("repeats")))
+    with scratch(docs.sparkSession):
+        touched, again = _to_drop(docs, k, percent)
     keyed = docs.withColumns({"__tkey": F.xxhash64("text")})
     match = lambda v: keyed["doc_id"].eqNullSafe(v["doc_id"]) & (keyed["__tkey"] == v["tkey"])
-    touched = small_side(store(verdict.where("not kept or repeats > 1").select("doc_id", "tkey")))
+    touched, again = small_side(touched), small_side(again)
     single = keyed.join(touched, match(touched), "left_anti").select(*docs.columns)
-    again = small_side(store(verdict.where("kept and repeats > 1").select("doc_id", "tkey")))
     repeated = keyed.join(again, match(again), "left_semi").dropDuplicates(["doc_id", "__tkey"]).select(*docs.columns)
     return single.unionByName(repeated)
+
+
+def _to_drop(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, tkey) of all rows that go or are repeated, and of those repeated rows of which one stays."""
+    found = near_duplicates(docs, k, percent).where("rows is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("tkey").alias("t"))
+    kept = store(found.groupBy("component").agg(F.min(order).alias("keep")))
+    judged = looked_up(found, kept, "component", "tkey").select(
+        "doc_id", "tkey", (F.col("doc_id").eqNullSafe(F.col("keep.d")) & (F.col("tkey") == F.col("keep.t"))).alias("kept")
+    )
+    # Rows are known by (doc_id, fingerprint of the text); rows that share both are repeats, of which one stays.
+    verdict = store(judged.groupBy("doc_id", "tkey").agg(F.max("kept").alias("kept"), F.count("*").alias("repeats")))
+    touched = store(verdict.where("not kept or repeats > 1").select("doc_id", "tkey"), outlive=True)
+    return touched, store(verdict.where("kept and repeats > 1").select("doc_id", "tkey"), outlive=True)

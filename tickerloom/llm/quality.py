@@ -5,9 +5,9 @@ One pass over whole texts counts words, symbols, repeated lines and repeated wor
 partial sketches per salt first, merged per group, so a group with a third of all rows is no hot task.
 The fences are joined back and decide. What is usual in a group passes there, whatever is usual elsewhere.
 
-Measures: mean word length (both fences) and symbols per word (upper fence) are fenced by quartiles: q75 +
-`reach` * (q75 - q25), the lower fence likewise. Repeated lines per line and repeated words per word are zero in
-most rows, so their quartiles say nothing: their upper fence is the group's q99. Only where a group has no spread
+Measures: mean word length is fenced by quartiles on both sides: q75 + `reach` * (q75 - q25), the lower fence
+likewise. Symbols per word, repeated lines per line and repeated words per word are zero in most rows, so their
+quartiles say nothing: their upper fence is the group's q99. Only where a group has no spread
 at all (q75 = q25, or q99 = q50) a least spread stands in, so that the first row that differs a little is not
 rejected; groups with fewer than `least_rows` rows use the fences of all rows. `decisions` counts per measure
 whose fence decided.
@@ -30,8 +30,8 @@ from tickerloom.llm.common import BLANK, Rolling, chunks, mix, small_batches, st
 ROLL = Rolling(5)
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
-# measure, least spread (where a group has none), fences that apply: by quartiles on both sides or above, or the upper tail
-MEASURES = (("word_length", 0.5, "both"), ("symbol_ratio", 0.02, "upper"), ("line_ratio", 0.1, "tail"), ("repeat_ratio", 0.1, "tail"))
+# measure, least spread (where a group has none), fences that apply: by quartiles on both sides, or the upper tail
+MEASURES = (("word_length", 0.5, "both"), ("symbol_ratio", 0.02, "tail"), ("line_ratio", 0.1, "tail"), ("repeat_ratio", 0.1, "tail"))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
@@ -134,7 +134,7 @@ def _fenced(docs: DataFrame, reach: float, least_rows: int, salts: int) -> DataF
             flat = q3 <= q1
             spread = F.when(flat, F.lit(least)).otherwise(q3 - q1)
             high = F.when(flat, q3 + reach * F.lit(least)).otherwise(q3) if sides == "tail" else q3 + reach * spread
-            low = q1 - reach * spread if sides == "both" else F.lit(float("-inf"))
+            low = F.lit(float("-inf")) if sides == "tail" else q1 - reach * spread
             out += [low.alias(f"low_{m}"), high.alias(f"high_{m}"), F.when(flat, F.lit("floor")).otherwise(F.lit(of)).alias(f"from_{m}")]
         return out
 

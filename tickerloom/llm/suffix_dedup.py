@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import Rolling, chunks, mix, small_batches, small_side, store, text_or_empty, utf8, word_spans
+from tickerloom.llm.common import Rolling, chunks, mix, scratch, small_batches, small_side, store, text_or_empty, utf8, word_spans
 
 ROLL = Rolling(4)
 POSITION = np.uint64((1 << 24) - 1)
@@ -75,15 +75,15 @@ def unit_prefix(data: np.ndarray, cut: np.ndarray, words: bool) -> tuple[np.ndar
     return ROLL.prefix_of(ROLL.runs(prefix, start, end)), np.concatenate([[0], np.cumsum(counts)])
 
 
-def cover(prefix: np.ndarray, gram: int, span: int) -> np.ndarray:
-    """For every i the position of the leftmost smallest gram fingerprint in [i, i + span)."""
+def cover(prefix: np.ndarray, gram: int, span: int, most: int = 1 << 24) -> np.ndarray:
+    """For every i the position of the leftmost smallest gram fingerprint in [i, i + span); `most` positions at a time."""
     h = ROLL.windows(prefix, gram)
     if len(h) < span:
         return np.zeros(0, np.int64)
-    if len(h) >= 1 << 24:  # one very long text: in overlapping parts
-        step, parts = (1 << 24) - span, []
+    if len(h) >= most:  # one very long text: in overlapping parts
+        step, parts = most - span, []
         for a in range(0, len(h) - span + 1, step):
-            parts.append(_smallest(h[a : a + (1 << 24) - 1], span)[:step] + a)
+            parts.append(_smallest(h[a : a + most - 1], span)[:step] + a)
         return np.concatenate(parts)[: len(h) - span + 1]
     return _smallest(h, span)
 
@@ -280,6 +280,11 @@ def long_enough(rule: Rule) -> Column:
 
 def removals(docs: DataFrame, rule: Rule, with_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows of texts that lose units, by tid; tids of texts of `width` units or more that occur more than once)."""
+    with scratch(docs.sparkSession):
+        return _removals(docs, rule, with_text)
+
+
+def _removals(docs: DataFrame, rule: Rule, with_text: bool) -> tuple[DataFrame, DataFrame]:
     texts = docs.select(text_id().alias("tid"), text_or_empty().alias("text"))
     sparse = store(sparse_samples(texts.where(long_enough(rule)), rule))
     grams = sparse.select("tid", F.explode(F.arrays_zip("at", "gram")).alias("s")).select("tid", "s.at", "s.gram")
@@ -311,25 +316,24 @@ def removals(docs: DataFrame, rule: Rule, with_text: bool = False) -> tuple[Data
         suffixes.select("tid", "from", "to").join(at, "tid", "left").withColumn("tied", F.coalesce("tied", none))
         .where("size(`from`) > 0 or size(tied) > 0").join(blocks.select("tid", "text"), "tid")
     )
-    gone = store(cut_out(found, rule, with_text))
-    copies = store(texts.where(long_enough(rule)).groupBy("tid").agg(F.count("*").alias("n")).where("n > 1").select("tid"))
+    gone = store(cut_out(found, rule, with_text), outlive=True)
+    copies = store(texts.where(long_enough(rule)).groupBy("tid").agg(F.count("*").alias("n")).where("n > 1").select("tid"), outlive=True)
     return gone, copies
 
 
 def dedup_digest(docs: DataFrame, width: int = 400) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256: a row for every row of `docs`."""
-    gone, copies = removals(docs, rule_of(width, words=False))
-    base = docs.select("doc_id", text_id().alias("tid"), F.octet_length(text_or_empty()).cast("long").alias("n_bytes"), F.sha2(text_or_empty(), 256).alias("sha"))
-    whole = F.col("copied").isNotNull()
-    return (
-        base.join(gone.drop("kept"), "tid", "left").join(copies.withColumn("copied", F.lit(1)), "tid", "left")
-        .select(
-            "doc_id", "n_bytes",
-            F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-            F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-            F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-        )
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, text (what is kept): a row for every row of `docs`."""
+    gone, copies = removals(docs, rule_of(width, words=False), with_text=True)
+    ids, twice = small_side(gone.select("tid")), small_side(copies)
+    rows = docs.select("doc_id", text_id().alias("tid"), F.octet_length(text_or_empty()).cast("long").alias("n_bytes"), text_or_empty().alias("text"))
+    single = rows.join(twice, "tid", "left_anti")
+    as_digest = lambda df, removed, spans, sha, text: df.select(
+        "doc_id", "n_bytes", removed.cast("long").alias("n_removed"), spans.cast("long").alias("n_spans"), sha.alias("kept_sha256"), text.alias("text")
     )
+    whole = as_digest(rows.join(twice, "tid", "left_semi"), F.col("n_bytes"), F.lit(1), F.sha2(F.lit(""), 256), F.lit(""))
+    same = as_digest(single.join(ids, "tid", "left_anti"), F.lit(0), F.lit(0), F.sha2("text", 256), F.col("text"))
+    cut = single.join(ids, "tid", "left_semi").drop("text").join(gone, "tid")
+    return whole.unionByName(same).unionByName(as_digest(cut, F.col("n_removed"), F.col("n_spans"), F.col("kept_sha256"), F.col("kept")))
 
 
 def dedup_texts(docs: DataFrame, width: int = 400, words: bool = False) -> DataFrame:
