@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,7 +30,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_session(
         "bench", f"local[{cpus}]",
-        **{"spark.driver.memory": "16g", "spark.sql.shuffle.partitions": cpus, "spark.ui.showConsoleProgress": "false"},
+        **{"spark.checkpoint.dir": os.environ.get("BENCH_CHECKPOINTS") or tempfile.mkdtemp(prefix="bench-"), "spark.driver.memory": "16g", "spark.sql.shuffle.partitions": cpus, "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["margin_pressure"](spark, sf).limit(1).collect()  # start the JVM and the Python workers

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom import schemas
 from tickerloom.jobs import quality
-from tickerloom.sinks import load
+from tickerloom.sinks import load, versions
 from tickerloom.session import stage
 from tickerloom.sources import reports
 
@@ -46,31 +46,28 @@ def convert(category: str, lines: DataFrame) -> DataFrame:
 
 
 def audit(category: str, table: DataFrame) -> DataFrame:
-    """Failed checks of a table as (date, market, check, detail), day by day and market by market; empty when it passes."""
-    key = [F.col("date").cast("string").alias("date"), "market"]
+    """Every (date, market) of a table with `failed`, its failed checks as (check, detail); one pass over the table."""
     columns, threshold = schemas.AUDITS.get(category, ([], 100))
-    found = []
-    if columns:
-        nulls = quality.null_shares(table, ["date", "market"], columns, threshold).where("NOT passed")
-        found.append(nulls.select(*key, F.lit("null_share").alias("check"), F.col("column_name").alias("detail")))
+    share = lambda c: F.avg(F.col(c).isNull().cast("double")) * 100
+    checks: list[tuple[str, Column, Column]] = [("null_share", share(c) > threshold, F.lit(c)) for c in columns]
+
+    def counted(name: str, broken: Column) -> None:
+        n = F.count_if(F.coalesce(broken, F.lit(False)))
+        checks.append((name, n > 0, n.cast("string")))
+
     if category == "daily_quotes":
-        ohlc = quality.ohlc_violations(table, ["date", "market"]).where("violations > 0")
-        found.append(ohlc.select(*key, F.lit("ohlc"), F.col("violations").cast("string")))
+        counted("ohlc", quality.ohlc_broken())
     if category == "pe_ratio":
-        bad = quality.rule_counts(table, ["date", "market"], {"n": F.col("pe_ratio") < 0}).where("n > 0")
-        found.append(bad.select(*key, F.lit("negative_pe"), F.col("n").cast("string")))
+        counted("negative_pe", F.col("pe_ratio") < 0)
     if category == "institutional_summary":
-        gone = quality.missing_required(table, ["date", "market"], "institution", ["dealer_self", "investment_trust", "foreign_investors", "total"])
-        found.append(gone.select(*key, F.lit("institution"), F.col("missing")))
-    if not found:
-        found.append(table.limit(0).select(*key, F.lit("").alias("check"), F.lit("").alias("detail")))
-    lost = quality.rule_counts(table, ["date", "market"], {"n": F.col("src_file").isNull() | F.col("src_row").isNull()}).where("n > 0") if "src_row" in table.columns else None
-    if lost is not None:
-        found.append(lost.select(*key, F.lit("lineage"), F.col("n").cast("string")))
-    out = found[0].toDF("date", "market", "check", "detail")
-    for f in found[1:]:
-        out = out.union(f)
-    return out
+        required = F.array(*[F.lit(v) for v in ("dealer_self", "investment_trust", "foreign_investors", "total")])
+        lost = F.array_except(required, F.collect_set(F.when(F.array_contains(required, F.col("institution")), F.col("institution"))))
+        checks.append(("institution", F.size(lost) > 0, F.element_at(lost, 1)))
+    if "src_row" in table.columns:
+        counted("lineage", F.col("src_file").isNull() | F.col("src_row").isNull())
+    failed = [F.when(broken, F.struct(F.lit(name).alias("check"), detail.alias("detail"))) for name, broken, detail in checks]
+    none = F.array().cast("array<struct<check:string,detail:string>>")
+    return table.groupBy(F.col("date").cast("string").alias("date"), "market").agg((F.array_compact(F.array(*failed)) if failed else none).alias("failed"))
 
 
 def convert_daily(spark: SparkSession, raw_root: str, table_root: str, days: Sequence[str], categories: Sequence[str] = tuple(DAILY)) -> None:
@@ -88,13 +85,13 @@ def convert_daily(spark: SparkSession, raw_root: str, table_root: str, days: Seq
             raise AuditError(f"{category}: no report of {', '.join(missing)}")
         lines = reports.to_lines(_read_all(spark, [p for day in days for p in paths[day]]))
         table = stage(convert(category, lines).where(F.col("date").cast("string").isin(list(days))))
-        there = {r["date"] for r in table.select(F.col("date").cast("string").alias("date")).distinct().collect()}
-        empty = [day for day in days if day not in there]
+        found = audit(category, table).orderBy("date", "market").collect()  # a row for each day and market asked for
+        empty = [day for day in days if day not in {r["date"] for r in found}]
         if empty:
             raise AuditError(f"{category}: empty report of {', '.join(empty)}")
-        failed = audit(category, table).limit(1).collect()
-        if failed:
-            raise AuditError(f"{category} {failed[0]['date']} {failed[0]['market']}: {failed[0]['check']} {failed[0]['detail']}")
+        for r in found:
+            if r["failed"]:
+                raise AuditError(f"{category} {r['date']} {r['market']}: {r['failed'][0]['check']} {r['failed'][0]['detail']}")
         load.write_slices(table, f"{table_root}/{category}", schemas.PARTITIONS["daily"])
 
 
@@ -117,6 +114,55 @@ def _read_all(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return reports.decode_files(files.select(F.col("path").alias("src_file"), "content"))
 
 
+# What each category loads: the columns of a slice (none: the table is replaced whole), whether only common stocks
+# are taken, and whether symbols are stripped first.
+LOADS = {
+    **{c: (["date", "market"], True, False) for c in ("daily_quotes", "institutional_investors", "foreign_holding", "margin_trading", "margin_sbl", "pe_ratio")},
+    "market_indices": (["date", "market"], False, False),
+    **{c: (["date", "market"], False, False) for c in ("institutional_summary", "margin_summary")},
+    "shareholding": (["date"], True, True), "monthly_revenue": (["date", "market"], True, False),
+    "stock_info": ([], False, False), "stock_tags": ([], False, False), "ex_dividend": (["year"], True, False),
+}
+
+
+class LoadError(ValueError):
+    """A stored slice does not hold what was loaded."""
+
+
+def load_category(spark: SparkSession, category: str, incoming: DataFrame, table_root: str, force: bool = False) -> DataFrame:
+    """Load rows of one category into its stored table by the rules of `LOADS`; the rows that were written.
+
+    Slices that are stored already are left out unless `force` replaces them. What is stored afterwards is counted
+    against what was loaded, slice by slice. An empty input loads nothing.
+    """
+    slices, stocks_only, stripped = LOADS[category]
+    path = f"{table_root}/{category}"
+    rows = incoming.withColumn("symbol", F.trim(F.col("symbol").cast("string"))) if stripped else incoming
+    rows = load.load_rows(rows) if stocks_only else rows
+    if not slices:
+        if rows.limit(1).count():
+            versions.replace_table(rows, path)
+        return rows
+    if not force and _exists(spark, path):
+        rows = load.absent_slices(spark.read.parquet(path), rows, slices)
+    rows = stage(rows)
+    if not rows.limit(1).count():
+        return rows
+    load.write_slices(rows, path, slices)
+    names = [F.col(c).cast("string").alias(c) for c in slices]
+    loaded = rows.select(*names).groupBy(*slices).agg(F.count("*").alias("loaded"))
+    held = spark.read.parquet(path).select(*names).groupBy(*slices).agg(F.count("*").alias("held"))
+    wrong = loaded.join(held, slices, "left").where(~F.col("loaded").eqNullSafe(F.col("held"))).limit(1).collect()
+    if wrong:
+        raise LoadError(f"{category}: {wrong[0].asDict()}")
+    return rows
+
+
+def load_all(spark: SparkSession, incoming: dict[str, DataFrame], table_root: str, force: bool = False) -> dict[str, DataFrame]:
+    """Load several categories in the order of `LOADS`; the first that fails stops the run."""
+    return {c: load_category(spark, c, incoming[c], table_root, force) for c in LOADS if c in incoming}
+
+
 def load_table(spark: SparkSession, incoming: DataFrame, path: str, partitions: Sequence[str], force: bool = False) -> DataFrame:
     """Load slices into a stored table: absent ones only, or all of them when forced. Returns what was written."""
     rows = load.load_rows(incoming) if "symbol" in incoming.columns else incoming

@@ -23,11 +23,15 @@ def null_shares(df: DataFrame, group: Sequence[str], columns: Sequence[str], thr
     return long.select(*group, "column_name", pct.alias("null_pct"), (pct <= threshold_pct).alias("passed"))
 
 
+def ohlc_broken() -> Column:
+    """Whether a quote's high or low does not bound its open and close."""
+    c = F.col
+    return (c("high") < c("open")) | (c("high") < c("close")) | (c("low") > c("open")) | (c("low") > c("close"))
+
+
 def ohlc_violations(quotes: DataFrame, group: Sequence[str]) -> DataFrame:
     """Rows per group whose high or low does not bound open and close."""
-    c = F.col
-    bad = (c("high") < c("open")) | (c("high") < c("close")) | (c("low") > c("open")) | (c("low") > c("close"))
-    hit = F.coalesce(bad, F.lit(False)).cast("int")
+    hit = F.coalesce(ohlc_broken(), F.lit(False)).cast("int")
     return quotes.groupBy(*group).agg(F.sum(hit).alias("violations"), F.count(F.lit(1)).alias("rows"))
 
 

@@ -282,11 +282,10 @@ def monthly_rank_ic(spark, sf):
 
 @query("correlation_direction", "P23 A12", with_views(f"WITH {_PANEL}, {_LONG}, c AS (" + _CORR.format(g="feature", extra="") + """)
 SELECT feature, CASE WHEN s IS NULL THEN 'flat' WHEN s > 0.5 THEN 'strong_up' WHEN s > 0.2 THEN 'up' WHEN s < -0.5 THEN 'strong_down' WHEN s < -0.2 THEN 'down' ELSE 'non_monotonic' END AS direction
-FROM (SELECT feature, spearman * 10 AS s FROM c)"""))
+FROM (SELECT feature, spearman AS s FROM c)"""))
 def correlation_direction(spark, sf):
-    """Correlations here are weak, so they are scaled by ten before the label."""
     df = _round_all(perf.feature_correlations(_panel(spark, sf), FEATURES), 4)
-    return df.select("feature", N.correlation_label(F.col("spearman") * 10).alias("direction"))
+    return df.select("feature", N.correlation_label(F.col("spearman")).alias("direction"))
 
 
 @query("feature_quintiles", "A11 W19", with_views(f"""

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tickerloom.functions import numbers as N
-from tickerloom.jobs import quality as Q
+from tickerloom.jobs import ingest, quality as Q
 from tickerloom.operators import windows as W
 from tickerloom.plans import views as V
 from tickerloom.plans.oracle_views import with_views
 from tickerloom.plans.registry import query
 from tickerloom.plans.series_queries import _round_all
-from tickerloom.sinks import load, publish
+from tickerloom.session import shared_folder
+from tickerloom.sinks import load, publish, versions
 
 R = N.rnd
 
@@ -332,3 +335,54 @@ def first_seen_stream(spark, sf):
     stream = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet").select("user_id", "ts")
     run_first_seen(stream, f"{folder}/table", f"{folder}/progress", ["user_id"], "ts")
     return spark.read.parquet(f"{folder}/table").select("user_id", F.date_format("ts", "yyyyMMddHHmmss").alias("first_seen"))
+
+
+# ---- loads into stored tables --------------------------------------------
+def _table_root(spark):
+    return f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+
+
+@query("static_replace", "K3 C33 S20", with_views("SELECT symbol, name, issued_shares, industry, 2 AS load FROM issued"))
+def static_replace(spark, sf):
+    """A static table is loaded twice; readers see the second version whole."""
+    root, full = _table_root(spark), V.issued(spark, sf)
+    ingest.load_category(spark, "stock_info", full.where("industry < 10").withColumn("load", F.lit(1)), root)
+    ingest.load_category(spark, "stock_info", full.withColumn("load", F.lit(2)), root)
+    return versions.read_table(spark, f"{root}/stock_info")
+
+
+@query("weekly_load", "K5 C33 F1", with_views("""
+SELECT CAST(date AS VARCHAR) AS date, symbol, level, holders, shares, CASE WHEN date < '1996' THEN 1 ELSE 2 END AS load FROM levels WHERE (CAST(symbol AS INT) + level) % 7 <> 0"""))
+def weekly_load(spark, sf):
+    """Padded symbols and funds among them; snapshots that an earlier load stored are not loaded again."""
+    fund = (F.col("symbol").cast("int") + F.col("level")) % 7 == 0
+    raw = V.levels(spark, sf).withColumn("symbol", F.concat(F.lit(" "), "symbol", F.when(fund, F.lit("B")).otherwise(F.lit("  "))))
+    root = _table_root(spark)
+    ingest.load_category(spark, "shareholding", raw.where("date < '1996'").withColumn("load", F.lit(1)), root)
+    ingest.load_category(spark, "shareholding", raw.withColumn("load", F.lit(2)), root)
+    stored = spark.read.parquet(f"{root}/shareholding")
+    return stored.select(F.col("date").cast("string").alias("date"), "symbol", "level", "holders", "shares", "load")
+
+
+@query("monthly_load", "C33 K2 K4", with_views("""
+SELECT date, CASE WHEN CAST(symbol AS INT) % 2 = 0 THEN 'sii' ELSE 'otc' END AS market, symbol, revenue_current, CASE WHEN date >= '1997' THEN 2 ELSE 1 END AS load FROM monthly"""))
+def monthly_load(spark, sf):
+    """All months, then those from 1997 on again by force."""
+    rows = V.monthly(spark, sf).withColumn("n", F.col("symbol").cast("int")).select("date", V.market_of("n").alias("market"), "symbol", "revenue_current")
+    root = _table_root(spark)
+    ingest.load_category(spark, "monthly_revenue", rows.withColumn("load", F.lit(1)), root)
+    ingest.load_category(spark, "monthly_revenue", rows.where("date >= '1997'").withColumn("load", F.lit(2)), root, force=True)
+    return spark.read.parquet(f"{root}/monthly_revenue").select("date", "market", "symbol", "revenue_current", "load")
+
+
+@query("yearly_load", "C33 K6", with_views("""
+SELECT year(o_orderdate) AS year, printf('%04d', o_custkey % 100) AS symbol, count(*) AS orders, CASE WHEN year(o_orderdate) = 1995 THEN 2 ELSE 1 END AS load FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2"""))
+def yearly_load(spark, sf):
+    """Ex-dividend rows by year, preferred shares left out; one year comes in again by force."""
+    o = V.table(spark, sf, "orders")
+    code = F.concat(V.symbol_of(F.col("o_custkey") % 100), F.when(F.col("o_orderstatus") == "P", F.lit("A")).otherwise(F.lit("")))
+    rows = o.select(F.year("o_orderdate").alias("year"), code.alias("symbol"))
+    root = _table_root(spark)
+    ingest.load_category(spark, "ex_dividend", rows.withColumn("load", F.lit(1)), root)
+    ingest.load_category(spark, "ex_dividend", rows.where("year = 1995").withColumn("load", F.lit(2)), root, force=True)
+    return spark.read.parquet(f"{root}/ex_dividend").groupBy("year", "symbol", "load").agg(F.count("*").alias("orders"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +33,19 @@ def quoted(c: Column) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
 
+def _encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        code = ["cp950" if i % 2 else "utf-8-sig" for i in pdf["doc_id"]]
+        yield pd.DataFrame({"src_file": pdf["doc_id"].astype(str), "content": [t.encode(c) for t, c in zip(pdf["text"], code)]})
+
+
+def encoded_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as files that open with a Chinese header word: odd ones in Big5 (ASCII beyond the header), even ones in UTF-8."""
+    docs = V.table(spark, sf, "documents")
+    plain = F.when(F.col("doc_id") % 2 == 1, F.regexp_replace("text", "[^\\x00-\\x7F]", "")).otherwise(F.col("text"))
+    return docs.select("doc_id", F.concat(F.lit("證券代號"), plain).alias("text")).mapInPandas(_encoded, "src_file string, content binary")
+
+
 def quote_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Daily quote reports: preamble, header, ragged rows, codes that are no common stock, footers."""
     q = V.quotes(spark, sf)

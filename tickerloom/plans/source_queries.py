@@ -52,12 +52,13 @@ def two_row_header(spark, sf):
     return head.select("date", "market", "header_row", F.concat_ws("#", "header").alias("header"))
 
 
-@query("decoded_files", "S3", with_views("SELECT CAST(doc_id AS VARCHAR) AS src_file, length(text) AS chars, text = text AS same FROM documents"))
+@query("decoded_files", "S3", with_views(r"""
+SELECT CAST(doc_id AS VARCHAR) AS src_file, length(t) AS chars, left(t, 4) AS head, md5(t) AS digest
+FROM (SELECT doc_id, '證券代號' || CASE WHEN doc_id % 2 = 1 THEN regexp_replace(text, '[^\x00-\x7F]', '', 'g') ELSE text END AS t FROM documents)"""))
 def decoded_files(spark, sf):
-    docs = V.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("src_file"), "text")
-    raw = docs.select("src_file", F.encode("text", "UTF-8").alias("content"))
-    back = S.decode_files(raw).withColumnRenamed("text", "_t")
-    return back.join(docs, "src_file").select("src_file", F.length("_t").alias("chars"), (F.col("_t") == F.col("text")).alias("same"))
+    """Every second file is in the exchange's legacy code page, the others are UTF-8 with a byte order mark."""
+    back = S.decode_files(RV.encoded_files(spark, sf))
+    return back.select("src_file", F.length("text").alias("chars"), F.left("text", F.lit(4)).alias("head"), F.md5("text").alias("digest"))
 
 
 @query("document_lines", "S1 S3", with_views(r"""
@@ -87,8 +88,6 @@ def institution_summary(spark, sf):
 @query("margin_summary", "S8", with_views("""
 WITH a AS (SELECT date, market, sum(volume) AS v, count(*) AS n FROM quotes GROUP BY 1, 2)
 SELECT date, market, item, n AS buy, v AS sell, n AS cash_repay, v AS prev_balance, n AS today_balance FROM a, (SELECT unnest(['融資(交易單位)', '融券(交易單位)', '融資金額(仟元)']) AS item) WHERE market = 'sii'
-UNION ALL SELECT date, market, '融資(交易單位)', n, v, n, v, v FROM a WHERE market = 'otc' AND false
-UNION ALL SELECT date, market, '融資(交易單位)', n, v, n, v, v FROM a WHERE market = 'otc' AND false
 UNION ALL SELECT date, market, item, buy, sell, cash_repay, prev_balance, today_balance FROM (SELECT date, market, unnest(['融資(交易單位)', '融券(交易單位)', '融資金額(仟元)']) AS item, unnest([n, v, n]) AS buy, unnest([v, n, v]) AS sell, unnest([n, n, n]) AS cash_repay, unnest([v, v, v]) AS prev_balance, unnest([v, v, v]) AS today_balance FROM a WHERE market = 'otc')"""))
 def margin_summary(spark, sf):
     return S.margin_summary(RV.margin_summary_lines(spark, sf)).drop("src_file", "src_row")
@@ -125,12 +124,12 @@ def monthly_revenue_report(spark, sf):
 
 
 @query("dividend_report", "S12 X9 P3", with_views("""
-SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, printf('%04d', o_custkey % 100) AS symbol, round(o_totalprice) AS close_before, o_orderpriority AS type, 2 + row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) AS src_row, o_orderstatus = 'P' AS p FROM orders
-QUALIFY NOT p"""))
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, printf('%04d', o_custkey % 100) AS symbol, round(o_totalprice) AS close_before, o_orderpriority AS type, 2 + row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) AS src_row FROM orders
+QUALIFY o_orderstatus <> 'P'"""))
 def dividend_report(spark, sf):
     mapping = {"資料日期": "date", "股票代號": "symbol", "名稱": "name", "除權息前收盤價": "close_before", "權/息": "type"}
     df = S.dividends(RV.dividend_lines(spark, sf), mapping)
-    return df.select("date", "symbol", "close_before", "type", "src_row", F.lit(False).alias("p"))
+    return df.select("date", "symbol", "close_before", "type", "src_row")
 
 
 @query("lineage_audit", "C22 J23 X16", with_views(f"""WITH {_QUOTE_ROWS} SELECT '/raw/daily_quotes/' || substr(date, 1, 4) || '/' || replace(date, '-', '') || '/' || market || '.csv' AS src_file, src_row, 'volume' AS column_name,
@@ -258,13 +257,13 @@ def page_titles(spark, sf):
 
 
 @query("document_reject_reason", "F12", with_views("""
-SELECT page_id, CASE WHEN strlen(html) < 3000 THEN 'too_small' WHEN NOT contains(lower(html), '<html') THEN 'invalid_html' WHEN NOT (contains(lower(html), '&copy;') AND contains(lower(html), 'example.com')) THEN 'no_xbrl_markers' END AS reason FROM pages"""))
+SELECT source, id, CASE WHEN strlen(body) < 3000 THEN 'too_small' WHEN NOT contains(lower(body), '<html') THEN 'invalid_html' WHEN NOT contains(lower(body), 'example.com') THEN 'no_xbrl_markers' END AS reason
+FROM (SELECT 'pages' AS source, page_id AS id, html AS body FROM pages UNION ALL SELECT 'documents', doc_id, text FROM documents)"""))
 def document_reject_reason(spark, sf):
-    pages = V.table(spark, sf, "pages")
-    both = F.when(F.lower("html").contains("&copy;") & F.lower("html").contains("example.com"), F.concat("html", F.lit(" marker!"))).otherwise(F.col("html"))
-    reason = D.reject_reason(both, 3008, ("marker!",))
-    plain = F.when(F.octet_length("html") < 3000, "too_small").otherwise(F.when(reason == "too_small", F.lit(None)).otherwise(reason))
-    return pages.select("page_id", plain.alias("reason"))
+    """Pages and plain texts: some are too small, texts are no HTML, and some pages lack the marker."""
+    pages = V.table(spark, sf, "pages").select(F.lit("pages").alias("source"), F.col("page_id").alias("id"), F.col("html").alias("body"))
+    texts = V.table(spark, sf, "documents").select(F.lit("documents"), "doc_id", "text")
+    return pages.union(texts).select("source", "id", D.reject_reason("body", 3000, ("Example.com",)).alias("reason"))
 
 
 # ---- responses and dimensions ----------------------------------------

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +27,7 @@ def get_session(app: str = "tickerloom", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, else (local sessions only) an own one."""
+    """The folder all executors share: spark.checkpoint.dir. Only a local session, whose tasks share a disk, may leave it unset."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -49,7 +48,3 @@ def stage(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def local_cpus() -> str:
-    return os.environ.get("BENCH_CPUS", "8")

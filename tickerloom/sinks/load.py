@@ -151,10 +151,5 @@ def write_slices(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     )
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Full replace of a static table."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)

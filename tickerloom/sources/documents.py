@@ -129,7 +129,10 @@ def period_type(category: Column, context: Column, quarter: Column) -> Column:
 
 
 def statement_facts(docs: DataFrame, html: str = "html") -> DataFrame:
-    """Typed facts of filings (date, symbol, publish_time, html), with account codes and period types."""
+    """Typed facts of filings (date, symbol, publish_time, html), with account codes and period types.
+
+    A fact that a filing states twice (same account, value and context) fails the job.
+    """
     doc = ["date", "symbol", "publish_time"]
     parts = split_sections(docs, doc, html)
     facts = tagged_facts(parts, doc)
@@ -140,7 +143,12 @@ def statement_facts(docs: DataFrame, html: str = "html") -> DataFrame:
     key = [*doc, "category", "fact_name", "context_ref", "value_text"]
     df = placed.where("category <> 'equity_changes'").join(codes, key)
     df = df.withColumn("period_type", F.explode(period_type(F.col("category"), F.col("context_ref"), F.col("date"))))
-    return df.select(*doc, "category", "period_type", "account_code", "account_name", "value_text", "value_num").distinct()
+    # Contexts of one period may show one value twice (members of equity); the same fact of one context may not stand twice.
+    shown = [*doc, "category", "period_type", "account_code", "account_name", "value_text", "value_num"]
+    once = df.groupBy(*shown, "context_ref").agg(F.count(F.lit(1)).alias("_n"))
+    said = F.concat(F.lit("duplicate fact "), "account_code", F.lit(" of "), "symbol", F.lit(" in "), "date")
+    checked = F.when(F.col("_n") == 1, F.col("account_code")).otherwise(F.raise_error(said).cast("string"))
+    return once.withColumn("account_code", checked).select(*shown)
 
 
 def fill_fourth_quarter(facts: DataFrame) -> DataFrame:
