@@ -379,3 +379,56 @@ def test_best_fit_takes_the_tightest_compatible_bin():
     where, place = packing.best_fit(tokens, np.array([1, 2, 3, 4, 5]), np.array([1, 2, 1, 3, 4]), 100)
     # 30 of cluster 1 may not join the 70 of cluster 1; the next 30 may; the last 10 ends in the residual of ten.
     assert where.tolist() == [0, 1, 1, 0, 1] and place.tolist() == [0, 0, 1, 1, 2]
+
+
+def packed_by_force(tokens, source, cluster, capacity, share, bits):
+    """Every piece in turn looks at every bin."""
+    bins, out = [], []
+    for need, s, c in zip(tokens, source, cluster):
+        fits = [
+            (capacity - b["filled"], i) for i, b in enumerate(bins)
+            if b["filled"] < capacity and capacity - b["filled"] >= need and c % bits not in b["clusters"] and b["by"][s % bits] < max(1, int(capacity * share))
+        ]
+        if not fits:
+            bins.append({"filled": 0, "clusters": set(), "by": Counter(), "n": 0})
+        b = bins[min(fits)[1] if fits else -1]
+        out.append((bins.index(b) if fits else len(bins) - 1, b["n"]))
+        b["filled"] += need
+        b["clusters"].add(c % bits)
+        b["by"][s % bits] += need
+        b["n"] += 1
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_best_fit_matches_a_search_of_all_bins(seed):
+    rng = random.Random(seed)
+    n, bits = 300, rng.choice([8, 256])
+    tokens = sorted((rng.choice([0, 1, 5, 20, 33, 50, 90, 100]) for _ in range(n)), reverse=True)
+    source, cluster = [rng.choice([1, 1, 1, rng.randrange(50)]) for _ in range(n)], [rng.choice([7, rng.randrange(90)]) for _ in range(n)]
+    where, place = packing.best_fit(np.array(tokens), np.array(source), np.array(cluster), 100, 0.5, bits)
+    expected = packed_by_force(tokens, source, cluster, 100, 0.5, bits)
+    # A source may close a bin only with its own pieces, so bins are compared as they were opened.
+    assert list(zip(where.tolist(), place.tolist())) == expected
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_ring_walk_matches_one_row_at_a_time(seed):
+    rng = random.Random(seed)
+    shards, cells = rng.randrange(2, 7), 40
+    owners = [rng.randrange(shards) for _ in range(cells)]
+    owners[:shards] = range(shards)
+    counts = [rng.choice([0, 0, 1, 3, 40 * (rng.random() < 0.1)]) for _ in range(cells)]
+    total = sum(counts)
+    room = [total // shards + (s < total % shards) for s in range(shards)]
+    queue, filled, expected = [], Counter(), {}
+    for lap in range(2):
+        for cell, shard in enumerate(owners):
+            queue += [(cell, i) for i in range(counts[cell])] if lap == 0 else []
+            while queue and filled[shard] < room[shard]:
+                expected[queue.pop(0)] = (shard, filled[shard])
+                filled[shard] += 1
+    got = {}
+    for cell, shard, first, last, slot in sharding.walk(np.array(counts), np.array(owners), shards):
+        got |= {(cell, rank): (shard, slot + rank - first) for rank in range(first, last)}
+    assert got == expected and len(got) == total and [filled[s] for s in range(shards)] == room
