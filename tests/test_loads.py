@@ -105,3 +105,33 @@ def test_a_fact_stated_twice_fails(spark):
     assert documents.statement_facts(filing(FILING.replace(row, row + member))).where("account_code = '4000'").count() == 4
     with pytest.raises(Exception, match="duplicate fact 4000 of 1101 in 2024Q1"):
         documents.statement_facts(filing(FILING.replace(row, row + row))).collect()
+
+
+# ---- tables of a page ------------------------------------------------------
+def test_spans_fill_the_grid(spark):
+    page = (
+        "<table><tr><th rowspan=2>a</th><th colspan='2'>b</th></tr><tr><td>c<td>d</tr><tr><td>e</td></tr></table><p>x</p>"
+        "<table><tr><td rowspan='9'>s</td><td>1 &lt; <b>2</b></td></tr><tr><td>3</td></tr><tr></tr></table><table></table>"
+    )
+    docs = spark.createDataFrame([(1, page), (2, None), (3, "<table><tr><td>open")], "id int, html string")
+    got = rows(documents.table_grid(docs, "id", "html"), "id", "table_pos", "row_pos", "fields")
+    assert got == [
+        (1, 0, 0, ["a", "b", "b"]), (1, 0, 1, ["a", "c", "d"]), (1, 0, 2, ["e"]),
+        (1, 1, 0, ["s", "1 < 2"]), (1, 1, 1, ["s", "3"]), (1, 1, 2, ["s"]),
+    ]
+
+
+def test_tables_are_named_by_header_or_by_position(spark):
+    row = lambda cells: "<tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr>"
+    header = ["公司 代號", "公司名稱", "當月\n營收", "x", "x"]
+    tables = {
+        "late header": [["t"] * 5] * 4 + [header, ["1101", "a", "5", "p", "q"], ["合計", "", "9", "", ""]],
+        "header too late": [["t"] * 5] * 5 + [header, ["1101", "a", "5", "p", "q"]],
+        "wide": [["1101", "a", "5", *"abcdefgh", "more"], ["1102A", "b", "6", *"abcdefgh", "more"]],
+        "narrow": [["1101", "a", "5", "p"]], "no header, nine columns": [["1101", "a", "5", *"abcdef"]], "no code": [["x"] * 11],
+    }
+    docs = spark.createDataFrame([(k, "<table>" + "".join(map(row, t)) + "</table>") for k, t in tables.items()], "id string, html string")
+    got = {(r["id"], r["row_pos"]): (r["named_by"], r["fields"]) for r in documents.named_rows(documents.table_grid(docs, "id", "html"), "id").collect()}
+    assert set(got) == {("late header", 5), ("wide", 0), ("wide", 1)}
+    assert got[("late header", 5)] == ("header", {"公司代號": "1101", "公司名稱": "a", "當月營收": "5", "x": "p"})
+    assert got[("wide", 1)][0] == "position" and got[("wide", 1)][1]["公司代號"] == "1102A" and got[("wide", 1)][1]["Unknown_11"] == "more"

@@ -131,6 +131,22 @@ def revenue_lines(spark: SparkSession, sf: str) -> DataFrame:
     return _file(body, ["title", "公司代號,公司名稱,營業收入-當月營收,去年同月增減(%),出表日期"], ["合計,,1,2,3"])
 
 
+def revenue_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """A page per month with three tables: one with a title and a header row and an industry cell that spans its rows, one
+    without a header, and one without a header that is too narrow."""
+    m = V.monthly(spark, sf)
+    kind = F.col("symbol").cast("int") % 3
+    cells = [F.lit("<td>"), "symbol", F.lit("</td><td>Co &amp; "), "symbol", F.lit("</td><td>"), F.format_number(F.round(F.col("revenue_current") * 100), 0), F.lit("</td>")]
+    rest = F.when(kind == 2, "<td>x</td>").otherwise("<td>1</td>" * 8)
+    by_kind = m.select("date", kind.alias("kind"), F.struct("symbol", F.concat(*cells, rest).alias("row")).alias("r")).groupBy("date").pivot("kind", [0, 1, 2]).agg(F.array_sort(F.collect_list("r")))
+    body = lambda k: F.concat(F.lit("<tr>"), F.array_join(F.transform(F.col(str(k)), lambda r: r["row"]), "</tr><tr>"), F.lit("</tr>"))
+    head = "<tr><th colspan='12'>公司 revenue of the month</th></tr><tr><th>產業別</th><th>公司\n 代號</th><th>公司名稱</th><th>當月 營收</th>" + "".join(f"<th>c{i}</th>" for i in range(8)) + "</tr>"
+    spanned = F.regexp_replace(body(0), "^<tr>", F.concat(F.lit("<tr><td rowspan='"), F.size("0").cast("string"), F.lit("'>1234 industry</td>")))
+    total = "<tr><td colspan='2'>合計</td><td>9</td><td>9</td></tr>"
+    tables = [F.concat(F.lit("<table>" + head), spanned, F.lit(total + "</table>")), F.concat(F.lit("<table>"), body(1), F.lit("</table>")), F.concat(F.lit("<table>"), body(2), F.lit("</table>"))]
+    return by_kind.select("date", F.concat(F.lit("<html><body>"), *[F.coalesce(F.when(F.size(str(k)) > 0, t), F.lit("")) for k, t in enumerate(tables)], F.lit("</body></html>")).alias("html"))
+
+
 def dividend_lines(spark: SparkSession, sf: str) -> DataFrame:
     o = V.table(spark, sf, "orders")
     roc = F.concat((F.year("o_orderdate") - 1911).cast("string"), F.lit("年"), F.date_format("o_orderdate", "MM"), F.lit("月"), F.date_format("o_orderdate", "dd"), F.lit("日"))

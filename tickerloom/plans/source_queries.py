@@ -249,6 +249,15 @@ def page_table_rows(spark, sf):
     return df.select("page_id", "row_pos", F.element_at("fields", 1).alias("field"))
 
 
+@query("rendered_revenue_tables", "S22 S11 P3", with_views("""
+SELECT date, symbol, CASE CAST(symbol AS INT) % 3 WHEN 0 THEN 'header' ELSE 'position' END AS named_by, 'Co & ' || symbol AS name, round(revenue_current * 100) AS revenue FROM monthly WHERE CAST(symbol AS INT) % 3 <> 2"""))
+def rendered_revenue_tables(spark, sf):
+    """Tables with a header row, without one, and too narrow to be read by position."""
+    rows = D.named_rows(D.table_grid(RV.revenue_pages(spark, sf), "date", "html"), "date")
+    field = lambda name: F.col("fields").getItem(name)
+    return rows.select("date", field("公司代號").alias("symbol"), "named_by", field("公司名稱").alias("name"), C.to_number(field("當月營收")).alias("revenue"))
+
+
 @query("page_titles", "X5 P9 S14", with_views("""
 SELECT page_id, regexp_replace(trim(regexp_replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&amp;', '&'), '[\\s]+', ' ', 'g')), '^[\\s,.;:]+|[\\s,.;:]+$', '', 'g') AS title FROM pages""".replace("\\\\", "\\")))
 def page_titles(spark, sf):

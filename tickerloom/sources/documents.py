@@ -7,8 +7,10 @@ meet their account codes by an equi-join per document.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from html.parser import HTMLParser
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -216,6 +218,137 @@ def html_table_rows(docs: DataFrame, doc: str, html: str, row: str = "tr", cell:
     return joined.where(F.col("_h").isNull() | (F.col("row_pos") > F.col("_h"))).drop("_h")
 
 
+# ---- tables as grids ---------------------------------------------------
+class _Tables(HTMLParser):
+    """The tables of a page as grids of texts: a cell that spans rows or columns fills all its places."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.grids: list[list[list[str]]] = []
+        self.open: list[dict] = []
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "table":
+            self.open.append({"grid": [], "spans": {}, "cell": None})
+        elif self.open and tag == "tr":
+            self._end_cell()
+            self._end_row()
+            self.open[-1]["row"] = {}
+        elif self.open and tag in ("td", "th"):
+            self._end_cell()
+            if self.open[-1].get("row") is None:
+                self.open[-1]["row"] = {}
+            size = {k: max(1, int(v)) for k, v in attrs if k in ("rowspan", "colspan") and (v or "").isdigit()}
+            self.open[-1]["cell"] = (size.get("rowspan", 1), min(size.get("colspan", 1), 1000), [])
+
+    def handle_endtag(self, tag: str) -> None:
+        if not self.open:
+            return
+        if tag in ("td", "th", "tr", "table"):
+            self._end_cell()
+        if tag in ("tr", "table"):
+            self._end_row()
+        if tag == "table":
+            self.grids.append(self.open.pop()["grid"])
+
+    def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1]["cell"]:
+            self.open[-1]["cell"][2].append(data)
+
+    def _end_cell(self) -> None:
+        table = self.open[-1]
+        if table["cell"] is None:
+            return
+        rows, columns, parts = table["cell"]
+        table["cell"] = None
+        row, at = table["row"], 0
+        while at in row or at in table["spans"]:
+            at += 1
+        text = " ".join("".join(parts).split())
+        for c in range(at, at + columns):
+            row[c] = text
+            if rows > 1:
+                table["spans"][c] = (rows, text)
+
+    def _end_row(self) -> None:
+        table = self.open[-1]
+        row = table.get("row")
+        if row is None:
+            return
+        spans = {}
+        for c, (left, text) in table["spans"].items():
+            row.setdefault(c, text)
+            if left > 1:
+                spans[c] = (left - 1, text)
+        table["spans"], table["row"] = spans, None
+        table["grid"].append([row.get(c, "") for c in range(max(row) + 1)] if row else [])
+
+
+def _grids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        out = []
+        for doc, html in zip(pdf["doc"], pdf["html"]):
+            parser = _Tables()
+            parser.feed(html or "")
+            out += [(doc, t, r, fields) for t, grid in enumerate(parser.grids) for r, fields in enumerate(grid)]
+        yield pd.DataFrame(out, columns=["doc", "table_pos", "row_pos", "fields"])
+
+
+def table_grid(docs: DataFrame, doc: str, html: str) -> DataFrame:
+    """(doc, table_pos, row_pos, fields): the rows of every table, spans filled in. One document is one row of Arrow input."""
+    kind = docs.schema[doc].dataType.simpleString()
+    cells = docs.select(F.col(doc).alias("doc"), F.col(html).alias("html")).mapInPandas(_grids, f"doc {kind}, table_pos int, row_pos int, fields array<string>")
+    return cells.withColumnRenamed("doc", doc)
+
+
+# fixed values: columns of a revenue table without a header row, in order
+REVENUE_COLUMNS = [
+    "公司代號", "公司名稱", "當月營收", "上月營收", "去年當月營收", "上月比較增減(%)", "去年同月增減(%)", "當月累計營收", "去年累計營收", "前期比較增減(%)", "備註",
+]
+
+
+def _contains(word: str):
+    return lambda f: f.contains(word)
+
+
+def named_rows(
+    grid: DataFrame, doc: str, needed: Sequence[str] = ("公司代號", "當月營收"), positional: Sequence[str] = tuple(REVENUE_COLUMNS),
+    code: str = "公司代號", search_rows: int = 5, least_columns: int = 5, least_positional: int = 10,
+) -> DataFrame:
+    """(doc, table_pos, row_pos, named_by, fields): data rows of the tables of `table_grid`, as maps of column to text.
+
+    The header of a table is the first of its first rows that holds all `needed` words (blanks ignored). A table without
+    one is read by position if a code stands first in one of those rows and it is wide enough; narrow tables
+    and all others are left out, as are rows without a code (totals, notes).
+    """
+    plain = F.transform("fields", lambda f: F.regexp_replace(f, "\\s", ""))
+    rows = grid.withColumn("_plain", plain)
+    near = F.col("row_pos") < search_rows
+    has = F.lit(True)
+    for word in needed:
+        has = has & F.exists("_plain", _contains(word))
+    tables = rows.groupBy(doc, "table_pos").agg(
+        F.max(F.size("fields")).alias("_wide"), F.min(F.when(near & has, F.struct("row_pos", "_plain"))).alias("_head"),
+        F.max(near & F.coalesce(F.get("_plain", F.lit(0)), F.lit("")).rlike("^[0-9]{4}")).alias("_coded"),
+    )
+    by_place = F.transform(F.sequence(F.lit(1), F.col("_wide")), lambda i: F.coalesce(F.get(F.array(*map(F.lit, positional)), i - 1), F.concat(F.lit("Unknown_"), (i - 1).cast("string"))))
+    found = F.col("_head").isNotNull()
+    tables = tables.where(F.col("_wide") >= least_columns).where(found | (F.col("_coded") & (F.col("_wide") >= least_positional))).select(
+        doc, "table_pos", F.when(found, "header").otherwise("position").alias("named_by"), F.col("_head.row_pos").alias("_at"),
+        F.when(found, F.col("_head._plain")).otherwise(by_place).alias("_names"),
+    )
+    joined = rows.join(tables, [doc, "table_pos"]).where(F.col("_at").isNull() | (F.col("row_pos") > F.col("_at")))
+    # A name that a header repeats keeps its first column.
+    pairs = F.zip_with("_names", "fields", lambda n, t: F.struct(n.alias("name"), F.coalesce(t, F.lit("")).alias("text")))
+    pairs = F.filter(pairs, lambda p: p["name"].isNotNull() & (p["name"] != ""))
+    first = F.aggregate(
+        pairs, F.array().cast("array<struct<name:string,text:string>>"),
+        lambda a, p: F.when(F.exists(a, lambda x: x["name"] == p["name"]), a).otherwise(F.array_append(a, F.struct(p["name"].alias("name"), p["text"].alias("text")))),
+    )
+    made = joined.select(doc, "table_pos", "row_pos", "named_by", F.map_from_entries(first).alias("fields"))
+    return made.where(F.try_element_at("fields", F.lit(code)).rlike("^[0-9]{4}[A-Za-z0-9]*$"))
+
+
 # ---- quarterly report -------------------------------------------------
 INCOME = {"revenue": "4000", "op_income": "6900", "non_op_income": "7000", "pretax_income": "7900", "eps": "9750"}
 NET_INCOME = {"consolidated": "8610", "individual": "8200"}
