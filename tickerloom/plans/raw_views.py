@@ -131,6 +131,21 @@ def revenue_lines(spark: SparkSession, sf: str) -> DataFrame:
     return _file(body, ["title", "公司代號,公司名稱,營業收入-當月營收,去年同月增減(%),出表日期"], ["合計,,1,2,3"])
 
 
+def revenue_lines_by_language(spark: SparkSession, sf: str) -> DataFrame:
+    """A report per month and market: odd months in English with a market column, even ones in Chinese with markets by file name."""
+    m = V.monthly(spark, sf).withColumn("n", F.col("symbol").cast("int")).withColumn("market", V.market_of("n"))
+    english = F.substring("date", 7, 1).cast("int") % 2 == 1
+    cents = quoted(F.format_number(F.round(F.col("revenue_current") * 100), 0))
+    grown = F.coalesce(F.format_string("%d", F.round(F.round("yoy_pct", 9)).cast("bigint")), F.lit(""))
+    line = F.when(english, F.concat_ws(",", "symbol", F.lit("n"), cents, grown, "market")).otherwise(F.concat_ws(",", "symbol", F.lit("n"), cents, grown))
+    name = F.when(english, "all").otherwise(F.col("market"))
+    src = F.concat(F.lit("/raw/monthly/"), "date", F.lit("/"), name, F.lit(".csv"))
+    body = m.select(src.alias("src_file"), F.col("symbol").alias("_order"), line.alias("value"), english.alias("_en"))
+    head = {True: ["revenue of the month", "symbol,name,revenue,yoy_pct,market"], False: ["營收", "公司代號,公司名稱,營業收入-當月營收,營業收入-去年同月增減(%)"]}
+    parts = [_file(body.where(F.col("_en") == F.lit(en)).drop("_en"), lines, ["合計,,1,2"]) for en, lines in head.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def revenue_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A page per month with three tables: one with a title and a header row and an industry cell that spans its rows, one
     without a header, and one without a header that is too narrow."""

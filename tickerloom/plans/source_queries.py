@@ -249,6 +249,13 @@ def page_table_rows(spark, sf):
     return df.select("page_id", "row_pos", F.element_at("fields", 1).alias("field"))
 
 
+@query("revenue_reports", "S11 P3 P1", with_views("""
+SELECT date, CASE WHEN CAST(symbol AS INT) % 2 = 0 THEN 'sii' ELSE 'otc' END AS market, symbol, round(revenue_current * 100) AS revenue_current, rnd(yoy_pct, 0) AS yoy_pct FROM monthly"""))
+def revenue_reports(spark, sf):
+    """Reports of either language; the market comes from the row or from the file name."""
+    return S.revenue_reports(RV.revenue_lines_by_language(spark, sf)).select("date", "market", "symbol", "revenue_current", "yoy_pct")
+
+
 @query("rendered_revenue_tables", "S22 S11 P3", with_views("""
 SELECT date, symbol, CASE CAST(symbol AS INT) % 3 WHEN 0 THEN 'header' ELSE 'position' END AS named_by, 'Co & ' || symbol AS name, round(revenue_current * 100) AS revenue FROM monthly WHERE CAST(symbol AS INT) % 3 <> 2"""))
 def rendered_revenue_tables(spark, sf):

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickerloom import schemas
 from tickerloom.functions import clean as C
 
 # fixed values: words that identify header, category and footer lines
@@ -340,6 +341,26 @@ def monthly_revenue(lines: DataFrame, mapping: dict[str, str], ignore: Sequence[
     return df.where(F.col("symbol").rlike("^[0-9]+$"))
 
 
+def revenue_reports(lines: DataFrame) -> DataFrame:
+    """Monthly revenue reports in either language, all columns, with month and market.
+
+    A file whose header (in its first five lines) has a field `symbol` is English and read by exact names, any other by
+    contained names. The market is that of the row if the report has one, else that of the file's name.
+    """
+    near = lines.where(F.col("src_row") <= 5).where(F.exists(split_fields("value"), lambda f: f == "symbol"))
+    english = near.select("src_file").distinct()
+    columns = [c for c in dict.fromkeys(schemas.REVENUE_NAMES_EN.values())]
+    parts = [
+        monthly_revenue(lines.join(english, "src_file", "left_anti"), schemas.REVENUE_NAMES).withColumn("market", F.lit(None).cast("string")),
+        monthly_revenue(lines.join(english, "src_file", "left_semi"), schemas.REVENUE_NAMES_EN, english=True),
+    ]
+    df = parts[0].select("src_file", "src_row", *columns).unionByName(parts[1].select("src_file", "src_row", *columns))
+    named = F.lower(F.regexp_extract("src_file", "/([A-Za-z]+)\\.csv$", 1))
+    return df.withColumn("market", F.coalesce(F.nullif(F.trim("market"), F.lit("")), named)).withColumn(
+        "date", F.regexp_extract("src_file", "/([0-9]{4}M[0-9]{2})/", 1)
+    )
+
+
 def dividends(lines: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Dividend report: header in the first five rows, local calendar dates, four-digit symbols."""
     from tickerloom.functions.periods import roc_to_iso
