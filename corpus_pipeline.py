@@ -1,4 +1,14 @@
-"""A training corpus from `documents`: each stage is one operator on all that the stage before it kept."""
+"""A training corpus from `documents`: each stage is one operator on all that the stage before it kept.
+
+Which rows a stage may drop: `toxicity` those with a score of 0.7 or more; `ngram_join` all but one of a group of near
+copies, and all but one of rows that repeat id and text; `suffix_dedup` texts with nothing left; `mixing` none (documents are
+repeated by their rate); `packing` none (long documents come in pieces).
+
+Odd rows: a null doc_id is an id like others (unlabelled, last when one of a group is kept); null, empty and blank texts are
+not toxic, are near copies of nothing, lose nothing, have rate and bin like others with 0 tokens; null language or source
+is a value of its own; columns beyond those of `documents` pass through all stages but the last; an empty table
+gives an empty result. Missing or one-sided labels: every text gets the same score, or there is one domain.
+"""
 
 from __future__ import annotations
 
