@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import LOWER, Rolling, chunks, looked_up, mix, scratch, small_batches, small_side, store, utf8, word_spans
+from tickerloom.llm.common import BROADCAST_ROWS, LOWER, Rolling, chunks, looked_up, mix, scratch, small_batches, small_side, store, utf8, word_spans
 from tickerloom.llm.graph import components
 
 ROLL = Rolling(9)
@@ -147,10 +147,9 @@ def nodes_and_tiles(docs: DataFrame, k: int, percent: int, tiles: int) -> DataFr
 
 def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame, k: int, percent: int) -> DataFrame:
     """node, n, bits, grams of the wanted nodes: one text of each is read again."""
-    picked = store(
-        rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct("tkey", "doc_id")).alias("r"))
-        .select("node", "r.tkey", F.col("r.doc_id").alias("pick"))
-    )
+    # Copies share a node: they are counted together before nodes are dealt out.
+    one = rows.groupBy("node").agg(F.min(F.struct("tkey", "doc_id")).alias("r"))
+    picked = store(one.join(wanted, "node", "left_semi").select("node", "r.tkey", F.col("r.doc_id").alias("pick")))
     texts = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tkey"), "text")
         .join(small_side(picked), "tkey").where(F.col("doc_id").eqNullSafe(F.col("pick"))).select("node", "text")
@@ -200,16 +199,22 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def common(left: pd.Series, right: pd.Series) -> pd.Series:
         return pd.Series([len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(left, right)], dtype="int64")
 
-    def side(s: str, asked: DataFrame, *columns: str) -> DataFrame:
-        ids = small_side(store(asked.select(F.col(s).alias("node")).distinct()))
+    def side(s: str, asked: DataFrame, hint, *columns: str) -> DataFrame:
+        ids = hint(asked.select(F.col(s).alias("node")).distinct())
         return sets.join(ids, "node", "left_semi").select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns])
 
+    def counted(asked: DataFrame):
+        """Broadcast the ids that stored pairs ask for if the pairs are counted to be few."""
+        return F.broadcast if asked.count() <= BROADCAST_ROWS else (lambda ids: ids)
+
+    few = counted(pairs)
     near = store(
-        pairs.join(side("a", pairs, "n", "bits"), "a").join(side("b", pairs, "n", "bits"), "b")
+        pairs.join(side("a", pairs, few, "n", "bits"), "a").join(side("b", pairs, few, "n", "bits"), "b")
         .where(bitmaps_allow("bits_a", "bits_b", "n_a", "n_b", percent)).select(*pairs.columns, "n_a", "n_b")
     )
+    few = counted(near)
     return (
-        near.join(side("a", near, "grams"), "a").join(side("b", near, "grams"), "b")
+        near.join(side("a", near, few, "grams"), "a").join(side("b", near, few, "grams"), "b")
         .select(*pairs.columns, "n_a", "n_b", common("grams_a", "grams_b").alias("both"))
         .where((100 + percent) * F.col("both") >= percent * (F.col("n_a") + F.col("n_b"))).select(*pairs.columns)
     )
@@ -253,8 +258,7 @@ def node_links(docs: DataFrame, rows: DataFrame, k: int, percent: int, block: in
         held = live.join(leads.select("tile", "lead"), "tile", "left").withColumn("led", F.col("led") | F.coalesce(F.col("node") == F.col("lead"), F.lit(False)))
         held = store(held.select("tile", "node", "degree", "label", "led"))
         mixed = held.groupBy("tile").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo < hi")
-        mixed = store(mixed.select("tile", F.ceil(F.col("size") / block).cast("int").alias("blocks")))
-        mixed_rows = store(held.join(mixed, "tile"))
+        mixed_rows = store(held.join(mixed.select("tile", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "tile"))
         live = mixed_rows.drop("blocks")
         if not progress or not live.limit(1).count():
             break
@@ -296,7 +300,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, tiles: int =
         with scratch(docs.sparkSession):
             labels = node_links(docs, rows, k, percent, block, star_rounds)
         placed = store(
-            rows.select("doc_id", "tkey", "n", "node").join(labels, "node", "left")
+            looked_up(rows.select("doc_id", "tkey", "n", "node"), labels, "node", "doc_id")
             .select("doc_id", "tkey", "n", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("component")),
             outlive=True,
         )
