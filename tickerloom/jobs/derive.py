@@ -68,8 +68,8 @@ def technical_run(quotes: DataFrame, flows: DataFrame, state: DataFrame | None =
     df = quotes.select("date", "symbol", "high", "low", "close", "volume").join(
         flows.select("date", "symbol", *nets), ["date", "symbol"], "left"
     )
-    made = stage(recursion.with_continued_indicators(df, state, MA_LENGTHS, nets))
-    shown = [f.name for f in made.schema.fields if f.name not in ("high", "low", "close", "volume", *nets, *recursion.STATE_COLUMNS)]
+    made = stage(recursion.with_continued_indicators(df, state, MA_LENGTHS, nets).drop("high", "low", "close", "volume", *nets))
+    shown = [c for c in made.columns if c not in recursion.STATE_COLUMNS]
     clean = [F.when(~F.isnan(f.name), F.col(f.name)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in made.schema.fields if f.name in shown]
     fresh = made.where("s_last IS NOT NULL").select("symbol", *recursion.STATE_COLUMNS)
     after = fresh if state is None else fresh.unionByName(state.join(fresh.select("symbol"), "symbol", "left_anti"))

@@ -10,8 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tickerloom.operators.series import over_series
 
 # Name: smoothing factor, weights of a finite history (adjusted), values needed.
 AVERAGES = {
@@ -23,102 +27,169 @@ STATE = "s_last string, s_close array<double>, s_volume array<double>, s_high ar
 STATE_COLUMNS = [part.split()[0] for part in STATE.split(", ")]
 
 
-def averaged(values: np.ndarray, state: np.ndarray, factor: float, adjusted: bool, need: int) -> np.ndarray:
-    """Exponential average of `values` after `state` (average, weight of what went before, values seen), which moves on.
-
-    A missing value keeps the average and lets its weight decay.
-    """
-    mean, weight, seen = state
-    out = np.empty(len(values))
-    for i, x in enumerate(values):
-        there = x == x
-        if mean == mean:
-            weight *= 1 - factor
-            if there:
-                new = 1.0 if adjusted else factor
-                mean = (weight * mean + new * x) / (weight + new) if mean != x else mean
-                weight = weight + new if adjusted else 1.0
-        elif there:
-            mean, weight = x, 1.0
-        seen += there
-        out[i] = mean if seen >= need else np.nan
-    state[:] = mean, weight, seen
-    return out
-
-
-def windowed(values: np.ndarray, rows: int, last: int, how) -> np.ndarray:
-    """`how` over the `rows` values up to each of the last ones; missing while any of them is."""
+class TimeMajor:
+    """Rows of many series, each in order, turned so that equal steps of all series lie side by side: longest series first."""
+
+    def __init__(self, first: np.ndarray, counts: np.ndarray):
+        self.series = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(counts), np.int64)
+        rank[self.series] = np.arange(len(counts))
+        at = np.arange(counts.sum()) - np.repeat(first, counts)
+        self.rows = np.lexsort((np.repeat(rank, counts), at))
+        self.ends = np.cumsum(np.bincount(at))
+
+    def averaged(self, values: np.ndarray, state: np.ndarray, names: Sequence[str]) -> np.ndarray:
+        """Exponential averages (name, row) of `values` after `state` (series, name, (average, weight of what went before, values seen)), which moves on.
+
+        A missing value keeps the average and lets its weight decay.
+        """
+        factor, adjusted, need = (np.array([AVERAGES[n][i] for n in names])[:, None] for i in range(3))
+        new = np.where(adjusted, 1.0, factor)
+        mean, weight, seen = (np.ascontiguousarray(state[self.series, :, i].T) for i in range(3))
+        turned = values[:, self.rows]
+        made = np.empty_like(turned)
+        begin = 0
+        for end in self.ends:
+            x, n = turned[:, begin:end], end - begin
+            m, w = mean[:, :n], weight[:, :n]
+            there, known = x == x, m == m
+            w = np.where(known, w * (1 - factor), w)
+            moved = np.where(m != x, (w * m + new * x) / (w + new), m)
+            mean[:, :n] = m = np.where(there, np.where(known, moved, x), m)
+            weight[:, :n] = np.where(there, np.where(known & adjusted, w + new, 1.0), w)
+            seen[:, :n] += there
+            made[:, begin:end] = np.where(seen[:, :n] >= need, m, np.nan)
+            begin = end
+        state[self.series] = np.stack([mean.T, weight.T, seen.T], axis=2)
+        out = np.empty_like(made)
+        out[:, self.rows] = made
+        return out
+
+
+def windowed(values: np.ndarray, place: np.ndarray, rows: int, how) -> np.ndarray:
+    """`how` over the `rows` values up to each one of its series, in which it has that `place`; missing while any of them is."""
     padded = np.concatenate([np.full(rows - 1, np.nan), values])
-    view = np.lib.stride_tricks.sliding_window_view(padded, rows)[len(values) - last :]
-    return how(view, axis=1)
+    made = how(np.lib.stride_tricks.sliding_window_view(padded, rows), axis=1)
+    return np.where(place >= rows - 1, made, np.nan)
+
+
+def run_lengths(values: np.ndarray, first: np.ndarray, counts: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """Signed length of the run of equal signs at each value, continued from `state` (series, (sign, length)); a zero or missing value is 0."""
+    sign = np.sign(np.nan_to_num(values)).astype(np.int64)
+    new = np.diff(sign, prepend=0) != 0
+    new[first] = True
+    at = np.maximum.accumulate(np.where(new, np.arange(len(sign)), 0))
+    carried = np.where(state[:, 0] == sign[first], state[:, 1], 0)
+    length = np.arange(len(sign)) - at + 1 + np.where(at == np.repeat(first, counts), np.repeat(carried, counts), 0)
+    last = first + counts - 1
+    state[:, 0], state[:, 1] = sign[last], length[last]
+    return sign * length
+
+
+def _ranges(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All row numbers of the ranges."""
+    return np.arange(counts.sum()) + np.repeat(first - np.cumsum(counts) + counts, counts)
 
 
-def run_lengths(values: np.ndarray, state: np.ndarray) -> np.ndarray:
-    """Signed length of the run of equal signs at each value, continued from `state` (sign, length); a zero or missing value is 0."""
-    sign, length = int(state[0]), int(state[1])
-    out = np.empty(len(values), np.int64)
-    for i, x in enumerate(np.sign(np.nan_to_num(values)).astype(int)):
-        length = length + 1 if x == sign and length else 1
-        sign = x
-        out[i] = sign * length
-    state[:] = sign, length
-    return out
+def _lists(values: np.ndarray, counts: np.ndarray, last: np.ndarray, rows: int) -> pa.Array:
+    """A list per series at its last row, nothing at the others."""
+    sizes, there = np.zeros(rows, np.int64), np.zeros(rows, bool)
+    sizes[last], there[last] = counts, True
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(values), mask=pa.array(~there))
 
 
-def step_of(lengths: Sequence[int], nets: Sequence[str]):
-    """The function of one series: its new rows in order and its state row (or none) to indicators and the next state."""
+def step_of(lengths: Sequence[int], nets: Sequence[str], columns: Sequence[str]):
+    """The function of many series: their new rows in order, each after its state row if there is one, to indicators and the next states."""
     keep = max(lengths) - 1
 
-    def step(pdf: pd.DataFrame, state: pd.DataFrame | None) -> pd.DataFrame:
-        old = state.iloc[0] if state is not None and len(state) else None
-        pdf = pdf.sort_values("date", kind="stable")
-        if old is not None:
-            pdf = pdf[pdf["date"] > old["s_last"]]
-        pdf = pdf.reset_index(drop=True)
-        n = len(pdf)
-        if not n:
-            return pd.DataFrame(columns=[*pdf.columns, *_names(lengths, nets), *STATE_COLUMNS])
-        before = {c: np.zeros(0) if old is None else np.array(old[f"s_{c}"], float) for c in ("close", "volume", "high", "low")}
-        series = {c: np.concatenate([before[c], pdf[c].to_numpy(float)]) for c in before}
-        averages = np.tile([np.nan, 1.0, 0.0], len(AVERAGES)) if old is None else np.array(old["s_averages"], float)
-        runs = np.zeros(2 * len(nets), np.int64) if old is None else np.array(old["s_runs"], np.int64)
-
-        def average(name: str, values: np.ndarray) -> np.ndarray:
-            at = 3 * list(AVERAGES).index(name)
-            return averaged(values, averages[at : at + 3], *AVERAGES[name])
+    def step(table: pa.Table, first: np.ndarray) -> pa.Table:
+        table = table.combine_chunks()
+        number = np.repeat(np.arange(len(first)), np.diff(first, append=table.num_rows))
+        wanted, old = np.ones(table.num_rows, bool), np.full(len(first), -1)
+        if "_state" in table.column_names:
+            stored = table["_state"].to_numpy()
+            old = np.where(stored[first], first, -1)
+            after = pa.array(old[number], mask=old[number] < 0)
+            later = pc.greater(table["date"], table["s_last"].take(after)).fill_null(False).to_numpy()
+            wanted = ~stored & (later | (old[number] < 0))
+        new = table.select(list(columns)).filter(pa.array(wanted))
+        if not new.num_rows:
+            return new
+        present, first, counts = np.unique(number[wanted], return_index=True, return_counts=True)
+        old, rows, last = old[present], new.num_rows, first + counts - 1
+        stored_at = pa.array(old, mask=old < 0)
+
+        def stored_lists(name: str) -> tuple[np.ndarray, np.ndarray]:
+            """Values of the stored lists one after the other, and how many each series has."""
+            if "_state" not in table.column_names:
+                return np.zeros(0), np.zeros(len(old), np.int64)
+            lists = table[f"s_{name}"].combine_chunks().take(stored_at)
+            return lists.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+        values = {c: new[c].to_numpy().astype(float) for c in ("close", "volume", "high", "low", *nets)}
+        series, places, shown, ends = {}, {}, {}, {}
+        for c in ("close", "volume", "high", "low"):
+            before, sizes = stored_lists(c)
+            total = sizes + counts
+            begin = np.cumsum(total) - total
+            shown[c], ends[c] = _ranges(begin + sizes, counts), (begin, total)
+            series[c] = np.empty(total.sum())
+            series[c][_ranges(begin, sizes)] = before
+            series[c][shown[c]] = values[c]
+            places[c] = np.arange(total.sum()) - np.repeat(begin, total)
+
+        averages = np.tile([np.nan, 1.0, 0.0], (len(old), len(AVERAGES), 1))
+        runs = np.zeros((len(old), len(nets), 2), np.int64)
+        if (old >= 0).any():
+            averages[old >= 0] = stored_lists("averages")[0].reshape(-1, len(AVERAGES), 3)
+            runs[old >= 0] = stored_lists("runs")[0].reshape(-1, len(nets), 2)
+        turned = TimeMajor(first, counts)
+
+        def average(inputs: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+            at = [list(AVERAGES).index(name) for name in inputs]
+            state = averages[:, at]
+            made = turned.averaged(np.stack(list(inputs.values())), state, list(inputs))
+            averages[:, at] = state
+            return dict(zip(inputs, made))
+
+        def over(c: str, n: int, how) -> np.ndarray:
+            return windowed(series[c], places[c], n, how)[shown[c]]
 
         out = {}
         for c, prefix in (("close", "ma"), ("volume", "vma")):
-            for rows in lengths:
-                out[f"{prefix}{rows}"] = windowed(series[c], rows, n, np.mean)
-        low, high = windowed(series["low"], RANGE_ROWS, n, np.min), windowed(series["high"], RANGE_ROWS, n, np.max)
-        close = pdf["close"].to_numpy(float)
+            for n in lengths:
+                out[f"{prefix}{n}"] = over(c, n, np.mean)
+        low, high, close = over("low", RANGE_ROWS, np.min), over("high", RANGE_ROWS, np.max), values["close"]
         with np.errstate(divide="ignore", invalid="ignore"):
             rsv = np.where(high > low, (close - low) / (high - low) * 100, np.nan)
             rsv = np.where(np.isnan(rsv), 50.0, rsv)
-            out["k"] = average("k", rsv)
-            out["d"] = average("d", out["k"])
-            change = np.diff(series["close"], prepend=np.nan)[-n:]
-            for rows in (6, 12):
-                up = average(f"up{rows}", np.where(np.isnan(change), np.nan, np.maximum(change, 0)))
-                down = average(f"down{rows}", np.where(np.isnan(change), np.nan, np.maximum(-change, 0)))
-                out[f"rsi{rows}"] = 100 - 100 / (1 + up / down)
-        fast, slow = average("fast", close), average("slow", close)
-        out["macd_dif"] = fast - slow
-        out["macd_dea"] = average("dea", out["macd_dif"])
+            change = np.where(places["close"] > 0, np.diff(series["close"], prepend=np.nan), np.nan)[shown["close"]]
+            up, down = (np.where(np.isnan(change), np.nan, np.maximum(c, 0)) for c in (change, -change))
+            made = average({"k": rsv, "up6": up, "down6": down, "up12": up, "down12": down, "fast": close, "slow": close})
+            out["k"], out["macd_dif"] = made["k"], made["fast"] - made["slow"]
+            for n in (6, 12):
+                out[f"rsi{n}"] = 100 - 100 / (1 + made[f"up{n}"] / made[f"down{n}"])
+            made = average({"d": out["k"], "dea": out["macd_dif"]})
+        out["d"], out["macd_dea"] = made["d"], made["dea"]
         out["macd_hist"] = out["macd_dif"] - out["macd_dea"]
-        spread = windowed(series["close"], BAND_ROWS, n, lambda v, axis: np.std(v, axis=axis, ddof=1))
-        middle = windowed(series["close"], BAND_ROWS, n, np.mean)
+        spread = over("close", BAND_ROWS, lambda v, axis: np.std(v, axis=axis, ddof=1))
+        middle = over("close", BAND_ROWS, np.mean)
         out |= {"bb_upper": middle + 2 * spread, "bb_middle": middle, "bb_lower": middle - 2 * spread}
         for i, c in enumerate(nets):
-            out[c.replace("_net", "_streak_days")] = run_lengths(pdf[c].to_numpy(float), runs[2 * i : 2 * i + 2])
-        rest = [None] * (n - 1)
-        tails = {"close": keep, "volume": keep, "high": RANGE_ROWS - 1, "low": RANGE_ROWS - 1}
-        state_out = {
-            "s_last": pdf["date"].iloc[-1], **{f"s_{c}": series[c][-k:].tolist() for c, k in tails.items()},
-            "s_averages": averages.tolist(), "s_runs": runs.tolist(),
-        }
-        return pdf.assign(**out, **{c: pd.Series([*rest, state_out[c]], dtype=object) for c in STATE_COLUMNS})
+            out[c.replace("_net", "_streak_days")] = run_lengths(values[c], first, counts, runs[:, i])
+        for name in _names(lengths, nets):
+            new = new.append_column(name, pa.array(out[name], from_pandas=True))
+        dates = new["date"].combine_chunks()
+        last_rows = np.zeros(rows, bool)
+        last_rows[last] = True
+        new = new.append_column("s_last", pc.if_else(pa.array(last_rows), dates, pa.scalar(None, dates.type)))
+        for c, k in {"close": keep, "volume": keep, "high": RANGE_ROWS - 1, "low": RANGE_ROWS - 1}.items():
+            begin, total = ends[c]
+            kept = np.minimum(total, k) if k else total
+            new = new.append_column(f"s_{c}", _lists(series[c][_ranges(begin + total - kept, kept)], kept, last, rows))
+        new = new.append_column("s_averages", _lists(averages.reshape(-1), np.full(len(old), 3 * len(AVERAGES)), last, rows))
+        return new.append_column("s_runs", _lists(runs.reshape(-1), np.full(len(old), 2 * len(nets)), last, rows))
 
     return step
 
@@ -133,10 +204,13 @@ def with_continued_indicators(df: DataFrame, state: DataFrame | None, lengths: S
 
     Rows up to the state's last day are left out: a repeated run adds nothing. One row per symbol and day.
     """
-    step = step_of(lengths, nets)
+    step = step_of(lengths, nets, df.columns)
     kinds = {name: "bigint" if name.endswith("_streak_days") else "double" for name in _names(lengths, nets)}
     base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     schema = f"{base}, " + ", ".join(f"{n} {t}" for n, t in kinds.items()) + f", {STATE}"
-    if state is None:
-        return df.groupBy("symbol").applyInPandas(lambda pdf: step(pdf, None), schema)
-    return df.groupBy("symbol").cogroup(state.groupBy("symbol")).applyInPandas(lambda pdf, old: step(pdf, old), schema)
+    order = [F.col("date").asc_nulls_last()]
+    if state is not None:
+        old = state.select("symbol", *STATE_COLUMNS).withColumn("_state", F.lit(True))
+        df = df.withColumn("_state", F.lit(False)).unionByName(old, allowMissingColumns=True)
+        order = [F.desc("_state"), *order]
+    return over_series(df, "symbol", order, step, schema)

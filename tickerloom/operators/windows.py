@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tickerloom.functions.clean import col
+from tickerloom.operators.series import with_series_columns
 
 
 def series(key: str | Sequence[str], order: str | Sequence[str]):
@@ -121,30 +122,30 @@ def with_ewm_indicators(
 ) -> DataFrame:
     """Recursive averages per series: K, D, RSI 6/12 and MACD.
 
-    The recursion has no built-in form, so each series goes to Arrow as one
-    group; with one row per day a group is some thousand rows. All columns of
-    `df` cross to Python and back, so call it while they are few.
+    The recursion has no built-in form, so series go to Arrow, many whole ones a
+    batch. All columns of `df` cross to Python and back, so call it while they are few.
     """
-    schema = StructType(df.schema.fields + [StructField(n, DoubleType()) for n in EWM_FIELDS])
 
-    def compute(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
+    def compute(pdf: pd.DataFrame, number: np.ndarray) -> dict[str, np.ndarray]:
+        def ewm(values: pd.Series, **how: float) -> pd.Series:
+            return pd.Series(values.groupby(number).ewm(**how).mean().to_numpy())
+
         price = pdf[close]
-        k = pdf[rsv].ewm(alpha=1 / 3, adjust=False).mean()
-        delta = price.diff()
-        out = {"k": k, "d": k.ewm(alpha=1 / 3, adjust=False).mean()}
+        k = ewm(pdf[rsv], alpha=1 / 3, adjust=False)
+        delta = price.groupby(number).diff()
+        out = {"k": k, "d": ewm(k, alpha=1 / 3, adjust=False)}
         for n in (6, 12):
-            up = delta.clip(lower=0).ewm(com=n - 1, min_periods=n).mean()
-            down = (-delta.clip(upper=0)).ewm(com=n - 1, min_periods=n).mean()
+            up = ewm(delta.clip(lower=0), com=n - 1, min_periods=n)
+            down = ewm(-delta.clip(upper=0), com=n - 1, min_periods=n)
             out[f"rsi{n}"] = 100 - 100 / (1 + up / down)
-        fast = price.ewm(span=12, adjust=False).mean()
-        slow = price.ewm(span=26, adjust=False).mean()
+        fast = ewm(price, span=12, adjust=False)
+        slow = ewm(price, span=26, adjust=False)
         out["macd_dif"] = fast - slow
-        out["macd_dea"] = out["macd_dif"].ewm(span=9, adjust=False).mean()
+        out["macd_dea"] = ewm(out["macd_dif"], span=9, adjust=False)
         out["macd_hist"] = out["macd_dif"] - out["macd_dea"]
-        return pdf.assign(**out)
+        return out
 
-    result = df.groupBy(key).applyInPandas(compute, schema)
+    result = with_series_columns(df, key, order, [close, rsv], EWM_FIELDS, compute)
     return result.select(
         *df.columns, *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in EWM_FIELDS]
     )
@@ -157,14 +158,11 @@ def with_expanding_percentile(
 
     Runs per series in O(n log n); NULL values are neither ranked nor counted.
     """
-    schema = StructType([*df.schema.fields, StructField(out, DoubleType())])
 
-    def compute(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        pdf[out] = pdf[value].astype("float64").expanding().rank(pct=True)
-        return pdf
+    def compute(pdf: pd.DataFrame, number: np.ndarray) -> dict[str, np.ndarray]:
+        return {out: pdf[value].groupby(number).expanding().rank(pct=True).to_numpy()}
 
-    ranked = df.groupBy(key).applyInPandas(compute, schema)
+    ranked = with_series_columns(df, key, order, [value], [out], compute)
     return ranked.withColumn(out, F.when(F.col(value).isNotNull() & ~F.isnan(out), F.col(out)))
 
 
