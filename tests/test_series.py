@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.operators import recursion, series
 from tickerloom.operators import windows as W
+from tickerloom.sources import reports
 
 
 def plan(df):
@@ -50,3 +51,13 @@ def test_a_series_does_not_depend_on_its_neighbours(spark):
         for r in recursion.with_continued_indicators(df.where(F.col("symbol") == symbol), None, (5, 20), ["foreign_net"]).drop(*recursion.STATE_COLUMNS).collect():
             for c in df.columns + ["ma5", "ma20", "k", "rsi6", "macd_hist", "foreign_streak_days"]:
                 assert whole[symbol, r["date"]][c] == pytest.approx(r[c], rel=1e-12) if isinstance(r[c], float) else whole[symbol, r["date"]][c] == r[c]
+
+
+def test_files_are_decoded_few_at_a_time(spark):
+    files = [("證券代號 a" * 50).encode("utf-8-sig" if i % 2 else "cp950") for i in range(1000)]
+    batch = pa.record_batch({"src_file": [str(i) for i in range(1000)], "content": pa.array(files, pa.binary())})
+    made = list(reports._decode(iter([batch])))
+    assert max(b.num_rows for b in made) <= 64 and [f for b in made for f in b["src_file"].to_pylist()] == [str(i) for i in range(1000)]
+    assert {t for b in made for t in b["text"].to_pylist()} == {"證券代號 a" * 50}
+    df = spark.createDataFrame([("a", files[0]), ("b", files[1])], "src_file string, content binary")
+    assert "MapInArrow" in plan(reports.decode_files(df)) and reports.decode_files(df).select("text").distinct().count() == 1

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickerloom.functions import numbers as N
 from tickerloom.functions import periods as P
 from tickerloom.plans import views as V
+from tickerloom.sources.reports import slices
 
 
 def path_of(category: str, date: str = "date", market: Column | str = "market") -> Column:
@@ -33,17 +34,18 @@ def quoted(c: Column) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
 
-def _encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        code = ["cp950" if i % 2 else "utf-8-sig" for i in pdf["doc_id"]]
-        yield pd.DataFrame({"src_file": pdf["doc_id"].astype(str), "content": [t.encode(c) for t, c in zip(pdf["text"], code)]})
+def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        ids, texts = part["doc_id"].to_pylist(), part["text"].to_pylist()
+        content = [t.encode("cp950" if i % 2 else "utf-8-sig") for i, t in zip(ids, texts)]
+        yield pa.RecordBatch.from_arrays([pa.array([str(i) for i in ids]), pa.array(content, pa.binary())], ["src_file", "content"])
 
 
 def encoded_files(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as files that open with a Chinese header word: odd ones in Big5 (ASCII beyond the header), even ones in UTF-8."""
     docs = V.table(spark, sf, "documents")
     plain = F.when(F.col("doc_id") % 2 == 1, F.regexp_replace("text", "[^\\x00-\\x7F]", "")).otherwise(F.col("text"))
-    return docs.select("doc_id", F.concat(F.lit("證券代號"), plain).alias("text")).mapInPandas(_encoded, "src_file string, content binary")
+    return docs.select("doc_id", F.concat(F.lit("證券代號"), plain).alias("text")).mapInArrow(_encoded, "src_file string, content binary")
 
 
 def quote_lines(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,9 +8,9 @@ of one day, so reading it whole is bounded.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,21 +50,33 @@ LEVEL_NAMES = {
 
 
 # ---- files to lines ---------------------------------------------------
-def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+SLICE_ROWS = 64
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time: a batch has thousands of them, and whole files as Python text take several times its size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _text(raw: bytes) -> str:
     """UTF-8 first, else the exchange's legacy Big5 code page with replacement marks."""
-    for pdf in batches:
-        texts = []
-        for raw in pdf["content"]:
-            try:
-                texts.append(bytes(raw).decode("utf-8-sig"))
-            except UnicodeDecodeError:
-                texts.append(bytes(raw).decode("cp950", errors="replace"))
-        yield pd.DataFrame({"src_file": pdf["src_file"], "text": texts})
+    try:
+        return raw.decode("utf-8-sig")
+    except UnicodeDecodeError:
+        return raw.decode("cp950", errors="replace")
+
+
+def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        texts = pa.array([_text(raw) for raw in part["content"].to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([part["src_file"], texts], ["src_file", "text"])
 
 
 def decode_files(files: DataFrame) -> DataFrame:
     """(src_file, content bytes) to (src_file, text)."""
-    return files.select("src_file", "content").mapInPandas(_decode, "src_file string, text string")
+    return files.select("src_file", "content").mapInArrow(_decode, "src_file string, text string")
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
