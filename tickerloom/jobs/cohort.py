@@ -266,8 +266,11 @@ def strategy_cohort(
     """Candidate rows of every cohort: anchor facts, EPS history, price, volume and as-of features.
 
     Price and the tables of `as_of_tables` (table with symbol and date, columns; see `feature_families`) are looked
-    up as of the cutoff in one merge.
+    up as of the cutoff in one merge. Facts and series of symbols without a quarterly report, which no cohort holds, are left out.
     """
+    quarterly = stage(quarterly)
+    facts, quotes = (asof.with_keys_of(t, quarterly, ["symbol"]) for t in (facts, quotes))
+    as_of_tables = [(asof.with_keys_of(t, quarterly, ["symbol"]), columns) for t, columns in as_of_tables]
     anchor = _anchored(quarterly, calendar, "anchor_q", {
         "revenue_q": "anchor_rev", "net_income_q": "anchor_ni", "capital": "capital", "nav_per_share": "nav_per_share",
     })

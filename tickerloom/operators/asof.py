@@ -115,6 +115,18 @@ def asof_forward(
     return left.join(found, [*keys, left_on], "left").select(*left.columns, *picked)
 
 
+def with_keys_of(df: DataFrame, asked: DataFrame, keys: Sequence[str], most: int = 500_000) -> DataFrame:
+    """Rows of `df` whose keys (NULL like any other) stand in the stored table `asked`: series that nobody asks for are left
+    out before they are summed and sorted. With more than `most` keys `df` stays as it is, since then the filter costs an exchange."""
+    held = asked.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    if held.limit(most + 1).count() > most:
+        return df
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return df.join(F.broadcast(held), match, "left_semi")
+
+
 def latest_as_of(
     df: DataFrame, keys: Sequence[str], order: str, cutoff: Column | str | None = None
 ) -> DataFrame:

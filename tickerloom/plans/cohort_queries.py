@@ -221,9 +221,14 @@ _FAMILY_JOINS = " ".join(f"ASOF LEFT JOIN {f} ON {f}.symbol = strat.symbol AND s
 
 
 def _families(spark, sf):
-    margin, flows, foreign = V.margin(spark, sf), V.flows(spark, sf), V.foreign_holding(spark, sf)
+    reports = stage(V.reports(spark, sf))  # the symbols that a cohort may hold
+    margin, flows, foreign, quotes, official = (
+        asof.with_keys_of(t, reports, ["symbol"])
+        for t in (V.margin(spark, sf), V.flows(spark, sf), V.foreign_holding(spark, sf), V.quotes(spark, sf), pe_ratio(spark, sf))
+    )
+    flows, foreign = stage(flows), stage(foreign)
     held = [derive.cumulative_holding(flows, foreign, f"{c}_net", c) for c in ("foreign", "trust", "dealer")]
-    valuation = derive.valuation(V.quotes(spark, sf), V.reports(spark, sf), pe_ratio(spark, sf))
+    valuation = derive.valuation(quotes, reports, official)
     return cohort.feature_families(valuation, derive.margin_pressure(margin), derive.short_interest(margin), *held, derive.concentration(V.shareholding(spark, sf)))
 
 

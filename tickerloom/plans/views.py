@@ -241,15 +241,20 @@ STATEMENT_CODES = ["4000", "5900", "6300", "6900", "7900", "7950", "8200", "1100
 
 
 def statements(spark: SparkSession, sf: str) -> DataFrame:
-    """Long facts with income, balance and cash period types; some codes are missing per quarter."""
-    li = table(spark, sf, "lineitem")
-    pick = F.element_at(F.array(*[F.lit(c) for c in STATEMENT_CODES]), (F.col("l_partkey") % 16 + 1).cast("int"))
-    slot = F.col("l_partkey") % 16
+    """Long facts with income, balance and cash period types; some codes are missing per quarter.
+
+    A remainder has one code and one period type: rows are grouped by numbers, the text keys are made once per group.
+    """
+    slot = F.col("_slot")
+    pick = F.element_at(F.array(*[F.lit(c) for c in STATEMENT_CODES]), (slot + 1).cast("int"))
     kind = F.when(slot < 7, "quarter").when(slot < 14, "as_of").otherwise("accumulated")
-    return li.groupBy(
-        P.quarter_token(F.year("l_shipdate"), F.quarter("l_shipdate")).alias("date"),
-        symbol_of("l_suppkey").alias("symbol"), kind.alias("period_type"), pick.alias("account_code"),
+    sums = table(spark, sf, "lineitem").groupBy(
+        F.year("l_shipdate").alias("_year"), F.quarter("l_shipdate").alias("_quarter"), "l_suppkey", (F.col("l_partkey") % 16).alias("_slot"),
     ).agg((F.sum(cents("l_extendedprice")) / 1e5).alias("value_num"))
+    return sums.select(
+        P.quarter_token(F.col("_year"), F.col("_quarter")).alias("date"), symbol_of("l_suppkey").alias("symbol"),
+        kind.alias("period_type"), pick.alias("account_code"), "value_num",
+    )
 
 
 def quarterly(spark: SparkSession, sf: str) -> DataFrame:
