@@ -90,10 +90,14 @@ def forward_lookup(
 
     Points and right rows are united and read backwards per key: the last right row seen is the next one in time,
     and counts if it is near enough. One row a point and one exchange, however wide the span. Right rows must be
-    unique per (key, day).
+    unique per (key, day). Right rows on days that lie near no point at all are left out first: no point can find them,
+    and days are as few as the calendar has.
     """
     keys = list(keys)
     asked = points.select(*keys, on).where(F.col(on).isNotNull()).distinct()
+    days = points.select(F.col(on).cast("date").alias("_d")).where("_d IS NOT NULL").distinct()
+    near = days.select(F.explode(F.sequence("_d", F.date_add("_d", within_days))).alias("_near")).distinct()
+    right = right.join(F.broadcast(near), F.col(right_on).cast("date") == F.col("_near"), "left_semi")
     asked = asked.select(*keys, F.col(on).cast("date").alias("_t"), F.lit(1).alias("_side"), F.col(on).alias("_on"))
     state = F.struct(F.col(right_on).cast("string").alias("_at"), F.col(right_on).cast("date").alias("_day"), *[F.col(c) for c in cols])
     states = right.select(*keys, F.col(right_on).cast("date").alias("_t"), F.lit(0).alias("_side"), state.alias("_p"))

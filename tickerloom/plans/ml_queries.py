@@ -125,7 +125,7 @@ def eps_walk_forward(spark, sf):
 
 
 def _rank_panel(spark, sf):
-    return stage(ml.rank_labels(stage(perf.forward_returns(V.scores(spark, sf), V.quotes(spark, sf)))))
+    return stage(ml.rank_labels(stage(perf.forward_returns(V.scores(spark, sf), V.quotes(spark, sf), V.calendar(spark, sf)))))
 
 
 def _targets(panel):

@@ -343,8 +343,9 @@ _DIAG = f"""WITH {_rotation((10,))}, {_MONTHS.format(tops=10)}, {_REGIME},
 
 def _diag(spark, sf):
     scores, quotes, trades = _trades(spark, sf, (10,))
-    months = perf.rotation_months(scores, quotes, trades, (10,), V.index_daily(spark, sf), V.calendar(spark, sf))
-    index = perf.market_mean(V.index_daily(spark, sf), "IDX0")
+    indices = stage(V.index_daily(spark, sf))
+    months = perf.rotation_months(scores, quotes, trades, (10,), indices, V.calendar(spark, sf))
+    index = perf.market_mean(indices, "IDX0")
     return perf.regime_panel(months, index, perf.score_distribution(scores), 10)
 
 

@@ -197,7 +197,8 @@ def index_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def calendar(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").select(iso("l_shipdate").alias("date")).distinct()
+    days = table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("date")).distinct()
+    return days.select(F.col("date").cast("string"))
 
 
 def playbook(spark: SparkSession, sf: str) -> DataFrame:
@@ -208,22 +209,23 @@ def playbook(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scored_base(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores per playbook day and symbol; rows are grouped by number and month, the text keys are made once per group."""
     li = table(spark, sf, "lineitem")
-    return li.groupBy(
-        P.playbook_day(F.year("l_shipdate"), F.month("l_shipdate")).alias("playbook_date"),
-        symbol_of("l_suppkey").alias("symbol"),
-    ).agg(
+    base = li.groupBy(F.year("l_shipdate").alias("_year"), F.month("l_shipdate").alias("_month"), "l_suppkey").agg(
         N.rnd(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))) / F.sum("l_quantity"), 6).alias("ml_score"),
         N.rnd(F.avg("l_discount"), 8).alias("disc"),
         N.rnd(F.avg("l_tax"), 8).alias("tax"),
         F.sum("l_quantity").alias("qty"),
         F.count(F.lit(1)).alias("line_count"),
     )
+    day = P.playbook_day(F.col("_year"), F.col("_month"))
+    return base.select(day.alias("playbook_date"), symbol_of("l_suppkey").alias("symbol"), "ml_score", "disc", "tax", "qty", "line_count")
 
 
 def entries(spark: SparkSession, sf: str) -> DataFrame:
     """First trading day on or after each cohort date."""
-    days = scored_base(spark, sf).select("playbook_date").distinct()
+    months = table(spark, sf, "lineitem").select(F.year("l_shipdate").alias("_year"), F.month("l_shipdate").alias("_month")).distinct()
+    days = months.select(P.playbook_day(F.col("_year"), F.col("_month")).alias("playbook_date"))
     return asof.next_trading_day(days, calendar(spark, sf), "playbook_date", "entry_date")
 
 
