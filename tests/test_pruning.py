@@ -50,3 +50,12 @@ def test_days_of_cohorts_are_read_without_symbols(spark, sf):
     assert "l_suppkey" not in plan(V.entries(spark, sf))
     days = {r[0] for r in V.scored_base(spark, sf).select("playbook_date").distinct().collect()}
     assert {r[0] for r in V.entries(spark, sf).select("playbook_date").collect()} == days
+
+
+def test_lines_without_a_part_count_to_the_last_code(spark, monkeypatch):
+    lines = [(pk, 5, 10.0, "1995-05-01") for pk in (None, 15, 31, None, 14, 0)]
+    df = spark.createDataFrame(lines, "l_partkey bigint, l_suppkey bigint, l_extendedprice double, _d string").withColumn("l_shipdate", F.to_timestamp("_d"))
+    monkeypatch.setattr(V, "table", lambda *a: df)
+    got = {tuple(r) for r in V.statements(spark, "").select("date", "symbol", "period_type", "account_code", "value_num").collect()}
+    row = ("1995Q2", "0005")
+    assert got == {(*row, "accumulated", "B02700", 0.04), (*row, "accumulated", "AAAA", 0.01), (*row, "quarter", "4000", 0.01)}

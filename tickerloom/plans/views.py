@@ -246,12 +246,13 @@ def statements(spark: SparkSession, sf: str) -> DataFrame:
     """Long facts with income, balance and cash period types; some codes are missing per quarter.
 
     A remainder has one code and one period type: rows are grouped by numbers, the text keys are made once per group.
+    Lines without a part count to the last code.
     """
     slot = F.col("_slot")
     pick = F.element_at(F.array(*[F.lit(c) for c in STATEMENT_CODES]), (slot + 1).cast("int"))
     kind = F.when(slot < 7, "quarter").when(slot < 14, "as_of").otherwise("accumulated")
     sums = table(spark, sf, "lineitem").groupBy(
-        F.year("l_shipdate").alias("_year"), F.quarter("l_shipdate").alias("_quarter"), "l_suppkey", (F.col("l_partkey") % 16).alias("_slot"),
+        F.year("l_shipdate").alias("_year"), F.quarter("l_shipdate").alias("_quarter"), "l_suppkey", F.coalesce(F.col("l_partkey") % 16, F.lit(15)).alias("_slot"),
     ).agg((F.sum(cents("l_extendedprice")) / 1e5).alias("value_num"))
     return sums.select(
         P.quarter_token(F.col("_year"), F.col("_quarter")).alias("date"), symbol_of("l_suppkey").alias("symbol"),
