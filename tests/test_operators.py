@@ -158,3 +158,11 @@ def test_prior_share(spark):
 
     w = Window.partitionBy(F.lit(0)).orderBy("t")
     assert [r["p"] for r in df.withColumn("p", W.prior_share_at_most("v", w)).orderBy("t").collect()] == [None, 1.0, 0.5, 1.0]
+
+
+def test_rolling_means_are_exact_beside_large_and_missing_values(spark):
+    values = [3e15, -3e15, 0.1, 0.2, None, 0.4, 0.5, -2.25, float("nan"), 1e-9, 0.1, float("inf"), 7.0, 8.0]
+    df = spark.createDataFrame([("x", f"{i:02d}", v) for i, v in enumerate(values)], "symbol string, date string, v double")
+    got = [r["m2"] for r in W.with_rolling_means(df, "symbol", "date", {"v": (2,)}, {"v": "m"}).orderBy("date").collect()]
+    assert got[:4] == [None, 0.0, -1.5e15 + 0.05, pytest.approx(0.15, rel=1e-15)] and got[4:6] == [None, None]
+    assert got[6:8] == [0.45, -0.875] and got[10] == pytest.approx(0.0500000005, rel=1e-12) and got[13] == 7.5

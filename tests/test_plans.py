@@ -57,6 +57,12 @@ def test_streak_windows_share_one_sort(spark, sf):
     assert text.count("Exchange hashpartitioning(symbol#") == 1
 
 
+def test_technical_indicators_take_all_windows_over_one_exchange(spark, sf):
+    text = plan(QUERIES["technical_indicators"](spark, sf))
+    assert text.count("Exchange hashpartitioning(symbol#") == 1
+    assert text.count("Window [") == 2 and "decimal" not in text
+
+
 def test_registry_is_consistent():
     assert set(ORACLES) <= set(QUERIES) == set(ROWS)
     assert all(ROWS.values())

@@ -29,8 +29,8 @@ def technical_indicators(quotes: DataFrame, flows: DataFrame, start: str | None
     """Averages, oscillators, bands and net-buying streaks per symbol and day.
 
     With `start` or `end` only that span is returned; it equals the same days of a full run, since
-    recursive averages and streaks see the whole history of a symbol. The recursion runs first, so
-    that few columns cross to Python; one more exchange on symbol serves all windows after it.
+    recursive averages and streaks see the whole history of a symbol. All windows are taken in two
+    steps over one sort, and the recursion reads on in it: one exchange on symbol serves everything.
     """
     if end:
         quotes = quotes.where(F.col("date") <= end)
@@ -39,11 +39,11 @@ def technical_indicators(quotes: DataFrame, flows: DataFrame, start: str | None
         flows.select("date", "symbol", *net), ["date", "symbol"], "left"
     )
     w = W.series("symbol", "date")
-    df = df.withColumn("rsv", W.stochastic(df, w)).drop("high", "low")
+    sums, means = W.rolling_means("symbol", "date", {"close": MA_LENGTHS, "volume": MA_LENGTHS}, {"close": "ma", "volume": "vma"})
+    first, streaks = W.streaks("symbol", "date", {c: c.replace("_net", "_streak_days") for c in net})
+    df = df.withColumns({"rsv": W.stochastic(df, w), "_sd20": W.rolling_std("close", w, 20), **sums, **first})
+    df = df.withColumns({**means, **streaks}).select("date", "symbol", "close", "rsv", "_sd20", *means, *streaks)
     df = W.with_ewm_indicators(df, "symbol", "date")
-    df = W.with_rolling_means(df, "symbol", "date", {"close": MA_LENGTHS, "volume": MA_LENGTHS}, {"close": "ma", "volume": "vma"})
-    df = df.withColumn("_sd20", W.rolling_std("close", w, 20))
-    df = W.with_streaks(df, "symbol", "date", {c: c.replace("_net", "_streak_days") for c in net})
     df = (
         df.withColumn("bb_upper", F.col("ma20") + 2 * F.col("_sd20"))
         .withColumn("bb_middle", F.col("ma20"))

@@ -44,28 +44,40 @@ def rolling_sum(c, window, n, min_rows=None) -> Column:
     return rolling(F.sum, c, window, n, min_rows)
 
 
-def with_rolling_means(df: DataFrame, key, order, lengths: dict[str, Sequence[int]], names: dict[str, str]) -> DataFrame:
-    """Means over several window lengths at a cost per row that does not grow with the length.
+# Whole part and the rest in units of 1e-12: both running sums are exact in long integers.
+UNITS = 1e12
+Columns = dict[str, Column]
 
-    A frame of 240 rows would be summed again for every row. Here one running
-    sum and one running count per column are taken, and a window is the
-    difference to the row n before. The sums are decimals with 12 places, so the
-    differences are exact. NULL until n non-null values are in the window.
-    `lengths` is column to window lengths, `names` column to output prefix.
-    """
+
+def rolling_means(key, order, lengths: dict[str, Sequence[int]], names: dict[str, str]) -> tuple[Columns, Columns]:
+    """The columns of `with_rolling_means` in two steps: running sums, and the means made of them."""
     w = series(key, order)
     running = w.rowsBetween(Window.unboundedPreceding, 0)
-    for c in lengths:
-        df = df.withColumn(f"_sum_{c}", F.sum(F.col(c).cast("decimal(28,12)")).over(running))
-        df = df.withColumn(f"_cnt_{c}", F.count(c).over(running))
-    means = {}
+    sums, means = {}, {}
     for c, ns in lengths.items():
+        value = F.col(c).cast("double")
+        value = F.when(F.abs(value) < float("inf"), value)
+        whole = value.cast("bigint")
+        parts = {"whole": whole, "rest": F.rint((value - whole) * UNITS).cast("bigint")}
+        sums |= {f"_{k}_{c}": F.coalesce(F.sum(part).over(running), F.lit(0).cast("bigint")) for k, part in parts.items()}
+        sums[f"_cnt_{c}"] = F.count(c).over(running)
         for n in ns:
-            before = F.coalesce(F.lag(f"_sum_{c}", n).over(w), F.lit(0).cast("decimal(38,12)"))
-            full = F.col(f"_cnt_{c}") - F.lag(f"_cnt_{c}", n, 0).over(w) == n
-            total = (F.col(f"_sum_{c}") - before).cast("double")
-            means[f"{names[c]}{n}"] = F.when(full, total / n)
-    return df.withColumns(means).drop(*[f"_{k}_{c}" for c in lengths for k in ("sum", "cnt")])
+            whole, rest, full = (F.col(f"_{k}_{c}") - F.lag(f"_{k}_{c}", n, 0).over(w) for k in ("whole", "rest", "cnt"))
+            means[f"{names[c]}{n}"] = F.when(full == n, (whole.cast("double") + rest.cast("double") / UNITS) / n)
+    return sums, means
+
+
+def with_rolling_means(df: DataFrame, key, order, lengths: dict[str, Sequence[int]], names: dict[str, str]) -> DataFrame:
+    """Means over several window lengths at a cost per row that does not grow with the length.
+
+    A frame of 240 rows would be summed again for every row. Here running sums
+    and a running count per column are taken, and a window is the difference to
+    the row n before. The sums are long integers, so the differences are exact.
+    NULL until n non-null values are in the window.
+    `lengths` is column to window lengths, `names` column to output prefix.
+    """
+    sums, means = rolling_means(key, order, lengths, names)
+    return df.withColumns(sums).withColumns(means).drop(*sums)
 
 
 def change_from_previous(c, window, rows: int = 1) -> Column:
@@ -83,22 +95,27 @@ def stochastic(df: DataFrame, window, high="high", low="low", close="close", n:
     return F.coalesce(F.try_divide(col(close) - low_n, high_n - low_n) * 100, F.lit(50.0))
 
 
+def streaks(key, order, nets: dict[str, str]) -> tuple[Columns, Columns]:
+    """The columns of `with_streaks` in two steps: row numbers with the first rows of runs, and the lengths made of them."""
+    w = series(key, order)
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    first, out = {"_rn": F.row_number().over(w)}, {}
+    for c, o in nets.items():
+        sign = F.signum(F.coalesce(F.col(c), F.lit(0.0))).cast("int")
+        first[f"_new_{c}"] = ~sign.eqNullSafe(F.lag(sign).over(w))
+        begin = F.max(F.when(F.col(f"_new_{c}"), F.col("_rn"))).over(running)
+        out[o] = ((F.col("_rn") - begin + 1) * sign).cast("bigint")
+    return first, out
+
+
 def with_streaks(df: DataFrame, key, order, nets: dict[str, str]) -> DataFrame:
     """Signed length of the current run of same-sign values per column; a zero or NULL row is 0.
 
     `nets` is input to output column. A run's length is the row number less that
     of the run's first row, so every step reads the one (key, order) sort.
     """
-    w = series(key, order)
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    signs = {f"_sg_{c}": F.signum(F.coalesce(F.col(c), F.lit(0.0))).cast("int") for c in nets}
-    df = df.withColumns(signs).withColumn("_rn", F.row_number().over(w))
-    first = {f"_new_{c}": ~F.col(f"_sg_{c}").eqNullSafe(F.lag(f"_sg_{c}").over(w)) for c in nets}
-    df = df.withColumns(first)
-    begin = {f"_at_{c}": F.max(F.when(F.col(f"_new_{c}"), F.col("_rn"))).over(running) for c in nets}
-    df = df.withColumns(begin)
-    out = {o: ((F.col("_rn") - F.col(f"_at_{c}") + 1) * F.col(f"_sg_{c}")).cast("bigint") for c, o in nets.items()}
-    return df.withColumns(out).drop("_rn", *[f"_{k}_{c}" for c in nets for k in ("sg", "new", "at")])
+    first, out = streaks(key, order, nets)
+    return df.withColumns(first).withColumns(out).drop(*first)
 
 
 def with_streak(df: DataFrame, key, order, net: str, out: str) -> DataFrame:
