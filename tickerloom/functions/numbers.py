@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,6 +46,21 @@ def rnd(c: Column | str, digits: int) -> Column:
     return F.round(value + F.signum(value) * F.lit(5e-10), digits) + F.lit(0.0)
 
 
+def rounded(values: np.ndarray, digits: int) -> np.ndarray:
+    """`rnd` of an array inside a task: by arithmetic, by the decimal text only next to ties and for large values."""
+    v = values + np.sign(values) * 5e-10
+    with np.errstate(invalid="ignore", over="ignore"):
+        scaled = np.abs(v) * 10.0**digits
+        out = np.where(np.isfinite(v), np.copysign(np.floor(scaled + 0.5) / 10.0**digits, v), v)
+        sure = (scaled < 1e9) & (np.abs(scaled - np.floor(scaled) - 0.5) > 1e-5)
+    for i in np.flatnonzero(~sure & np.isfinite(v)):
+        if abs(v[i]) < 2.0**53:  # beyond, there are no digits to round
+            out[i] = float(Decimal(repr(float(v[i]))).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
+        else:
+            out[i] = v[i]
+    return out + 0.0
+
+
 def ratio_to_average(x: Column | str, average: Column | str) -> Column:
     """x / average - 1 where the average is positive."""
     return F.when(col(average) > 0, col(x) / col(average) - 1)

@@ -58,22 +58,20 @@ def technical_indicators(quotes: DataFrame, flows: DataFrame, start: str | None
     )
 
 
-def technical_run(quotes: DataFrame, flows: DataFrame, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def technical_run(
+    quotes: DataFrame, flows: DataFrame, state: DataFrame | None = None, followed: bool = True, digits: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(indicator rows of the given days, state after them): both inputs hold new days only.
 
     `state` is what the last run returned; without one the given days are the whole history. Rows equal those of
-    `technical_indicators` over all days. A symbol without new days keeps its state.
+    `technical_indicators` over all days. A symbol without new days keeps its state. Quotes, flows and states are staged
+    as they lie side by side, for the rows and the next run's states to read; not for a last run, which is not `followed`.
+    `digits` rounds the rows where they are made, as `numbers.rnd` does.
     """
     nets = ["foreign_net", "trust_net", "dealer_net"]
-    df = quotes.select("date", "symbol", "high", "low", "close", "volume").join(
-        flows.select("date", "symbol", *nets), ["date", "symbol"], "left"
-    )
-    made = stage(recursion.with_continued_indicators(df, state, MA_LENGTHS, nets).drop("high", "low", "close", "volume", *nets))
-    shown = [c for c in made.columns if c not in recursion.STATE_COLUMNS]
-    clean = [F.when(~F.isnan(f.name), F.col(f.name)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in made.schema.fields if f.name in shown]
-    fresh = made.where("s_last IS NOT NULL").select("symbol", *recursion.STATE_COLUMNS)
-    after = fresh if state is None else fresh.unionByName(state.join(fresh.select("symbol"), "symbol", "left_anti"))
-    return made.select(*clean), stage(after)
+    df = recursion.united(quotes.select("date", "symbol", "high", "low", "close", "volume"), flows.select("date", "symbol", *nets), state)
+    df = stage(df) if followed else df
+    return recursion.indicators(df, MA_LENGTHS, nets, digits), recursion.next_states(df, MA_LENGTHS, nets)
 
 
 # ---- valuation_daily --------------------------------------------------

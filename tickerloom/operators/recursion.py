@@ -3,6 +3,9 @@
 The state holds what the recursions need: the averages with their weights, the runs of equal sign, and as many
 last rows as the longest window looks back (239 closes and volumes, 8 highs and lows). It does not grow with the
 history. A step over new rows equals the same rows of a full run.
+
+Quotes, flows and states are united and dealt by series once (`united`): a flow meets its quote where they lie side by
+side. Indicators and next states are two readings of that table, so that no indicator is stored for the sake of the states.
 """
 
 from __future__ import annotations
@@ -15,7 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.operators.series import over_series
+from tickerloom.functions.numbers import rounded
+from tickerloom.operators.series import dealt, mapped
 
 # Name: smoothing factor, weights of a finite history (adjusted), values needed.
 AVERAGES = {
@@ -23,8 +27,12 @@ AVERAGES = {
     "down12": (1 / 12, True, 12), "fast": (2 / 13, False, 1), "slow": (2 / 27, False, 1), "dea": (2 / 10, False, 1),
 }
 RANGE_ROWS, BAND_ROWS = 9, 20
+VALUES = ["close", "volume", "high", "low"]
 STATE = "s_last string, s_close array<double>, s_volume array<double>, s_high array<double>, s_low array<double>, s_averages array<double>, s_runs array<bigint>"
 STATE_COLUMNS = [part.split()[0] for part in STATE.split(", ")]
+LISTS = STATE_COLUMNS[1:]
+# Kinds of united rows, in their order within a day.
+STORED, FLOW, QUOTE = 0, 1, 2
 
 
 class TimeMajor:
@@ -99,37 +107,85 @@ def _lists(values: np.ndarray, counts: np.ndarray, last: np.ndarray, rows: int)
     return pa.ListArray.from_arrays(offsets, pa.array(values), mask=pa.array(~there))
 
 
-def step_of(lengths: Sequence[int], nets: Sequence[str], columns: Sequence[str]):
-    """The function of many series: their new rows in order, each after its state row if there is one, to indicators and the next states."""
+class _Stored:
+    """The states of a `united` table: the lists of a state follow one another in `_state`, after their sizes."""
+
+    def __init__(self, table: pa.Table):
+        lists = table["_state"].combine_chunks()
+        self.table, self.begin, self.values = table, lists.offsets.to_numpy()[:-1].astype(np.int64), lists.values.to_numpy(zero_copy_only=False)
+
+    def lists(self, name: str, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values of the lists at `rows` one after the other, and how many each row has: none at a row below 0."""
+        at, there = self.begin[np.maximum(rows, 0)], rows >= 0
+        if not there.any():
+            return np.zeros(0), np.zeros(len(rows), np.int64)
+        sizes = np.where(there[:, None], self.values[np.where(there, at, at[there][0])[:, None] + np.arange(len(LISTS))], 0).astype(np.int64)
+        nth = LISTS.index(name)
+        return self.values[_ranges(at + len(LISTS) + sizes[:, :nth].sum(axis=1), sizes[:, nth])], sizes[:, nth]
+
+    def rows(self, rows: np.ndarray) -> pa.Table:
+        made = {c: self.table[c].take(pa.array(rows)).combine_chunks() for c in ("symbol", "s_last")}
+        for name in LISTS:
+            values, sizes = self.lists(name, rows)
+            made[name] = _lists(values.astype(np.int64) if name == "s_runs" else values, sizes, np.arange(len(rows)), len(rows))
+        return pa.table(made)
+
+
+def _quote_rows(table: pa.Table, number: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of quotes, and for each the row that its nets are read from: a flow of its symbol and day, or itself where there is none.
+
+    As in a left join, a quote comes once for each flow of its day, and a missing symbol or day has no flow.
+    """
+    quotes = np.flatnonzero(kind == QUOTE)
+    if not (kind == FLOW).any():
+        return quotes, quotes
+    days = table["date"].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    stored = kind == STORED
+    begins = (np.diff(number, prepend=-1) != 0) | (np.diff(days, prepend=-2) != 0) | stored | np.concatenate([[False], stored[:-1]])
+    group = np.cumsum(begins) - 1
+    known = (days >= 0) & table["symbol"].combine_chunks().is_valid().to_numpy(zero_copy_only=False)
+    flows = np.where(known[quotes], np.bincount(group, kind == FLOW).astype(np.int64)[group[quotes]], 0)
+    times = np.maximum(flows, 1)
+    rows = np.repeat(quotes, times)
+    nth = np.arange(len(rows)) - np.repeat(np.cumsum(times) - times, times)
+    return rows, np.where(np.repeat(flows, times) > 0, np.flatnonzero(begins)[group[rows]] + nth, rows)
+
+
+def step_of(lengths: Sequence[int], nets: Sequence[str], columns: Sequence[str], indicators: bool = True, states: bool = True, digits: int | None = None):
+    """The function of many series of a `united` table: their new rows (`columns`) with indicators, their next states, or both.
+
+    States alone are a row per series, also for one without new rows, which keeps its state. Beside indicators a state
+    stands in its series' last row. `digits` rounds the indicators, never the states.
+    """
     keep = max(lengths) - 1
+    taken = list(dict.fromkeys(["symbol", "date", *VALUES, *nets, *columns]))
 
     def step(table: pa.Table, first: np.ndarray) -> pa.Table:
         table = table.combine_chunks()
         number = np.repeat(np.arange(len(first)), np.diff(first, append=table.num_rows))
-        wanted, old = np.ones(table.num_rows, bool), np.full(len(first), -1)
-        if "_state" in table.column_names:
-            stored = table["_state"].to_numpy()
-            old = np.where(stored[first], first, -1)
-            after = pa.array(old[number], mask=old[number] < 0)
-            later = pc.greater(table["date"], table["s_last"].take(after)).fill_null(False).to_numpy()
-            wanted = ~stored & (later | (old[number] < 0))
-        new = table.select(list(columns)).filter(pa.array(wanted))
+        kind = table["_kind"].to_numpy()
+        states_of = _Stored(table) if "_state" in table.column_names else None
+        old = np.where(kind[first] == STORED, first, -1)
+        rows, nets_from = _quote_rows(table, number, kind)
+        if states_of:
+            before = old[number[rows]]
+            later = pc.greater(table["date"].take(pa.array(rows)), table["s_last"].take(pa.array(before, mask=before < 0))).fill_null(False).to_numpy()
+            wanted = later | (before < 0)
+            rows, nets_from = rows[wanted], nets_from[wanted]
+        new = pa.table({c: table[c].take(pa.array(nets_from if c in nets else rows)).combine_chunks() for c in taken})
+        present, first, counts = np.unique(number[rows], return_index=True, return_counts=True)
+        unmoved = [states_of.rows(np.flatnonzero((kind == STORED) & ~np.isin(number, present)))] if states_of and not indicators else []
         if not new.num_rows:
-            return new
-        present, first, counts = np.unique(number[wanted], return_index=True, return_counts=True)
-        old, rows, last = old[present], new.num_rows, first + counts - 1
-        stored_at = pa.array(old, mask=old < 0)
+            return unmoved[0] if unmoved else new.select(columns)
+        old, last = old[present], first + counts - 1
 
         def stored_lists(name: str) -> tuple[np.ndarray, np.ndarray]:
             """Values of the stored lists one after the other, and how many each series has."""
-            if "_state" not in table.column_names:
-                return np.zeros(0), np.zeros(len(old), np.int64)
-            lists = table[f"s_{name}"].combine_chunks().take(stored_at)
-            return lists.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            return states_of.lists(f"s_{name}", old) if states_of else (np.zeros(0), np.zeros(len(old), np.int64))
 
-        values = {c: new[c].to_numpy().astype(float) for c in ("close", "volume", "high", "low", *nets)}
+        values = {c: new[c].to_numpy().astype(float) for c in (*VALUES, *nets)}
         series, places, shown, ends = {}, {}, {}, {}
-        for c in ("close", "volume", "high", "low"):
+        for c in VALUES:
             before, sizes = stored_lists(c)
             total = sizes + counts
             begin = np.cumsum(total) - total
@@ -157,9 +213,10 @@ def step_of(lengths: Sequence[int], nets: Sequence[str], columns: Sequence[str])
             return windowed(series[c], places[c], n, how)[shown[c]]
 
         out = {}
-        for c, prefix in (("close", "ma"), ("volume", "vma")):
-            for n in lengths:
-                out[f"{prefix}{n}"] = over(c, n, np.mean)
+        if indicators:
+            for c, prefix in (("close", "ma"), ("volume", "vma")):
+                for n in lengths:
+                    out[f"{prefix}{n}"] = over(c, n, np.mean)
         low, high, close = over("low", RANGE_ROWS, np.min), over("high", RANGE_ROWS, np.max), values["close"]
         with np.errstate(divide="ignore", invalid="ignore"):
             rsv = np.where(high > low, (close - low) / (high - low) * 100, np.nan)
@@ -173,30 +230,79 @@ def step_of(lengths: Sequence[int], nets: Sequence[str], columns: Sequence[str])
             made = average({"d": out["k"], "dea": out["macd_dif"]})
         out["d"], out["macd_dea"] = made["d"], made["dea"]
         out["macd_hist"] = out["macd_dif"] - out["macd_dea"]
-        spread = over("close", BAND_ROWS, lambda v, axis: np.std(v, axis=axis, ddof=1))
-        middle = over("close", BAND_ROWS, np.mean)
-        out |= {"bb_upper": middle + 2 * spread, "bb_middle": middle, "bb_lower": middle - 2 * spread}
+        if indicators:
+            spread = over("close", BAND_ROWS, lambda v, axis: np.std(v, axis=axis, ddof=1))
+            middle = over("close", BAND_ROWS, np.mean)
+            out |= {"bb_upper": middle + 2 * spread, "bb_middle": middle, "bb_lower": middle - 2 * spread}
         for i, c in enumerate(nets):
-            out[c.replace("_net", "_streak_days")] = run_lengths(values[c], first, counts, runs[:, i])
-        for name in _names(lengths, nets):
-            new = new.append_column(name, pa.array(out[name], from_pandas=True))
+            out[_streak(c)] = run_lengths(values[c], first, counts, runs[:, i])
+        shape = (last, new.num_rows) if indicators else (np.arange(len(last)), len(last))
         dates = new["date"].combine_chunks()
-        last_rows = np.zeros(rows, bool)
-        last_rows[last] = True
-        new = new.append_column("s_last", pc.if_else(pa.array(last_rows), dates, pa.scalar(None, dates.type)))
+        if indicators:
+            ending = np.zeros(new.num_rows, bool)
+            ending[last] = True
+            state = {"s_last": pc.if_else(pa.array(ending), dates, pa.scalar(None, dates.type))}
+        else:
+            state = {"s_last": dates.take(pa.array(last))}
         for c, k in {"close": keep, "volume": keep, "high": RANGE_ROWS - 1, "low": RANGE_ROWS - 1}.items():
             begin, total = ends[c]
-            kept = np.minimum(total, k) if k else total
-            new = new.append_column(f"s_{c}", _lists(series[c][_ranges(begin + total - kept, kept)], kept, last, rows))
-        new = new.append_column("s_averages", _lists(averages.reshape(-1), np.full(len(old), 3 * len(AVERAGES)), last, rows))
-        return new.append_column("s_runs", _lists(runs.reshape(-1), np.full(len(old), 2 * len(nets)), last, rows))
+            held = np.minimum(total, k) if k else total
+            state[f"s_{c}"] = _lists(series[c][_ranges(begin + total - held, held)], held, *shape)
+        state["s_averages"] = _lists(averages.reshape(-1), np.full(len(old), 3 * len(AVERAGES)), *shape)
+        state["s_runs"] = _lists(runs.reshape(-1), np.full(len(old), 2 * len(nets)), *shape)
+        if not indicators:
+            fresh = pa.table({"symbol": new["symbol"].combine_chunks().take(pa.array(last)), **state})
+            return pa.concat_tables([fresh.filter(fresh["s_last"].is_valid()), *unmoved])
+        if digits is not None:
+            out |= {name: rounded(values, digits) for name, values in out.items() if values.dtype == float}
+        shown_columns = {name: pa.array(out[name], from_pandas=True) for name in _names(lengths, nets)}
+        return pa.table({**{c: new[c] for c in columns}, **shown_columns, **(state if states else {})})
 
     return step
 
 
+def _streak(net: str) -> str:
+    return net.replace("_net", "_streak_days")
+
+
 def _names(lengths: Sequence[int], nets: Sequence[str]) -> list[str]:
     means = [f"{p}{n}" for p in ("ma", "vma") for n in lengths]
-    return [*means, "k", "d", "rsi6", "rsi12", "macd_dif", "macd_dea", "macd_hist", "bb_upper", "bb_middle", "bb_lower", *[c.replace("_net", "_streak_days") for c in nets]]
+    return [*means, "k", "d", "rsi6", "rsi12", "macd_dif", "macd_dea", "macd_hist", "bb_upper", "bb_middle", "bb_lower", *[_streak(c) for c in nets]]
+
+
+def united(quotes: DataFrame, flows: DataFrame | None, state: DataFrame | None) -> DataFrame:
+    """Stored states, flows (date, symbol, nets) and quotes, dealt by symbol once; a series' state comes first, a day's flow before its quote."""
+    df = quotes.withColumn("_kind", F.lit(QUOTE).cast("tinyint"))
+    if flows is not None:
+        df = df.unionByName(flows.withColumn("_kind", F.lit(FLOW).cast("tinyint")), allowMissingColumns=True)
+    if state is not None:
+        flat = F.concat(F.array(*[F.size(c).cast("double") for c in LISTS]), *[F.col(c).cast("array<double>") for c in LISTS])
+        old = state.select("symbol", F.lit(STORED).cast("tinyint").alias("_kind"), "s_last", flat.alias("_state"))
+        df = df.unionByName(old, allowMissingColumns=True)
+    return dealt(df, "symbol", [F.col("_kind") != STORED, F.col("date").asc_nulls_last(), F.col("_kind")])
+
+
+def _read(df: DataFrame, step, schema: str) -> DataFrame:
+    """`step` over a `united` table. Lists go to Arrow empty where missing: a batch's size is taken at each row, at the cost of all missing lists before it."""
+    if "_state" in df.columns:
+        df = df.withColumn("_state", F.coalesce("_state", F.array().cast("array<double>")))
+    return mapped(df, "symbol", step, schema)
+
+
+def _schema(df: DataFrame, columns: Sequence[str], lengths: Sequence[int], nets: Sequence[str]) -> str:
+    kinds = {name: "bigint" if name in map(_streak, nets) else "double" for name in _names(lengths, nets)}
+    return ", ".join([*[f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns], *[f"{n} {t}" for n, t in kinds.items()]])
+
+
+def indicators(df: DataFrame, lengths: Sequence[int], nets: Sequence[str], digits: int | None = None) -> DataFrame:
+    """date, symbol and all indicators of the new rows of a `united` table, rounded like `numbers.rnd` if `digits` are given."""
+    columns = ["date", "symbol"]
+    return _read(df, step_of(lengths, nets, columns, states=False, digits=digits), _schema(df, columns, lengths, nets))
+
+
+def next_states(df: DataFrame, lengths: Sequence[int], nets: Sequence[str]) -> DataFrame:
+    """symbol and state after a `united` table; a symbol without new rows keeps its state."""
+    return _read(df, step_of(lengths, nets, [], indicators=False), f"symbol {df.schema['symbol'].dataType.simpleString()}, {STATE}")
 
 
 def with_continued_indicators(df: DataFrame, state: DataFrame | None, lengths: Sequence[int], nets: Sequence[str]) -> DataFrame:
@@ -204,13 +310,5 @@ def with_continued_indicators(df: DataFrame, state: DataFrame | None, lengths: S
 
     Rows up to the state's last day are left out: a repeated run adds nothing. One row per symbol and day.
     """
-    step = step_of(lengths, nets, df.columns)
-    kinds = {name: "bigint" if name.endswith("_streak_days") else "double" for name in _names(lengths, nets)}
-    base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    schema = f"{base}, " + ", ".join(f"{n} {t}" for n, t in kinds.items()) + f", {STATE}"
-    order = [F.col("date").asc_nulls_last()]
-    if state is not None:
-        old = state.select("symbol", *STATE_COLUMNS).withColumn("_state", F.lit(True))
-        df = df.withColumn("_state", F.lit(False)).unionByName(old, allowMissingColumns=True)
-        order = [F.desc("_state"), *order]
-    return over_series(df, "symbol", order, step, schema)
+    schema = f"{_schema(df, df.columns, lengths, nets)}, {STATE}"
+    return _read(united(df, None, state), step_of(lengths, nets, df.columns), schema)

@@ -41,8 +41,13 @@ def whole_series(batches: Iterable[pa.RecordBatch], key: str, rows: int = BATCH_
         yield pa.Table.from_batches(held)
 
 
-def over_series(df: DataFrame, key: str, order: Sequence[Column], compute: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
-    """`compute` (rows of whole series in `order`, first row of each series) over all series of `df`."""
+def dealt(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+    """Rows dealt by series, each series in `order`: what `mapped` reads."""
+    return df.repartition(key).sortWithinPartitions(F.col(key), *order)
+
+
+def mapped(df: DataFrame, key: str, compute: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
+    """`compute` (rows of whole series in order, first row of each series) over all series of a `dealt` table, staged or not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_series(batches, key):
@@ -50,7 +55,12 @@ def over_series(df: DataFrame, key: str, order: Sequence[Column], compute: Calla
             if made.num_rows:
                 yield from made.to_batches(max_chunksize=10_000)
 
-    return df.repartition(key).sortWithinPartitions(F.col(key), *order).mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
+
+
+def over_series(df: DataFrame, key: str, order: Sequence[Column], compute: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
+    """`compute` over all series of `df`, each in `order`."""
+    return mapped(dealt(df, key, order), key, compute, schema)
 
 
 def with_series_columns(

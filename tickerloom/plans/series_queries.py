@@ -175,9 +175,9 @@ def technical_incremental(spark, sf):
     state = out = None
     for start, following in zip(RUNS, (*RUNS[1:], None)):
         end = following and str(date.fromisoformat(following) - timedelta(days=1))
-        rows, state = derive.technical_run(V.quotes(spark, sf, start, end), V.flows(spark, sf, start, end), state)
+        rows, state = derive.technical_run(V.quotes(spark, sf, start, end), V.flows(spark, sf, start, end), state, followed=following is not None, digits=4)
         out = rows if out is None else out.unionByName(rows)
-    return _round_all(out, 4)
+    return out
 
 
 def _holding_sql(prefix):
