@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -167,6 +167,20 @@ def fit(train: DataFrame, features: Sequence[str], label: str, seed: int = 42, *
     return model_pipeline(features, label, seed, **settings).fit(with_missing_flags(train, features))
 
 
+def fit_seeds(train: DataFrame, features: Sequence[str], label: str, seeds: Sequence[int], at_once: int = 4, **settings: int) -> tuple[PipelineModel, dict[int, Model]]:
+    """What `fit` does for several seeds, a few at a time: rows are imputed and assembled once, and held while the trees are grown."""
+    flagged = with_missing_flags(train, features)
+    *before, _ = model_pipeline(features, label, seeds[0], **settings).getStages()
+    shared = Pipeline(stages=before).fit(flagged)
+    ready = shared.transform(flagged).select("features", label).persist()
+    try:
+        with ThreadPoolExecutor(at_once) as pool:
+            trees = pool.map(lambda s: model_pipeline(features, label, s, **settings).getStages()[-1].fit(ready), seeds)
+            return shared, dict(zip(seeds, trees))
+    finally:
+        ready.unpersist()
+
+
 def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], out: str = "prediction") -> DataFrame:
     scored = model.transform(with_missing_flags(df, features))
     return scored.select(*df.columns, F.col("prediction").alias(out))
@@ -219,13 +233,13 @@ def rank_labels(panel: DataFrame, ret: str = "fwd_return_pct", bins: int = 5) ->
     return df.withColumn("label", label)
 
 
-def ensemble_scores(
-    panel: DataFrame, candidates: DataFrame, features: Sequence[str], targets: Sequence[str | tuple[str, str]], seeds: Sequence[int],
-    agg: str = "score", **settings: int,
+def member_scores(
+    panel: DataFrame, candidates: DataFrame, features: Sequence[str], targets: Sequence[str | tuple[str, str]], seeds: Sequence[int], **settings: int,
 ) -> DataFrame:
-    """Candidates of each target cohort scored by a K-seed ensemble fitted on strictly earlier cohorts.
+    """(playbook_date, symbol, model, score): candidates of each target cohort scored by a model per seed, fitted on strictly earlier cohorts.
 
-    Targets that follow one another in a list of `targets` given as (fit date, target) pairs share a model.
+    Targets that follow one another in a list of `targets` given as (fit date, target) pairs share a model. The seeds of
+    a fit date share its training rows and one reading of its candidates.
     """
     pairs = [t if isinstance(t, tuple) else (t, t) for t in targets]
     served: dict[str, list[str]] = {}
@@ -234,17 +248,33 @@ def ensemble_scores(
             raise ValueError(f"cohort {target} would be scored by a later model")
         served.setdefault(fitted, []).append(target)
 
-    def one(fitted: str, seed: int) -> DataFrame:
+    def one(fitted: str) -> DataFrame:
         train = panel.where((F.col("playbook_date") < fitted) & F.col("label").isNotNull())
-        model = fit(train, features, "label", seed, **settings)
-        rows = candidates.where(F.col("playbook_date").isin(served[fitted]))
-        return predict(model, rows, features, "score").select("playbook_date", "symbol", F.lit(seed).alias("model"), "score")
+        shared, trees = fit_seeds(train, features, "label", seeds, **settings)
+        scored = shared.transform(with_missing_flags(candidates.where(F.col("playbook_date").isin(served[fitted])), features))
+        scored = scored.select("playbook_date", "symbol", "features")
+        for seed, model in trees.items():
+            scored = model.setPredictionCol(f"_score_{seed}").transform(scored)
+        members = [F.struct(F.lit(seed).alias("model"), F.col(f"_score_{seed}").alias("score")) for seed in trees]
+        return scored.select("playbook_date", "symbol", F.inline(F.array(*members)))
+
+    return each_fit([lambda f=f: one(f) for f in served], at_once=1)
+
 
-    members = each_fit([lambda f=f, s=s: one(f, s) for f in served for s in seeds])
-    combined = cohort.combine_scores(members, agg)
+def combined_members(members: DataFrame, seeds: Sequence[int], agg: str = "score") -> DataFrame:
+    """The ensemble of these seeds' members."""
+    combined = cohort.combine_scores(members.where(F.col("model").isin(list(seeds))), agg)
     return combined.withColumn("scored_by_ensemble_seeds", F.lit(",".join(str(s) for s in seeds)))
 
 
+def ensemble_scores(
+    panel: DataFrame, candidates: DataFrame, features: Sequence[str], targets: Sequence[str | tuple[str, str]], seeds: Sequence[int],
+    agg: str = "score", **settings: int,
+) -> DataFrame:
+    """Candidates of each target cohort scored by a K-seed ensemble of `member_scores`."""
+    return combined_members(member_scores(panel, candidates, features, targets, seeds, **settings), seeds, agg)
+
+
 def importance_table(spark: SparkSession, models: dict[str, PipelineModel], features: Sequence[str]) -> DataFrame:
     """(model, feature, gain_pct): tree importances, the missing flag counted with its feature.
 

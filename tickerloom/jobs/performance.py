@@ -87,6 +87,12 @@ def _with_opens(df: DataFrame, quotes: DataFrame, within: int, entry: str, exit_
     return joined.join(at("exit_date", exit_), ["symbol", "exit_date"], "left")
 
 
+def rotation_picks(scores: DataFrame, top_ns: Sequence[int]) -> DataFrame:
+    """The first symbols of each cohort, as many as the largest N: all that a rotation ever looks up quotes of."""
+    order = [F.desc("ml_score"), F.col("symbol")]
+    return ranks.top_n(scores.select("playbook_date", "symbol", "ml_score"), ["playbook_date"], order, max(top_ns), "pick")
+
+
 def rotation_trades(
     scores: DataFrame, quotes: DataFrame, top_ns: Sequence[int], amount: float = POSITION_AMOUNT, calendar: DataFrame | None = None
 ) -> DataFrame:
@@ -99,9 +105,7 @@ def rotation_trades(
     calendar = asof.trading_days(quotes) if calendar is None else calendar
     cohorts = scores.groupBy("playbook_date").agg(F.min("entry_date").alias("entry_date"))
     schedule = cohort_schedule(cohorts, calendar)
-    order = [F.desc("ml_score"), F.col("symbol")]
-    picks = ranks.top_n(scores.select("playbook_date", "symbol", "ml_score"), ["playbook_date"], order, max(top_ns), "pick")
-    picks = picks.join(schedule.where("opens"), "playbook_date")
+    picks = rotation_picks(scores, top_ns).join(schedule.where("opens"), "playbook_date")
     held = _with_opens(picks, quotes, 5, "entry_price", "exit_price").where("entry_price IS NOT NULL")
     shares = F.greatest(F.floor(F.lit(amount) / F.col("entry_price")), F.lit(1))
     df = held.withColumn("shares", shares.cast("bigint"))

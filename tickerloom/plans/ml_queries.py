@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.functions import numbers as N
@@ -152,13 +155,17 @@ def importance_drift(spark, sf):
 @query("ensemble_validation", "C31 A33 C29")
 def ensemble_validation(spark, sf):
     """Three disjoint seed groups, each run through the rotation of all cohorts and judged on its monthly Sharpe."""
-    panel, quotes, days = _rank_panel(spark, sf), V.quotes(spark, sf), V.calendar(spark, sf)
+    panel, days = _rank_panel(spark, sf), stage(V.calendar(spark, sf))
     rows = panel.select("playbook_date", "symbol", *FEATURES)
     entries = panel.select("playbook_date", "entry_date").distinct()
+    groups = {"g1": [1, 2], "g2": [3, 4], "g3": [5, 6]}
+    members = stage(ml.member_scores(panel, rows, FEATURES, _targets(panel), [s for seeds in groups.values() for s in seeds], rounds=5, depth=3))
+    scored = {name: stage(ml.combined_members(members, seeds).select("playbook_date", "symbol", "ml_score").join(entries, "playbook_date")) for name, seeds in groups.items()}
+    picked = stage(reduce(DataFrame.union, [perf.rotation_picks(s, [25]).select("symbol") for s in scored.values()]).distinct())
+    quotes = stage(V.quotes(spark, sf, symbols=picked).select("date", "symbol", "open"))
     cells = []
-    for name, seeds in (("g1", [1, 2]), ("g2", [3, 4]), ("g3", [5, 6])):
-        scored = stage(ml.ensemble_scores(panel, rows, FEATURES, _targets(panel), seeds, rounds=5, depth=3).select("playbook_date", "symbol", "ml_score").join(entries, "playbook_date"))
-        trades = stage(perf.rotation_trades(scored, quotes, [25], calendar=days))
-        stats = perf.monthly_stats(perf.rotation_months(scored, quotes, trades, [25], calendar=days), "1996-01-11", "2001-11-16")
+    for name, seeds in groups.items():
+        trades = stage(perf.rotation_trades(scored[name], quotes, [25], calendar=days))
+        stats = perf.monthly_stats(perf.rotation_months(scored[name], quotes, trades, [25], calendar=days), "1996-01-11", "2001-11-16")
         cells.append(stats.select("monthly_sharpe", F.lit(name).alias("group"), F.lit(len(seeds)).alias("k")))
     return ml.ensemble_verdict(cells[0].unionByName(cells[1]).unionByName(cells[2]), ["k"], "monthly_sharpe", 0.0)

@@ -62,14 +62,21 @@ def _named(df: DataFrame) -> DataFrame:
     return named.drop("_day", "l_suppkey")
 
 
-def quotes(spark: SparkSession, sf: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """date, market, symbol, open, high, low, close, volume, value, of a span of days if given.
+def _of_symbols(df: DataFrame, symbols: DataFrame | None) -> DataFrame:
+    """Lines of the symbols in a stored table, by number, before anything is summed. A symbol that is no number is a line without a supplier."""
+    if symbols is None:
+        return df
+    return asof.with_keys_of(df, symbols.select(F.expr("try_cast(symbol AS bigint)").alias("l_suppkey")), ["l_suppkey"])
+
+
+def quotes(spark: SparkSession, sf: str, start: str | None = None, end: str | None = None, symbols: DataFrame | None = None) -> DataFrame:
+    """date, market, symbol, open, high, low, close, volume, value, of a span of days and a stored table's symbols if given.
 
     The open is the volume-weighted price: like the other columns it is a sum or
     an extreme, so the rows aggregate by hash, partially on every task. Rows are
     grouped by number and day; the text keys are made once per group.
     """
-    li = _between(table(spark, sf, "lineitem"), start, end).withColumn("price", F.col("l_extendedprice") / F.col("l_quantity"))
+    li = _of_symbols(_between(table(spark, sf, "lineitem"), start, end), symbols).withColumn("price", F.col("l_extendedprice") / F.col("l_quantity"))
     return _named(
         li.groupBy(F.col("l_shipdate").cast("date").alias("_day"), "l_suppkey")
         .agg(
